@@ -16,6 +16,7 @@ from tidemark.operators import items as N
 from tidemark.operators import micro as M
 from tidemark.operators import registry as R
 from tidemark.operators import upsert as U
+from tidemark.operators.skew import DETECT, hot_groups
 from tidemark.plans import control as G
 from tidemark.sources import adapter as A
 from tidemark.sources import shards
@@ -171,6 +172,11 @@ def identity(events: DataFrame) -> DataFrame:
     return I.identity_map(events, START, END, TZ, epoch(), days=ALL_DAYS)
 
 
+def hot_users(events: DataFrame):
+    """Hot users of the raw events: one narrow count shared by all steps of a query."""
+    return hot_groups(events.select("user_pseudo_id"), E.USER)
+
+
 def flat(spark: SparkSession, sf: str) -> DataFrame:
     """Events with the columns of the numbering operators."""
     events = rich(spark, sf)
@@ -184,9 +190,10 @@ def flat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def based(spark: SparkSession, sf: str) -> DataFrame:
+def based(spark: SparkSession, sf: str, hot=DETECT) -> DataFrame:
     events = rich(spark, sf)
-    return E.base_events(events, identity(events), START, END, TZ)
+    hot = hot_users(events) if hot is DETECT else hot
+    return E.base_events(events, identity(events), START, END, TZ, hot=hot)
 
 
 def registered(spark: SparkSession, sf: str, names: dict[str, str] = A.RICH_NAMES) -> DataFrame:
@@ -194,12 +201,11 @@ def registered(spark: SparkSession, sf: str, names: dict[str, str] = A.RICH_NAME
     return R.build_registry(raw, empty(spark, S.EVENT_PARAM_REGISTRY), epoch())
 
 
-def tables(spark: SparkSession, sf: str) -> tuple[DataFrame, C.ColumnPlan]:
-    """Event tables with the driver row number carried along."""
+def tables(spark: SparkSession, sf: str) -> tuple:
+    """Event tables, their columns and the hot users."""
+    hot = hot_users(rich(spark, sf))
     plan = C.column_plan(registered(spark, sf))
-    base = based(spark, sf)
-    rows = E.flatten_events(base, plan, TZ, "run")
-    return rows, plan
+    return E.flatten_events(based(spark, sf, hot), plan, TZ, "run"), plan, hot
 
 
 # -- page views, numbering, hosts, duplicates, time ----------------------------------------
@@ -237,7 +243,8 @@ SELECT event_id AS source_id, event_hash AS event_id, session_event_no, user_eve
   prev_event_name, seconds_from_prev_event FROM numbered
 """)
 def event_sequence(spark, sf):
-    return M.sequence(M.with_event_id(flat(spark, sf))).select(
+    rows = flat(spark, sf)
+    return M.sequence(M.with_event_id(rows), hot_users(rows)).select(
         "source_id",
         "event_id",
         "session_event_no",
@@ -253,7 +260,8 @@ SELECT event_id AS source_id, host AS hostname_norm, prev_host AS prev_hostname_
   prev_host IS NOT NULL AND prev_host <> host AS is_cross_domain_hop FROM numbered
 """)
 def domain_hops(spark, sf):
-    return M.sequence(flat(spark, sf)).select(
+    rows = flat(spark, sf)
+    return M.sequence(rows, hot_users(rows)).select(
         "source_id", "hostname_norm", "prev_hostname_norm", "next_hostname_norm",
         "is_cross_domain_hop",
     )
@@ -639,8 +647,11 @@ def user_property_log(spark, sf):
     events = rich(spark, sf)
     known = identity(events)
     nothing = empty(spark, S.USER_PROPERTY_LOG)
-    early = I.user_property_log(events, known, nothing, "20240101", "20240110", TZ, epoch())
-    fresh = I.user_property_log(events, known, early, START, END, TZ, epoch())
+    hot = hot_users(events)
+    early = I.user_property_log(
+        events, known, nothing, "20240101", "20240110", TZ, epoch(), hot
+    )
+    fresh = I.user_property_log(events, known, early, START, END, TZ, epoch(), hot)
     return fresh.select(
         "user_pseudo_id", "user_id", "property_key", "property_value_string", "property_value_int",
         micros("set_timestamp").alias("set_micros"), text("set_date"),
@@ -656,8 +667,9 @@ SELECT property_key, CASE WHEN count(text_value) > 0 THEN 'STRING' ELSE 'INT64'
 """)
 def property_summary(spark, sf):
     events = rich(spark, sf)
+    nothing = empty(spark, S.USER_PROPERTY_LOG)
     log = I.user_property_log(
-        events, identity(events), empty(spark, S.USER_PROPERTY_LOG), START, END, TZ, epoch()
+        events, identity(events), nothing, START, END, TZ, epoch(), hot_users(events)
     )
     return I.property_summary(log).withColumns(
         {"first_seen": micros("first_seen"), "last_seen": micros("last_seen")}
@@ -707,7 +719,7 @@ SELECT u AS user_pseudo_id, s AS ga_session_id, pv AS page_view_id, micros AS ev
 FROM paged WHERE name = 'page_view'
 """)
 def event_table(spark, sf):
-    rows, plan = tables(spark, sf)
+    rows, plan, _ = tables(spark, sf)
     return E.event_table(rows, plan, "page_view").select(
         "user_pseudo_id", "ga_session_id", "page_view_id", "event_timestamp_micros",
         text("event_date"), "hostname_norm", "k", "rank", "value", "page_location",
@@ -753,8 +765,8 @@ SELECT u AS user_pseudo_id, s AS ga_session_id, micros AS event_timestamp_micros
 FROM assembled
 """)
 def assemble_events(spark, sf):
-    rows, _ = tables(spark, sf)
-    return M.assemble_events(rows).select(
+    rows, _, hot = tables(spark, sf)
+    return M.assemble_events(rows, hot).select(
         "user_pseudo_id", "ga_session_id", "event_timestamp_micros", "event_name", "page_view_id",
         "is_key_event", "clarity_play_url",
     )
@@ -765,8 +777,8 @@ SELECT pv AS page_view_id, micros AS event_timestamp_micros, max_scroll AS max_s
 FROM assembled WHERE name = 'page_view'
 """)
 def fold_scroll(spark, sf):
-    rows, _ = tables(spark, sf)
-    return M.assemble_events(rows).where("event_name = 'page_view'").select(
+    rows, _, hot = tables(spark, sf)
+    return M.assemble_events(rows, hot).where("event_name = 'page_view'").select(
         "page_view_id", "event_timestamp_micros", "max_scroll_percent"
     )
 
@@ -782,7 +794,7 @@ def fill_slots(spark, sf):
         F.col("source_id").alias("event_id"), "user_pseudo_id",
         F.lit(None).cast("string").alias("user_id"),
     )
-    return M.fill_slots(rows, frame, slots).select(
+    return M.fill_slots(rows, frame, slots, hot_users(rows)).select(
         "event_id", "user_pseudo_id", "user_id",
         micros("last_active_timestamp").alias("last_active_micros"),
         micros("first_touch_timestamp").alias("first_touch_micros"), *slots,
@@ -806,10 +818,10 @@ SELECT CAST(CAST(ts + INTERVAL 9 HOUR AS DATE) AS VARCHAR) AS event_date,
   host AS hostname_norm, prev_host AS prev_hostname_norm, next_host AS next_hostname_norm,
   prev_host IS NOT NULL AND prev_host <> host AS is_cross_domain_hop,
   prev_name AS prev_event_name, gap AS seconds_from_prev_event, max_scroll AS max_scroll_percent,
-  balance, market_seg, CASE WHEN name <> 'error' THEN k END AS k,
+  balance, market_seg, k,
   CASE WHEN name = 'error' THEN k END AS k__error, '/p/' || (k % 10) AS page_location,
   CASE WHEN name = 'page_view' THEN CAST(k AS VARCHAR) WHEN name = 'purchase'
-    THEN CAST(value AS VARCHAR) WHEN name = 'session_start' THEN 'r' || k END AS rank,
+    THEN CAST(value AS VARCHAR) ELSE 'r' || k END AS rank,
   CASE WHEN name = 'error' THEN 'r' || k END AS rank__error,
   CASE WHEN name = 'purchase' THEN value END AS value__purchase,
   last_active_micros, first_touch_micros
@@ -817,13 +829,11 @@ FROM nums LEFT JOIN idm USING (u) LEFT JOIN attributes a ON a.user_pseudo_id = u
 """
 
 
-@query(
-    with_ev(IDENTITY, PAGED, ASSEMBLED, MICRO).replace("k % 10) AS page_location,\n  CASE WHEN name = 'page_view'", "k % 10) AS page_location,\n  CASE WHEN name = 'page_view'")
-)
+@query(with_ev(IDENTITY, PAGED, ASSEMBLED, MICRO))
 def micro_user(spark, sf):
-    rows, plan = tables(spark, sf)
+    rows, plan, hot = tables(spark, sf)
     frame, slots = attributes(spark, sf)
-    built = M.micro_user(rows, frame, plan, slots)
+    built = M.micro_user(rows, frame, plan, slots, hot)
     return built.select(
         text("event_date"), "event_timestamp_micros", "event_name", "user_pseudo_id", "user_id",
         "is_identified_user", "ga_session_id", "pseudonymous_session_id", "page_view_id",
@@ -862,9 +872,11 @@ def item_frame(spark, sf, with_identity=True):
         identity(A.web_events(spark, sf)) if with_identity else empty(spark, S.IDENTITY_MAP)
     )
     columns = N.item_columns(registry)
-    return N.explode_items(
-        events, known, columns, "19000101", "20991231", TZ, "run", epoch()
-    ), columns
+    hot = hot_users(events)
+    rows = N.explode_items(
+        events, known, columns, "19000101", "20991231", TZ, "run", epoch(), hot=hot
+    )
+    return rows, columns, hot
 
 
 @query("WITH " + ITEMS_SQL + """
@@ -880,7 +892,7 @@ SELECT micros AS event_timestamp_micros, name AS event_name, r.u AS user_pseudo_
 FROM item_rows r LEFT JOIN evm ON evm.u = r.u
 """)
 def explode_items(spark, sf):
-    rows, _ = item_frame(spark, sf)
+    rows, _, hot = item_frame(spark, sf)
     return rows.select(
         "event_timestamp_micros", "event_name", "user_pseudo_id", "user_id", "ga_session_id",
         "transaction_id", "item_index", "item_id", "price", "quantity", "item_subtotal",
@@ -895,12 +907,12 @@ SELECT u AS user_pseudo_id, l_orderkey AS ga_session_id, item_id, micros AS even
 FROM item_rows
 """)
 def number_items(spark, sf):
-    rows, _ = item_frame(spark, sf, with_identity=False)
+    rows, _, hot = item_frame(spark, sf, with_identity=False)
     slim = rows.select(
         "user_pseudo_id", "ga_session_id", "item_id", "event_timestamp_micros", "event_name",
         "item_index",
     )
-    return N.number_items(slim)
+    return N.number_items(slim, hot)
 
 
 @query("""
@@ -938,7 +950,7 @@ SELECT micros AS event_timestamp_micros, u AS user_pseudo_id, l_orderkey AS ga_s
 FROM item_rows
 """)
 def item_params(spark, sf):
-    rows, columns = item_frame(spark, sf, with_identity=False)
+    rows, columns, hot = item_frame(spark, sf, with_identity=False)
     return rows.select(
         "event_timestamp_micros", "user_pseudo_id", "ga_session_id", "item_index", "item_id",
         *[c.name for c in columns],
@@ -962,8 +974,8 @@ SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS event_date, micros AS event_
 FROM item_rows
 """)
 def micro_items(spark, sf):
-    rows, columns = item_frame(spark, sf, with_identity=False)
-    built = V.conform(N.number_items(rows), N.items_schema(columns))
+    rows, columns, hot = item_frame(spark, sf, with_identity=False)
+    built = V.conform(N.number_items(rows, hot), N.items_schema(columns))
     return built.select(
         text("event_date"), "event_timestamp_micros", "event_name", "user_pseudo_id",
         "ga_session_id", "pseudonymous_session_id", "item_index", "item_id", "price", "quantity",
@@ -1076,7 +1088,7 @@ def run_log(spark, sf):
 
 @query("WITH " + RUNS_SQL + """
 SELECT DISTINCT end_date FROM runs r WHERE phase_0_status LIKE 'SKIPPED%' AND end_date >= '20240110'
-  AND EXISTS (SELECT 1 FROM events e WHERE strftime(e.ts, '%Y%m%d') = r.end_date AND e.value > 485)
+  AND EXISTS (SELECT 1 FROM events e WHERE strftime(e.ts, '%Y%m%d') = r.end_date AND e.value > 200)
   AND NOT EXISTS (SELECT 1 FROM runs o WHERE o.end_date = r.end_date AND o.total_rows > 5
     AND o.phase_0_status = 'SUCCESS')
 """)
@@ -1084,7 +1096,7 @@ def run_log_recovery(spark, sf):
     events = A.web_events(spark, sf)
     log = runs(spark, sf)
     counts = shards.shard_counts(
-        events.where(extract_param(F.col("event_params"), "value", S.FLOAT64) > 485)
+        events.where(extract_param(F.col("event_params"), "value", S.FLOAT64) > 200)
     )
     only_large = log.where("phase_0_status LIKE 'SKIPPED%' OR total_rows > 5")
     return G.recoverable_days(only_large, counts, "20240110")

@@ -5,154 +5,139 @@ Every row becomes one event by itself, so the adapter shuffles nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import schema as S
 
 PLAIN_NAMES = {"view": "page_view"}
 RICH_NAMES = {"view": "page_view", "click": "scroll", "signup": "session_start"}
-FIRST_DAY = "2024-01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def value_struct(text=None, integer=None, number=None) -> Column:
-    return F.struct(
-        (F.lit(None) if text is None else text).cast("string").alias("string_value"),
-        (F.lit(None) if integer is None else integer).cast("bigint").alias("int_value"),
-        F.lit(None).cast("double").alias("float_value"),
-        (F.lit(None) if number is None else number).cast("double").alias("double_value"),
+def value_struct(text: str = "NULL", integer: str = "NULL", number: str = "NULL") -> str:
+    return (
+        f"named_struct('string_value', cast({text} as string), "
+        f"'int_value', cast({integer} as bigint), 'float_value', cast(NULL as double), "
+        f"'double_value', cast({number} as double))"
     )
 
 
-def param(key: str, value: Column) -> Column:
-    return F.struct(F.lit(key).alias("key"), value.alias("value"))
+def param(key: str, value: str) -> str:
+    return f"named_struct('key', '{key}', 'value', {value})"
 
 
-def typed_null(kind: str) -> Column:
-    return F.lit(None).cast(kind)
+def struct(**fields: str) -> str:
+    inner = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return f"named_struct({inner})"
+
+
+NO_TEXT = "cast(NULL as string)"
 
 
 def web_events(
-    spark: SparkSession,
-    sf_dir: str,
-    names: dict[str, str] = PLAIN_NAMES,
-    user_ids: bool = True,
+    spark: SparkSession, sf_dir: str, names: dict[str, str] = PLAIN_NAMES
 ) -> DataFrame:
     """The ``events`` table as a nested event export.
 
-    One session per user and UTC day. Parameters: ``ga_session_id``, ``k`` (integer),
-    ``value`` (double), ``rank`` (integer on views and clicks, double on purchases, text on
-    the rest), ``percent_scrolled`` on clicks, three replay ids on sign-ups (one of them
-    missing when k is a multiple of five), ``page_location``.
+    One session per user and UTC day, none when k mod 50 is 49. Parameters:
+    ``ga_session_id``, ``k`` (integer), ``value`` (double), ``rank`` (integer on views and
+    clicks, double on purchases, text on the rest), ``page_location``; on clicks
+    ``percent_scrolled``; on sign-ups the replay ids, of which the session's is missing
+    when k is a multiple of five. Sign-ups carry a user id.
     """
-    source = table(spark, sf_dir, "events")
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    kind = F.col("event_type")
-    event_name = kind
-    for old, new in names.items():
-        event_name = F.when(kind == old, F.lit(new)).otherwise(event_name)
-    rows = source.select(
-        "event_id", "ts", "user_id", "value", kind, micros.alias("micros"), k.alias("k"),
-        event_name.alias("event_name"),
-        F.date_format("ts", "yyyyMMdd").alias("shard"),
-        F.datediff(F.to_date("ts"), F.lit(FIRST_DAY).cast("date")).cast("bigint").alias("session"),
-    )
-    k, micros = F.col("k"), F.col("micros")
+    renames = " ".join(f"WHEN '{old}' THEN '{new}'" for old, new in names.items())
+    rows = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "event_type AS kind",
+        "value AS number",
+        "user_id AS member",
+        f"CASE event_type {renames} ELSE event_type END AS event_name",
+        "unix_micros(cast(ts AS timestamp)) AS micros",
+        "unix_micros(date_trunc('DAY', cast(ts AS timestamp))) AS day_micros",
+        "date_format(ts, 'yyyyMMdd') AS shard",
+        "cast(datediff(to_date(ts), DATE '2024-01-01') AS bigint) AS day_no",
+        "cast(get_json_object(props, '$.k') AS bigint) AS k",
+    )
+    rank_text = value_struct(text="concat('r', k)")
     rank = (
-        F.when(kind.isin("view", "click"), value_struct(integer=k))
-        .when(kind == "purchase", value_struct(number=F.col("value")))
-        .otherwise(value_struct(text=F.concat(F.lit("r"), k.cast("string"))))
-    )
-    session = F.when(k % 50 != 49, F.col("session"))
-    common = F.array(
-        param("ga_session_id", value_struct(integer=session)),
-        param("k", value_struct(integer=k)),
-        param("value", value_struct(number=F.col("value"))),
-        param("rank", rank),
-        param("page_location", value_struct(text=F.concat(F.lit("/p/"), (k % 10).cast("string")))),
-    )
-    scroll = F.array(param("percent_scrolled", value_struct(integer=k)))
-    replay = F.array(
-        param("clarity_project_id", value_struct(text=F.lit("prj"))),
-        param("clarity_user_id", value_struct(text=F.col("user_id").cast("string"))),
-        param(
-            "clarity_session_id",
-            value_struct(text=F.when(k % 5 != 0, F.concat(F.lit("s"), k.cast("string")))),
-        ),
-    )
-    params = F.when(kind == "click", F.concat(common, scroll)).when(
-        kind == "signup", F.concat(common, replay)
-    ).otherwise(common)
-    day_start = F.unix_micros(F.date_trunc("DAY", "ts").cast("timestamp"))
-    plan = F.struct(
-        F.lit("plan").alias("key"),
-        F.struct(
-            F.concat(F.lit("t"), (k % 3).cast("string")).alias("string_value"),
-            typed_null("bigint").alias("int_value"),
-            typed_null("double").alias("float_value"),
-            typed_null("double").alias("double_value"),
-            day_start.alias("set_timestamp_micros"),
-        ).alias("value"),
-    )
-    visits = F.struct(
-        F.lit("visits").alias("key"),
-        F.struct(
-            typed_null("string").alias("string_value"),
-            k.alias("int_value"),
-            typed_null("double").alias("float_value"),
-            typed_null("double").alias("double_value"),
-            F.when(kind == "purchase", micros).alias("set_timestamp_micros"),
-        ).alias("value"),
-    )
-    host = (
-        F.when(k % 3 == 0, "www.a.test").when(k % 3 == 1, "A.test").otherwise("b.test")
-    )
-    known_id = F.when(kind == "signup", F.concat(F.lit("m"), F.col("user_id").cast("string")))
-    text = F.lit(None).cast("string")
-    return rows.select(
+        f"CASE WHEN kind IN ('view', 'click') THEN {value_struct(integer='k')} "
+        f"WHEN kind = 'purchase' THEN {value_struct(number='number')} ELSE {rank_text} END"
+    )
+    common = ", ".join(
+        [
+            param("ga_session_id", value_struct(integer="CASE WHEN k % 50 <> 49 THEN day_no END")),
+            param("k", value_struct(integer="k")),
+            param("value", value_struct(number="number")),
+            param("rank", rank),
+            param("page_location", value_struct(text="concat('/p/', k % 10)")),
+        ]
+    )
+    scroll = param("percent_scrolled", value_struct(integer="k"))
+    replay = ", ".join(
+        [
+            param("clarity_project_id", value_struct(text="'prj'")),
+            param("clarity_user_id", value_struct(text="member")),
+            param(
+                "clarity_session_id",
+                value_struct(text="CASE WHEN k % 5 <> 0 THEN concat('s', k) END"),
+            ),
+        ]
+    )
+    params = (
+        f"CASE kind WHEN 'click' THEN array({common}, {scroll}) "
+        f"WHEN 'signup' THEN array({common}, {replay}) ELSE array({common}) END"
+    )
+
+    def setting(key: str, text: str, integer: str, at: str) -> str:
+        value = value_struct(text=text, integer=integer)[:-1] + f", 'set_timestamp_micros', {at})"
+        return param(key, value)
+
+    plan = setting("plan", "concat('t', k % 3)", "NULL", "day_micros")
+    visits = setting("visits", "NULL", "k", "CASE WHEN kind = 'purchase' THEN micros END")
+    host = "CASE k % 3 WHEN 0 THEN 'www.a.test' WHEN 1 THEN 'A.test' ELSE 'b.test' END"
+    device = struct(
+        category="CASE WHEN k % 2 = 0 THEN 'desktop' ELSE 'mobile' END",
+        mobile_brand_name=NO_TEXT,
+        mobile_model_name=NO_TEXT,
+        operating_system="'os'",
+        operating_system_version="'1'",
+        browser="'app'",
+        language="'en'",
+        web_info=struct(browser="CASE WHEN k % 4 <> 0 THEN 'web' END", hostname=host),
+    )
+    geo = struct(
+        continent=NO_TEXT, sub_continent=NO_TEXT, country="'JP'", region=NO_TEXT, city=NO_TEXT
+    )
+    collected = struct(
+        manual_source="'csrc'",
+        manual_medium=NO_TEXT,
+        manual_campaign_name=NO_TEXT,
+        manual_term=NO_TEXT,
+        manual_content=NO_TEXT,
+        gclid="CASE WHEN k % 7 = 0 THEN 'g' END",
+    )
+    return rows.selectExpr(
         "shard",
-        F.col("shard").alias("event_date"),
-        micros.alias("event_timestamp"),
+        "shard AS event_date",
+        "micros AS event_timestamp",
         "event_name",
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_pseudo_id"),
-        (known_id if user_ids else text).alias("user_id"),
-        params.alias("event_params"),
-        F.array(plan, visits).alias("user_properties"),
-        F.lit(None).cast(S.ITEMS).alias("items"),
-        F.struct(
-            F.when(k % 2 == 0, "desktop").otherwise("mobile").alias("category"),
-            text.alias("mobile_brand_name"),
-            text.alias("mobile_model_name"),
-            F.lit("os").alias("operating_system"),
-            F.lit("1").alias("operating_system_version"),
-            F.lit("app").alias("browser"),
-            F.lit("en").alias("language"),
-            F.struct(
-                F.when(k % 4 != 0, "web").alias("browser"), host.alias("hostname")
-            ).alias("web_info"),
-        ).alias("device"),
-        F.struct(
-            text.alias("continent"), text.alias("sub_continent"), F.lit("JP").alias("country"),
-            text.alias("region"), text.alias("city"),
-        ).alias("geo"),
-        F.struct(
-            F.lit("src").alias("source"), F.lit("med").alias("medium"), text.alias("name")
-        ).alias("traffic_source"),
-        F.struct(
-            F.lit("csrc").alias("manual_source"), text.alias("manual_medium"),
-            text.alias("manual_campaign_name"), text.alias("manual_term"),
-            text.alias("manual_content"), F.when(k % 7 == 0, "g").alias("gclid"),
-        ).alias("collected_traffic_source"),
-        F.struct(F.lit("Yes").alias("analytics_storage")).alias("privacy_info"),
-        F.struct(text.alias("id"), text.alias("version")).alias("app_info"),
-        F.lit("WEB").alias("platform"),
-        F.struct(F.lit(None).cast("double").alias("purchase_revenue")).alias("ecommerce"),
-        F.col("event_id").alias("source_id"),
+        "concat('u', member) AS user_pseudo_id",
+        "CASE WHEN kind = 'signup' THEN concat('m', member) END AS user_id",
+        f"{params} AS event_params",
+        f"array({plan}, {visits}) AS user_properties",
+        f"cast(NULL AS {S.ITEMS}) AS items",
+        f"{device} AS device",
+        f"{geo} AS geo",
+        f"{struct(source=repr('src'), medium=repr('med'), name=NO_TEXT)} AS traffic_source",
+        f"{collected} AS collected_traffic_source",
+        "named_struct('analytics_storage', 'Yes') AS privacy_info",
+        f"{struct(id=NO_TEXT, version=NO_TEXT)} AS app_info",
+        "'WEB' AS platform",
+        "named_struct('purchase_revenue', cast(NULL AS double)) AS ecommerce",
+        "event_id AS source_id",
     )
 
 
@@ -163,123 +148,102 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity. Item parameters: line status (text), tax (double), line number (integer) and
     ``mix`` (integer on even lines, double on odd ones).
     """
-    lines = table(spark, sf_dir, "lineitem")
-    day = F.date_format("l_shipdate", "yyyyMMdd")
-    micros = F.unix_micros(F.col("l_shipdate").cast("timestamp")) + F.col("l_linenumber")
-    number = F.col("l_linenumber").cast("bigint")
-    mix = F.when(number % 2 == 0, value_struct(integer=number)).otherwise(
-        value_struct(number=F.col("l_tax"))
-    )
-    item_params = F.array(
-        param("status", value_struct(text=F.col("l_linestatus"))),
-        param("tax", value_struct(number=F.col("l_tax"))),
-        param("line", value_struct(integer=number)),
-        param("mix", mix),
+    item_params = ", ".join(
+        [
+            param("status", value_struct(text="l_linestatus")),
+            param("tax", value_struct(number="l_tax")),
+            param("line", value_struct(integer="l_linenumber")),
+            param(
+                "mix",
+                f"CASE WHEN l_linenumber % 2 = 0 THEN {value_struct(integer='l_linenumber')} "
+                f"ELSE {value_struct(number='l_tax')} END",
+            ),
+        ]
     )
 
-    def item(item_id: Column, price: Column, quantity: Column) -> Column:
+    def item(item_id: str, price: str, quantity: str) -> str:
         given = {"item_id": item_id, "price": price, "quantity": quantity}
-        return F.struct(
-            *[
-                given.get(n, F.lit(None)).cast(kind).alias(n)
-                for n, kind in S.ITEM_FIELDS.items()
-            ],
-            item_params.alias("item_params"),
-        )
-
-    part = F.concat(F.lit("i"), F.col("l_partkey").cast("string"))
-    gift = F.concat(F.lit("gift"), (F.col("l_partkey") % 10).cast("string"))
-    items = F.array(
-        item(part, F.col("l_extendedprice"), F.col("l_quantity").cast("bigint")),
-        item(gift, F.col("l_discount"), F.lit(None)),
-    )
-    event_name = (
-        F.when(F.col("l_returnflag") == "R", "refund")
-        .when(F.col("l_returnflag") == "A", "add_to_cart")
-        .otherwise("purchase")
-    )
-    order_text = F.col("l_orderkey").cast("string")
-    params = F.array(
-        param("ga_session_id", value_struct(text=order_text)),
-        param("transaction_id", value_struct(text=F.concat(F.lit("t"), order_text))),
+        fields = {
+            name: f"cast({given.get(name, 'NULL')} AS {kind})"
+            for name, kind in S.ITEM_FIELDS.items()
+        }
+        return struct(**fields, item_params=f"array({item_params})")
+
+    bought = item("concat('i', l_partkey)", "l_extendedprice", "l_quantity")
+    gift = item("concat('gift', l_partkey % 10)", "l_discount", "NULL")
+    params = ", ".join(
+        [
+            param("ga_session_id", value_struct(text="l_orderkey")),
+            param("transaction_id", value_struct(text="concat('t', l_orderkey)")),
+        ]
     )
     given = {
-        "shard": day,
-        "event_date": day,
-        "event_timestamp": micros,
-        "event_name": event_name,
-        "user_pseudo_id": F.concat(F.lit("u"), F.col("l_suppkey").cast("string")),
-        "event_params": params,
-        "items": items,
+        "shard": "date_format(l_shipdate, 'yyyyMMdd')",
+        "event_date": "date_format(l_shipdate, 'yyyyMMdd')",
+        "event_timestamp": "unix_micros(cast(l_shipdate AS timestamp)) + l_linenumber",
+        "event_name": (
+            "CASE l_returnflag WHEN 'R' THEN 'refund' WHEN 'A' THEN 'add_to_cart' "
+            "ELSE 'purchase' END"
+        ),
+        "user_pseudo_id": "concat('u', l_suppkey)",
+        "event_params": f"array({params})",
+        "items": f"array({bought}, {gift})",
     }
-    return lines.select(
-        *[given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in S.EVENTS.items()],
-        "l_orderkey",
-        "l_linenumber",
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        *[f"cast({given.get(name, 'NULL')} AS {kind}) AS {name}" for name, kind in S.EVENTS.items()]
     )
 
 
 def customer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` as user snapshots: two shards per customer."""
-    customers = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    shards = F.explode(F.array(F.lit("20240129"), F.lit("20240130"))).alias("shard")
-    rows = customers.select("*", shards)
-    old = F.col("shard") == "20240129"
-    key = F.col("c_custkey")
-    set_micros = F.lit(1_700_000_000_000_000) + key * 1_000_000 + F.when(old, 0).otherwise(1)
-
-    def slot(name: Column, micros: Column, text: Column, slot_key: str) -> Column:
-        return F.struct(
-            F.lit(slot_key).alias("key"),
-            F.struct(
-                name.alias("user_property_name"),
-                micros.alias("set_timestamp_micros"),
-                text.alias("string_value"),
-            ).alias("value"),
+    customers = table(spark, sf_dir, "customer")
+    nations = table(spark, sf_dir, "nation")
+    rows = customers.join(nations, customers["c_nationkey"] == nations["n_nationkey"]).selectExpr(
+        "*",
+        "explode(array('20240129', '20240130')) AS shard",
+        "1700000000000000 + c_custkey AS fixed_start",
+        "1700000000000000 + c_custkey * 1000000 AS base",
+    )
+    rows = rows.selectExpr("*", "shard = '20240129' AS is_old")
+
+    def slot(key: str, name: str, text: str) -> str:
+        value = struct(
+            user_property_name=name,
+            set_timestamp_micros="base + if(is_old, 0, 1)",
+            string_value=text,
         )
-
-    def audience(number: Column, micros: Column) -> Column:
-        return F.struct(
-            number.cast("bigint").alias("id"),
-            F.concat(F.lit("aud"), number.cast("string")).alias("name"),
-            micros.cast("bigint").alias("membership_start_timestamp_micros"),
-            (micros + 1_000_000).cast("bigint").alias("membership_expiry_timestamp_micros"),
-            (key % 2 == 0).alias("npa"),
+        return param(key, value)
+
+    def audience(number: str, start: str) -> str:
+        return struct(
+            id=f"cast({number} AS bigint)",
+            name=f"concat('aud', {number})",
+            membership_start_timestamp_micros=start,
+            membership_expiry_timestamp_micros=f"{start} + 1000000",
+            npa="c_custkey % 2 = 0",
         )
 
-    fixed_start = F.lit(1_700_000_000_000_000) + key
-    return rows.select(
+    slots = ", ".join(
+        [
+            slot("slot1", "if(is_old, 'market', 'market seg')", "if(is_old, 'old', c_mktsegment)"),
+            slot("slot2", "'balance'", "cast(floor(c_acctbal) AS string)"),
+        ]
+    )
+    audiences = ", ".join(
+        [audience("c_custkey % 5", "fixed_start"), audience("7", "fixed_start + if(is_old, 0, 1)")]
+    )
+    user_info = struct(
+        last_active_timestamp_micros="base + if(is_old, 5, 6)",
+        user_first_touch_timestamp_micros="base - if(is_old, 5, 4)",
+    )
+    return rows.selectExpr(
         "shard",
-        F.concat(F.lit("u"), key.cast("string")).alias("pseudo_user_id"),
-        F.when(key % 3 == 0, F.concat(F.lit("c"), key.cast("string"))).alias("user_id"),
-        F.struct(
-            (set_micros + 5).alias("last_active_timestamp_micros"),
-            (set_micros - 5).alias("user_first_touch_timestamp_micros"),
-        ).alias("user_info"),
-        F.struct(
-            F.lit("desktop").alias("category"),
-            F.lit(None).cast("string").alias("mobile_brand_name"),
-            F.lit("os").alias("operating_system"),
-        ).alias("device"),
-        F.struct(
-            F.col("n_name").alias("country"),
-            F.lit(None).cast("string").alias("region"),
-            F.lit(None).cast("string").alias("city"),
-        ).alias("geo"),
-        F.array(
-            slot(
-                F.when(old, "market").otherwise("market seg"),
-                set_micros,
-                F.when(old, F.lit("old")).otherwise(F.col("c_mktsegment")),
-                "slot1",
-            ),
-            slot(F.lit("balance"), set_micros, F.floor("c_acctbal").cast("string"), "slot2"),
-        ).alias("user_properties"),
-        F.array(
-            audience(key % 5, fixed_start),
-            audience(F.lit(7), F.when(old, fixed_start).otherwise(fixed_start + 1)),
-        ).alias("audiences"),
+        "concat('u', c_custkey) AS pseudo_user_id",
+        "CASE WHEN c_custkey % 3 = 0 THEN concat('c', c_custkey) END AS user_id",
+        f"{user_info} AS user_info",
+        f"{struct(category=repr('desktop'), mobile_brand_name=NO_TEXT, operating_system=repr('os'))}"
+        " AS device",
+        f"{struct(country='n_name', region=NO_TEXT, city=NO_TEXT)} AS geo",
+        f"array({slots}) AS user_properties",
+        f"array({audiences}) AS audiences",
     )
-
