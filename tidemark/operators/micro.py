@@ -16,8 +16,9 @@ from tidemark.functions import ids
 from tidemark.functions.params import to_integer
 from tidemark.operators.columns import ColumnPlan
 from tidemark.operators.events import SESSION, USER
+from tidemark.operators.evolve import conform
 from tidemark.operators.ordered import Ordering, segmented, windowed
-from tidemark.operators.skew import DETECT, known_or_detected, left_join
+from tidemark.operators.skew import DETECT, hot_groups, known_or_detected, left_join
 
 SESSION_ORDER = Ordering(
     group=SESSION,
@@ -85,8 +86,11 @@ def fold_facts(rows: DataFrame) -> DataFrame:
     ).drop("session_is_key", "session_replay_url", "page_scroll")
 
 
-def facts_by_window(rows: DataFrame) -> DataFrame:
-    """Session and page facts as window aggregates (rows already partitioned by user)."""
+def facts_by_window(rows: DataFrame, replay: DataFrame | None = None) -> DataFrame:
+    """Session and page facts as window aggregates (rows already partitioned by user).
+
+    ``replay`` holds the replay addresses if the rows do not cover their sessions' starts.
+    """
     session = W.partitionBy(*SESSION)
     page = W.partitionBy(*SESSION, "page_view_id")
     known = F.col("user_pseudo_id").isNotNull() & F.col("ga_session_id").isNotNull()
@@ -97,21 +101,24 @@ def facts_by_window(rows: DataFrame) -> DataFrame:
         (event == "scroll") & F.col("page_view_id").isNotNull(),
         to_integer(F.col("percent_scrolled")),
     )
-    return rows.withColumns(
-        {
-            "session_is_key": F.max(F.when(hit, 1)).over(session),
-            "session_replay_url": F.max(url).over(session),
-            "page_scroll": F.max(depth).over(page),
-        }
-    )
+    facts = {
+        "session_is_key": F.max(F.when(hit, 1)).over(session),
+        "page_scroll": F.max(depth).over(page),
+    }
+    if replay is None:
+        return rows.withColumns(facts | {"session_replay_url": F.max(url).over(session)})
+    return rows.join(replay, SESSION, "left").withColumns(facts)
 
 
-def facts_by_join(rows: DataFrame) -> DataFrame:
+def facts_by_join(rows: DataFrame, replay: DataFrame | None = None) -> DataFrame:
     """The same facts from pre-aggregated joins."""
     keys = key_sessions(rows).withColumn("session_is_key", F.lit(1))
-    facts = keys.join(replay_urls(rows), SESSION, "full_outer")
-    with_session = left_join(rows, facts, SESSION)
-    return left_join(with_session, scroll_depth(rows), ["page_view_id"])
+    urls = replay_urls(rows) if replay is None else replay
+    facts = keys.join(urls, SESSION, "full_outer")
+    pages = ["page_view_id"]
+    hot_sessions, hot_pages = hot_groups(rows, SESSION), hot_groups(rows, pages)
+    with_session = left_join(rows, facts, SESSION, hot=hot_sessions)
+    return left_join(with_session, scroll_depth(rows), pages, hot=hot_pages)
 
 
 def dedup_events(rows: DataFrame) -> DataFrame:
@@ -216,35 +223,45 @@ def typed_dynamic_columns(rows: DataFrame, plan: ColumnPlan) -> DataFrame:
     return rows.select(*fixed, *[c.expression(event).alias(c.name) for c in plan.final])
 
 
-def micro_user(
+def micro_rows(
     tables: DataFrame,
     attributes: DataFrame,
     plan: ColumnPlan,
     slots: list[str],
     hot=DETECT,
-) -> DataFrame:
-    """The event-level table of the given event-table rows, in its final schema."""
-    hot = known_or_detected(hot, tables, USER)
+    replay: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """All columns but the numbered ones: (rows of ordinary users, rows of hot users)."""
     rows = _with_scroll_source(tables)
 
-    def before_numbers(with_facts: DataFrame) -> DataFrame:
+    def complete(with_facts: DataFrame, side: DataFrame) -> DataFrame:
         kept = fold_facts(with_facts.where(F.col("event_name") != "scroll"))
-        return dedup_events(typed_dynamic_columns(kept, plan))
+        once = dedup_events(typed_dynamic_columns(kept, plan))
+        return with_event_id(fill_slots(once, side, slots, hot=None))
 
+    hot = known_or_detected(hot, rows, USER)
     if hot is None:
-        by_user = rows.repartition("user_pseudo_id")
-        numbered = sequence_by_window(before_numbers(facts_by_window(by_user)))
-        filled = fill_slots(numbered, attributes, slots, hot=None)
-    else:
-        ordinary, large = hot.split(rows)
-        by_user = ordinary.repartition("user_pseudo_id")
-        numbered = sequence_by_window(before_numbers(facts_by_window(by_user)))
-        segments = hot.segments()
-        numbered_hot = sequence_by_segment(before_numbers(facts_by_join(large)), segments)
-        filled = fill_slots(numbered, attributes, slots, hot=None).unionByName(
-            fill_slots(numbered_hot, hot.narrow(attributes), slots, hot=None)
-        )
-    complete = with_event_id(gap_and_hop(filled))
-    return complete.select(
-        *[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in micro_schema(plan, slots).items()]
+        by_user = rows.repartition(*USER)
+        return complete(facts_by_window(by_user, replay), attributes), None
+    ordinary, large = hot.split(rows)
+    by_user = ordinary.repartition(*USER)
+    return (
+        complete(facts_by_window(by_user, replay), attributes),
+        complete(facts_by_join(large, replay), hot.narrow(attributes)),
     )
+
+
+def micro_user(
+    tables: DataFrame,
+    attributes: DataFrame,
+    plan: ColumnPlan,
+    slots: list[str],
+    hot=DETECT,
+) -> DataFrame:
+    """The event-level table of the given event-table rows, in its final schema."""
+    hot = known_or_detected(hot, tables, USER)
+    ordinary, large = micro_rows(tables, attributes, plan, slots, hot)
+    numbered = sequence_by_window(ordinary)
+    if large is not None:
+        numbered = numbered.unionByName(sequence_by_segment(large, hot.segments()))
+    return conform(gap_and_hop(numbered), micro_schema(plan, slots))

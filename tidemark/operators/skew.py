@@ -126,6 +126,8 @@ def left_join(
         return left.join(right, null_safe(left, right, keys), "left").select(*names, *added)
 
     hot = known_or_detected(hot, rows, keys)
+    if hot is not None and hot.keys != keys:
+        raise ValueError(f"hot groups of {hot.keys} say nothing about {keys}")
     if hot is None:
         return joined(rows, side)
     cold_rows, hot_rows = hot.split(rows)

@@ -36,15 +36,17 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return read_sharded(spark, path, S.EVENTS)
 
 
-def read_users(spark: SparkSession, path: str | None) -> DataFrame | None:
-    """The optional user snapshot: None if the dataset is absent.
+def read_users(spark: SparkSession, path: str) -> DataFrame:
+    """User snapshot; columns it lacks (``user_id``, ``audiences``) read as NULL."""
+    return read_sharded(spark, path, S.USERS)
 
-    Absent columns (``user_id``, ``audiences``) read as NULL.
-    """
+
+def if_present(read, spark: SparkSession, path: str | None) -> DataFrame | None:
+    """A dataset that may be absent."""
     if path is None:
         return None
     try:
-        return read_sharded(spark, path, S.USERS)
+        return read(spark, path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
