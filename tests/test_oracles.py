@@ -8,20 +8,30 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.01"
+SMALL_SF = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
 
 
-@pytest.fixture(scope="session")
-def duck():
+def connect(folder):
     con = duckdb.connect()
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
     return con
 
 
+@pytest.fixture(scope="session")
+def duck():
+    return connect(SF)
+
+
+@pytest.fixture(scope="session")
+def small_duck():
+    return connect(SMALL_SF)
+
+
 def plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value)
@@ -33,8 +43,8 @@ def rows_by_name(names, rows):
     return sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-def assert_equal_to_sql(name, spark, duck):
-    frame = entry.queries()[name](spark, SF)
+def assert_equal_to_sql(name, spark, duck, folder=SF):
+    frame = entry.queries()[name](spark, folder)
     got = [tuple(row) for row in frame.collect()]
     cursor = duck.execute(entry.oracle_sql()[name])
     want_names = [d[0] for d in cursor.description]
@@ -62,10 +72,10 @@ HOT_AWARE = {
 
 
 @pytest.mark.parametrize("name", sorted(HOT_AWARE))
-def test_hot_groups_change_nothing(name, spark, duck):
+def test_hot_groups_change_nothing(name, spark, small_duck):
     spark.conf.set("tidemark.hotRows", str(HOT_AWARE[name]))
     try:
-        assert_equal_to_sql(name, spark, duck)
+        assert_equal_to_sql(name, spark, small_duck, SMALL_SF)
     finally:
         spark.conf.unset("tidemark.hotRows")
 

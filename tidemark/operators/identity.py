@@ -11,7 +11,7 @@ from tidemark import schema as S
 from tidemark.functions.ids import local_date, local_timestamp, pseudonymous_session_id, shift_day
 from tidemark.functions.params import param_value
 from tidemark.operators.ordered import newest
-from tidemark.operators.skew import DETECT, left_join
+from tidemark.operators.skew import DETECT, cut_lineage, left_join
 from tidemark.operators.upsert import append_if_new
 from tidemark.sources.shards import in_shards, look_back
 
@@ -187,7 +187,7 @@ def audience_log(
         keys,
         [F.col("shard").desc(), F.col("membership_expiry_timestamp").desc(), "audience_name", "npa"],
     )
-    fresh = append_if_new(once, existing, keys)
+    fresh = cut_lineage(append_if_new(once, existing, keys))
     return left_join(fresh, identity.select("user_pseudo_id", "user_id"), ["user_pseudo_id"]).select(
         "user_pseudo_id",
         "user_id",

@@ -15,7 +15,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_ROWS = 2_000_000
+DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_BROADCAST_ROWS = 200_000
 
 

@@ -157,13 +157,13 @@ def phase_1(run: Run, events: DataFrame, users: DataFrame | None) -> str:
         warning = "audience_warning: the user snapshot has no audiences field"
     known = store.read("log_audience_membership", S.AUDIENCE_LOG)
     audience = I.audience_log(snapshot, identity, known, *span, run.now)
-    store.append("log_audience_membership", cut_lineage(audience), S.AUDIENCE_LOG)
+    store.append("log_audience_membership", audience, S.AUDIENCE_LOG)
 
     logged = store.read("log_user_properties", S.USER_PROPERTY_LOG)
     settings = I.user_property_log(
         events, identity, logged, *span, cfg.tz, run.now, hot=run.hot_users
     )
-    store.append("log_user_properties", cut_lineage(settings), S.USER_PROPERTY_LOG)
+    store.append("log_user_properties", settings, S.USER_PROPERTY_LOG)
     store.replace("mst_user_properties", I.property_summary(store.read("log_user_properties")))
     return f"SUCCESS ({warning})" if warning else "SUCCESS"
 
