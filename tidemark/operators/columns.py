@@ -10,6 +10,7 @@ from collections import defaultdict
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark import schema as S
@@ -22,7 +23,11 @@ MAX_REGISTRY_ROWS = 100_000
 
 
 def param_class(registry: DataFrame) -> DataFrame:
-    """Visible parameters as ``unique`` (own column per event) or ``common``."""
+    """Visible parameters as ``unique`` (own column per event) or ``common``.
+
+    ``event_count`` is the number of events that carry the parameter.
+    """
+    events = F.size(F.collect_set("event_name").over(W.partitionBy("param_name")))
     specific = is_event_specific(*map(F.col, ["param_name", "param_category", "event_category"]))
     return visible_params(registry).select(
         "param_name",
@@ -30,6 +35,7 @@ def param_class(registry: DataFrame) -> DataFrame:
         "event_name",
         "data_type",
         F.when(specific, "unique").otherwise("common").alias("ptype"),
+        events.cast("bigint").alias("event_count"),
     )
 
 

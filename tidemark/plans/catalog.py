@@ -427,7 +427,9 @@ def extract_typed(spark, sf):
 )
 SELECT param_name, micro_column_name, event_name,
   CASE WHEN param_name = 'value' OR (param_category = 'custom' AND event_category = 'custom')
-    THEN 'unique' ELSE 'common' END AS ptype, unified_type
+    THEN 'unique' ELSE 'common' END AS ptype, unified_type,
+  (SELECT count(DISTINCT event_name) FROM registry o WHERE o.param_name = registry.param_name)
+    AS event_count
 FROM registry JOIN typed2 USING (param_name) WHERE param_name NOT LIKE 'clarity%'
 """)
 def param_class(spark, sf):
@@ -435,7 +437,9 @@ def param_class(spark, sf):
     return (
         C.param_class(registry)
         .join(C.unified_types(registry), "param_name")
-        .select("param_name", "micro_column_name", "event_name", "ptype", "unified_type")
+        .select(
+            "param_name", "micro_column_name", "event_name", "ptype", "unified_type", "event_count"
+        )
     )
 
 

@@ -17,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Use all cores on an input of fewer splits than cores (one small file).
+
+    A large input has more splits than that and stays as it is, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def value_struct(text: str = "NULL", integer: str = "NULL", number: str = "NULL") -> str:
     return (
         f"named_struct('string_value', cast({text} as string), "
@@ -49,7 +58,7 @@ def web_events(
     when k is a multiple of five. Sign-ups carry a user id.
     """
     renames = " ".join(f"WHEN '{old}' THEN '{new}'" for old, new in names.items())
-    rows = table(spark, sf_dir, "events").selectExpr(
+    rows = spread(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
         "event_type AS kind",
         "value AS number",
@@ -189,7 +198,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_params": f"array({params})",
         "items": f"array({bought}, {gift})",
     }
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return spread(table(spark, sf_dir, "lineitem")).selectExpr(
         *[f"cast({given.get(name, 'NULL')} AS {kind}) AS {name}" for name, kind in S.EVENTS.items()]
     )
 
