@@ -53,18 +53,16 @@ def base_events(
 ) -> DataFrame:
     """Events of the window with page number and mapped user id.
 
-    Ordinary users cost one exchange: identity join and page window both use a
-    partitioning by user.
+    Ordinary users cost one exchange and one sort: page window and identity join both use
+    the partitioning by user, and the window's sort order starts with the join key.
     """
     rows = events_in_window(events, start, end, tz, exclusive_end).drop("user_id")
     hot = known_or_detected(hot, rows, USER)
     known = identity.select("user_pseudo_id", "user_id")
     if hot is None:
-        by_user = rows.repartition("user_pseudo_id")
-        return page_numbers(by_user.join(known, USER, "left"), hot=None)
+        return page_numbers(rows.repartition(*USER), hot=None).join(known, USER, "left")
     ordinary, large = hot.split(rows)
-    by_user = ordinary.repartition("user_pseudo_id")
-    plain = page_numbers(by_user.join(known, USER, "left"), hot=None)
+    plain = page_numbers(ordinary.repartition(*USER), hot=None).join(known, USER, "left")
     hit = F.col("event_name") == "page_view"
     counted = segmented_running_count(
         large, SESSION, "event_timestamp", hit, "page_number", hot.segments()

@@ -18,7 +18,7 @@ from tidemark.operators.columns import ColumnPlan
 from tidemark.operators.events import SESSION, USER
 from tidemark.operators.evolve import conform
 from tidemark.operators.ordered import Ordering, segmented, windowed
-from tidemark.operators.skew import DETECT, hot_groups, known_or_detected, left_join
+from tidemark.operators.skew import DETECT, HotGroups, hot_groups, known_or_detected, left_join
 
 SESSION_ORDER = Ordering(
     group=SESSION,
@@ -31,15 +31,22 @@ SESSION_ORDER = Ordering(
     },
     leads={"next_hostname_norm": "hostname_norm"},
 )
+SESSION_KEY = "_session_key"
 USER_ORDER = Ordering(
     group=USER,
-    order=["event_timestamp_micros", "event_name", "ga_session_id"],
+    order=["event_timestamp_micros", "event_name", SESSION_KEY],
     number="user_event_no",
 )
 
 
-def session_key() -> Column:
-    return F.coalesce(F.col("ga_session_id"), F.lit(-1).cast("bigint"))
+def with_session_key(rows: DataFrame) -> DataFrame:
+    """Session number with -1 for none, as in the dedup key.
+
+    Dedup and user numbering sort by the same column, so the second needs no sort.
+    """
+    if SESSION_KEY in rows.columns:
+        return rows
+    return rows.withColumn(SESSION_KEY, F.coalesce("ga_session_id", F.lit(-1).cast("bigint")))
 
 
 def key_sessions(events: DataFrame) -> DataFrame:
@@ -92,22 +99,21 @@ def facts_by_window(rows: DataFrame, replay: DataFrame | None = None) -> DataFra
     ``replay`` holds the replay addresses if the rows do not cover their sessions' starts.
     """
     session = W.partitionBy(*SESSION)
-    page = W.partitionBy(*SESSION, "page_view_id")
+    # Peers by page view id inside the session: one sort serves both windows.
+    page = session.orderBy("page_view_id").rangeBetween(W.currentRow, W.currentRow)
     known = F.col("user_pseudo_id").isNotNull() & F.col("ga_session_id").isNotNull()
     event = F.col("event_name")
-    hit = ids.is_key_event_name(event) & known
-    url = F.when((event == "session_start") & known, F.col("clarity_play_url"))
     depth = F.when(
         (event == "scroll") & F.col("page_view_id").isNotNull(),
         to_integer(F.col("percent_scrolled")),
     )
-    facts = {
-        "session_is_key": F.max(F.when(hit, 1)).over(session),
-        "page_scroll": F.max(depth).over(page),
-    }
+    hit = ids.is_key_event_name(event) & known
+    url = F.when((event == "session_start") & known, F.col("clarity_play_url"))
+    facts = {"session_is_key": F.max(F.when(hit, 1)).over(session)}
     if replay is None:
-        return rows.withColumns(facts | {"session_replay_url": F.max(url).over(session)})
-    return rows.join(replay, SESSION, "left").withColumns(facts)
+        facts["session_replay_url"] = F.max(url).over(session)
+    found = rows.withColumn("page_scroll", F.max(depth).over(page)).withColumns(facts)
+    return found if replay is None else found.join(replay, SESSION, "left")
 
 
 def facts_by_join(rows: DataFrame, replay: DataFrame | None = None) -> DataFrame:
@@ -121,24 +127,32 @@ def facts_by_join(rows: DataFrame, replay: DataFrame | None = None) -> DataFrame
     return left_join(with_session, scroll_depth(rows), pages, hot=hot_pages)
 
 
+def _dedup(rows: DataFrame) -> DataFrame:
+    rest = [c for c in rows.columns if c != "page_view_id"]
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in rest])
+    rows = with_session_key(rows)
+    window = W.partitionBy(
+        "user_pseudo_id", "event_timestamp_micros", "event_name", SESSION_KEY
+    ).orderBy("page_view_id", whole)
+    return rows.withColumn("_copy", F.row_number().over(window)).where("_copy = 1").drop("_copy")
+
+
 def dedup_events(rows: DataFrame) -> DataFrame:
     """One row per (user, microsecond, event, session), the first by page view id.
 
     Copies of one event are cut down in each map task before any shuffle.
     """
-    rest = [c for c in rows.columns if c != "page_view_id"]
-    window = W.partitionBy(
-        "user_pseudo_id", "event_timestamp_micros", "event_name", session_key()
-    ).orderBy("page_view_id", F.xxhash64(*[F.col(f"`{c}`") for c in rest]))
-    return rows.withColumn("_copy", F.row_number().over(window)).where("_copy = 1").drop("_copy")
+    return _dedup(rows).drop(SESSION_KEY)
 
 
 def sequence_by_window(rows: DataFrame) -> DataFrame:
-    return windowed(windowed(rows, SESSION_ORDER), USER_ORDER)
+    by_user = windowed(with_session_key(rows), USER_ORDER)
+    return windowed(by_user, SESSION_ORDER).drop(SESSION_KEY)
 
 
 def sequence_by_segment(rows: DataFrame, segments: int) -> DataFrame:
-    return segmented(segmented(rows, SESSION_ORDER, segments), USER_ORDER, segments)
+    by_user = segmented(with_session_key(rows), USER_ORDER, segments)
+    return segmented(by_user, SESSION_ORDER, segments).drop(SESSION_KEY)
 
 
 def gap_and_hop(rows: DataFrame) -> DataFrame:
@@ -224,33 +238,38 @@ def typed_dynamic_columns(rows: DataFrame, plan: ColumnPlan) -> DataFrame:
 
 
 def micro_rows(
-    tables: DataFrame,
-    attributes: DataFrame,
-    plan: ColumnPlan,
-    slots: list[str],
-    hot=DETECT,
-    replay: DataFrame | None = None,
+    tables: DataFrame, plan: ColumnPlan, hot: HotGroups | None, replay: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """All columns but the numbered ones: (rows of ordinary users, rows of hot users)."""
+    """Deduplicated rows with facts: (rows of ordinary users, rows of hot users)."""
     rows = _with_scroll_source(tables)
 
-    def complete(with_facts: DataFrame, side: DataFrame) -> DataFrame:
+    def finish(with_facts: DataFrame) -> DataFrame:
         kept = fold_facts(with_facts.where(F.col("event_name") != "scroll"))
-        once = dedup_events(typed_dynamic_columns(kept, plan))
-        return with_event_id(fill_slots(once, side, slots, hot=None))
+        return _dedup(typed_dynamic_columns(kept, plan))
 
-    hot = known_or_detected(hot, rows, USER)
     if hot is None:
-        by_user = rows.repartition(*USER)
-        return complete(facts_by_window(by_user, replay), attributes), None
+        return finish(facts_by_window(rows.repartition(*USER), replay)), None
     ordinary, large = hot.split(rows)
-    by_user = ordinary.repartition(*USER)
     return (
-        complete(facts_by_window(by_user, replay), attributes),
-        complete(facts_by_join(large, replay), hot.narrow(attributes)),
+        finish(facts_by_window(ordinary.repartition(*USER), replay)),
+        finish(facts_by_join(large, replay)),
     )
 
 
+def with_attributes(
+    ordinary: DataFrame,
+    large: DataFrame | None,
+    attributes: DataFrame,
+    slots: list[str],
+    hot: HotGroups | None,
+) -> DataFrame:
+    """Both kinds of rows with user attributes and event id."""
+    rows = fill_slots(ordinary, attributes, slots, hot=None)
+    if large is not None:
+        rows = rows.unionByName(fill_slots(large, hot.narrow(attributes), slots, hot=None))
+    return with_event_id(rows)
+
+
 def micro_user(
     tables: DataFrame,
     attributes: DataFrame,
@@ -260,8 +279,9 @@ def micro_user(
 ) -> DataFrame:
     """The event-level table of the given event-table rows, in its final schema."""
     hot = known_or_detected(hot, tables, USER)
-    ordinary, large = micro_rows(tables, attributes, plan, slots, hot)
-    numbered = sequence_by_window(ordinary)
+    ordinary, large = micro_rows(tables, plan, hot)
+    ordinary = sequence_by_window(ordinary)
     if large is not None:
-        numbered = numbered.unionByName(sequence_by_segment(large, hot.segments()))
-    return conform(gap_and_hop(numbered), micro_schema(plan, slots))
+        large = sequence_by_segment(large, hot.segments())
+    complete = with_attributes(ordinary, large, attributes, slots, hot)
+    return conform(gap_and_hop(complete), micro_schema(plan, slots))

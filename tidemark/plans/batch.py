@@ -246,10 +246,10 @@ def phase_3a(run: Run, plan: C.ColumnPlan) -> str:
         store.replace(table, rows, ["event_date"], USER_CLUSTER, spread=first != last)
         return "SUCCESS"
     replay = M.replay_urls(tables)
-    ordinary, large = M.micro_rows(
-        tables.where(in_range), attributes, plan, slots, replay=replay
-    )
-    fresh = ordinary if large is None else ordinary.unionByName(large)
+    source = tables.where(in_range)
+    hot = hot_groups(source, E.USER)
+    ordinary, large = M.micro_rows(source, plan, hot, replay)
+    fresh = M.with_attributes(ordinary, large, attributes, slots, hot)
     target = wide_schema(
         stored, wanted, S.MICRO_USER_HEAD, S.USER_DATE_COLUMNS | S.BATCH_ID
     )
