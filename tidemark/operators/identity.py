@@ -212,7 +212,10 @@ def user_property_log(
     now: Column,
     hot=DETECT,
 ) -> DataFrame:
-    """New user-property settings of the range, newest event per (user, key, set time)."""
+    """New user-property settings of the range, newest event per (user, key, set time).
+
+    Of the growing log only the days that the new settings have are read.
+    """
     exploded = in_shards(events, start, end).select(
         "shard",
         "user_pseudo_id",
@@ -238,7 +241,10 @@ def user_property_log(
             F.col("p.value.float_value"),
         ],
     ).withColumn("set_timestamp", F.timestamp_micros("set_micros"))
-    fresh = append_if_new(latest, existing, ["user_pseudo_id", "property_key", "set_timestamp"])
+    latest = cut_lineage(latest.withColumn("set_date", local_date(F.col("set_micros"), tz)))
+    first, last = latest.agg(F.min("set_date"), F.max("set_date")).first()
+    old = existing.where(F.col("set_date").between(F.lit(first), F.lit(last)))
+    fresh = append_if_new(latest, old, ["user_pseudo_id", "property_key", "set_timestamp"])
     return left_join(
         fresh, identity.select("user_pseudo_id", "user_id"), ["user_pseudo_id"], hot=hot
     ).select(
@@ -249,7 +255,7 @@ def user_property_log(
         F.col("p.value.int_value").alias("property_value_int"),
         F.col("p.value.float_value").alias("property_value_float"),
         "set_timestamp",
-        local_date(F.col("set_micros"), tz).alias("set_date"),
+        "set_date",
         local_timestamp(F.col("event_timestamp"), tz).alias("event_timestamp"),
         "event_name",
         "ga_session_id",

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_BROADCAST_ROWS = 200_000
+_written: list[str] = []
 
 
 def hot_row_limit(spark: SparkSession) -> int:
@@ -27,25 +29,43 @@ def broadcast_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("tidemark.broadcastRows", str(DEFAULT_BROADCAST_ROWS)))
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a temporary one only in local mode (tests)."""
-    context = spark.sparkContext
-    known = context.getCheckpointDir()
-    if known:
-        return known
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; a temporary one only in local mode (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
-    context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_folder()
 
 
 def cut_lineage(rows: DataFrame) -> DataFrame:
-    """Materialise on shared storage, so later steps see the same rows after a lost executor."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    return rows.checkpoint(eager=True)
+    """Write rows to the shared folder and read them back.
+
+    Later steps see the same rows even if an executor is lost, and read only the columns
+    they need.
+    """
+    spark = rows.sparkSession
+    path = f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    _written.append(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def drop_written(spark: SparkSession, since: int = 0) -> None:
+    """Remove what :func:`cut_lineage` wrote after the first ``since`` calls."""
+    while len(_written) > since:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written_so_far() -> int:
+    return len(_written)
 
 
 def broadcast_if_small(side: DataFrame, row_bound: int) -> DataFrame:

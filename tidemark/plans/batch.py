@@ -20,7 +20,7 @@ from tidemark.operators import identity as I
 from tidemark.operators import items as N
 from tidemark.operators import micro as M
 from tidemark.operators import registry as R
-from tidemark.operators.skew import cut_lineage, hot_groups
+from tidemark.operators.skew import cut_lineage, drop_written, hot_groups, written_so_far
 from tidemark.plans.control import schema_drift
 from tidemark.plans.incremental import SEQUENCE_COLUMNS, renumber, renumber_items
 from tidemark.plans.store import TableStore, days_between
@@ -29,6 +29,9 @@ from tidemark.sources import shards
 PROCESSOR = "tidemark batch"
 VERSION = "0.1.0"
 ERROR_CHARS = 500
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+SCANNED_BYTES_PER_PARTITION = 128 << 20
+MAX_SHUFFLE_PARTITIONS = 100_000
 EVENT_TABLES = "event_tables"
 USER_CLUSTER = ["user_pseudo_id", "user_id"]
 ITEM_CLUSTER = ["user_pseudo_id", "item_id", "event_name"]
@@ -157,13 +160,13 @@ def phase_1(run: Run, events: DataFrame, users: DataFrame | None) -> str:
         warning = "audience_warning: the user snapshot has no audiences field"
     known = store.read("log_audience_membership", S.AUDIENCE_LOG)
     audience = I.audience_log(snapshot, identity, known, *span, run.now)
-    store.append("log_audience_membership", audience, S.AUDIENCE_LOG)
+    store.append("log_audience_membership", audience, S.AUDIENCE_LOG, ["source_table_date"])
 
     logged = store.read("log_user_properties", S.USER_PROPERTY_LOG)
     settings = I.user_property_log(
         events, identity, logged, *span, cfg.tz, run.now, hot=run.hot_users
     )
-    store.append("log_user_properties", settings, S.USER_PROPERTY_LOG)
+    store.append("log_user_properties", settings, S.USER_PROPERTY_LOG, ["set_date"])
     store.replace("mst_user_properties", I.property_summary(store.read("log_user_properties")))
     return f"SUCCESS ({warning})" if warning else "SUCCESS"
 
@@ -329,8 +332,29 @@ def summary(run: Run, mode: str) -> DataFrame:
     return run.spark.createDataFrame([tuple(values.values())], S.ddl(kinds))
 
 
+def size_shuffles(source: DataFrame) -> None:
+    """Raise the number of shuffle partitions to suit the scanned bytes; AQE joins small ones.
+
+    The session's own number is a lower bound, so a larger setting is kept.
+    """
+    spark = source.sparkSession
+    scanned = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(MAX_SHUFFLE_PARTITIONS, scanned // SCANNED_BYTES_PER_PARTITION)
+    if wanted > int(spark.conf.get(SHUFFLE_PARTITIONS)):
+        spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
+
+
 def run_batch(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
     """Process the inclusive day range and return a one-row summary."""
+    partitions, written = spark.conf.get(SHUFFLE_PARTITIONS), written_so_far()
+    try:
+        return _run(spark, cfg)
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, partitions)
+        drop_written(spark, written)
+
+
+def _run(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         raise ValueError("set spark.sql.session.timeZone to UTC")
     run = Run(spark, cfg, TableStore(spark, cfg.target))
@@ -345,9 +369,9 @@ def run_batch(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
         append_run_log(run, 0)
         return summary(run, "ABORTED: no source data")
     users = shards.if_present(shards.read_users, spark, cfg.users_path)
-    run.hot_users = hot_groups(
-        shards.widened(events, cfg.start, cfg.end).select(*E.USER), E.USER
-    )
+    source = shards.widened(events, cfg.start, cfg.end)
+    size_shuffles(source)
+    run.hot_users = hot_groups(source.select(*E.USER), E.USER)
     attempt(run, "phase_0", True, lambda: phase_0(run, events))
     attempt(run, "phase_1", run.status["phase_0"] == "SUCCESS", lambda: phase_1(run, events, users))
     plan = None

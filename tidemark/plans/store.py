@@ -134,13 +134,17 @@ class TableStore:
         writer = rows.write
         return writer.partitionBy(*partitions) if partitions else writer
 
-    def append(self, table: str, rows: DataFrame, columns: dict[str, str]) -> None:
+    def append(
+        self, table: str, rows: DataFrame, columns: dict[str, str], partitions: list[str] = ()
+    ) -> None:
         rows = conform(rows, columns)
-        version = self._current(table)
-        if version is None:
-            self.replace(table, rows)
+        meta = self.meta(table)
+        if meta is None:
+            self.replace(table, rows, partitions)
         else:
-            rows.write.mode("append").parquet(f"{self.root}/{table}/{version}")
+            self._writer(rows, meta["partitions"], (), False).mode("append").parquet(
+                f"{self.root}/{table}/{self._current(table)}"
+            )
 
     def clear(self, table: str) -> None:
         """State reset: the table is gone for readers."""
