@@ -8,9 +8,9 @@ carry numbers into the new rows, and only the days that really change are writte
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.events import SESSION, USER
@@ -126,6 +126,7 @@ def renumber(history: DataFrame, fresh: DataFrame, start: date, end: date) -> Da
     changed = cut_lineage(ends.where(~F.col("old_next").eqNullSafe(F.col("new_next"))))
     boundary_days = distinct_days(changed)
     rows = linked.drop("session_carry")
+    days = sorted({*boundary_days, *distinct_days(linked)})
     if boundary_days:
         kept = earlier.where(F.col("event_date").isin(boundary_days))
         side = prefixed(changed.select(*ROW_KEY, "new_next", F.lit(True).alias("_hit")), ROW_KEY)
@@ -134,11 +135,16 @@ def renumber(history: DataFrame, fresh: DataFrame, start: date, end: date) -> Da
             F.when(F.col("_hit"), F.col("new_next")).otherwise(F.col("next_hostname_norm")),
         )
         rows = rows.unionByName(updated.select(*kept.columns), allowMissingColumns=True)
-    return DayChange(rows, sorted({*boundary_days, *distinct_days(rows)}))
+    return DayChange(rows, days)
 
 
-def local_day(rows: DataFrame):
-    return F.col("event_timestamp").cast("date")
+def in_local_days(at: Column, start: date, end: date) -> Column:
+    """Local time within whole days, as bounds that reach the scan; NULL is outside."""
+    opens = F.lit(datetime.combine(start, datetime.min.time())).cast("timestamp_ntz")
+    closes = F.lit(datetime.combine(end + timedelta(days=1), datetime.min.time())).cast(
+        "timestamp_ntz"
+    )
+    return at.isNotNull() & (at >= opens) & (at < closes)
 
 
 def renumber_items(history: DataFrame, fresh: DataFrame, start: date, end: date) -> DayChange:
@@ -148,8 +154,9 @@ def renumber_items(history: DataFrame, fresh: DataFrame, start: date, end: date)
     with new or removed rows are numbered anew as a whole; other rows of a rewritten day
     are copied.
     """
-    inside = F.coalesce(local_day(history).between(F.lit(start), F.lit(end)), F.lit(False))
-    removed, kept = history.where(inside), history.where(~inside)
+    at = F.col("event_timestamp")
+    removed = history.where(in_local_days(at, start, end))
+    kept = history.where(~F.coalesce(in_local_days(at, start, end), F.lit(False)))
     fresh = cut_lineage(fresh)
     groups = cut_lineage(
         fresh.select(*ITEM_GROUP).union(removed.select(*ITEM_GROUP)).distinct()
