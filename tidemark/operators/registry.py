@@ -32,7 +32,8 @@ def observe_params(events: DataFrame, declared: dict[str, str] = S.DECLARED_TYPE
     rows even when the dictionary then gives both the same type. Only keys and values of
     the parameter arrays are read, and distinct combines in the map tasks.
     """
-    exploded = events.select("event_name", F.explode("event_params").alias("p"))
+    # The outer form spares a second look at each array; the key filter drops its empty rows.
+    exploded = events.select("event_name", F.explode_outer("event_params").alias("p"))
     observed = exploded.select(
         "event_name",
         F.col("p.key").alias("param_name"),

@@ -16,7 +16,7 @@ from tidemark.operators import items as N
 from tidemark.operators import micro as M
 from tidemark.operators import registry as R
 from tidemark.operators import upsert as U
-from tidemark.operators.skew import DETECT, hot_groups
+from tidemark.operators.skew import DETECT, cut_lineage, hot_groups
 from tidemark.plans import control as G
 from tidemark.sources import adapter as A
 from tidemark.sources import shards
@@ -197,7 +197,7 @@ def based(spark: SparkSession, sf: str, hot=DETECT) -> DataFrame:
 
 
 def registered(spark: SparkSession, sf: str, names: dict[str, str] = A.RICH_NAMES) -> DataFrame:
-    raw = R.observe_params(A.web_events(spark, sf, names))
+    raw = cut_lineage(R.observe_params(A.web_events(spark, sf, names)))
     return R.build_registry(raw, empty(spark, S.EVENT_PARAM_REGISTRY), epoch())
 
 
