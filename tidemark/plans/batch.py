@@ -29,6 +29,7 @@ from tidemark.sources import shards
 PROCESSOR = "tidemark batch"
 VERSION = "0.1.0"
 ERROR_CHARS = 500
+UTC_NAMES = {"UTC", "Etc/UTC", "Z", "GMT", "+00:00"}
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 SCANNED_BYTES_PER_PARTITION = 128 << 20
 MAX_SHUFFLE_PARTITIONS = 100_000
@@ -355,7 +356,7 @@ def run_batch(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
 
 
 def _run(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+    if spark.conf.get("spark.sql.session.timeZone") not in UTC_NAMES:
         raise ValueError("set spark.sql.session.timeZone to UTC")
     run = Run(spark, cfg, TableStore(spark, cfg.target))
     if cfg.start == cfg.end and not cfg.incremental:
