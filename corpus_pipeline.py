@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, exact_dedup
+from tidemark.llm import decontamination, exact_dedup, packing
 from tidemark.llm.work import cut, table
 
 
@@ -23,7 +23,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decontamination.remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("exact_dedup", exact), ("decontamination", decontaminate)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and its place there."""
+    return packing.report(docs)
+
+
+STAGES = [("exact_dedup", exact), ("decontamination", decontaminate), ("packing", pack)]
 
 #: Tokenizers, trained scores and random trees are beyond SQL; tests hold a brute-force run.
 ORACLE_SQL = None

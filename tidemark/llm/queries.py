@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, exact_dedup, sharding
+from tidemark.llm import decontamination, exact_dedup, packing, sharding, token_files
 from tidemark.llm.work import table
 
 SHARDS = 40
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -26,8 +30,14 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_exact_dedup, op7_decontamination, op8_sharding)
+    f.__name__: f for f in (
+        op2_token_files, op6_exact_dedup, op7_decontamination, op8_sharding, op9_packing
+    )
 }
 
 SQL: dict[str, str] = {

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import contextlib
+import os
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -63,10 +65,25 @@ def drop(rows: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def map_batches(
+    rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``mapInArrow`` whose workers also look for this library where the driver has it.
+
+    On a cluster whose machines lack that path the library comes with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = rows.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return rows.mapInArrow(run, schema)
+
+
 def map_arrow(
     rows: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` with a function of one batch."""
+    """:func:`map_batches` with a function of one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,7 +92,7 @@ def map_arrow(
                 if out is not None and out.num_rows:
                     yield out
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def with_rank(rows: DataFrame, group: str, order: list[str], rank: str) -> DataFrame:
