@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, exact_dedup, packing
+from tidemark.llm import decontamination, exact_dedup, near_dedup, packing
 from tidemark.llm.work import cut, table
 
 
@@ -18,6 +18,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs, keep="largest")
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies."""
+    return near_dedup.deduplicate(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     return decontamination.remove_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -28,7 +33,12 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.report(docs)
 
 
-STAGES = [("exact_dedup", exact), ("decontamination", decontaminate), ("packing", pack)]
+STAGES = [
+    ("exact_dedup", exact),
+    ("near_dedup", near),
+    ("decontamination", decontaminate),
+    ("packing", pack),
+]
 
 #: Tokenizers, trained scores and random trees are beyond SQL; tests hold a brute-force run.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, exact_dedup, packing, sharding, token_files
+from tidemark.llm import decontamination, exact_dedup, near_dedup, packing, sharding, token_files
 from tidemark.llm.work import table
 
 SHARDS = 40
@@ -34,9 +34,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.report(table(spark, sf_dir, "documents"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_token_files, op6_exact_dedup, op7_decontamination, op8_sharding, op9_packing
+        op2_token_files, op6_exact_dedup, op7_decontamination, op8_sharding, op9_packing, op10_near_dedup,
     )
 }
 

@@ -8,7 +8,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -125,7 +127,36 @@ def with_rank(rows: DataFrame, group: str, order: list[str], rank: str) -> DataF
     )
 
 
-def connected(edges: DataFrame, label: str = "components") -> DataFrame:
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Batches of a stream sorted by ``key``, cut so that no key is in two of them."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key)
+        last = keys[batch.num_rows - 1]
+        if kept and keys[0] != kept[-1].column(key)[0]:
+            yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+            kept = []
+        # rows of the last key wait for the next batch
+        same = np.asarray(pc.equal(keys, last))
+        cut_at = batch.num_rows - int(same[::-1].argmin()) if not same.all() else 0
+        if cut_at:
+            kept.append(batch.slice(0, cut_at))
+            yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+            kept = []
+        kept.append(batch.slice(cut_at))
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+
+
+def _sum_of(edges: DataFrame) -> tuple[int, int]:
+    """Count and hash of a set of edges, to see whether it changed."""
+    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+    return row[0], row[1]
+
+
+def connected(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in ``edges`` (a, b); the component is its smallest node.
 
     Alternating large-star and small-star steps: each node's edges move to its smallest
@@ -134,32 +165,26 @@ def connected(edges: DataFrame, label: str = "components") -> DataFrame:
     neighbourhood is an aggregate, so a node with very many edges needs no large task.
     """
     now = cut(
-        edges.where("a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(), label,
+        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        .distinct(), "edges",
     )
-    while True:
+    state = _sum_of(now)
+    while state[0]:
         both = now.union(now.select(F.col("b"), F.col("a")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = (
+        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = cut(
             both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .where("a <> b").distinct()
+            .where("a <> b").distinct(), "edges",
         )
-        large = cut(large, label)
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
+        small = cut(
             large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .union(low.select("a", F.col("m").alias("b")))
-            .where("a <> b").distinct()
-        )
-        after = cut(small, label)
-        changed = not (
-            after.exceptAll(now).isEmpty() and now.exceptAll(after).isEmpty()
+            .union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "edges",
         )
         drop(now)
         drop(large)
-        now = after
-        if not changed:
+        before, state, now = state, _sum_of(small), small
+        if state == before:
             break
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return stars.union(now.select(F.col("b"), F.col("b")).distinct())
+    return stars.union(now.select("b", F.col("b")).distinct())
