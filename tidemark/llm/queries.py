@@ -11,6 +11,7 @@ from tidemark.llm import (
     exact_dedup,
     near_dedup,
     packing,
+    secret_scan,
     sharding,
     substring_dedup,
     suffix_array_dedup,
@@ -33,6 +34,10 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -57,7 +62,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_substring_dedup, op2_token_files, op3_suffix_array_dedup, op6_exact_dedup, op7_decontamination, op8_sharding, op9_packing, op10_near_dedup,
+        op1_substring_dedup, op2_token_files, op3_suffix_array_dedup, op5_secret_scan,
+        op6_exact_dedup, op7_decontamination, op8_sharding, op9_packing, op10_near_dedup,
     )
 }
 
