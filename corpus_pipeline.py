@@ -9,10 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, exact_dedup, near_dedup, packing
+from tidemark.llm import decontamination, exact_dedup, near_dedup, packing, toxicity
 from tidemark.llm.work import cut, table
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic."""
+    return toxicity.reject(docs, table(spark, sf_dir, "labels"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the largest id."""
     return exact_dedup.deduplicate(docs, keep="largest")
@@ -34,6 +39,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxic),
     ("exact_dedup", exact),
     ("near_dedup", near),
     ("decontamination", decontaminate),

@@ -16,6 +16,7 @@ from tidemark.llm import (
     substring_dedup,
     suffix_array_dedup,
     token_files,
+    toxicity,
 )
 from tidemark.llm.work import table
 
@@ -34,6 +35,10 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
@@ -62,7 +67,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_substring_dedup, op2_token_files, op3_suffix_array_dedup, op5_secret_scan,
+        op1_substring_dedup, op2_token_files, op3_suffix_array_dedup, op4_toxicity, op5_secret_scan,
         op6_exact_dedup, op7_decontamination, op8_sharding, op9_packing, op10_near_dedup,
     )
 }
