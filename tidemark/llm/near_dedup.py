@@ -6,8 +6,10 @@ shingle of its set that is smallest under the step's hash function (a minwise to
 documents of similarity J stay together with probability J a step. A node that is small enough
 is compared exhaustively; a larger one branches again, and what is still large at the last
 step is dealt into blocks that are compared two by two, so nothing is left out. Comparisons in
-a node use 128 one-byte minwise values of each document; pairs that these put near the
-threshold or above are checked on the full sets of both texts.
+a node use a one-permutation sketch: the smallest shingle of each of 512 hash ranges, in one
+byte. Pairs that it puts at the threshold, less 4.7 standard deviations, or above are checked
+on the full sets of both texts. The sketch of a short text holds nearly all of its set, so its
+deviation, that of a sample without replacement, is small.
 
 A pair at the threshold is missed by 16 trees with probability below 1e-9 where nodes are
 small after one step, and its sketch falls short of the margin with probability below 1e-5.
@@ -42,14 +44,15 @@ LINKED = (75, 100)
 TREES = 16
 STEPS = 3
 NODE_ROWS = 512
-SKETCH = 128
-#: A candidate agrees in at least this share of the sketch: the threshold less 4.7 deviations.
-CANDIDATE = 0.57
-PAIRS_AT_ONCE = 100_000
+SKETCH_BITS = 9
+SKETCH = 1 << SKETCH_BITS
+#: Standard deviations by which a candidate's estimate may fall short of the threshold.
+MARGIN = 4.7
+PAIRS_AT_ONCE = 50_000
 
 _random = np.random.Generator(np.random.PCG64(7))
-_XOR = _random.integers(0, 2**64 - 1, SKETCH, dtype=np.uint64)
-_ODD = _random.integers(0, 2**63 - 1, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_XOR = _random.integers(0, 2**64 - 1, 1024, dtype=np.uint64)
+_ODD = _random.integers(0, 2**63 - 1, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -67,14 +70,17 @@ def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
 
 
 def signatures(docs: DataFrame, size: int = SHINGLE, trees: int = TREES) -> DataFrame:
-    """(doc_id, n_shingles, f1, f2, sketch, path): the set's size, fingerprint, minwise sketch,
-    and for each tree the nodes of its path."""
+    """(doc_id, n_shingles, f1, f2, sketch, path): the set's size, fingerprint and sketch, and
+    for each tree the nodes of its path."""
+    if trees * STEPS > len(_XOR):
+        raise ValueError("too many trees")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = list(shingle_sets(batch.column("text"), size))
         n = np.array([len(s) for s in sets])
         full = np.flatnonzero(n)
-        low = np.zeros((len(full), SKETCH), np.uint64)
+        low = np.zeros((len(full), trees * STEPS), np.uint64)
+        sketches = np.zeros((len(sets), SKETCH), np.uint8)
         fingerprint = np.zeros((2, len(sets)), np.uint64)
         begin = 0
         while begin < len(full):  # a few hundred documents at a time stay in the cache
@@ -82,21 +88,26 @@ def signatures(docs: DataFrame, size: int = SHINGLE, trees: int = TREES) -> Data
             values = np.concatenate([sets[i] for i in full[begin:end]])
             ends = np.cumsum(n[full[begin:end]])
             first = ends - n[full[begin:end]]
-            for k in range(SKETCH):
+            for k in range(trees * STEPS):
                 low[begin:end, k] = np.minimum.reduceat((values ^ _XOR[k]) * _ODD[k], first)
+            mixed = W.mix(values)
             fingerprint[0, full[begin:end]] = np.add.reduceat(values, first)
-            fingerprint[1, full[begin:end]] = np.add.reduceat(W.mix(values), first)
+            fingerprint[1, full[begin:end]] = np.add.reduceat(mixed, first)
+            # sets are sorted, so the first of a hash range is its smallest
+            place = np.repeat(full[begin:end], n[full[begin:end]]) * SKETCH + (
+                values >> W.U64(64 - SKETCH_BITS)
+            ).astype(np.int64)
+            least = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+            sketches.ravel()[place[least]] = mixed[least] % W.U64(255) + W.U64(1)
             begin = end
         path = np.zeros((len(full), trees, STEPS), np.uint64)
         for t in range(trees):
             node = np.full(len(full), t + 1, np.uint64)
             for s in range(STEPS):
-                token = low[:, (t * STEPS + s) % SKETCH]
-                node = path[:, t, s] = W.mix(W.mix(node) ^ W.mix(token))
-        sketch, paths = [b""] * len(sets), np.zeros((len(sets), trees * STEPS), np.uint64)
+                node = path[:, t, s] = W.mix(W.mix(node) ^ W.mix(low[:, t * STEPS + s]))
+        paths = np.zeros((len(sets), trees * STEPS), np.uint64)
         paths[full] = path.reshape(len(full), -1)
-        for i, row in zip(full, (W.mix(low) & np.uint64(255)).astype(np.uint8), strict=True):
-            sketch[i] = row.tobytes()
+        sketch = [x.tobytes() for x in sketches]
         steps = np.arange(len(sets) + 1) * trees * STEPS
         return pa.RecordBatch.from_arrays(
             [
@@ -166,6 +177,20 @@ def _forest(a: np.ndarray, b: np.ndarray, same: np.ndarray, n: int) -> list[int]
     return out
 
 
+def _estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated similarity of sketches a[i], b[i], and the ranges it rests on."""
+    used = ((a | b) != 0).sum(axis=1)
+    same = ((a == b) & (a != 0)).sum(axis=1)
+    return same / np.maximum(1, used), used
+
+
+def _least(used: np.ndarray, union: np.ndarray) -> np.ndarray:
+    """The estimate from which a pair is a candidate."""
+    linked = LINKED[0] / LINKED[1]
+    left = np.clip(1 - used / np.maximum(1, union), 0, 1)
+    return linked - MARGIN * np.sqrt(linked * (1 - linked) * (left + 0.02) / np.maximum(1, used))
+
+
 def candidates(rows: DataFrame, forest: bool) -> DataFrame:
     """Distinct pairs (a < b) within nodes whose sketches come near the threshold.
 
@@ -190,11 +215,11 @@ def candidates(rows: DataFrame, forest: bool) -> DataFrame:
             if not forest:
                 near &= component[i] != component[j]
             i, j = i[near], j[near]
-            same = np.concatenate([
-                (sketch[i[k : k + PAIRS_AT_ONCE]] == sketch[j[k : k + PAIRS_AT_ONCE]]).sum(axis=1)
-                for k in range(0, max(1, len(i)), PAIRS_AT_ONCE)
-            ])
-            close = same >= CANDIDATE * SKETCH
+            parts = [_estimate(sketch[i[k : k + PAIRS_AT_ONCE]], sketch[j[k : k + PAIRS_AT_ONCE]])
+                     for k in range(0, max(1, len(i)), PAIRS_AT_ONCE)]
+            same, used = (np.concatenate(x) for x in zip(*parts, strict=True))
+            union = (n[i] + n[j]) / (1 + LINKED[0] / LINKED[1])  # of a pair at the threshold
+            close = same >= _least(used, union)
             i, j, same = i[close], j[close], same[close]
             if forest and len(i):
                 s, m = group[0][0], group[-1][0] + group[-1][1] - group[0][0]
@@ -225,12 +250,16 @@ def candidates(rows: DataFrame, forest: bool) -> DataFrame:
     return map_batches(ordered, run, "a long, b long").distinct()
 
 
-def check(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(a, b, linked) of candidate pairs, by the full sets of their texts."""
+def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rid, text) of all documents that are in a pair. Texts are shuffled at every size, so
+    that cost grows in step with the input."""
     ends = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
-    texts = cut(
-        docs.select(F.col("doc_id").alias("rid"), "text").join(ends, "rid", "left_semi"), "texts"
-    )
+    rows = docs.select(F.col("doc_id").alias("rid"), "text")
+    return cut(rows.hint("merge").join(ends, "rid", "left_semi"), "texts")
+
+
+def check(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(a, b, linked) of candidate pairs, by the full sets of their texts."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         linked = []
@@ -247,13 +276,11 @@ def check(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         )
 
     joined = (
-        pairs.join(texts.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b")
+        pairs.hint("merge").join(texts.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
+        .hint("merge").join(texts.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b")
     )
-    done = cut(map_arrow(joined, work, "a long, b long, linked boolean"), "checked")
-    drop(texts)
-    return done
+    return cut(map_arrow(joined, work, "a long, b long, linked boolean"), "checked")
 
 
 def components(docs: DataFrame, size: int = SHINGLE, trees: int = TREES,
@@ -274,7 +301,8 @@ def components(docs: DataFrame, size: int = SHINGLE, trees: int = TREES,
     leaves = cut(nodes(vertices, trees, node_rows), "leaves")
     filled = leaves.join(vertices.select("rid", "n_shingles", "sketch"), "rid")
     first = cut(candidates(filled.withColumn("component", F.lit(0).cast("long")), forest=True), "pairs")
-    checked = check(first, docs, size)
+    texts = texts_of(first, docs)  # a document of any candidate is in its node's forest
+    checked = check(first, texts, size)
     links = checked.where("linked").select("a", "b").union(repeated)
     found = cut(connected(links), "components")
     placed = filled.join(found.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
@@ -284,9 +312,11 @@ def components(docs: DataFrame, size: int = SHINGLE, trees: int = TREES,
         candidates(placed, forest=False).join(checked.select("a", "b"), ["a", "b"], "left_anti"), "pairs"
     )
     if not second.isEmpty():
-        again = check(second, docs, size).where("linked")
+        again = check(second, texts, size).where("linked")
         if not again.isEmpty():
             found = cut(connected(links.union(again.select("a", "b"))), "components")
+    drop(texts)
+    drop(leaves)
     of_set = vertices.select(*key, "rid").join(
         found.select(F.col("node").alias("rid"), "component"), "rid", "left"
     ).select(*key, F.coalesce("component", "rid").alias("_component"))
