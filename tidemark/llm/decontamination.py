@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.work import map_arrow
+from tidemark.llm.work import columns, ddl, map_arrow
 
 WORDS_OF_WINDOW = 10
 MAX_WINDOWS = 1_000_000
@@ -107,11 +107,10 @@ def _blocks(items: DataFrame, size: int, max_windows: int) -> Iterator[Windows]:
 def contamination(
     docs: DataFrame, items: DataFrame, size: int = WORDS_OF_WINDOW, max_windows: int = MAX_WINDOWS
 ) -> DataFrame:
-    """All columns of ``docs`` but with n_words, hit_words (numbers of the hit words) and
-    hit_items for each document. The benchmark is read here; documents when the result is."""
+    """docs with __n_words__, __hit_words__ (numbers of the hit words) and __hit_items__ of each
+    document. The benchmark is read here; the documents are when the result is."""
     spark = docs.sparkSession
-    keep = [c for c in docs.columns if c not in ("n_words", "hit_words", "hit_items")]
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(keep).schema)
+    keep = docs.columns
     sets = [spark.sparkContext.broadcast(w) for w in _blocks(items, size, max_windows)]
 
     def scan(shared) -> DataFrame:
@@ -134,12 +133,12 @@ def contamination(
                     *(batch.column(c) for c in keep), pa.array(n, pa.int64()),
                     pa.array(hit, pa.list_(pa.int32())), pa.array(named, pa.list_(pa.string())),
                 ],
-                [*keep, "n_words", "hit_words", "hit_items"],
+                [*keep, "__n_words__", "__hit_words__", "__hit_items__"],
             )
 
         return map_arrow(
-            docs.select(keep), work,
-            f"{columns}, n_words long, hit_words array<int>, hit_items array<string>",
+            docs, work,
+            f"{ddl(docs)}, __n_words__ long, __hit_words__ array<int>, __hit_items__ array<string>",
         )
 
     # further blocks look at what the earlier ones returned and add their own hits
@@ -156,8 +155,8 @@ def _add(rows: DataFrame, shared) -> DataFrame:
     names = rows.columns
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hit = [set(x) for x in batch.column("hit_words").to_pylist()]
-        named = [set(x) for x in batch.column("hit_items").to_pylist()]
+        hit = [set(x) for x in batch.column("__hit_words__").to_pylist()]
+        named = [set(x) for x in batch.column("__hit_items__").to_pylist()]
         for run in W.split(batch.column("text"), "alnum", fold=True):
             for at, size, found in shared.value.hits(run):
                 row = int(np.searchsorted(run.offsets, at, "right")) - 1
@@ -165,28 +164,28 @@ def _add(rows: DataFrame, shared) -> DataFrame:
                 hit[run.first_row + row].update(range(first, first + size))
                 named[run.first_row + row].update(found)
         fresh = {
-            "hit_words": pa.array([sorted(x) for x in hit], pa.list_(pa.int32())),
-            "hit_items": pa.array([sorted(x) for x in named], pa.list_(pa.string())),
+            "__hit_words__": pa.array([sorted(x) for x in hit], pa.list_(pa.int32())),
+            "__hit_items__": pa.array([sorted(x) for x in named], pa.list_(pa.string())),
         }
         return pa.RecordBatch.from_arrays(
             [fresh.get(c, batch.column(c)) for c in names], names
         )
 
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return map_arrow(rows, work, columns)
+    return map_arrow(rows, work, ddl(rows))
 
 
 def remove_documents(docs: DataFrame, items: DataFrame, size: int = WORDS_OF_WINDOW) -> DataFrame:
     """Documents without any hit, as they were."""
-    return contamination(docs, items, size).where(F.size("hit_words") == 0).select(docs.columns)
+    return contamination(docs, items, size).where(F.size("__hit_words__") == 0).select(columns(docs.columns))
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, size: int = WORDS_OF_WINDOW) -> DataFrame:
     """All documents; the bytes from the first to the last word of each hit run are cut out."""
+    names = docs.columns
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column("text").to_pylist()
-        hits = batch.column("hit_words").to_pylist()
+        hits = batch.column("__hit_words__").to_pylist()
         for run in W.split(batch.column("text"), "alnum", fold=True):
             for i in range(len(run)):
                 marked = hits[run.first_row + i]
@@ -201,19 +200,18 @@ def remove_spans(docs: DataFrame, items: DataFrame, size: int = WORDS_OF_WINDOW)
                 texts[run.first_row + i] = b"".join([*out, raw[done:]]).decode()
         fresh = {"text": pa.array(texts, pa.string())}
         return pa.RecordBatch.from_arrays(
-            [fresh.get(c, batch.column(c)) for c in docs.columns], docs.columns
+            [fresh.get(c, batch.column(c)) for c in names], names
         )
 
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_arrow(contamination(docs, items, size), work, columns)
+    return map_arrow(contamination(docs, items, size), work, ddl(docs))
 
 
 def report(docs: DataFrame, items: DataFrame, size: int = WORDS_OF_WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
     found = contamination(docs.select("doc_id", "text"), items, size)
     return found.select(
-        "doc_id", "n_words", F.size("hit_words").cast("long").alias("n_hit"),
-        F.size("hit_items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "hit_items"), 256).alias("items_sha256"),
-        (F.size("hit_words") > 0).alias("contaminated"),
+        "doc_id", F.col("__n_words__").alias("n_words"), F.size("__hit_words__").cast("long").alias("n_hit"),
+        F.size("__hit_items__").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "__hit_items__"), 256).alias("items_sha256"),
+        (F.size("__hit_words__") > 0).alias("contaminated"),
     )

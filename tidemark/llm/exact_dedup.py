@@ -55,5 +55,5 @@ def groups(docs: DataFrame, keep: str = "smallest", id_column: str = "doc_id",
 
 def deduplicate(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     """The rows of docs that stay, with all their columns (ids must name single rows)."""
-    drop = groups(docs, keep).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(drop, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    drop = groups(docs, keep).where("not kept").select(F.col("doc_id").alias("__gone__")).distinct()
+    return docs.join(drop, F.col("doc_id").eqNullSafe(F.col("__gone__")), "left_anti")

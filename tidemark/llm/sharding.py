@@ -7,7 +7,8 @@ into the new one. The 64-bit linear congruential step is done in decimals, which
 product, so nothing overflows.
 
 Defined cases: a null key is a key of its own (it goes where key 0 goes); null text has no
-bytes; rows with equal keys share a shard and get different slots; no row, no result; other
+bytes; rows with equal keys share a shard and get different slots; no row, no result; columns
+named shard or slot are replaced; other
 columns pass through :func:`shard` unchanged.
 """
 
@@ -54,8 +55,8 @@ def jump_hash(key: Column, shards: int) -> Column:
 def shard(docs: DataFrame, shards: int, key: str = "doc_id") -> DataFrame:
     """docs with ``shard``, and ``slot``, the place of the row in its shard (from 0, no gaps)."""
     placed = docs.withColumn("shard", jump_hash(F.col(key), shards))
-    others = [c for c in docs.columns if c != key]
-    return with_rank(placed, "shard", [key, *others], "slot")
+    others = [c for c in docs.columns if c not in (key, "shard", "slot")]
+    return with_rank(placed, "shard", [f"`{c}`" for c in (key, *others)], "slot")
 
 
 def report(docs: DataFrame, shards: int) -> DataFrame:

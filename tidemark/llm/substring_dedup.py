@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import repeats
 from tidemark.llm import words as W
-from tidemark.llm.work import map_arrow
+from tidemark.llm.work import ddl, map_arrow
 
 LENGTH = 20
 GRAM = 6
@@ -134,6 +134,7 @@ def remove_reference(docs: DataFrame, reference: DataFrame, length: int = LENGTH
             shards.append([])
         shards[-1].append(words)
     shared = docs.sparkSession.sparkContext.broadcast(shards)
+    names = docs.columns
     built: dict[int, list[SuffixAutomaton]] = {}
 
     def automata() -> list[SuffixAutomaton]:
@@ -158,8 +159,7 @@ def remove_reference(docs: DataFrame, reference: DataFrame, length: int = LENGTH
             texts.append(b" ".join(w for w, g in zip(words, gone, strict=True) if not g))
         fresh = {"text": pa.array(texts, pa.binary()).cast(pa.string())}
         return pa.RecordBatch.from_arrays(
-            [fresh.get(c, batch.column(c)) for c in docs.columns], docs.columns
+            [fresh.get(c, batch.column(c)) for c in names], names
         )
 
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_arrow(docs, work, columns)
+    return map_arrow(docs, work, ddl(docs))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.work import cut, map_arrow, map_batches, whole_groups
+from tidemark.llm.work import columns, cut, ddl, map_arrow, map_batches
 
 WORD_BITS = 20
 BLOCK = 1 << 14
@@ -220,8 +220,7 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     ids, toxic = _labelled(labels, train_rows(), max_labelled)
     aside = _set_aside(ids)
     model = spark.sparkContext.broadcast(Model(counts(docs, ids[~aside], toxic[~aside])))
-    names = [c for c in docs.columns if c not in ("text", "_features")]
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(names).schema)
+    names = [c for c in docs.columns if c not in ("text", "__features__")]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.concatenate([
@@ -230,22 +229,23 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
         flat = found.reshape(len(found), -1)
         bounds = np.arange(len(found) + 1, dtype=np.int32) * flat.shape[1]
         lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat.ravel().astype(np.float32)))
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), lists], [*names, "_features"])
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), lists], [*names, "__features__"])
 
-    rows = cut(map_arrow(docs.select(*names, "text"), work, f"{columns}, _features array<float>"), "features")
+    kept = docs.select(columns(names))
+    rows = cut(map_arrow(docs.select(*columns(names), "text"), work, f"{ddl(kept)}, __features__ array<float>"), "features")
     chosen = spark.createDataFrame(
         pa.table({"_id": pa.array(ids[aside]), "_toxic": pa.array(toxic[aside].astype(np.int32))})
     )
-    known = rows.select("doc_id", "_features").join(
+    known = rows.select("doc_id", "__features__").join(
         F.broadcast(chosen), F.col("doc_id") == F.col("_id")
-    ).select("_features", "_toxic").toArrow()  # of the bounded sample
+    ).select("__features__", "_toxic").toArrow()  # of the bounded sample
     y = known.column("_toxic").to_numpy().astype(float)
-    x = np.array(known.column("_features").to_pylist(), float).reshape(len(y), len(DISCOUNTS), 4)
+    x = np.array(known.column("__features__").to_pylist(), float).reshape(len(y), len(DISCOUNTS), 4)
     k, used, weights = _calibrated(x, y if len(y) else toxic[:0].astype(float))
     total = F.lit(weights[0])
     for feature, weight in zip(used, weights[1:], strict=True):
-        total = total + F.col("_features")[4 * k + feature].cast("double") * weight
-    return rows.withColumn("score", 1 / (1 + F.exp(-total))).drop("_features")
+        total = total + F.col("__features__")[4 * k + feature].cast("double") * weight
+    return rows.withColumn("score", 1 / (1 + F.exp(-total))).drop("__features__")
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -258,5 +258,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic (ids must name single rows)."""
-    gone = report(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    gone = report(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("__gone__"))
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone__")), "left_anti")

@@ -67,6 +67,15 @@ def drop(rows: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def columns(names: list[str]) -> list[Column]:
+    """Columns by name, whatever signs the names hold."""
+    return [F.col(f"`{name}`") for name in names]
+
+
+def ddl(rows: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+
 def map_batches(
     rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
@@ -79,7 +88,15 @@ def map_batches(
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
-    return rows.mapInArrow(run, schema)
+    names = rows.columns
+    if not any("." in name for name in names):
+        return rows.mapInArrow(run, schema)
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(b.rename_columns(names) for b in batches)
+
+    plain = rows.toDF(*(f"c{i}" for i in range(len(names))))  # mapInArrow takes no dots
+    return plain.mapInArrow(renamed, schema)
 
 
 def map_arrow(
@@ -106,24 +123,24 @@ def with_rank(rows: DataFrame, group: str, order: list[str], rank: str) -> DataF
     that are equal in ``order`` stay together; their mutual order is open.
     """
     blocks = max(1, -(-rows.count() // RANK_BLOCK_ROWS))
-    dealt = rows.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("int"))
-    sizes = dealt.groupBy(group, "_block").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(group).orderBy("_block").rowsBetween(
+    dealt = rows.withColumn("__block__", F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("int"))
+    sizes = dealt.groupBy(group, "__block__").agg(F.count(F.lit(1)).alias("__size__"))
+    before = Window.partitionBy(group).orderBy("__block__").rowsBetween(
         Window.unboundedPreceding, -1
     )
     bases = sizes.select(
-        F.col(group).alias("_group"), F.col("_block").alias("_base_block"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"),
+        F.col(group).alias("__group__"), F.col("__block__").alias("__base_block__"),
+        F.coalesce(F.sum("__size__").over(before), F.lit(0)).alias("__base__"),
     )
-    inner = Window.partitionBy(group, "_block").orderBy(*order)
-    numbered = dealt.withColumn("_in", F.row_number().over(inner) - 1)
-    same: Column = F.col(group).eqNullSafe(F.col("_group")) & (
-        F.col("_block") == F.col("_base_block")
+    inner = Window.partitionBy(group, "__block__").orderBy(*order)
+    numbered = dealt.withColumn("__in__", F.row_number().over(inner) - 1)
+    same: Column = F.col(group).eqNullSafe(F.col("__group__")) & (
+        F.col("__block__") == F.col("__base_block__")
     )
     return (
         numbered.join(bases, same)
-        .withColumn(rank, F.col("_base") + F.col("_in"))
-        .drop("_block", "_in", "_group", "_base_block", "_base")
+        .withColumn(rank, F.col("__base__") + F.col("__in__"))
+        .drop("__block__", "__in__", "__group__", "__base_block__", "__base__")
     )
 
 
