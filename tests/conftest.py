@@ -8,7 +8,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tidemark-tests")
@@ -16,6 +17,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", f"file://{shared}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import fixtures as X
+from tidemark.operators.skew import hot_groups
 from tidemark.plans.batch import BatchConfig, append_snapshot, current_metrics, run_batch
 from tidemark.plans.store import TableStore
+from tidemark.sources.shards import bytes_of
 
 
 @pytest.fixture(autouse=True, scope="module")
@@ -246,8 +248,80 @@ def test_types_widen_over_runs(spark, tmp_path):
     got = store.read("micro_user_table").orderBy("event_timestamp_micros").select("grade", "fresh")
     assert [tuple(r) for r in got.collect()] == [("3.0", None), ("2.5", "x"), ("high", "x")]
     reasons = [r.reason for r in store.read("mst_schema_history").where("column_name = 'grade'").collect()]
-    assert sum("INT64 to FLOAT64" in r for r in reasons) == 1
-    assert sum("FLOAT64 to STRING" in r for r in reasons) == 1
+    assert sum("integers became floating-point" in r for r in reasons) == 1
+    assert sum("FLOAT64 became text" in r for r in reasons) == 1
+
+
+def test_odd_values_and_names_stop_nothing(spark, tmp_path):
+    def day(i, shard):
+        start = X.DAY1 + i * 86_400_000_000
+        odd = [("level", X.value(number=1e300)), ("score", X.value(number=float("nan"))),
+               ("quantity", X.value(number=-1e19)), ("a.b", X.value(text="dot")),
+               ("tick`y", X.value(text="tick")), ("Grade", X.value(text="x")),
+               ("is_key_event", X.value(text="mine"))]
+        return [X.event(start, "page_view", "u", 1, shard, odd),
+                X.event(start + 5, "scroll", "u", 1, shard, [("grade", X.value(text="y"))])]
+
+    rows = [r for i, shard in enumerate(SHARDS) for r in day(i, shard)]
+    X.write_sharded(X.events_frame(spark, rows), tmp_path / "events")
+    store = run_days(spark, tmp_path, "out", SHARDS, users_path=None)
+    got = store.read("micro_user_table").where("event_name = 'page_view'").collect()
+    assert len(got) == len(SHARDS)
+    for r in got:
+        assert (r["a.b"], r["tick`y"], r["level"], r["score"]) == ("dot", "tick", None, None)
+        assert r["is_key_event"] in (0, 1, False, True)
+    logged = [r.column_name for r in store.read("mst_schema_history").collect()]
+    assert len(logged) == len(set(logged)) and "is_key_event" not in logged
+    assert sum(name.lower() == "grade" for name in logged) == 1
+
+
+def test_two_runs_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    X.write_sharded(X.events_frame(spark, X.sample_events()), tmp_path / "events")
+    X.write_sharded(X.users_frame(spark, X.sample_users()), tmp_path / "users")
+    configs = [config(tmp_path, "20260501", "20260502", target=str(tmp_path / name), incremental=False)
+               for name in ("one", "two")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with ThreadPoolExecutor(2) as pool:
+        found = list(pool.map(lambda c: run_batch(spark, c).first(), configs))
+    assert all(all_good(row) for row in found)
+    for c in configs:
+        assert TableStore(spark, c.target).read("micro_user_table").count() == 4
+        assert not list((tmp_path / "one" / "_work").glob("*"))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_reset_without_parameters_keeps_the_state(spark, tmp_path):
+    X.write_sharded(X.events_frame(spark, X.sample_events()), tmp_path / "events")
+    assert all_good(run_batch(spark, config(tmp_path, "20260501", "20260502", users_path=None)).first())
+    X.write_sharded(X.events_frame(spark, [X.event(X.DAY1, "page_view", session=None)]), tmp_path / "bare")
+    bare = config(tmp_path, "20260501", "20260501", events_path=str(tmp_path / "bare"), reset=True)
+    assert run_batch(spark, bare).first()["phase_0_status"].startswith("FAILED")
+    store = TableStore(spark, str(tmp_path / "out"))
+    assert store.read("mst_event_params").count() > 0 and store.exists("event_tables")
+    assert store.read("log_batch_execution").count() == 2
+
+
+def test_shuffle_size_follows_the_days_read(spark, tmp_path):
+    rows = [X.event(X.DAY1 + i, "page_view", shard=f"2026050{d}") for d in range(1, 10) for i in range(5)]
+    X.write_sharded(X.events_frame(spark, rows), tmp_path / "events")
+    path = str(tmp_path / "events")
+    whole, one = bytes_of(spark, path, "20260501", "20260509"), bytes_of(spark, path, "20260503", "20260503")
+    assert 0.1 < one / whole < 0.13 and bytes_of(spark, path, "20250101", "20250102") == 0
+
+
+def test_hot_after_explode_only(spark):
+    rows = [X.event(X.DAY1 + i, "purchase", f"u{i % 3}", items=[X.item("i1")] * (30 if i % 3 else 1))
+            for i in range(9)]
+    events = X.events_frame(spark, rows)
+    spark.conf.set("tidemark.hotRows", "20")
+    try:
+        assert hot_groups(events, ["user_pseudo_id"]) is None
+        found = hot_groups(events, ["user_pseudo_id"], F.size("items"))
+        assert {r[0] for r in found.frame.select("user_pseudo_id").collect()} == {"u1", "u2"}
+    finally:
+        spark.conf.unset("tidemark.hotRows")
 
 
 def test_missing_source_is_skipped(spark, tmp_path):

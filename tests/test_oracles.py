@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.plans import catalog
 
 SF = "/root/testdata/sf0.01"
 SMALL_SF = "/root/testdata/sf0.001"
@@ -81,4 +82,4 @@ def test_hot_groups_change_nothing(name, spark, small_duck):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.SQL)

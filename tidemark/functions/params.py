@@ -17,8 +17,8 @@ def param_value(params: Column, key: str) -> Column:
 
 
 def to_integer(number: Column) -> Column:
-    """Floating to integer, halves away from zero."""
-    return F.round(number).cast("bigint")
+    """Floating to integer, halves away from zero; NULL if it is no number or out of range."""
+    return F.round(number).try_cast("bigint")
 
 
 def extracted_type(name: str, data_type: str) -> str:

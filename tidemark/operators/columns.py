@@ -18,8 +18,7 @@ from tidemark.functions.lattice import widest_of
 from tidemark.functions.params import extract_param, extracted_type
 from tidemark.operators.evolve import visible_params
 from tidemark.operators.registry import is_event_specific
-
-MAX_REGISTRY_ROWS = 100_000
+from tidemark.operators.skew import quote
 
 
 def param_class(registry: DataFrame) -> DataFrame:
@@ -64,7 +63,7 @@ class RawColumn:
             by_rule[param, data_type].append(event)
         kind = S.SPARK_TYPE[self.data_type]
         values = [
-            F.when(event_name.isin(sorted(events)), extract_param(params, param, data_type).cast(kind))
+            F.when(event_name.isin(sorted(events)), extract_param(params, param, data_type).try_cast(kind))
             for (param, data_type), events in sorted(by_rule.items())
         ]
         return F.coalesce(*values) if len(values) > 1 else values[0]
@@ -85,8 +84,8 @@ class FinalColumn:
 
     def expression(self, event_name: Column) -> Column:
         kind = S.SPARK_TYPE[self.data_type]
-        values = [F.when(event_name == e, F.col(f"`{c}`").cast(kind)) for e, c in self.unique]
-        values += [F.col(f"`{c}`").cast(kind) for c in self.common]
+        values = [F.when(event_name == e, F.col(quote(c)).try_cast(kind)) for e, c in self.unique]
+        values += [F.col(quote(c)).try_cast(kind) for c in self.common]
         return F.coalesce(*values) if len(values) > 1 else values[0]
 
 
@@ -111,24 +110,24 @@ EVENT_TABLE_FIXED = [
 ]
 
 
-def collect_registry(registry: DataFrame) -> list:
-    rows = (
-        registry.select(
-            "event_name",
-            "param_name",
-            "data_type",
-            "micro_column_name",
-            F.col("param_name").like("batch_%").alias("is_batch"),
-            F.col("param_name").like("clarity_%").alias("is_replay"),
-            is_event_specific(
-                F.col("param_name"), F.col("param_category"), F.col("event_category")
-            ).alias("is_unique"),
-        )
-        .limit(MAX_REGISTRY_ROWS + 1)
-        .collect()
-    )
-    if len(rows) > MAX_REGISTRY_ROWS:
-        raise ValueError(f"registry has more than {MAX_REGISTRY_ROWS} parameters")
+def collect_registry(registry: DataFrame) -> list[dict]:
+    """Registered parameters by name and event.
+
+    The cluster reduces the registry to one row per rule of a column, with the events that
+    share it as a list; that list of columns is all that reaches the driver.
+    """
+    rule = [
+        "param_name",
+        "data_type",
+        "micro_column_name",
+        F.col("param_name").like("batch_%").alias("is_batch"),
+        F.col("param_name").like("clarity_%").alias("is_replay"),
+        is_event_specific(
+            F.col("param_name"), F.col("param_category"), F.col("event_category")
+        ).alias("is_unique"),
+    ]
+    rules = registry.groupBy(*rule).agg(F.sort_array(F.collect_set("event_name")).alias("events"))
+    rows = [r.asDict() | {"event_name": e} for r in rules.collect() for e in r["events"]]
     return sorted(rows, key=lambda r: (r["param_name"], r["event_name"]))
 
 

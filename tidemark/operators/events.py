@@ -10,7 +10,7 @@ from tidemark.functions import ids
 from tidemark.functions.params import param_value, session_id
 from tidemark.operators.columns import ColumnPlan
 from tidemark.operators.ordered import segmented_running_count, windowed_running_count
-from tidemark.operators.skew import DETECT, known_or_detected, left_join
+from tidemark.operators.skew import DETECT, known_or_detected, left_join, quote
 from tidemark.sources.shards import widened
 
 USER = ["user_pseudo_id"]
@@ -151,6 +151,6 @@ def event_table(tables: DataFrame, plan: ColumnPlan, name: str) -> DataFrame:
     return tables.where(F.col("event_name") == name).select(
         *columns,
         *S.STANDARD_COLUMNS,
-        *[F.col(f"`{c}`").cast(S.SPARK_TYPE[t]).alias(c) for c, t in own if t],
+        *[F.col(quote(c)).try_cast(S.SPARK_TYPE[t]).alias(c) for c, t in own if t],
         "batch_id",
     )

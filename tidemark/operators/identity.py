@@ -84,8 +84,8 @@ class Slot:
     column: str
 
 
-def slot_columns(slots: DataFrame, taken: set[str], limit: int = 10_000) -> tuple[list[Slot], list[str]]:
-    """Slots as column names, and the slot keys that get none.
+def slot_columns(slots: DataFrame, taken: set[str]) -> tuple[list[Slot], list[str]]:
+    """Slots as column names, and the slot keys that get none: a list of columns.
 
     Names keep letters, digits and underscores. Of two slots with one name the newest
     wins; a name of a fixed column is not available.
@@ -95,9 +95,7 @@ def slot_columns(slots: DataFrame, taken: set[str], limit: int = 10_000) -> tupl
         F.regexp_replace("user_property_name", "[^a-zA-Z0-9_]", "_").alias("column"),
         "last_set_timestamp",
     ).orderBy(F.col("last_set_timestamp").desc_nulls_last(), "slot_key")
-    rows = named.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} slots cannot become columns")
+    rows = named.collect()
     used, chosen, refused = {name.lower() for name in taken}, [], []
     for row in rows:
         if row["column"].lower() in used:

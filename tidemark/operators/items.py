@@ -12,7 +12,7 @@ from tidemark.functions import ids
 from tidemark.functions.lattice import widest_of
 from tidemark.functions.params import extract_item_param, param_value, session_id
 from tidemark.operators.ordered import Ordering, segmented_with_copies, windowed
-from tidemark.operators.skew import DETECT, hot_row_limit, known_or_detected, left_join
+from tidemark.operators.skew import DETECT, hot_row_limit, known_or_detected, left_join, quoted
 from tidemark.sources.shards import widened
 
 ITEM_GROUP = ["user_pseudo_id", "ga_session_id", "item_id"]
@@ -30,11 +30,11 @@ class ItemColumn:
     data_type: str
 
 
-def item_columns(registry: DataFrame, limit: int = 10_000) -> list[ItemColumn]:
-    """Item parameters as columns, by name; fixed columns keep their names."""
-    rows = registry.select("param_name", "data_type", "micro_column_name").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} item parameters cannot become columns")
+def item_columns(registry: DataFrame) -> list[ItemColumn]:
+    """Item parameters as columns, by name; fixed columns keep their names.
+
+    What reaches the driver is the list of the table's columns."""
+    rows = registry.select("param_name", "data_type", "micro_column_name").collect()
     used = {c.lower() for c in S.MICRO_ITEMS_FIXED}
     chosen = []
     for row in sorted(rows, key=lambda r: r["micro_column_name"]):
@@ -137,7 +137,7 @@ def number_items(rows: DataFrame, hot=DETECT) -> DataFrame:
 
     Exact copies of a row may be numbered in any order. ``hot`` may hold hot users.
     """
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    whole = F.xxhash64(*quoted(rows.columns))
     rows = rows.withColumn("_row", whole)
     spec = ITEM_ORDER
     hot = known_or_detected(hot, rows, spec.group)

@@ -18,7 +18,14 @@ from tidemark.operators.columns import ColumnPlan
 from tidemark.operators.events import SESSION, USER
 from tidemark.operators.evolve import conform
 from tidemark.operators.ordered import Ordering, segmented, windowed
-from tidemark.operators.skew import DETECT, HotGroups, hot_groups, known_or_detected, left_join
+from tidemark.operators.skew import (
+    DETECT,
+    HotGroups,
+    hot_groups,
+    known_or_detected,
+    left_join,
+    quoted,
+)
 
 SESSION_ORDER = Ordering(
     group=SESSION,
@@ -129,7 +136,7 @@ def facts_by_join(rows: DataFrame, replay: DataFrame | None = None) -> DataFrame
 
 def _dedup(rows: DataFrame) -> DataFrame:
     rest = [c for c in rows.columns if c != "page_view_id"]
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in rest])
+    whole = F.xxhash64(*quoted(rest))
     rows = with_session_key(rows)
     window = W.partitionBy(
         "user_pseudo_id", "event_timestamp_micros", "event_name", SESSION_KEY
@@ -234,7 +241,7 @@ def typed_dynamic_columns(rows: DataFrame, plan: ColumnPlan) -> DataFrame:
     """Final parameter columns in place of the raw ones."""
     event = F.col("event_name")
     fixed = [c for c in rows.columns if c not in plan.raw_types()]
-    return rows.select(*fixed, *[c.expression(event).alias(c.name) for c in plan.final])
+    return rows.select(*quoted(fixed), *[c.expression(event).alias(c.name) for c in plan.final])
 
 
 def micro_rows(

@@ -22,6 +22,7 @@ from tidemark.operators.skew import (
     left_join,
     null_safe,
     prefixed,
+    quoted,
 )
 
 
@@ -96,7 +97,7 @@ def segmented(rows: DataFrame, spec: Ordering, segments: int) -> DataFrame:
         )
     joined = joined.withColumns(columns)
     kept = [c for c in names if c != "_segment"]
-    return joined.select(*kept, *[c for c in columns if c not in kept])
+    return joined.select(*quoted(kept + [c for c in columns if c not in kept]))
 
 
 def ordered_columns(rows: DataFrame, spec: Ordering, hot=DETECT) -> DataFrame:
@@ -139,7 +140,7 @@ def _segmented_sum(
     within = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     summed = rows.withColumn("_running", F.sum(weight).over(within))
     return summed.join(side, null_safe(summed, side, keys), "left").select(
-        *names, (F.col("_running") + F.coalesce(F.col("_before"), F.lit(0))).alias(out)
+        *quoted(names), (F.col("_running") + F.coalesce(F.col("_before"), F.lit(0))).alias(out)
     )
 
 
@@ -165,7 +166,7 @@ def segmented_with_copies(
     over tasks.
     """
     names = rows.columns
-    kinds = rows.groupBy(*names).agg(F.count("*").alias("_copies"))
+    kinds = rows.groupBy(*quoted(names)).agg(F.count("*").alias("_copies"))
     ended = _segmented_sum(kinds, group, order, "_copies", "_end", segments)
     parts = ended.withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {chunk}")))
@@ -173,7 +174,7 @@ def segmented_with_copies(
     first = F.col("_chunk") * chunk + 1
     last = F.least((F.col("_chunk") + 1) * chunk, F.col("_copies"))
     return parts.withColumn("_copy", F.explode(F.sequence(first, last))).select(
-        *names, (F.col("_end") - F.col("_copies") + F.col("_copy")).alias(number)
+        *quoted(names), (F.col("_end") - F.col("_copies") + F.col("_copy")).alias(number)
     )
 
 

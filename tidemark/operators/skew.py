@@ -9,16 +9,19 @@ run over contiguous segments (see :mod:`tidemark.operators.ordered`). There are
 
 from __future__ import annotations
 
+import contextlib
 import functools
-import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_BROADCAST_ROWS = 200_000
-_written: list[str] = []
+DEFAULT_BROADCAST_BYTES = 256 << 20
+_here = threading.local()
 
 
 def hot_row_limit(spark: SparkSession) -> int:
@@ -29,51 +32,63 @@ def broadcast_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("tidemark.broadcastRows", str(DEFAULT_BROADCAST_ROWS)))
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+def broadcast_byte_limit(spark: SparkSession) -> int:
+    return int(spark.conf.get("tidemark.broadcastBytes", str(DEFAULT_BROADCAST_BYTES)))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only in local mode (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder()
+def work_folder(spark: SparkSession) -> str:
+    """Where intermediates go: the folder of the run in this thread, else spark.checkpoint.dir,
+    else the warehouse. All executors share each of them."""
+    folder = getattr(_here, "folder", None) or spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+@contextlib.contextmanager
+def working_in(spark: SparkSession, folder: str) -> Iterator[None]:
+    """Intermediates of this thread go to ``folder``, which is removed at the end."""
+    before, _here.folder = getattr(_here, "folder", None), folder
+    try:
+        yield
+    finally:
+        _here.folder = before
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(rows: DataFrame) -> DataFrame:
-    """Write rows to the shared folder and read them back.
+    """Write rows to the work folder and read them back.
 
     Later steps see the same rows even if an executor is lost, and read only the columns
     they need.
     """
     spark = rows.sparkSession
-    path = f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/tidemark-{uuid.uuid4().hex}"
     rows.write.parquet(path)
-    _written.append(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def drop_written(spark: SparkSession, since: int = 0) -> None:
-    """Remove what :func:`cut_lineage` wrote after the first ``since`` calls."""
-    while len(_written) > since:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def written_so_far() -> int:
-    return len(_written)
+def row_bytes(rows: DataFrame) -> int:
+    """Spark's estimate of a row's width, from its columns' types."""
+    return int(rows._jdf.schema().defaultSize())
 
 
 def broadcast_if_small(side: DataFrame, row_bound: int) -> DataFrame:
-    """Broadcast hint, given a proven upper bound of the row count."""
-    small = row_bound <= broadcast_row_limit(side.sparkSession)
+    """Broadcast hint, given a proven upper bound of the row count and the rows' width."""
+    spark = side.sparkSession
+    small = row_bound <= broadcast_row_limit(spark)
+    small = small and row_bound * row_bytes(side) <= broadcast_byte_limit(spark)
     return F.broadcast(side) if small else side
 
 
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by name, whatever signs the names hold."""
+    return [F.col(quote(name)) for name in names]
+
+
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "_r_") -> Column:
     """Join condition in which NULL keys match; right keys carry a prefix."""
     return functools.reduce(
@@ -90,7 +105,7 @@ class HotGroups:
 
     def __init__(self, frame: DataFrame, keys: list[str]):
         self.frame, self.keys = frame, keys
-        found = frame.agg(F.count("*"), F.sum("hot_rows")).first()
+        found = frame.agg(F.count("*"), F.coalesce(F.sum("hot_rows"), F.lit(0))).first()
         self.groups, self.rows = found[0], found[1]
 
     def split(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -110,14 +125,22 @@ class HotGroups:
         return max(2, -(-2 * self.rows // hot_row_limit(self.frame.sparkSession)))
 
 
-def hot_groups(rows: DataFrame, keys: list[str]) -> HotGroups | None:
-    """Groups above the row limit, or None. Runs one aggregation over the key columns."""
+def hot_groups(
+    rows: DataFrame, keys: list[str], weight: Column | None = None
+) -> HotGroups | None:
+    """Groups above the row limit, or None. Runs one aggregation over the key columns.
+
+    ``weight`` is the number of rows that a row will become, such as the size of an array
+    that is exploded later.
+    """
+    number = F.count("*") if weight is None else F.sum(F.greatest(weight, F.lit(0)).cast("bigint"))
     hot = (
         rows.groupBy(*keys)
-        .agg(F.count("*").alias("hot_rows"))
+        .agg(number.alias("hot_rows"))
         .where(F.col("hot_rows") > hot_row_limit(rows.sparkSession))
     )
-    return None if hot.isEmpty() else HotGroups(cut_lineage(hot), keys)
+    found = HotGroups(cut_lineage(hot), keys)  # written once, then only counted
+    return found if found.groups else None
 
 
 DETECT = object()
@@ -141,9 +164,9 @@ def left_join(
 
     def joined(left: DataFrame, right: DataFrame) -> DataFrame:
         if not nulls_match:
-            return left.join(right, keys, "left").select(*names, *added)
+            return left.join(right, keys, "left").select(*quoted(names + added))
         right = prefixed(right, keys)
-        return left.join(right, null_safe(left, right, keys), "left").select(*names, *added)
+        return left.join(right, null_safe(left, right, keys), "left").select(*quoted(names + added))
 
     hot = known_or_detected(hot, rows, keys)
     if hot is not None and hot.keys != keys:

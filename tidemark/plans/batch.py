@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schema as S
-from tidemark.functions.ids import parse_day
+from tidemark.functions.ids import parse_day, shift_day
 from tidemark.functions.lattice import widest_of
 from tidemark.operators import columns as C
 from tidemark.operators import events as E
@@ -20,7 +20,7 @@ from tidemark.operators import identity as I
 from tidemark.operators import items as N
 from tidemark.operators import micro as M
 from tidemark.operators import registry as R
-from tidemark.operators.skew import cut_lineage, drop_written, hot_groups, written_so_far
+from tidemark.operators.skew import cut_lineage, hot_groups, working_in
 from tidemark.plans.control import schema_drift
 from tidemark.plans.incremental import SEQUENCE_COLUMNS, renumber, renumber_items
 from tidemark.plans.store import TableStore, days_between
@@ -32,7 +32,6 @@ ERROR_CHARS = 500
 UTC_NAMES = {"UTC", "Etc/UTC", "Z", "GMT", "+00:00"}
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 SCANNED_BYTES_PER_PARTITION = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 100_000
 EVENT_TABLES = "event_tables"
 USER_CLUSTER = ["user_pseudo_id", "user_id"]
 ITEM_CLUSTER = ["user_pseudo_id", "item_id", "event_name"]
@@ -72,6 +71,7 @@ class Run:
     warnings: list[str] = field(default_factory=list)
     hot_users: object = None
     slots: list = field(default_factory=list)
+    plan: C.ColumnPlan | None = None
 
     @property
     def now(self):
@@ -85,19 +85,24 @@ class Run:
 def phase_0(run: Run, events: DataFrame) -> str:
     """Parameter registries, their logs, schema evolution."""
     cfg, store, spark = run.cfg, run.store, run.spark
-    if cfg.reset:
-        for table in RESET_TABLES:
-            store.clear(table)
+    size_shuffles(run)
+    run.hot_users = hot_groups(
+        shards.widened(events, cfg.start, cfg.end).select(*E.USER), E.USER
+    )
     in_range = shards.in_shards(events, cfg.start, cfg.end)
     raw = cut_lineage(R.observe_params(in_range))
     R.require_params(raw, cfg.start)
+    if cfg.reset:  # only a run that has found its parameters gives up the old state
+        for table in RESET_TABLES:
+            store.clear(table)
     old = store.read("mst_event_params", S.EVENT_PARAM_REGISTRY)
     registry = cut_lineage(R.build_registry(raw, old, run.now))
 
     current = store.columns("micro_user_table") or S.MICRO_USER_FIXED
     stored = V.schema_frame(spark, current)
-    missing = cut_lineage(V.evolve_schema(stored, V.visible_params(registry)))
-    diff = cut_lineage(V.reconcile_types(stored, registry))
+    fixed = [*S.MICRO_USER_FIXED]
+    missing = cut_lineage(V.evolve_schema(stored, V.visible_params(registry), fixed))
+    diff = cut_lineage(V.reconcile_types(stored, registry, fixed))
     registry = V.apply_sticky(registry, diff)
     store.replace("mst_event_params", registry)
 
@@ -120,7 +125,7 @@ def phase_0(run: Run, events: DataFrame) -> str:
     store.replace("mst_item_params", items)
     store.append("audit_schema_log", R.item_type_audit(raw_items), S.SCHEMA_AUDIT)
     item_columns = store.columns("micro_items_table") or S.MICRO_ITEMS_FIXED
-    new_items = V.evolve_schema(V.schema_frame(spark, item_columns), items)
+    new_items = V.evolve_schema(V.schema_frame(spark, item_columns), items, [*S.MICRO_ITEMS_FIXED])
     store.append(
         "mst_schema_history",
         V.history_rows(new_items, F.lit(S.REASON_ITEM_PARAM_ADDED), run.now),
@@ -164,9 +169,8 @@ def phase_1(run: Run, events: DataFrame, users: DataFrame | None) -> str:
     store.append("log_audience_membership", audience, S.AUDIENCE_LOG, ["source_table_date"])
 
     logged = store.read("log_user_properties", S.USER_PROPERTY_LOG)
-    settings = I.user_property_log(
-        events, identity, logged, *span, cfg.tz, run.now, hot=run.hot_users
-    )
+    hot = hot_groups(shards.in_shards(events, *span), E.USER, F.size("user_properties"))
+    settings = I.user_property_log(events, identity, logged, *span, cfg.tz, run.now, hot=hot)
     store.append("log_user_properties", settings, S.USER_PROPERTY_LOG, ["set_date"])
     store.replace("mst_user_properties", I.property_summary(store.read("log_user_properties")))
     return f"SUCCESS ({warning})" if warning else "SUCCESS"
@@ -195,9 +199,18 @@ def event_tables_schema(plan: C.ColumnPlan) -> dict[str, str]:
     )
 
 
-def phase_2(run: Run, events: DataFrame, plan: C.ColumnPlan) -> str:
+def planned_columns(run: Run) -> C.ColumnPlan:
+    """Parameter columns of this run; names that get none are logged."""
+    plan = C.column_plan(run.store.read("mst_event_params"), [s.column for s in run.slots])
+    if plan.collisions:
+        run.store.append("audit_schema_log", collision_rows(run, plan.collisions), S.SCHEMA_AUDIT)
+    return plan
+
+
+def phase_2(run: Run, events: DataFrame) -> str:
     """All event tables in one pass, one dataset partitioned by event and day."""
     cfg, store = run.cfg, run.store
+    plan = run.plan = planned_columns(run)
     identity = store.read("dim_user_map_180d")
     base = E.base_events(
         events, identity, cfg.start, cfg.end, cfg.tz, cfg.exclusive_end, hot=run.hot_users
@@ -232,9 +245,9 @@ def wide_schema(
     return {c: merged[c] for c in [*head, *middle, *tail]}
 
 
-def phase_3a(run: Run, plan: C.ColumnPlan) -> str:
+def phase_3a(run: Run) -> str:
     """Event-level table: whole rebuild from all event-table days, or one range."""
-    cfg, store = run.cfg, run.store
+    cfg, store, plan = run.cfg, run.store, run.plan
     table = "micro_user_table"
     tables = store.read(EVENT_TABLES)
     attributes = store.read("log_pseudonymous_users")
@@ -247,7 +260,7 @@ def phase_3a(run: Run, plan: C.ColumnPlan) -> str:
     if not (cfg.incremental and complete):
         source = tables.where(in_range) if cfg.incremental else tables
         rows = M.micro_user(source, attributes, plan, slots)
-        store.replace(table, rows, ["event_date"], USER_CLUSTER, spread=first != last)
+        store.replace(table, rows, ["event_date"], USER_CLUSTER, spread=True)
         return "SUCCESS"
     replay = M.replay_urls(tables)
     source = tables.where(in_range)
@@ -261,7 +274,7 @@ def phase_3a(run: Run, plan: C.ColumnPlan) -> str:
     unnumbered = {c: t for c, t in target.items() if c not in SEQUENCE_COLUMNS}
     change = renumber(store.read(table), V.conform(fresh, unnumbered), first, last)
     days = sorted({*change.days, *days_between(first, last)})
-    store.overwrite_days(table, change.rows, days, USER_CLUSTER)
+    store.overwrite_days(table, change.rows, days, USER_CLUSTER, spread=True)
     return "SUCCESS"
 
 
@@ -271,15 +284,16 @@ def phase_3b(run: Run, events: DataFrame) -> str:
     table = "micro_items_table"
     columns = N.item_columns(store.read("mst_item_params"))
     identity = store.read("dim_user_map_180d")
+    hot = hot_groups(shards.widened(events, cfg.start, cfg.end), E.USER, F.size("items"))
     rows = N.explode_items(
         events, identity, columns, cfg.start, cfg.end, cfg.tz, run.batch_id, run.now,
-        cfg.exclusive_end, hot=run.hot_users,
+        cfg.exclusive_end, hot=hot,
     )
     wanted = N.items_schema(columns)
     stored = store.columns(table)
     if stored is None or not cfg.incremental:
-        numbered = V.conform(N.number_items(rows, run.hot_users), wanted)
-        store.replace(table, numbered, ["event_date"], ITEM_CLUSTER, spread=cfg.start != cfg.end)
+        numbered = V.conform(N.number_items(rows, hot), wanted)
+        store.replace(table, numbered, ["event_date"], ITEM_CLUSTER, spread=True)
         return "SUCCESS"
     target = wide_schema(stored, wanted, S.MICRO_ITEMS_HEAD, S.MICRO_ITEMS_TAIL)
     store.evolve(table, target, ITEM_CLUSTER)
@@ -287,7 +301,7 @@ def phase_3b(run: Run, events: DataFrame) -> str:
     change = renumber_items(
         store.read(table), V.conform(rows, unnumbered), parse_day(cfg.start), parse_day(cfg.end)
     )
-    store.overwrite_days(table, change.rows, change.days, ITEM_CLUSTER)
+    store.overwrite_days(table, change.rows, change.days, ITEM_CLUSTER, spread=True)
     return "SUCCESS"
 
 
@@ -333,59 +347,61 @@ def summary(run: Run, mode: str) -> DataFrame:
     return run.spark.createDataFrame([tuple(values.values())], S.ddl(kinds))
 
 
-def size_shuffles(source: DataFrame) -> None:
-    """Raise the number of shuffle partitions to suit the scanned bytes; AQE joins small ones.
+def size_shuffles(run: Run) -> None:
+    """Raise the number of shuffle partitions to suit the bytes of the days that are read; AQE
+    joins small ones.
 
     The session's own number is a lower bound, so a larger setting is kept.
     """
-    spark = source.sparkSession
-    scanned = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = min(MAX_SHUFFLE_PARTITIONS, scanned // SCANNED_BYTES_PER_PARTITION)
-    if wanted > int(spark.conf.get(SHUFFLE_PARTITIONS)):
-        spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
+    cfg, conf = run.cfg, run.spark.conf
+    scanned = shards.bytes_of(run.spark, cfg.events_path, shift_day(cfg.start, -1), cfg.end)
+    wanted = scanned // SCANNED_BYTES_PER_PARTITION
+    if wanted > int(conf.get(SHUFFLE_PARTITIONS)):
+        conf.set(SHUFFLE_PARTITIONS, str(wanted))
 
 
 def run_batch(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
-    """Process the inclusive day range and return a one-row summary."""
-    partitions, written = spark.conf.get(SHUFFLE_PARTITIONS), written_so_far()
-    try:
-        return _run(spark, cfg)
-    finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, partitions)
-        drop_written(spark, written)
-
+    """Process the inclusive day range and return a one-row summary.
 
-def _run(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
+    A run has a session of its own, so runs side by side do not change each other's settings,
+    and a folder of its own for intermediates, which goes when it ends.
+    """
     if spark.conf.get("spark.sql.session.timeZone") not in UTC_NAMES:
         raise ValueError("set spark.sql.session.timeZone to UTC")
-    run = Run(spark, cfg, TableStore(spark, cfg.target))
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("tidemark.") or own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    run = Run(own, cfg, TableStore(own, cfg.target))
+    with working_in(own, f"{cfg.target.rstrip('/')}/_work/{run.batch_id}"):
+        return _run(run)
+
+
+def _run(run: Run) -> DataFrame:
+    spark, cfg = run.spark, run.cfg
     if cfg.start == cfg.end and not cfg.incremental:
         run.warnings.append(
             "single-day run without incremental mode rebuilds the event-level table"
         )
-    events = shards.if_present(shards.read_events, spark, cfg.events_path)
-    if events is None or not shards.has_rows(events, cfg.start, cfg.end):
+    try:
+        events = shards.if_present(shards.read_events, spark, cfg.events_path)
+        filled = events is not None and shards.has_rows(events, cfg.start, cfg.end)
+        users = shards.if_present(shards.read_users, spark, cfg.users_path)
+    except Exception as error:  # noqa: BLE001 - the status carries it
+        run.status = {p: "SKIPPED" for p in PHASES}
+        run.status["phase_0"] = f"FAILED: {str(error)[:ERROR_CHARS]}"
+        append_run_log(run, 0)
+        return summary(run, "ABORTED: source cannot be read")
+    if not filled:
         run.status = {p: "SKIPPED: no source data" for p in PHASES}
         run.status["phase_0"] = f"SKIPPED: events of {cfg.start} not found or empty (row_count=0)"
         append_run_log(run, 0)
         return summary(run, "ABORTED: no source data")
-    users = shards.if_present(shards.read_users, spark, cfg.users_path)
-    source = shards.widened(events, cfg.start, cfg.end)
-    size_shuffles(source)
-    run.hot_users = hot_groups(source.select(*E.USER), E.USER)
     attempt(run, "phase_0", True, lambda: phase_0(run, events))
     attempt(run, "phase_1", run.status["phase_0"] == "SUCCESS", lambda: phase_1(run, events, users))
-    plan = None
-    if run.status["phase_1"].startswith("SUCCESS"):
-        plan = C.column_plan(
-            run.store.read("mst_event_params"), [s.column for s in run.slots]
-        )
-        if plan.collisions:
-            run.store.append(
-                "audit_schema_log", collision_rows(run, plan.collisions), S.SCHEMA_AUDIT
-            )
-    attempt(run, "phase_2", plan is not None, lambda: phase_2(run, events, plan))
-    attempt(run, "phase_3a", run.status["phase_2"] == "SUCCESS", lambda: phase_3a(run, plan))
+    ready = run.status["phase_1"].startswith("SUCCESS")
+    attempt(run, "phase_2", ready, lambda: phase_2(run, events))
+    attempt(run, "phase_3a", run.status["phase_2"] == "SUCCESS", lambda: phase_3a(run))
     attempt(
         run, "phase_3b", run.status["phase_3a"].startswith("SUCCESS"), lambda: phase_3b(run, events)
     )

@@ -23,8 +23,6 @@ from tidemark.sources import shards
 from tidemark.sources.shards import empty
 
 TZ = "Asia/Tokyo"
-START, END = "20230101", "20301231"
-ALL_DAYS = 4000
 MERGED_NAMES = {"view": "page_view", "purchase": "page_view"}
 
 QUERIES: dict = {}
@@ -132,13 +130,15 @@ WIDEST = (
 )
 
 
-def in_list(names: list[str]) -> str:
-    return "(" + ", ".join(f"'{n}'" for n in names) + ")"
-
-
-def category_sql(column: str, lists: dict[str, list[str]], rest: str) -> str:
-    cases = " ".join(f"WHEN {column} IN {in_list(n)} THEN '{label}'" for label, n in lists.items())
-    return f"CASE {cases} {rest} ELSE 'custom' END"
+# The twins name the categories of the data's own names, apart from the library's lists.
+EVENT_CATEGORY = """CASE WHEN event_name = 'session_start' THEN 'auto'
+    WHEN event_name IN ('page_view', 'scroll', 'click') THEN 'enhanced'
+    WHEN event_name IN ('purchase', 'search') THEN 'recommended' ELSE 'custom' END"""
+PARAM_CATEGORY = """CASE WHEN param_name = 'page_location' THEN 'auto'
+    WHEN param_name IN ('percent_scrolled', 'search_term') THEN 'enhanced'
+    WHEN param_name = 'value' THEN 'recommended'
+    WHEN param_name LIKE 'clarity%' THEN 'martech' ELSE 'custom' END"""
+REPLAY = "https://clarity.microsoft.com/player/prj/"
 
 
 REGISTRY = f"""
@@ -148,9 +148,8 @@ unified AS (
   SELECT 'search', 'search_term', 'STRING'
 ),
 classified AS (
-  SELECT *, {category_sql("event_name", S.EVENT_CATEGORIES, "")} AS event_category,
-    {category_sql("param_name", S.PARAM_CATEGORIES, "WHEN param_name LIKE 'clarity%' THEN 'martech'")}
-      AS param_category
+  SELECT *, {EVENT_CATEGORY} AS event_category,
+    {PARAM_CATEGORY} AS param_category
   FROM unified
 ),
 registry AS (
@@ -164,12 +163,18 @@ registry AS (
 # -- shared frames -------------------------------------------------------------------------
 
 
+def whole(rows: DataFrame) -> tuple[str, str]:
+    """All days of a sharded frame; the last local day may end one shard later."""
+    first, last = rows.agg(F.min("shard"), F.max("shard")).first()
+    return (first, ids.shift_day(last, 1)) if first else ("19700101", "19700101")
+
+
 def rich(spark: SparkSession, sf: str) -> DataFrame:
     return A.web_events(spark, sf, A.RICH_NAMES)
 
 
 def identity(events: DataFrame) -> DataFrame:
-    return I.identity_map(events, START, END, TZ, epoch(), days=ALL_DAYS)
+    return I.identity_map(events, *whole(events), TZ, epoch(), days=0)
 
 
 def hot_users(events: DataFrame):
@@ -193,7 +198,7 @@ def flat(spark: SparkSession, sf: str) -> DataFrame:
 def based(spark: SparkSession, sf: str, hot=DETECT) -> DataFrame:
     events = rich(spark, sf)
     hot = hot_users(events) if hot is DETECT else hot
-    return E.base_events(events, identity(events), START, END, TZ, hot=hot)
+    return E.base_events(events, identity(events), *whole(events), TZ, hot=hot)
 
 
 def registered(spark: SparkSession, sf: str, names: dict[str, str] = A.RICH_NAMES) -> DataFrame:
@@ -308,7 +313,8 @@ def local_window(spark, sf):
 
 @query(with_ev() + "SELECT shard, count(*) AS row_count FROM ev GROUP BY shard")
 def shard_counts(spark, sf):
-    return shards.shard_counts(shards.in_shards(rich(spark, sf), START, END))
+    events = rich(spark, sf)
+    return shards.shard_counts(shards.in_shards(events, *whole(events)))
 
 
 # -- registry ------------------------------------------------------------------------------
@@ -389,7 +395,7 @@ def duplicate_params(spark, sf):
 
 
 @query(with_ev(RAW_RICH) + f"""
-SELECT param_name AS column_name, 'TYPE_UNIFIED' AS status, '{S.REASON_TYPE_UNIFIED}' AS reason,
+SELECT param_name AS column_name, 'TYPE_UNIFIED' AS status, 'values of several types; the widest type of text, float, integer counts' AS reason,
   string_agg(DISTINCT data_type, ',' ORDER BY data_type) AS original_data_types,
   string_agg(DISTINCT event_name, ',' ORDER BY event_name) AS events_involved
 FROM observed GROUP BY param_name HAVING count(DISTINCT data_type) > 1
@@ -555,15 +561,15 @@ def snapshots(spark, sf):
 
 
 def slot_definitions(spark, sf):
-    return I.slot_registry(snapshots(spark, sf), START, END, TZ, epoch(), days=ALL_DAYS)
+    users = snapshots(spark, sf)
+    return I.slot_registry(users, *whole(users), TZ, epoch(), days=0)
 
 
 def attributes(spark, sf):
     slots, _ = I.slot_columns(slot_definitions(spark, sf), set(S.MICRO_USER_FIXED))
     known = identity(A.web_events(spark, sf))
-    frame = I.user_attributes(
-        snapshots(spark, sf), known, slots, START, END, TZ, epoch(), days=ALL_DAYS
-    )
+    users = snapshots(spark, sf)
+    frame = I.user_attributes(users, known, slots, *whole(users), TZ, epoch(), days=0)
     return frame, [s.column for s in slots]
 
 
@@ -609,7 +615,7 @@ def audience_log(spark, sf):
     users, known = snapshots(spark, sf), identity(A.web_events(spark, sf))
     nothing = empty(spark, S.AUDIENCE_LOG)
     first_day = I.audience_log(users, known, nothing, "20240129", "20240129", epoch(), days=0)
-    fresh = I.audience_log(users, known, first_day, START, END, epoch(), days=ALL_DAYS)
+    fresh = I.audience_log(users, known, first_day, *whole(users), epoch(), days=0)
     return fresh.select(
         "user_pseudo_id", "user_id", "audience_id", "audience_name",
         micros("membership_start_timestamp").alias("start_micros"),
@@ -651,11 +657,11 @@ def user_property_log(spark, sf):
     events = rich(spark, sf)
     known = identity(events)
     nothing = empty(spark, S.USER_PROPERTY_LOG)
-    hot = hot_users(events)
+    hot = hot_groups(events, E.USER, F.size("user_properties"))
     early = I.user_property_log(
         events, known, nothing, "20240101", "20240110", TZ, epoch(), hot
     )
-    fresh = I.user_property_log(events, known, early, START, END, TZ, epoch(), hot)
+    fresh = I.user_property_log(events, known, early, *whole(events), TZ, epoch(), hot)
     return fresh.select(
         "user_pseudo_id", "user_id", "property_key", "property_value_string", "property_value_int",
         micros("set_timestamp").alias("set_micros"), text("set_date"),
@@ -673,7 +679,8 @@ def property_summary(spark, sf):
     events = rich(spark, sf)
     nothing = empty(spark, S.USER_PROPERTY_LOG)
     log = I.user_property_log(
-        events, identity(events), nothing, START, END, TZ, epoch(), hot_users(events)
+        events, identity(events), nothing, *whole(events), TZ, epoch(),
+        hot_groups(events, E.USER, F.size("user_properties")),
     )
     return I.property_summary(log).withColumns(
         {"first_seen": micros("first_seen"), "last_seen": micros("last_seen")}
@@ -706,7 +713,7 @@ def standard_columns(spark, sf):
 @query(with_ev(IDENTITY, PAGED) + f"""
 SELECT event_id, mapped_id AS user_id, mapped_id IS NOT NULL AS is_identified_user,
   CASE WHEN name = 'session_start' AND k % 5 <> 0
-    THEN '{S.REPLAY_PREFIX}prj/' || user_id || '/s' || k END AS clarity_play_url
+    THEN '{REPLAY}' || user_id || '/s' || k END AS clarity_play_url
 FROM paged LEFT JOIN idm USING (u)
 """)
 def replay_url(spark, sf):
@@ -743,7 +750,7 @@ def key_sessions(spark, sf):
 ASSEMBLED = f"""
 keyed AS (SELECT DISTINCT u, s FROM ev WHERE name = 'purchase'),
 urls AS (
-  SELECT u, s, max('{S.REPLAY_PREFIX}prj/' || user_id || '/s' || k) AS url FROM ev
+  SELECT u, s, max('{REPLAY}' || user_id || '/s' || k) AS url FROM ev
   WHERE name = 'session_start' AND k % 5 <> 0 GROUP BY u, s
 ),
 depth AS (
@@ -753,7 +760,7 @@ depth AS (
 assembled AS (
   SELECT p.*, CASE WHEN keyed.s IS NOT NULL THEN 1 ELSE 0 END AS is_key,
     CASE WHEN name = 'session_start' THEN
-      CASE WHEN k % 5 <> 0 THEN '{S.REPLAY_PREFIX}prj/' || user_id || '/s' || k END
+      CASE WHEN k % 5 <> 0 THEN '{REPLAY}' || user_id || '/s' || k END
       ELSE url END AS play_url,
     CASE WHEN name = 'page_view' THEN depth END AS max_scroll
   FROM paged p LEFT JOIN keyed ON p.u = keyed.u AND p.s = keyed.s
@@ -876,9 +883,9 @@ def item_frame(spark, sf, with_identity=True):
         identity(A.web_events(spark, sf)) if with_identity else empty(spark, S.IDENTITY_MAP)
     )
     columns = N.item_columns(registry)
-    hot = hot_users(events)
+    hot = hot_groups(events, E.USER, F.size("items"))
     rows = N.explode_items(
-        events, known, columns, "19000101", "20991231", TZ, "run", epoch(), hot=hot
+        events, known, columns, *whole(events), TZ, "run", epoch(), hot=hot
     )
     return rows, columns, hot
 
@@ -936,7 +943,7 @@ def item_registry(spark, sf):
 
 @query(f"""
 SELECT 'mix__items' AS column_name, 'TYPE_UNIFIED_ITEMS' AS status,
-  '{S.REASON_ITEM_TYPE_UNIFIED}' AS reason,
+  'item values of several types; the widest of text, float, integer counts' AS reason,
   string_agg(DISTINCT CASE WHEN l_linenumber % 2 = 0 THEN 'INT64' ELSE 'FLOAT64' END, ','
     ORDER BY CASE WHEN l_linenumber % 2 = 0 THEN 'INT64' ELSE 'FLOAT64' END) AS original_data_types,
   'item_params(all_events)' AS events_involved

@@ -22,6 +22,7 @@ from tidemark.operators.skew import (
     left_join,
     null_safe,
     prefixed,
+    quoted,
 )
 
 SEQUENCE_COLUMNS = [
@@ -55,12 +56,15 @@ def distinct_days(*frames: DataFrame) -> list[date]:
 def renumber(history: DataFrame, fresh: DataFrame, start: date, end: date) -> DayChange:
     """Event-level rows of ``[start, end]`` replaced by ``fresh`` (not numbered yet).
 
-    Rows after ``end`` are numbered anew, rows before ``start`` only feed the numbers.
+    Rows after ``end`` of users that the range touches are numbered anew; those of other users
+    are copied if their day is written again. Rows before ``start`` only feed the numbers.
     """
     earlier = history.where(F.col("event_date") < F.lit(start))
     removed = history.where(F.col("event_date").between(F.lit(start), F.lit(end)))
-    later = history.where(F.col("event_date") > F.lit(end)).drop(*SEQUENCE_COLUMNS)
+    after = history.where(F.col("event_date") > F.lit(end))
     fresh = cut_lineage(fresh)
+    touched_users = cut_lineage(fresh.select(*USER).union(removed.select(*USER)).distinct())
+    later = semi_null_safe(after, touched_users, USER).drop(*SEQUENCE_COLUMNS)
     tail = fresh.unionByName(later, allowMissingColumns=True)
 
     users = tail.select(*USER).distinct()
@@ -127,6 +131,12 @@ def renumber(history: DataFrame, fresh: DataFrame, start: date, end: date) -> Da
     boundary_days = distinct_days(changed)
     rows = linked.drop("session_carry")
     days = sorted({*boundary_days, *distinct_days(linked)})
+    later_days = [day for day in days if day > end]
+    if later_days:
+        side = prefixed(touched_users, USER)
+        others = after.where(F.col("event_date").isin(later_days))
+        others = others.join(side, null_safe(others, side, USER), "left_anti")
+        rows = rows.unionByName(others, allowMissingColumns=True)
     if boundary_days:
         kept = earlier.where(F.col("event_date").isin(boundary_days))
         side = prefixed(changed.select(*ROW_KEY, "new_next", F.lit(True).alias("_hit")), ROW_KEY)
@@ -134,7 +144,7 @@ def renumber(history: DataFrame, fresh: DataFrame, start: date, end: date) -> Da
             "next_hostname_norm",
             F.when(F.col("_hit"), F.col("new_next")).otherwise(F.col("next_hostname_norm")),
         )
-        rows = rows.unionByName(updated.select(*kept.columns), allowMissingColumns=True)
+        rows = rows.unionByName(updated.select(*quoted(kept.columns)), allowMissingColumns=True)
     return DayChange(rows, days)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as S
 from tidemark.operators.evolve import conform
+from tidemark.operators.skew import quoted
 from tidemark.sources.shards import empty
 
 COLUMNS_FILE = "_columns.json"
@@ -99,7 +100,7 @@ class TableStore:
             return empty(self.spark, default)
         columns = self.columns(table)
         frame = self.spark.read.schema(S.ddl(columns)).parquet(f"{self.root}/{table}/{version}")
-        return frame.select(*[f"`{c}`" for c in columns])
+        return frame.select(*quoted(columns))
 
     # -- writes --------------------------------------------------------------------------
 

@@ -14,7 +14,8 @@ def _columns(text: str) -> dict[str, str]:
 
 def ddl(columns: dict[str, str]) -> str:
     """Spark DDL text of a column mapping."""
-    return ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
+    quoted = {name: name.replace("`", "``") for name in columns}
+    return ", ".join(f"`{quoted[name]}` {kind}" for name, kind in columns.items())
 
 
 # ---------------------------------------------------------------------------
@@ -218,20 +219,15 @@ ALWAYS_REGISTERED = ("search", "search_term", STRING)
 LOOKBACK_DAYS = 180
 REPLAY_PREFIX = "https://clarity.microsoft.com/player/"
 
-# Wording of log rows.
-REASON_TYPE_UNIFIED = (
-    "Multiple data types found, unified by priority rule (STRING > FLOAT64 > INT64)"
-)
-REASON_ITEM_TYPE_UNIFIED = (
-    "Multiple data types found in item_params, unified by priority rule "
-    "(STRING > FLOAT64 > INT64)"
-)
-REASON_PARAM_ADDED = "Step 0.75: New parameter added"
-REASON_ITEM_PARAM_ADDED = "Step 0.7: New item_param added to micro_items_table"
-REASON_INTEGRATED = "Schema evolution: new parameter detected"
+# Wording of log rows.
+REASON_TYPE_UNIFIED = "values of several types; the widest type of text, float, integer counts"
+REASON_ITEM_TYPE_UNIFIED = "item values of several types; the widest of text, float, integer counts"
+REASON_PARAM_ADDED = "new event parameter"
+REASON_ITEM_PARAM_ADDED = "new item parameter"
+REASON_INTEGRATED = "new event parameter became a column"
 
 # ---------------------------------------------------------------------------
-# Output tables
+# Output tables (fixed values: table and column names)
 # ---------------------------------------------------------------------------
 
 STANDARD_COLUMNS = [

@@ -41,6 +41,18 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
     return read_sharded(spark, path, S.USERS)
 
 
+def bytes_of(spark: SparkSession, path: str, start: str, end: str) -> int:
+    """Bytes of the shard folders in the range, from the file system's own summary."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    total = 0
+    for folder in fs.listStatus(root):
+        name = folder.getPath().getName()
+        if name.startswith("shard=") and start <= name.removeprefix("shard=") <= end:
+            total += fs.getContentSummary(folder.getPath()).getLength()
+    return total
+
+
 def if_present(read, spark: SparkSession, path: str | None) -> DataFrame | None:
     """A dataset that may be absent."""
     if path is None:
