@@ -17,8 +17,9 @@ small after one step, and its sketch falls short of the margin with probability
 Links need not be listed for components: of a node's candidate pairs the first round checks a
 spanning forest only, most similar pairs first. A second round checks every candidate pair
 whose ends are still in different components. So a group of thousands of near copies costs a
-link a document and tree, not all pairs, and no candidate goes unchecked. Nodes are bounded;
-candidates, links and components are tables throughout.
+link a document, not all pairs, and no candidate goes unchecked. Documents carry the list of
+their nodes, and a pair that meets in several counts in the first of them only. Nodes are
+bounded; candidates, links and components are tables throughout.
 
 Defined cases: documents without words have the empty set and link with nothing; so do those
 with a null id; rows with equal ids are one vertex (linked if any of their texts is); a text of
@@ -106,7 +107,7 @@ def signatures(docs: DataFrame, size: int = SHINGLE, trees: int = TREES) -> Data
             for s in range(STEPS):
                 node = path[:, t, s] = W.mix(W.mix(node) ^ W.mix(low[:, t * STEPS + s]))
         paths = np.zeros((len(sets), trees * STEPS), np.uint64)
-        paths[full] = path.reshape(len(full), -1)
+        paths[full] = path.reshape(len(full), trees * STEPS)
         sketch = [x.tobytes() for x in sketches]
         steps = np.arange(len(sets) + 1) * trees * STEPS
         return pa.RecordBatch.from_arrays(
@@ -191,11 +192,18 @@ def _least(used: np.ndarray, union: np.ndarray) -> np.ndarray:
     return linked - MARGIN * np.sqrt(linked * (1 - linked) * (left + 0.02) / np.maximum(1, used))
 
 
+def _first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest number that is in both rows a[i], b[i]; zeros are empty places."""
+    shared = ((a[:, :, None] == b[:, None, :]) & (a != 0)[:, :, None]).any(axis=2)
+    return np.where(shared, a, np.iinfo(np.int64).max).min(axis=1)
+
+
 def candidates(rows: DataFrame, forest: bool) -> DataFrame:
     """Distinct pairs (a < b) within nodes whose sketches come near the threshold.
 
-    ``rows``: (node, rid, n_shingles, sketch, component). With ``forest`` a spanning forest of
-    each node's pairs; without, all pairs of different components."""
+    ``rows``: (node, rid, n_shingles, sketch, nodes, component), ``nodes`` being all nodes of
+    the document. With ``forest`` a spanning forest of each node's pairs; without, all pairs of
+    different components."""
 
     def compare(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         node = part.column("node").to_numpy()
@@ -203,6 +211,14 @@ def candidates(rows: DataFrame, forest: bool) -> DataFrame:
         n = part.column("n_shingles").to_numpy()
         component = part.column("component").to_numpy()
         sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        lists = part.column("nodes")
+        bounds = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+        many = np.diff(bounds)
+        nodes_of = np.zeros((len(node), int(many.max())), np.int64)
+        nodes_of[np.repeat(np.arange(len(node)), many), np.arange(bounds[-1]) - np.repeat(bounds[:-1], many)] = (
+            lists.flatten().to_numpy()
+        )
+        at_once = max(1, 4_000_000 // nodes_of.shape[1] ** 2)
         starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
         sizes = np.diff(np.r_[starts, len(node)])
         found: list[np.ndarray] = []
@@ -221,6 +237,12 @@ def candidates(rows: DataFrame, forest: bool) -> DataFrame:
             union = (n[i] + n[j]) / (1 + LINKED[0] / LINKED[1])  # of a pair at the threshold
             close = same >= _least(used, union)
             i, j, same = i[close], j[close], same[close]
+            first = np.concatenate([
+                _first_common(nodes_of[i[k : k + at_once]], nodes_of[j[k : k + at_once]])
+                for k in range(0, max(1, len(i)), at_once)
+            ])
+            here = first == node[i]
+            i, j, same = i[here], j[here], same[here]
             if forest and len(i):
                 s, m = group[0][0], group[-1][0] + group[-1][1] - group[0][0]
                 keep = _forest(i - s, j - s, same, m)
@@ -247,7 +269,7 @@ def candidates(rows: DataFrame, forest: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     ordered = rows.repartition("node").sortWithinPartitions("node")
-    return map_batches(ordered, run, "a long, b long").distinct()
+    return map_batches(ordered, run, "a long, b long")
 
 
 def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -299,7 +321,8 @@ def components(docs: DataFrame, size: int = SHINGLE, trees: int = TREES,
     repeated = of_doc.join(least.where("a < _top"), "doc_id").select("a", F.col("rid").alias("b"))
 
     leaves = cut(nodes(vertices, trees, node_rows), "leaves")
-    filled = leaves.join(vertices.select("rid", "n_shingles", "sketch"), "rid")
+    nodes_of = leaves.groupBy("rid").agg(F.collect_set("node").alias("nodes"))
+    filled = leaves.join(vertices.select("rid", "n_shingles", "sketch").join(nodes_of, "rid"), "rid")
     first = cut(candidates(filled.withColumn("component", F.lit(0).cast("long")), forest=True), "pairs")
     texts = texts_of(first, docs)  # a document of any candidate is in its node's forest
     checked = check(first, texts, size)
@@ -329,5 +352,5 @@ def components(docs: DataFrame, size: int = SHINGLE, trees: int = TREES,
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, one of each component (ids must name single rows)."""
-    gone = components(docs).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = components(docs).where("not kept").select(F.col("doc_id").alias("__gone__"))
+    return docs.join(gone, F.col("doc_id") == F.col("__gone__"), "left_anti")
