@@ -68,6 +68,8 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.files.minPartitionNum", CPUS)
+        .config("spark.sql.files.openCostInBytes", "65536")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 from tests import fixtures as X
 from tidemark.operators.skew import hot_groups
-from tidemark.plans.batch import BatchConfig, append_snapshot, current_metrics, run_batch
+from tidemark.plans.batch import (
+    BatchConfig,
+    append_snapshot,
+    current_metrics,
+    recovery_list,
+    run_batch,
+    snapshot_run,
+)
 from tidemark.plans.store import TableStore
 from tidemark.sources.shards import bytes_of
 
@@ -346,3 +353,22 @@ def test_snapshot_log(spark, sample, tmp_path):
     append_snapshot(store, config(tmp_path, "20260501", "20260501"), "daily", None, empty, after)
     row = store.read("log_daily_batch_schema_snapshot").first()
     assert row.pre_change_fields == "" and len(row.post_change_fields.split(",")) == 4
+
+
+def test_snapshots_are_read_back_and_skipped_days_recovered(spark, tmp_path):
+    events = str(tmp_path / "events")
+    store = TableStore(spark, str(tmp_path / "out"))
+    for day in ("20260502", "20260501", "20260420"):  # nothing there yet
+        run_batch(spark, config(tmp_path, day, day, users_path=None))
+    assert recovery_list(store, events, "20260503") == []
+    X.write_sharded(X.events_frame(spark, X.sample_events()), tmp_path / "events")
+    assert recovery_list(store, events, "20260503") == ["20260501", "20260502"]
+    cfg = config(tmp_path, "20260501", "20260501", users_path=None)
+    before = current_metrics(store)
+    assert all_good(run_batch(spark, cfg).first())
+    snapshot_run(store, cfg, "daily", before)
+    assert recovery_list(store, events, "20260503") == ["20260502"]
+    snapshot_run(store, cfg, "daily", current_metrics(store))
+    rows = store.read("log_daily_batch_schema_snapshot").orderBy("snapshot_at").collect()
+    assert [(r.pre_change_fields, r.post_change_fields == "") for r in rows] == [("", False), ("", True)]
+    assert "mst_event_params_cnt" in rows[0].post_change_fields

@@ -21,6 +21,7 @@ from tidemark.operators import items as N
 from tidemark.operators import micro as M
 from tidemark.operators import registry as R
 from tidemark.operators.skew import cut_lineage, hot_groups, working_in
+from tidemark.plans import control
 from tidemark.plans.control import schema_drift
 from tidemark.plans.incremental import SEQUENCE_COLUMNS, renumber, renumber_items
 from tidemark.plans.store import TableStore, days_between
@@ -32,6 +33,7 @@ ERROR_CHARS = 500
 UTC_NAMES = {"UTC", "Etc/UTC", "Z", "GMT", "+00:00"}
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 SCANNED_BYTES_PER_PARTITION = 128 << 20
+RECOVERY_DAYS = 7
 EVENT_TABLES = "event_tables"
 USER_CLUSTER = ["user_pseudo_id", "user_id"]
 ITEM_CLUSTER = ["user_pseudo_id", "item_id", "event_name"]
@@ -445,3 +447,29 @@ def append_snapshot(
     )
     row = store.spark.createDataFrame([values], S.ddl(S.SNAPSHOT_LOG))
     store.append("log_daily_batch_schema_snapshot", row, S.SNAPSHOT_LOG)
+
+
+def snapshot_run(
+    store: TableStore, cfg: BatchConfig, trigger: str, before: dict, rerun: bool = False
+) -> None:
+    """Snapshot of a run that has ended, compared with ``before`` (its start) and with the newest
+    snapshot in the log."""
+    log = store.read("log_daily_batch_schema_snapshot", S.SNAPSHOT_LOG)
+    last = control.latest(log, "snapshot_at", ["start_date"]).first()
+    metrics = control.COUNT_METRICS + control.WIDTH_METRICS
+    previous = {m: last[m] for m in metrics} if last else None
+    append_snapshot(store, cfg, trigger, previous, before, current_metrics(store), rerun)
+
+
+def recovery_list(
+    store: TableStore, events_path: str, today: str, look_back: int = RECOVERY_DAYS
+) -> list[str]:
+    """Days of the last ``look_back`` that runs skipped and whose shards have rows now, in order."""
+    cutoff = shift_day(today, -look_back)
+    events = shards.if_present(shards.read_events, store.spark, events_path)
+    if events is None:
+        return []
+    counts = shards.shard_counts(shards.in_shards(events, cutoff, today))
+    log = store.read("log_batch_execution", S.RUN_LOG)
+    days = control.recoverable_days(log, counts, cutoff).orderBy("end_date")
+    return [row[0] for row in days.collect()]
