@@ -41,6 +41,7 @@ TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}"
 IDENTIFIER = r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z_]{8,}|[0-9]{8,})(?![A-Za-z0-9+/_-])"
 #: Log-likelihood ratio from which a token is random: e**10 to one.
 THRESHOLD = 10.0
+PRIOR = 20
 _CODES = len(ALPHABET) + 1
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 
@@ -78,9 +79,10 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def _pairs(values: DataFrame) -> DataFrame:
-    """(pair, n): how often each pair of neighbouring characters occurs in (value)."""
+    """(pair, n): how many values hold each pair of neighbouring characters, so that a long value
+    says no more than others."""
     return values.where(F.length("value") > 1).select(
-        F.explode(_pair_codes(F.col("value"))).alias("pair")
+        F.explode(F.array_distinct(_pair_codes(F.col("value")))).alias("pair")
     ).groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -94,17 +96,19 @@ def _pair_codes(value: Column) -> Column:
 
 
 def _conditional(counts: dict[int, int]) -> list[float]:
-    """log P(second | first) with one added to each count."""
-    out = []
-    for a in range(_CODES):
-        row = [counts.get(a * _CODES + b, 0) + 1 for b in range(_CODES)]
-        out += [math.log(n / sum(row)) for n in row]
-    return out
+    """log P(second | first), smoothed by ``PRIOR`` characters of the model's own frequencies."""
+    table = [[counts.get(a * _CODES + b, 0) for b in range(_CODES)] for a in range(_CODES)]
+    single = [sum(column) + 1 for column in zip(*table, strict=True)]
+    total = sum(single)
+    return [
+        math.log((n + PRIOR * single[b] / total) / (sum(row) + PRIOR))
+        for row in table for b, n in enumerate(row)
+    ]
 
 
 def train(found: DataFrame, docs: DataFrame) -> list[float]:
     """Log-likelihood ratio, random to ordinary, of each pair of characters."""
-    values = found.select(F.explode(F.concat("assign", "access", "hex")).alias("s")).select("s.value")
+    values = found.select(F.explode(F.concat("assign", "access", "hex")).alias("s")).select("s.value").distinct()
     words = docs.select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("value"))
     both = [_conditional({r.pair: r.n for r in _pairs(x).collect()}) for x in (values, words)]
     return [a - b for a, b in zip(*both, strict=True)]
