@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.work import cut, drop, map_arrow, map_batches, whole_groups
+from tidemark.llm.work import columns, cut, ddl, drop, map_arrow, map_batches, whole_groups
 
 #: An anchor with more variants is dealt out by single windows.
 MOST_VARIANTS = 10_000
@@ -103,10 +103,10 @@ def segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 def _contents(docs: DataFrame, picked: DataFrame, length: int) -> DataFrame:
     """picked with the words of each variant, cut from the document of its first place."""
-    wanted = picked.groupBy(F.col("doc_id").alias("_id")).agg(
+    wanted = picked.groupBy(F.col("doc_id").alias("__id__")).agg(
         F.collect_list(F.struct("anchor", "variant", "at", "shape", "variants")).alias("wanted")
     )  # a list is at most as long as its document
-    rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("__id__"))).drop("__id__")
     names = ["anchor", "variant", "at", "shape", "variants"]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -194,12 +194,18 @@ def _compared_by_window(rows: DataFrame, length: int) -> DataFrame:
 def marks(
     docs: DataFrame, length: int, gram: int, compare: Compare, most_variants: int = MOST_VARIANTS
 ) -> DataFrame:
-    """(_id, marks): for each document with any, the segments and masks of repeating windows."""
+    """(__id__, __marks__): for each document with any, the segments and masks of repeating windows."""
     key = ["anchor", "variant"]
     rows = segments(docs, length, gram)
-    shared = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # each side of a join that meets hot anchors is a table or a scan, so Spark can split them
+    shared = cut(
+        rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "shared"
+    )
     rows = cut(rows.join(shared, "anchor"), "segments")
-    firsts = rows.groupBy(*key).agg(F.min(F.struct("doc_id", "at", "shape")).alias("first"))
+    drop(shared)
+    firsts = cut(
+        rows.groupBy(*key).agg(F.min(F.struct("doc_id", "at", "shape")).alias("first")), "firsts"
+    )
     several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("variants")).where("variants > 1")
     picked = firsts.join(several, "anchor").select(*key, "first.*", "variants")
     contents = cut(_contents(docs, picked, length).dropDuplicates([*key]), "variants")
@@ -208,15 +214,13 @@ def marks(
     )
     masks = cut(masks, "masks")
     drop(contents)
-    judged = firsts.join(masks, key, "left")
     is_first = F.struct("doc_id", "at").eqNullSafe(F.struct("first.doc_id", "first.at"))
-    windows = F.shiftright("shape", 8)
-    whole = F.call_function("shiftleft", F.lit(1).cast("long"), windows) - 1
-    marked = rows.join(judged, key).select(
-        F.col("doc_id").alias("_id"), "at",
-        F.when(is_first, F.coalesce("mask", F.lit(0).cast("long"))).otherwise(whole).alias("mask"),
-    ).where("mask <> 0")
-    return marked.groupBy("_id").agg(F.collect_list(F.struct("at", "mask")).alias("marks"))
+    whole = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("shape", 8)) - 1
+    copies = rows.join(firsts, key).where(~is_first).select(
+        F.col("doc_id").alias("__id__"), "at", whole.alias("mask")
+    )
+    marked = copies.union(firsts.join(masks, key).select("first.doc_id", "first.at", "mask"))
+    return marked.groupBy("__id__").agg(F.collect_list(F.struct("at", "mask")).alias("__marks__"))
 
 
 def strip(
@@ -225,10 +229,10 @@ def strip(
     """docs with ``text`` cut down to the kept words, n_words and n_removed."""
     names = [c for c in docs.columns if c not in ("n_words", "n_removed")]
     found = cut(marks(docs, length, gram, compare, most_variants), "marks")
-    rows = docs.select(names).join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    rows = docs.select(columns(names)).join(found, F.col("doc_id").eqNullSafe(F.col("__id__")), "left").drop("__id__")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = batch.column("marks")
+        lists = batch.column("__marks__")
         flat, bounds = lists.flatten(), np.asarray(lists.offsets) - lists.offsets[0].as_py()
         at, mask = flat.field("at").to_numpy(), flat.field("mask").to_numpy()
         texts, n, removed = [], [], []
@@ -261,8 +265,8 @@ def strip(
             [*names, "n_words", "n_removed"],
         )
 
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(names).schema)
-    return map_arrow(rows, work, f"{columns}, n_words long, n_removed long")
+    kept = docs.select(columns(names))
+    return map_arrow(rows, work, f"{ddl(kept)}, n_words long, n_removed long")
 
 
 def digest(stripped: DataFrame) -> DataFrame:
