@@ -50,6 +50,8 @@ SKETCH = 1 << SKETCH_BITS
 #: Standard deviations by which a candidate's estimate may fall short of the threshold.
 MARGIN = 4.7
 PAIRS_AT_ONCE = 50_000
+#: Pairs whose sketches lie side by side in memory.
+SKETCHES_AT_ONCE = 8_000
 
 _random = np.random.Generator(np.random.PCG64(7))
 _XOR = _random.integers(0, 2**64 - 1, 1024, dtype=np.uint64)
@@ -155,11 +157,15 @@ def nodes(vertices: DataFrame, trees: int = TREES, node_rows: int = NODE_ROWS) -
     return leaves.union(pairs)
 
 
-@functools.cache
-def _all_pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
+@functools.lru_cache(64)  # of small nodes; those of large ones are as large as the pairs
+def _small_pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.triu_indices(n, 1)
 
 
+def _all_pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _small_pairs(n) if n <= 64 else np.triu_indices(n, 1)
+
+
 def _forest(a: np.ndarray, b: np.ndarray, same: np.ndarray, n: int) -> list[int]:
     """Indices of the pairs of a spanning forest over rows 0..n-1, most similar pairs first."""
     parent = list(range(n))
@@ -231,8 +237,8 @@ def candidates(rows: DataFrame, forest: bool) -> DataFrame:
             if not forest:
                 near &= component[i] != component[j]
             i, j = i[near], j[near]
-            parts = [_estimate(sketch[i[k : k + PAIRS_AT_ONCE]], sketch[j[k : k + PAIRS_AT_ONCE]])
-                     for k in range(0, max(1, len(i)), PAIRS_AT_ONCE)]
+            parts = [_estimate(sketch[i[k : k + SKETCHES_AT_ONCE]], sketch[j[k : k + SKETCHES_AT_ONCE]])
+                     for k in range(0, max(1, len(i)), SKETCHES_AT_ONCE)]
             same, used = (np.concatenate(x) for x in zip(*parts, strict=True))
             union = (n[i] + n[j]) / (1 + LINKED[0] / LINKED[1])  # of a pair at the threshold
             close = same >= _least(used, union)
