@@ -4,6 +4,8 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute
@@ -110,6 +112,31 @@ def test_toxicity_held_out_labels_are_not_read(spark):
     assert scores(labels) == scores(flipped)
 
 
+def test_toxicity_tells_all_words_apart(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", 5000)
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{rng.randrange(50_000)}" for _ in range(40)) + " fiend" * (i % 4 == 0)) for i in range(2000)]
+    many = [(5000 + i, " ".join(f"v{j}" for j in range(i * 60_000, (i + 1) * 60_000))) for i in range(5)]
+    rows += [(None, "W1 w1 fiend"), (9000, None), *many]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = toxicity.counts(frame, np.arange(1000), (np.arange(1000) % 4 == 0).astype(int))
+    words_of = [(d, t.lower().split()) for d, t in rows if t]
+    want = [Counter(), Counter(), Counter()]
+    for doc, of in words_of:
+        want[2].update(set(of))
+        if doc is not None and doc < 1000:
+            want[doc % 4 == 0].update(of)
+    distinct = sorted(want[2])
+    run = next(words.split(pa.array([" ".join(distinct)]), "alnum", fold=True))
+    hashes = run.hashes().view(np.int64).tolist()
+    got = {r.word: (r.ordinary, r.toxic, r.documents) for r in found.collect()}
+    assert got == {h: tuple(int(w[x]) for w in want) for h, x in zip(hashes, distinct, strict=True)}
+    model = toxicity.Model(found)  # a word of no labelled document weighs nothing, whatever its neighbours
+    run = next(words.split(pa.array(["fiend", many[0][1], "w1"]), "alnum", fold=True))
+    features = model.features(run)
+    assert features[0, 0, 0] > 2 and not features[1].any()
+
+
 def test_toxicity_without_labels(spark, docs, empty, clashing):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity.report(docs, none).collect()} == {0.5}

@@ -15,9 +15,10 @@ chooses among the discounts by likelihood.
 
 Class counts come from a bounded sample of labelled rows (``max_labelled``, those of smallest
 hashes), of which a third by a hash of the id is set aside for calibration; the shared counts
-come from every document. Counts are arrays over word hashes of fixed length, so what is
-broadcast has a fixed size. Tasks send the blocks of their arrays that are not empty; these are
-summed on the executors, and the sums alone reach the driver.
+come from every document. All counts are one table, a row for each 64-bit word hash of the
+corpus, so it grows with the vocabulary; tasks sum their own words before the shuffle. Only
+words that a class has shown more often than the least discount can weigh anything: these, of
+the bounded sample, are collected and broadcast with their ratios.
 
 Defined cases: null text is empty; an empty text has no evidence; a null label is no label, and
 a document with several labels is toxic if one says so; rows with equal ids are scored one by
@@ -36,10 +37,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.work import columns, cut, ddl, map_arrow, map_batches
+from tidemark.llm.work import columns, cut, ddl, drop, map_arrow, map_batches
 
-WORD_BITS = 20
-BLOCK = 1 << 14
+#: Words whose counts a task holds before it sends them on.
+WORDS_AT_ONCE = 1 << 20
+ROWS_OF_BATCH = 1 << 16
 DISCOUNTS = (0.75, 1.5, 3.0, 6.0, 12.0, 25.0)
 STRONG = 2.0
 MAX_LABELLED = 250_000
@@ -49,54 +51,78 @@ FEATURE_SETS = ([0, 1], [0, 2, 3])
 _COUNTS = ("ordinary", "toxic", "documents")
 
 
-def _hashed(run: W.Words) -> np.ndarray:
-    return (run.hashes() >> W.U64(64 - WORD_BITS)).astype(np.int64)
-
-
 def _row_numbers(run: W.Words) -> np.ndarray:
     return np.repeat(np.arange(len(run)), np.diff(run.offsets))
 
 
-def count(run: W.Words, label: np.ndarray, sums: np.ndarray) -> None:
-    """Add a run of documents: words of the labelled ones by class (0, 1; -1 for none), and the
-    documents of each word."""
-    size = 1 << WORD_BITS
-    word, row = _hashed(run), _row_numbers(run)
+def count(run: W.Words, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words of a run of documents, and three counts of each: in documents of either
+    label (0, 1; -1 for none), and the documents that hold it."""
+    word, at = np.unique(run.hashes(), return_inverse=True)
+    row = _row_numbers(run)
+    sums = np.zeros((3, len(word)), np.int64)
     for c in (0, 1):
-        chosen = word[label[row] == c]
-        if len(chosen):
-            sums[c] += np.bincount(chosen, minlength=size)
-    once = np.sort(row * size + word)
-    once = once[np.r_[True, once[1:] != once[:-1]]] if len(once) else once
-    np.add.at(sums[2], once % size, 1)
+        sums[c] = np.bincount(at[label[row] == c], minlength=len(word))
+    once = np.unique(row * len(word) + at)
+    sums[2] = np.bincount(once % max(1, len(word)), minlength=len(word))
+    return word, sums
 
 
-class Model:
-    """Log-likelihood ratios of all word hashes, for each discount."""
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    word, sums = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts], axis=1)
+    order = np.argsort(word)
+    word, sums = word[order], sums[:, order]
+    first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else order
+    return word[first], np.add.reduceat(sums, first, axis=1) if len(word) else sums
 
-    def __init__(self, sums: np.ndarray):
-        counts = sums[:2].astype(float)
-        size = counts.sum(axis=1)
-        shared = (sums[2] + 0.5) / (sums[2].sum() + 0.5 * sums.shape[1])
-        self.ratios = np.zeros((len(DISCOUNTS), sums.shape[1]), np.float32)
+
+class Model:
+    """Log-likelihood ratios of the words that have one, for each discount."""
+
+    def __init__(self, table: DataFrame):
+        """Of a table of :func:`counts`."""
+        total = table.agg(
+            *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS)
+        ).first()
+        size = np.array([total.ordinary, total.toxic], float)
+        self.words, self.ratios = np.zeros(0, np.int64), np.zeros((len(DISCOUNTS), 1), np.float32)
         if not size.all():
             return
-        for ratio, discount in zip(self.ratios, DISCOUNTS, strict=True):
-            taken = discount * size / size.min()
+        taken = np.outer(DISCOUNTS, size / size.min())  # (discount, class)
+        kept = table.agg(*(
+            F.sum(F.least(F.col(c).cast("double"), F.lit(float(t)))).alias(f"{c}{k}")
+            for k, row in enumerate(taken) for c, t in zip(_COUNTS, row, strict=False)
+        )).first()
+        least = taken.min(axis=0)
+        seen = (F.col("ordinary") > float(least[0])) | (F.col("toxic") > float(least[1]))
+        rows = table.where(seen).toArrow()  # of the bounded sample
+        word, ordinary, toxic, documents = (rows.column(c).to_numpy() for c in ("word", *_COUNTS))
+        order = np.argsort(word)
+        self.words, shared = word[order], documents[order] / total.documents
+        counts = np.stack([ordinary, toxic])[:, order].astype(float)
+        self.ratios = np.zeros((len(DISCOUNTS), len(word) + 1), np.float32)  # the last is of all others
+        for k, ratio in enumerate(self.ratios):
             log = []
             for c in (0, 1):
-                left = np.minimum(counts[c], taken[c]).sum() / size[c]
-                log.append(np.log(np.maximum(counts[c] - taken[c], 0) / size[c] + left * shared))
-            seen = (counts > taken[:, None]).any(axis=0)
-            ratio[:] = np.where(seen, log[1] - log[0], 0)
+                left = kept[f"{_COUNTS[c]}{k}"] / size[c]
+                log.append(np.log(np.maximum(counts[c] - taken[k, c], 0) / size[c] + left * shared))
+            ratio[:-1] = np.where((counts > taken[k][:, None]).any(axis=0), log[1] - log[0], 0)
+
+    def places(self, run: W.Words) -> np.ndarray:
+        """The place of each word of the run in the ratios."""
+        word, n = run.hashes().view(np.int64), len(self.words)
+        if not n:
+            return np.zeros(len(word), np.int64)
+        at = np.searchsorted(self.words, word)
+        return np.where(self.words[np.minimum(at, n - 1)] == word, at, n)
 
     def features(self, run: W.Words) -> np.ndarray:
         """(document, discount, feature)."""
-        word, row, n = _hashed(run), _row_numbers(run), np.diff(run.offsets)
+        place, row, n = self.places(run), _row_numbers(run), np.diff(run.offsets)
         out = np.zeros((len(run), len(DISCOUNTS), 4))
         length = np.maximum(1, n)
         for k, ratio in enumerate(self.ratios):
-            found = ratio[word]
+            found = ratio[place]
             total = np.bincount(row, found, len(run))
             strong = np.bincount(row, np.maximum(found - STRONG, 0), len(run))
             out[:, k] = np.stack(
@@ -121,14 +147,21 @@ def _set_aside(ids: np.ndarray) -> np.ndarray:
     return W.mix(ids.view(np.uint64)) % W.U64(3) == 0
 
 
-def counts(docs: DataFrame, ids: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """The three count arrays, over all documents."""
+def counts(docs: DataFrame, ids: np.ndarray, toxic: np.ndarray) -> DataFrame:
+    """(word, ordinary, toxic, documents) of every word hash of all documents, written once."""
     shared = docs.sparkSession.sparkContext.broadcast((ids, toxic))
-    size = 1 << WORD_BITS
+
+    def sent(word: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(word), ROWS_OF_BATCH):
+            part = slice(k, k + ROWS_OF_BATCH)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[part]) for x in (word.view(np.int64), *sums)], ["word", *_COUNTS]
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, label = shared.value
-        sums = np.zeros((3, size), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
         for batch in batches:
             own = batch.column("doc_id").cast(pa.int64()).fill_null(-1).to_numpy()
             given = np.full(len(own), -1)
@@ -137,42 +170,20 @@ def counts(docs: DataFrame, ids: np.ndarray, toxic: np.ndarray) -> np.ndarray:
                 given = np.where(known[at] == own, label[at], -1)
                 given[np.asarray(batch.column("doc_id").is_null())] = -1
             for words in W.split(batch.column("text"), "alnum", fold=True):
-                count(words, given[words.first_row : words.first_row + len(words)], sums)
-        blocks = sums.reshape(-1, BLOCK)
-        full = np.flatnonzero(blocks.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(full.astype(np.int32)),
-             pa.array([b.astype("<i4").tobytes() for b in blocks[full]], pa.binary())],
-            ["block", "counts"],
-        )
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, total = None, np.zeros(BLOCK, np.int64)
-
-        def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-                ["block", "counts"],
-            )
-
-        for batch in batches:
-            for b, values in zip(*(batch.column(c).to_pylist() for c in ("block", "counts")), strict=True):
-                if b != block:
-                    if block is not None:
-                        yield done()
-                    block, total = b, np.zeros(BLOCK, np.int64)
-                total += np.frombuffer(values, "<i4")
-        if block is not None:
-            yield done()
-
-    parts = map_batches(docs.select("doc_id", "text"), run, "block int, counts binary")
-    sums = map_batches(
-        parts.repartition("block").sortWithinPartitions("block"), add, "block int, counts binary"
-    )
-    out = np.zeros((3 * size // BLOCK, BLOCK), np.int64)
-    for row in sums.collect():
-        out[row.block] = np.frombuffer(row.counts, np.int64)
-    return out.reshape(3, size)
+                parts.append(count(words, given[words.first_row : words.first_row + len(words)]))
+                held += len(parts[-1][0])
+                if held > WORDS_AT_ONCE:
+                    parts = [_summed(parts)]
+                    held = len(parts[0][0])
+                    if held > WORDS_AT_ONCE // 2:
+                        yield from sent(*parts[0])
+                        parts, held = [], 0
+        if parts:
+            yield from sent(*_summed(parts))
+
+    schema = f"word long, {', '.join(f'{c} long' for c in _COUNTS)}"
+    found = map_batches(docs.select("doc_id", "text"), run, schema)
+    return cut(found.groupBy("word").agg(*(F.sum(c).alias(c) for c in _COUNTS)), "words")
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> tuple[list[float], float]:
@@ -219,7 +230,9 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     spark = docs.sparkSession
     ids, toxic = _labelled(labels, train_rows(), max_labelled)
     aside = _set_aside(ids)
-    model = spark.sparkContext.broadcast(Model(counts(docs, ids[~aside], toxic[~aside])))
+    table = counts(docs, ids[~aside], toxic[~aside])
+    model = spark.sparkContext.broadcast(Model(table))
+    drop(table)
     names = [c for c in docs.columns if c not in ("text", "__features__")]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
