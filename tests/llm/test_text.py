@@ -137,6 +137,38 @@ def test_toxicity_tells_all_words_apart(spark, monkeypatch):
     assert features[0, 0, 0] > 2 and not features[1].any()
 
 
+def test_toxicity_learns_expressions_of_ordinary_words(spark):
+    rng = random.Random(4)
+    plain = ["".join(rng.choice("aeioulnrst") for _ in range(5)) for _ in range(300)]
+    rows = []
+    for i in range(1500):
+        text = [rng.choice(plain) for _ in range(rng.randrange(20, 120))]
+        for _ in range(max(2, len(text) // 25)):  # both words as often in every document
+            pair = [["silver", "lamp"]] if i % 5 == 0 else [["silver"], ["lamp"]]
+            for part in pair:
+                at = rng.randrange(len(text))
+                text[at:at] = part
+        rows.append((i, " ".join(text)))
+    ordinary = [i for i, t in rows if i % 5 and "silver lamp" not in t]
+    found = {r.doc_id: r for r in toxicity.report(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int")).collect()}
+    held = [i for i in found if found[i].held_out and (i % 5 == 0 or i in ordinary)]
+    assert sum(found[i].predicted == int(i % 5 == 0) for i in held) >= 0.98 * len(held)
+
+
+def test_toxicity_left_contexts_are_distinct(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", 300)
+    before = {}
+    for run in words.split(pa.array([t for _, t in rows]), "alnum", fold=True):
+        h = run.hashes().view(np.int64).tolist()
+        for a, b in zip(run.offsets[:-1], run.offsets[1:], strict=True):
+            for left, word in zip(h[a : max(a, b - 1)], h[a + 1 : b], strict=True):
+                before.setdefault(word, set()).add(left)
+    found = toxicity.left_contexts(docs).collect()
+    assert {r.word: r.contexts for r in found} == {w: len(x) for w, x in before.items()}
+
+
 def test_toxicity_without_labels(spark, docs, empty, clashing):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity.report(docs, none).collect()} == {0.5}

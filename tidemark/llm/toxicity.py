@@ -8,10 +8,16 @@ rarely has the same backoff in both classes, and one that no class has shown mor
 discount weighs nothing. The discount is a share of the class's size, equal
 for both, since the classes differ in size.
 
-A document's features are its mean log-likelihood ratio and, again by its length, the evidence
-above ``STRONG`` of single words, so that a long text hides no insults. A logistic calibration
-turns them into a probability; it is fitted on labelled rows that the counts have not seen, and
-chooses among the discounts by likelihood.
+Expressions of words that are ordinary one by one are seen by a second model, whose history is
+the word before as well: P(word | word before, class). Its counts are the word pairs of the same
+labelled documents; the mass taken from a history goes to continuation counts that the classes
+share, the number of distinct words that precede the word in the whole corpus. A pair that
+neither class has shown twice weighs nothing. Pairs are the longest expressions that are counted.
+
+A document's features, of either model, are its mean log-likelihood ratio and, again by its
+length, the evidence above ``STRONG`` of single words or pairs, so that a long text hides no
+insults. A logistic calibration turns them into a probability; it is fitted on labelled rows that the counts have not seen, and
+chooses among the discounts, and whether pairs are used, by likelihood.
 
 Class counts come from a bounded sample of labelled rows (``max_labelled``, those of smallest
 hashes), of which a third by a hash of the id is set aside for calibration; the shared counts
@@ -28,6 +34,7 @@ other columns pass through :func:`reject` unchanged.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -47,7 +54,13 @@ STRONG = 2.0
 MAX_LABELLED = 250_000
 CUTOFF = 0.3
 #: Columns of the features that a calibration may use.
-FEATURE_SETS = ([0, 1], [0, 2, 3])
+FEATURE_SETS = ([0, 1], [0, 2, 3], [0, 1, 4, 5], [0, 2, 3, 4, 6, 7])
+FEATURES = 8
+#: Discounts of pairs; one that is shown once is no evidence.
+PAIR_DISCOUNTS = tuple(max(1.5, d) for d in DISCOUNTS)
+#: The corpus's distinct pairs are counted in so many scans, each of a share by hash, so that
+#: the shuffle of one fits the disk.
+PASSES = 4
 _COUNTS = ("ordinary", "toxic", "documents")
 
 
@@ -68,6 +81,13 @@ def count(run: W.Words, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return word, sums
 
 
+def _pairs(run: W.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words that follow another word of their document, and the hashes of the pairs."""
+    at = np.arange(int(run.offsets[-1]))
+    at = at[at > np.repeat(run.offsets[:-1], np.diff(run.offsets))]
+    return at, W.window_hashes(run.hashes(), 2)[at - 1]
+
+
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     word, sums = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts], axis=1)
     order = np.argsort(word)
@@ -76,8 +96,16 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return word[first], np.add.reduceat(sums, first, axis=1) if len(word) else sums
 
 
+def _found(keys: np.ndarray, sought: np.ndarray) -> np.ndarray:
+    """The place of each sought value in sorted keys; their number where it is missing."""
+    if not len(keys):
+        return np.zeros(len(sought), np.int64)
+    at = np.searchsorted(keys, sought)
+    return np.where(keys[np.minimum(at, len(keys) - 1)] == sought, at, len(keys))
+
+
 class Model:
-    """Log-likelihood ratios of the words that have one, for each discount."""
+    """Log-likelihood ratios of the words and pairs that have one, for each discount."""
 
     def __init__(self, table: DataFrame):
         """Of a table of :func:`counts`."""
@@ -86,6 +114,7 @@ class Model:
         ).first()
         size = np.array([total.ordinary, total.toxic], float)
         self.words, self.ratios = np.zeros(0, np.int64), np.zeros((len(DISCOUNTS), 1), np.float32)
+        self.pairs, self.pair_ratios = self.words, self.ratios
         if not size.all():
             return
         taken = np.outer(DISCOUNTS, size / size.min())  # (discount, class)
@@ -108,26 +137,57 @@ class Model:
                 log.append(np.log(np.maximum(counts[c] - taken[k, c], 0) / size[c] + left * shared))
             ratio[:-1] = np.where((counts > taken[k][:, None]).any(axis=0), log[1] - log[0], 0)
 
-    def places(self, run: W.Words) -> np.ndarray:
-        """The place of each word of the run in the ratios."""
-        word, n = run.hashes().view(np.int64), len(self.words)
-        if not n:
-            return np.zeros(len(word), np.int64)
-        at = np.searchsorted(self.words, word)
-        return np.where(self.words[np.minimum(at, n - 1)] == word, at, n)
+    def add_pairs(self, pairs: DataFrame, contexts: DataFrame) -> None:
+        """Of a table of :func:`pair_counts` and one of :func:`left_contexts`."""
+        size = pairs.agg(F.sum("ordinary"), F.sum("toxic")).first()
+        if not (size[0] and size[1]):
+            return
+        taken = np.outer(PAIR_DISCOUNTS, np.array(size, float) / min(size))
+        total = contexts.agg(F.sum("contexts")).first()[0]
+        least = taken.min(axis=0)
+        history = pairs.groupBy("left").agg(
+            *(F.sum(c).alias(f"{c}_size") for c in _COUNTS[:2]),
+            *(F.sum(F.least(F.col(c).cast("double"), F.lit(float(t)))).alias(f"{c}_{k}")
+              for k, row in enumerate(taken) for c, t in zip(_COUNTS, row, strict=False)),
+        )
+
+        def log(c: str, k: int, t: float) -> Column:
+            own = F.greatest(F.col(c) - F.lit(t), F.lit(0.0))
+            given = (own + F.col(f"{c}_{k}") * F.col("contexts") / F.lit(total)) / F.col(f"{c}_size")
+            return F.log(F.when(F.col(f"{c}_size") > 0, given).otherwise(F.col("contexts") / F.lit(total)))
+
+        ratios = []
+        for k, (o, t) in enumerate(taken.tolist()):
+            seen = (F.col("ordinary") > o) | (F.col("toxic") > t)
+            ratios.append(F.when(seen, log("toxic", k, t) - log("ordinary", k, o)).otherwise(0.0)
+                          .cast("float").alias(f"r{k}"))
+        rows = (
+            pairs.where((F.col("ordinary") > float(least[0])) | (F.col("toxic") > float(least[1])))
+            .join(history, "left").join(contexts, "word").select("pair", *ratios).toArrow()
+        )  # of the bounded sample
+        pair = rows.column("pair").to_numpy()
+        order = np.argsort(pair)
+        self.pairs = pair[order]
+        self.pair_ratios = np.zeros((len(DISCOUNTS), len(pair) + 1), np.float32)
+        for k in range(len(DISCOUNTS)):
+            self.pair_ratios[k, :-1] = rows.column(f"r{k}").to_numpy()[order]
 
     def features(self, run: W.Words) -> np.ndarray:
         """(document, discount, feature)."""
-        place, row, n = self.places(run), _row_numbers(run), np.diff(run.offsets)
-        out = np.zeros((len(run), len(DISCOUNTS), 4))
-        length = np.maximum(1, n)
-        for k, ratio in enumerate(self.ratios):
-            found = ratio[place]
-            total = np.bincount(row, found, len(run))
-            strong = np.bincount(row, np.maximum(found - STRONG, 0), len(run))
-            out[:, k] = np.stack(
-                [total / length, strong / length, np.log1p(strong), np.sqrt(strong / length)], axis=1
-            )
+        row, length = _row_numbers(run), np.maximum(1, np.diff(run.offsets))
+        second, pair = _pairs(run)
+        out = np.zeros((len(run), len(DISCOUNTS), FEATURES))
+        for first, rows, place, ratios in (
+            (0, row, _found(self.words, run.hashes().view(np.int64)), self.ratios),
+            (4, row[second], _found(self.pairs, pair.view(np.int64)), self.pair_ratios),
+        ):
+            for k, ratio in enumerate(ratios):
+                found = ratio[place]
+                total = np.bincount(rows, found, len(run))
+                strong = np.bincount(rows, np.maximum(found - STRONG, 0), len(run))
+                out[:, k, first : first + 4] = np.stack(
+                    [total / length, strong / length, np.log1p(strong), np.sqrt(strong / length)], axis=1
+                )
         return out
 
 
@@ -147,28 +207,32 @@ def _set_aside(ids: np.ndarray) -> np.ndarray:
     return W.mix(ids.view(np.uint64)) % W.U64(3) == 0
 
 
+def _sent(names: list[str], arrays: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(arrays[0]), ROWS_OF_BATCH):
+        yield pa.RecordBatch.from_arrays([pa.array(x[k : k + ROWS_OF_BATCH]) for x in arrays], names)
+
+
+def _labels_of(batch: pa.RecordBatch, known: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """The label (0, 1; -1 for none) of each row."""
+    own = batch.column("doc_id").cast(pa.int64()).fill_null(-1).to_numpy()
+    given = np.full(len(own), -1)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        given = np.where(known[at] == own, label[at], -1)
+        given[np.asarray(batch.column("doc_id").is_null())] = -1
+    return given
+
+
 def counts(docs: DataFrame, ids: np.ndarray, toxic: np.ndarray) -> DataFrame:
     """(word, ordinary, toxic, documents) of every word hash of all documents, written once."""
     shared = docs.sparkSession.sparkContext.broadcast((ids, toxic))
-
-    def sent(word: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for k in range(0, len(word), ROWS_OF_BATCH):
-            part = slice(k, k + ROWS_OF_BATCH)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[part]) for x in (word.view(np.int64), *sums)], ["word", *_COUNTS]
-            )
+    names = ["word", *_COUNTS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, label = shared.value
         parts: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
         for batch in batches:
-            own = batch.column("doc_id").cast(pa.int64()).fill_null(-1).to_numpy()
-            given = np.full(len(own), -1)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                given = np.where(known[at] == own, label[at], -1)
-                given[np.asarray(batch.column("doc_id").is_null())] = -1
+            given = _labels_of(batch, *shared.value)
             for words in W.split(batch.column("text"), "alnum", fold=True):
                 parts.append(count(words, given[words.first_row : words.first_row + len(words)]))
                 held += len(parts[-1][0])
@@ -176,16 +240,78 @@ def counts(docs: DataFrame, ids: np.ndarray, toxic: np.ndarray) -> DataFrame:
                     parts = [_summed(parts)]
                     held = len(parts[0][0])
                     if held > WORDS_AT_ONCE // 2:
-                        yield from sent(*parts[0])
+                        yield from _sent(names, [parts[0][0].view(np.int64), *parts[0][1]])
                         parts, held = [], 0
         if parts:
-            yield from sent(*_summed(parts))
+            word, sums = _summed(parts)
+            yield from _sent(names, [word.view(np.int64), *sums])
 
-    schema = f"word long, {', '.join(f'{c} long' for c in _COUNTS)}"
+    schema = ", ".join(f"{c} long" for c in names)
     found = map_batches(docs.select("doc_id", "text"), run, schema)
     return cut(found.groupBy("word").agg(*(F.sum(c).alias(c) for c in _COUNTS)), "words")
 
 
+def pair_counts(docs: DataFrame, ids: np.ndarray, toxic: np.ndarray) -> DataFrame:
+    """(pair, left, word, ordinary, toxic) of every word pair of labelled documents, written once."""
+    shared = docs.sparkSession.sparkContext.broadcast((ids, toxic))
+    names = ["pair", "left", "word", *_COUNTS[:2]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given = _labels_of(batch, *shared.value)
+            batch, given = batch.filter(pa.array(given >= 0)), given[given >= 0]
+            for words in W.split(batch.column("text"), "alnum", fold=True):
+                word, (second, pair) = words.hashes().view(np.int64), _pairs(words)
+                pair, first, at = np.unique(pair, return_index=True, return_inverse=True)
+                label = given[words.first_row + _row_numbers(words)[second]]
+                sums = [np.bincount(at[label == c], minlength=len(pair)) for c in (0, 1)]
+                second = second[first]
+                yield from _sent(names, [pair.view(np.int64), word[second - 1], word[second], *sums])
+
+    found = map_batches(docs.select("doc_id", "text"), run, ", ".join(f"{c} long" for c in names))
+    return cut(found.groupBy(*names[:3]).agg(*(F.sum(c).alias(c) for c in names[3:])), "pairs")
+
+
+def left_contexts(docs: DataFrame) -> DataFrame:
+    """(word, contexts) of every word hash that follows another word in any document: the number
+    of distinct words before it. Written once."""
+
+    def scan(share: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts: list[tuple[np.ndarray, np.ndarray]] = []
+            held = 0
+            for batch in batches:
+                for words in W.split(batch.column("text"), "alnum", fold=True):
+                    second, pair = _pairs(words)
+                    own = pair % W.U64(PASSES) == share
+                    pair, first = np.unique(pair[own], return_index=True)
+                    parts.append((pair, words.hashes()[second[own][first]]))
+                    held += len(pair)
+                    if held > WORDS_AT_ONCE:
+                        parts = [distinct(parts)]
+                        held = len(parts[0][0])
+                        if held > WORDS_AT_ONCE // 2:
+                            yield from _sent(["pair", "word"], [x.view(np.int64) for x in parts[0]])
+                            parts, held = [], 0
+            if parts:
+                yield from _sent(["pair", "word"], [x.view(np.int64) for x in distinct(parts)])
+
+        found = map_batches(docs.select("text"), run, "pair long, word long").distinct()
+        return cut(found.groupBy("word").agg(F.count(F.lit(1)).alias("contexts")), "contexts")
+
+    def distinct(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        pair, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
+        order = np.argsort(word := np.concatenate([p[1] for p in parts])[first])
+        return pair[order], word[order]  # equal words side by side shuffle in fewer bytes
+
+    shares = [scan(k) for k in range(PASSES)]
+    total = functools.reduce(DataFrame.union, shares).groupBy("word").agg(F.sum("contexts").alias("contexts"))
+    out = cut(total, "contexts")
+    for part in shares:
+        drop(part)
+    return out
+
+
 def fit(x: np.ndarray, y: np.ndarray) -> tuple[list[float], float]:
     """Weights of a logistic regression (the constant first), and its mean log-likelihood."""
     if not len(y) or y.min() == y.max():
@@ -231,8 +357,14 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     ids, toxic = _labelled(labels, train_rows(), max_labelled)
     aside = _set_aside(ids)
     table = counts(docs, ids[~aside], toxic[~aside])
-    model = spark.sparkContext.broadcast(Model(table))
+    learned = Model(table)
     drop(table)
+    if len(learned.words):  # else a class has no sample
+        pairs, contexts = pair_counts(docs, ids[~aside], toxic[~aside]), left_contexts(docs)
+        learned.add_pairs(pairs, contexts)
+        drop(pairs)
+        drop(contexts)
+    model = spark.sparkContext.broadcast(learned)
     names = [c for c in docs.columns if c not in ("text", "__features__")]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -253,11 +385,11 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
         F.broadcast(chosen), F.col("doc_id") == F.col("_id")
     ).select("__features__", "_toxic").toArrow()  # of the bounded sample
     y = known.column("_toxic").to_numpy().astype(float)
-    x = np.array(known.column("__features__").to_pylist(), float).reshape(len(y), len(DISCOUNTS), 4)
+    x = np.array(known.column("__features__").to_pylist(), float).reshape(len(y), len(DISCOUNTS), FEATURES)
     k, used, weights = _calibrated(x, y if len(y) else toxic[:0].astype(float))
     total = F.lit(weights[0])
     for feature, weight in zip(used, weights[1:], strict=True):
-        total = total + F.col("__features__")[4 * k + feature].cast("double") * weight
+        total = total + F.col("__features__")[FEATURES * k + feature].cast("double") * weight
     return rows.withColumn("score", 1 / (1 + F.exp(-total))).drop("__features__")
 
 
