@@ -11,8 +11,8 @@ byte. Pairs that it puts at the threshold, less 4.7 standard deviations, or abov
 on the full sets of both texts. The sketch of a short text holds nearly all of its set, so its
 deviation, that of a sample without replacement, is small.
 
-A pair at the threshold is missed by 16 trees with probability below 1e-9 where nodes are
-small after one step, and its sketch falls short of the margin with probability below 1e-5.
+A pair at the threshold is missed by 16 trees with probability 2.3e-10, 1.8e-6 or 1.6e-4 where
+nodes are small after one, two or three steps, and its sketch falls short of the margin with probability below 1e-5.
 
 Links need not be listed for components: of a node's candidate pairs the first round checks a
 spanning forest only, most similar pairs first. A second round checks every candidate pair
