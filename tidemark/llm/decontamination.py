@@ -5,9 +5,10 @@ gives every window of ``size`` consecutive words; a shorter item, if it has word
 window. The windows' hashes go to the executors; documents are scanned once, a window whose
 hash is found is compared word by word, and the words inside it are hit.
 
-The set is broadcast only up to ``max_windows`` windows. A larger benchmark is taken in blocks
-of items of that size: each block is broadcast by itself, scans all documents, and the hits of
-a document are united afterwards, so any benchmark gives whole results at bounded memory.
+A benchmark of more than ``max_windows`` windows is taken in blocks of about that many, cut by
+a hash of the window's words. Each is broadcast by itself and scans all documents, and the hits
+of a document are united, so results are whole. Memory is not bounded: all blocks pass through
+the driver before the first scan, and a window comes with every item that holds it.
 
 Defined cases: a null or empty text has no words and no hits; an item without words, or
 without text, has no window; an item without id marks words but is not named; rows with equal
