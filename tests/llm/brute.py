@@ -1,6 +1,7 @@
 """Plain Python versions of the corpus operators, for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -105,3 +106,87 @@ def jump(key, shards):
         key = (key * 2862933555777941757 + 1) % 2**64
         j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
     return b
+
+
+def resampling(rows, target, percent=5, seed=42, min_words=20, buckets=10_000):
+    """[(doc_id, n_features, weight, score, rank)] of all rows, ids null or not, rows repeated or not."""
+
+    def features(text):
+        w = ALNUM.findall(fold(text))
+        runs = [" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+        return len(w), Counter(zlib.crc32(r.encode()) % buckets for r in runs)
+
+    found = [(doc, *features(text)) for doc, text in rows]
+    s, t = Counter(), Counter()
+    for _, _, f in found:
+        s.update(f)
+    for text in target:
+        t.update(features(text)[1])
+    n_s, n_t = sum(s.values()), sum(t.values())
+    gain = [
+        math.floor(1000 * math.log((t[b] + 1) * (n_s + buckets) / ((s[b] + 1) * (n_t + buckets))))
+        for b in range(buckets)
+    ]
+    scored = []
+    for doc, words, f in found:
+        h = int(sha(f"{seed}:{'' if doc is None else doc}")[:8], 16)
+        weight = sum(gain[b] * n for b, n in f.items())
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        scored.append((doc, sum(f.values()), weight, score, words))
+    able = [r for r in scored if r[4] >= min_words]
+    able.sort(key=lambda r: (-r[3], r[0] is not None, r[0]))
+    drawn = percent * len(able) // 100
+    out = [(*r[:4], i + 1 if i < drawn else None) for i, r in enumerate(able)]
+    return out + [(*r[:4], None) for r in scored if r[4] < min_words]
+
+
+def merkle(rows, fanout=2):
+    """[(doc_id, leaf, subroot, root, proof, folded, verified)] for (doc_id, source, lang, n_chars, text)."""
+
+    def field(v):
+        return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+    def leaf(row):
+        return sha("".join(map(field, row)))
+
+    def tree(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            n = levels[-1]
+            levels.append([sha("".join(n[i : i + fanout])) for i in range(0, len(n), fanout)])
+        return levels
+
+    by_lang = {}
+    for row in sorted(rows, key=lambda r: (r[2] is not None, (r[2] or "").encode(),
+                                           r[0] is not None, r[0] or 0, leaf(r))):
+        by_lang.setdefault(row[2], []).append(row)
+    trees = [tree([leaf(r) for r in group]) for group in by_lang.values()]
+    top, out = tree([t[-1][0] for t in trees]), []
+    for k, group in enumerate(by_lang.values()):
+        for i, row in enumerate(group):
+            steps = []
+            for levels, at in ((trees[k], i), (top, k)):
+                for nodes in levels[:-1]:
+                    first = at - at % fanout
+                    steps.append(("".join(nodes[first:at]), "".join(nodes[at + 1 : first + fanout])))
+                    at //= fanout
+            hit = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 7 == 0
+            node = leaf((*row[:3], row[3] + 1, row[4]) if hit and row[3] is not None else row)
+            for before, after in steps:
+                node = sha(before + node + after)
+            out.append((row[0], leaf(row), trees[k][-1][0], top[-1][0],
+                        sha("".join(a + b for a, b in steps)), node, node == top[-1][0]))
+    return out
+
+
+def targets(sizes, weights, most=3):
+    """Words of each source: shares by weight, limited, the excess reshared, round by round."""
+    total, capped = sum(sizes), set()
+    while True:
+        free = [i for i in range(len(sizes)) if i not in capped]
+        rest = total - sum(most * sizes[i] for i in capped)
+        share = {i: rest * weights[i] / sum(weights[j] for j in free) for i in free}
+        above = {i for i in free if share[i] > most * sizes[i]}
+        if not above:
+            return [share.get(i, most * sizes[i]) for i in range(len(sizes))]
+        capped |= above

@@ -9,14 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     decontamination,
     exact_dedup,
+    merkle,
+    mixing,
     near_dedup,
     packing,
+    resampling,
     secret_scan,
     sharding,
     substring_dedup,
     suffix_array_dedup,
     token_files,
     toxicity,
+    twins,
 )
 from tidemark.llm.work import table
 
@@ -65,10 +69,25 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components(table(spark, sf_dir, "documents"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.ranked(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_token_files, op3_suffix_array_dedup, op4_toxicity, op5_secret_scan,
         op6_exact_dedup, op7_decontamination, op8_sharding, op9_packing, op10_near_dedup,
+        op11_resampling, op12_merkle_manifest, op13_mixing,
     )
 }
 
@@ -161,4 +180,6 @@ SQL: dict[str, str] = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
     """,
+    "op11_resampling": twins.RESAMPLING,
+    "op12_merkle_manifest": twins.MERKLE,
 }

@@ -76,18 +76,23 @@ def ddl(rows: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
 
-def map_batches(
-    rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    """``mapInArrow`` whose workers also look for this library where the driver has it.
+def workers_import(spark: SparkSession) -> None:
+    """Python workers also look for this library where the driver has it.
 
     On a cluster whose machines lack that path the library comes with ``--py-files``.
     """
     root = str(Path(__file__).resolve().parents[2])
-    env = rows.sparkSession.sparkContext.environment
+    env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
+def map_batches(
+    rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``mapInArrow`` whose workers find this library (see :func:`workers_import`)."""
+    workers_import(rows.sparkSession)
     names = rows.columns
     if not any("." in name for name in names):
         return rows.mapInArrow(run, schema)
