@@ -42,6 +42,7 @@ BLOCK_WORDS = 256
 SHARDS = 40
 SEED = 42
 CHUNK_SLOTS = 65_536
+TASK_SLOTS = 4 * CHUNK_SLOTS
 #: Rounds of the swap-or-not shuffle: six for each bit of 2**16 blocks, as its analysis asks.
 ROUNDS = 96
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -179,11 +180,17 @@ def shard_counts(sources: DataFrame, shards: int, block_words: int, seed: int) -
 
 
 def slots(sources: DataFrame, shards: int = SHARDS, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """(shard, number, pass, block, words) of every slot of the mix."""
+    """(shard, number, pass, block, words) of every slot of the mix, as a written table.
+
+    Its few input rows say nothing about its size, so tasks are counted by slots, and the table
+    is written before a join chooses its way by it.
+    """
     counts = shard_counts(sources, shards, block_words, seed)
+    total = counts.agg(F.sum("slots")).first()[0] or 0
+    tasks = 1 + total // TASK_SLOTS
     chunks = counts.withColumn(
         "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {CHUNK_SLOTS}")))
-    ).repartition("number", "shard", "chunk")
+    ).repartition(tasks, "number", "shard", "chunk")
 
     def one(row: dict) -> pa.RecordBatch:
         begin = row["first_slot"] + row["chunk"] * CHUNK_SLOTS
@@ -203,7 +210,9 @@ def slots(sources: DataFrame, shards: int = SHARDS, block_words: int = BLOCK_WOR
             for row in batch.to_pylist():
                 yield one(row)
 
-    return map_batches(chunks, run, "shard long, number long, pass long, block long, words long")
+    return cut(
+        map_batches(chunks, run, "shard long, number long, pass long, block long, words long"), "slots"
+    )
 
 
 def pieces(documents: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
