@@ -269,7 +269,7 @@ def report(
     source_weights: DataFrame | None = None,
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    sized = cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
     documents, sources = numbered(sized, weights, most, source_weights)
     documents = cut(
         documents.select("doc_id", "number", "place", "first_word", "size", "source_size", "target"), "documents"
