@@ -39,6 +39,7 @@ SESSION_ORDER = Ordering(
     leads={"next_hostname_norm": "hostname_norm"},
 )
 SESSION_KEY = "_session_key"
+SIDE = "_side"
 USER_ORDER = Ordering(
     group=USER,
     order=["event_timestamp_micros", "event_name", SESSION_KEY],
@@ -100,10 +101,15 @@ def fold_facts(rows: DataFrame) -> DataFrame:
     ).drop("session_is_key", "session_replay_url", "page_scroll")
 
 
-def facts_by_window(rows: DataFrame, replay: DataFrame | None = None) -> DataFrame:
+def is_row() -> Column:
+    """Whether this is an event and not a side row that carries state into a window."""
+    return F.col(SIDE).isNull()
+
+
+def facts_by_window(rows: DataFrame) -> DataFrame:
     """Session and page facts as window aggregates (rows already partitioned by user).
 
-    ``replay`` holds the replay addresses if the rows do not cover their sessions' starts.
+    Side rows bring the replay address of sessions whose start the rows may not cover.
     """
     session = W.partitionBy(*SESSION)
     # Peers by page view id inside the session: one sort serves both windows.
@@ -115,12 +121,14 @@ def facts_by_window(rows: DataFrame, replay: DataFrame | None = None) -> DataFra
         to_integer(F.col("percent_scrolled")),
     )
     hit = ids.is_key_event_name(event) & known
-    url = F.when((event == "session_start") & known, F.col("clarity_play_url"))
-    facts = {"session_is_key": F.max(F.when(hit, 1)).over(session)}
-    if replay is None:
-        facts["session_replay_url"] = F.max(url).over(session)
-    found = rows.withColumn("page_scroll", F.max(depth).over(page)).withColumns(facts)
-    return found if replay is None else found.join(replay, SESSION, "left")
+    starts = (event == "session_start") & known
+    if SIDE in rows.columns:
+        hit, starts = hit & is_row(), starts | (known & ~is_row())
+    facts = {
+        "session_is_key": F.max(F.when(hit, 1)).over(session),
+        "session_replay_url": F.max(F.when(starts, F.col("clarity_play_url"))).over(session),
+    }
+    return rows.withColumn("page_scroll", F.max(depth).over(page)).withColumns(facts)
 
 
 def facts_by_join(rows: DataFrame, replay: DataFrame | None = None) -> DataFrame:
@@ -245,22 +253,32 @@ def typed_dynamic_columns(rows: DataFrame, plan: ColumnPlan) -> DataFrame:
 
 
 def micro_rows(
-    tables: DataFrame, plan: ColumnPlan, hot: HotGroups | None, replay: DataFrame | None = None
+    tables: DataFrame,
+    plan: ColumnPlan,
+    hot: HotGroups | None,
+    replay: DataFrame | None = None,
+    side: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Deduplicated rows with facts: (rows of ordinary users, rows of hot users)."""
+    """Deduplicated rows with facts: (rows of ordinary users, rows of hot users).
+
+    ``side`` rows travel with those of ordinary users through the same exchange; ``replay`` has
+    the replay addresses for hot users, if the rows do not cover their sessions' starts.
+    """
     rows = _with_scroll_source(tables)
 
+    def by_user(ordinary: DataFrame) -> DataFrame:
+        if side is not None:
+            ordinary = ordinary.unionByName(side, allowMissingColumns=True)
+        return facts_by_window(ordinary.repartition(*USER))
+
     def finish(with_facts: DataFrame) -> DataFrame:
         kept = fold_facts(with_facts.where(F.col("event_name") != "scroll"))
         return _dedup(typed_dynamic_columns(kept, plan))
 
     if hot is None:
-        return finish(facts_by_window(rows.repartition(*USER), replay)), None
+        return finish(by_user(rows)), None
     ordinary, large = hot.split(rows)
-    return (
-        finish(facts_by_window(ordinary.repartition(*USER), replay)),
-        finish(facts_by_join(large, replay)),
-    )
+    return finish(by_user(ordinary)), finish(facts_by_join(large, replay))
 
 
 def with_attributes(

@@ -12,18 +12,24 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as S
 from tidemark.functions.ids import parse_day, shift_day
-from tidemark.functions.lattice import widest_of
 from tidemark.operators import columns as C
 from tidemark.operators import events as E
 from tidemark.operators import evolve as V
 from tidemark.operators import identity as I
 from tidemark.operators import items as N
-from tidemark.operators import micro as M
 from tidemark.operators import registry as R
 from tidemark.operators.skew import cut_lineage, hot_groups, working_in
-from tidemark.plans import control
+from tidemark.plans import carry, control
 from tidemark.plans.control import schema_drift
-from tidemark.plans.incremental import SEQUENCE_COLUMNS, renumber, renumber_items
+from tidemark.plans.incremental import (
+    EVENTS_TABLE,
+    ITEMS_TABLE,
+    build_events,
+    build_items,
+    merged_types,
+    update_events,
+    update_items,
+)
 from tidemark.plans.store import TableStore, days_between
 from tidemark.sources import shards
 
@@ -35,12 +41,10 @@ SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 SCANNED_BYTES_PER_PARTITION = 128 << 20
 RECOVERY_DAYS = 7
 EVENT_TABLES = "event_tables"
-USER_CLUSTER = ["user_pseudo_id", "user_id"]
-ITEM_CLUSTER = ["user_pseudo_id", "item_id", "event_name"]
 RESET_TABLES = [
     "mst_event_params", "mst_duplicate_params_log", "audit_schema_log",
     "log_integrated_columns", "log_audience_membership", "log_user_properties",
-    "mst_user_properties", "mst_item_params", "micro_items_table", EVENT_TABLES,
+    "mst_user_properties", "mst_item_params", "micro_items_table", EVENT_TABLES, carry.ITEMS,
 ]
 
 
@@ -146,7 +150,7 @@ def phase_1(run: Run, events: DataFrame, users: DataFrame | None) -> str:
     cfg, store, spark = run.cfg, run.store, run.spark
     span = (cfg.start, cfg.end)
     store.replace(
-        "dim_user_map_180d", I.identity_map(events, *span, cfg.tz, run.now), cluster=USER_CLUSTER
+        "dim_user_map_180d", I.identity_map(events, *span, cfg.tz, run.now), cluster=E.USER
     )
     identity = store.read("dim_user_map_180d")
     snapshot = shards.empty(spark, S.USERS) if users is None else users
@@ -178,17 +182,6 @@ def phase_1(run: Run, events: DataFrame, users: DataFrame | None) -> str:
     return f"SUCCESS ({warning})" if warning else "SUCCESS"
 
 
-def merged_types(stored: dict[str, str] | None, wanted: dict[str, str]) -> dict[str, str]:
-    """Wanted columns in the wider of stored and wanted type."""
-    out = {}
-    for name, kind in wanted.items():
-        old = (stored or {}).get(name, kind)
-        if old != kind and old in S.LOGICAL_TYPE and kind in S.LOGICAL_TYPE:
-            kind = S.SPARK_TYPE[widest_of([S.LOGICAL_TYPE[old], S.LOGICAL_TYPE[kind]])]
-        out[name] = kind
-    return out
-
-
 def event_tables_schema(plan: C.ColumnPlan) -> dict[str, str]:
     standard = {
         c: "bigint" if c in ("event_timestamp_micros", "is_key_event") else "string"
@@ -238,52 +231,26 @@ def phase_2(run: Run, events: DataFrame) -> str:
     return "SUCCESS"
 
 
-def wide_schema(
-    stored: dict[str, str], wanted: dict[str, str], head: dict[str, str], tail: dict[str, str]
-) -> dict[str, str]:
-    """Wanted and stored columns together, inferred ones by name between head and tail."""
-    merged = merged_types(stored, stored | wanted)
-    middle = sorted(set(merged) - set(head) - set(tail))
-    return {c: merged[c] for c in [*head, *middle, *tail]}
-
-
 def phase_3a(run: Run) -> str:
     """Event-level table: whole rebuild from all event-table days, or one range."""
     cfg, store, plan = run.cfg, run.store, run.plan
-    table = "micro_user_table"
     tables = store.read(EVENT_TABLES)
     attributes = store.read("log_pseudonymous_users")
     slots = [s.column for s in run.slots]
-    wanted = M.micro_schema(plan, slots)
-    stored = store.columns(table)
-    complete = stored is not None and set(S.MICRO_USER_FIXED) <= set(stored)
+    stored = store.columns(EVENTS_TABLE)
     first, last = parse_day(cfg.start), parse_day(cfg.end)
-    in_range = F.col("event_date").between(F.lit(first), F.lit(last))
-    if not (cfg.incremental and complete):
+    if cfg.incremental and stored is not None and set(S.MICRO_USER_FIXED) <= set(stored):
+        update_events(store, tables, attributes, plan, slots, first, last, run.hot_users)
+    else:
+        in_range = F.col("event_date").between(F.lit(first), F.lit(last))
         source = tables.where(in_range) if cfg.incremental else tables
-        rows = M.micro_user(source, attributes, plan, slots)
-        store.replace(table, rows, ["event_date"], USER_CLUSTER, spread=True)
-        return "SUCCESS"
-    replay = M.replay_urls(tables)
-    source = tables.where(in_range)
-    hot = hot_groups(source, E.USER)
-    ordinary, large = M.micro_rows(source, plan, hot, replay)
-    fresh = M.with_attributes(ordinary, large, attributes, slots, hot)
-    target = wide_schema(
-        stored, wanted, S.MICRO_USER_HEAD, S.USER_DATE_COLUMNS | S.BATCH_ID
-    )
-    store.evolve(table, target, USER_CLUSTER)
-    unnumbered = {c: t for c, t in target.items() if c not in SEQUENCE_COLUMNS}
-    change = renumber(store.read(table), V.conform(fresh, unnumbered), first, last)
-    days = sorted({*change.days, *days_between(first, last)})
-    store.overwrite_days(table, change.rows, days, USER_CLUSTER, spread=True)
+        build_events(store, source, attributes, plan, slots)
     return "SUCCESS"
 
 
 def phase_3b(run: Run, events: DataFrame) -> str:
     """Item-level table: replaced as a whole, or one range."""
     cfg, store = run.cfg, run.store
-    table = "micro_items_table"
     columns = N.item_columns(store.read("mst_item_params"))
     identity = store.read("dim_user_map_180d")
     hot = hot_groups(shards.widened(events, cfg.start, cfg.end), E.USER, F.size("items"))
@@ -292,18 +259,10 @@ def phase_3b(run: Run, events: DataFrame) -> str:
         cfg.exclusive_end, hot=hot,
     )
     wanted = N.items_schema(columns)
-    stored = store.columns(table)
-    if stored is None or not cfg.incremental:
-        numbered = V.conform(N.number_items(rows, hot), wanted)
-        store.replace(table, numbered, ["event_date"], ITEM_CLUSTER, spread=True)
-        return "SUCCESS"
-    target = wide_schema(stored, wanted, S.MICRO_ITEMS_HEAD, S.MICRO_ITEMS_TAIL)
-    store.evolve(table, target, ITEM_CLUSTER)
-    unnumbered = {c: t for c, t in target.items() if c != "item_event_no"}
-    change = renumber_items(
-        store.read(table), V.conform(rows, unnumbered), parse_day(cfg.start), parse_day(cfg.end)
-    )
-    store.overwrite_days(table, change.rows, change.days, ITEM_CLUSTER, spread=True)
+    if cfg.incremental and store.exists(ITEMS_TABLE):
+        update_items(store, rows, wanted, parse_day(cfg.start), parse_day(cfg.end), hot)
+    else:
+        build_items(store, rows, wanted, hot)
     return "SUCCESS"
 
 
@@ -318,8 +277,11 @@ def attempt(run: Run, phase: str, allowed: bool, action) -> None:
         run.status[phase] = f"FAILED: {str(error)[:ERROR_CHARS]}"
 
 
-def row_count(run: Run, table: str) -> int:
-    return run.store.read(table).count() if run.store.exists(table) else 0
+def event_count(run: Run) -> int:
+    """Rows of the event-level table, from the sums of its days."""
+    if not run.store.exists(carry.USERS):
+        return 0
+    return run.store.read(carry.USERS).agg(F.sum("events")).first()[0] or 0
 
 
 def append_run_log(run: Run, total_rows: int) -> None:
@@ -407,7 +369,7 @@ def _run(run: Run) -> DataFrame:
     attempt(
         run, "phase_3b", run.status["phase_3a"].startswith("SUCCESS"), lambda: phase_3b(run, events)
     )
-    append_run_log(run, row_count(run, "micro_user_table"))
+    append_run_log(run, event_count(run))
     return summary(run, "ACCUMULATIVE" if cfg.incremental else "FULL_REBUILD")
 
 

@@ -1,48 +1,81 @@
-"""Day-range updates of the wide tables without rewriting their history.
+"""The wide tables as a whole or by day ranges, without reading or rewriting their history.
 
-Numbers of rows before the range do not change when later rows do; only the last earlier
-row of a touched session may get another next host. So history is read in narrow columns to
-carry numbers into the new rows, and only the days that really change are written.
+Numbers of rows before a range do not change when later rows do; only the last earlier row of a
+touched session may get another next host. What the new rows need of the history comes from the
+carry tables (see :mod:`tidemark.plans.carry`) as *side rows*: one row for each touched user and
+session, which travels through the one exchange of the new rows, stands before them in each
+window with the carried count as its weight, and is taken out at the end. Of the wide tables only
+days that are written again are read: the range, days whose last row of a session changes, and
+later days of touched users (or item groups) in a backfill.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark import schema as S
+from tidemark.functions.lattice import widest_of
+from tidemark.operators import evolve as V
+from tidemark.operators import items as N
+from tidemark.operators import micro as M
+from tidemark.operators.columns import ColumnPlan
 from tidemark.operators.events import SESSION, USER
-from tidemark.operators.items import ITEM_GROUP, number_items
-from tidemark.operators.micro import gap_and_hop, sequence_by_segment, sequence_by_window
+from tidemark.operators.items import ITEM_GROUP, ITEM_ORDER
+from tidemark.operators.micro import SIDE, is_row
+from tidemark.operators.ordered import segmented_with_copies
 from tidemark.operators.skew import (
+    DETECT,
+    HotGroups,
+    broadcast_if_small,
     cut_lineage,
     hot_groups,
+    hot_row_limit,
+    known_or_detected,
     left_join,
     null_safe,
     prefixed,
     quoted,
 )
+from tidemark.plans import carry
+from tidemark.plans.carry import semi_null_safe
+from tidemark.plans.store import TableStore, days_between
 
+EVENTS_TABLE, ITEMS_TABLE = "micro_user_table", "micro_items_table"
+USER_CLUSTER = ["user_pseudo_id", "user_id"]
+ITEM_CLUSTER = ["user_pseudo_id", "item_id", "event_name"]
 SEQUENCE_COLUMNS = [
     "session_event_no", "user_event_no", "prev_event_name", "seconds_from_prev_event",
     "prev_hostname_norm", "next_hostname_norm", "is_cross_domain_hop",
 ]
 ROW_KEY = [*SESSION, "event_timestamp_micros", "event_name"]
+SIDE_DDL = "struct<kind: int, carried: bigint, next: string, date: date>"
+OF_SESSION, OF_USER = 1, 2
+#: Smallest bigint: before all moments, and the session of side rows that belong to a user only.
+FIRST = -(2**63)
 
 
-@dataclass
-class DayChange:
-    """Complete new content of the given days."""
+def merged_types(stored: dict[str, str] | None, wanted: dict[str, str]) -> dict[str, str]:
+    """Wanted columns in the wider of stored and wanted type."""
+    out = {}
+    for name, kind in wanted.items():
+        old = (stored or {}).get(name, kind)
+        if old != kind and old in S.LOGICAL_TYPE and kind in S.LOGICAL_TYPE:
+            kind = S.SPARK_TYPE[widest_of([S.LOGICAL_TYPE[old], S.LOGICAL_TYPE[kind]])]
+        out[name] = kind
+    return out
 
-    rows: DataFrame
-    days: list[date]
 
-
-def semi_null_safe(rows: DataFrame, keys_of: DataFrame, keys: list[str]) -> DataFrame:
-    side = prefixed(keys_of.select(*keys), keys)
-    return rows.join(side, null_safe(rows, side, keys), "left_semi")
+def wide_schema(
+    stored: dict[str, str], wanted: dict[str, str], head: dict[str, str], tail: dict[str, str]
+) -> dict[str, str]:
+    """Wanted and stored columns together, inferred ones by name between head and tail."""
+    merged = merged_types(stored, stored | wanted)
+    middle = sorted(set(merged) - set(head) - set(tail))
+    return {c: merged[c] for c in [*head, *middle, *tail]}
 
 
 def distinct_days(*frames: DataFrame) -> list[date]:
@@ -53,99 +86,235 @@ def distinct_days(*frames: DataFrame) -> list[date]:
     return sorted(d for d in days if d is not None)
 
 
-def renumber(history: DataFrame, fresh: DataFrame, start: date, end: date) -> DayChange:
-    """Event-level rows of ``[start, end]`` replaced by ``fresh`` (not numbered yet).
+def on_days(rows: DataFrame, days: list[date]) -> DataFrame:
+    return rows.where(F.col("event_date").isin(days)) if days else rows.where(F.lit(False))
 
-    Rows after ``end`` of users that the range touches are numbered anew; those of other users
-    are copied if their day is written again. Rows before ``start`` only feed the numbers.
+
+def anti_null_safe(rows: DataFrame, keys_of: DataFrame, keys: list[str], bound: int) -> DataFrame:
+    side = broadcast_if_small(prefixed(keys_of.select(*keys), keys), bound)
+    return rows.join(side, null_safe(rows, side, keys), "left_anti")
+
+
+# -- event level -----------------------------------------------------------------------------
+
+
+def build_events(
+    store: TableStore, tables: DataFrame, attributes: DataFrame, plan: ColumnPlan, slots: list[str]
+) -> None:
+    """The event-level table and its carry tables from all given event-table rows."""
+    store.note(carry.PENDING_EVENTS, [])
+    rows = M.micro_user(tables, attributes, plan, slots)
+    store.replace(EVENTS_TABLE, rows, ["event_date"], USER_CLUSTER, spread=True)
+    carry.put_events(store, store.read(EVENTS_TABLE), tables, None)
+
+
+def mend_events(store: TableStore, tables: DataFrame) -> None:
+    """Make sums anew that an interrupted run, or a table of an older version, left out."""
+    pending = store.noted(carry.PENDING_EVENTS)
+    missing = not (store.exists(carry.USERS) and store.exists(carry.SESSIONS))
+    if pending is None and not missing:
+        return
+    rows = store.read(EVENTS_TABLE)
+    if not pending or missing:
+        carry.put_events(store, rows, tables, None)
+    else:
+        days = [date.fromisoformat(day) for day in pending]
+        carry.put_events(store, on_days(rows, days), on_days(tables, days), days)
+
+
+def side_rows(users: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Carried state as rows that stand before the new ones of their session or user.
+
+    A session that only brings a replay address is made a scroll row: it reaches the session
+    facts and is left out with the scrolls before rows are numbered.
     """
-    earlier = history.where(F.col("event_date") < F.lit(start))
-    removed = history.where(F.col("event_date").between(F.lit(start), F.lit(end)))
-    after = history.where(F.col("event_date") > F.lit(end))
-    fresh = cut_lineage(fresh)
-    touched_users = cut_lineage(fresh.select(*USER).union(removed.select(*USER)).distinct())
-    later = semi_null_safe(after, touched_users, USER).drop(*SEQUENCE_COLUMNS)
-    tail = fresh.unionByName(later, allowMissingColumns=True)
-
-    users = tail.select(*USER).distinct()
-    carried_user = (
-        semi_null_safe(earlier, users, USER)
-        .groupBy(*USER)
-        .agg(F.max("user_event_no").alias("user_carry"))
+    none = F.lit(None)
+    known = F.col("carried").isNotNull()
+    of_session = sessions.select(
+        *SESSION,
+        F.when(known, F.col("event_timestamp_micros")).otherwise(F.lit(FIRST)).alias("event_timestamp_micros"),
+        F.when(known, F.col("event_name")).otherwise(F.lit("scroll")).alias("event_name"),
+        "hostname_norm",
+        F.col("replay_url").alias("clarity_play_url"),
+        F.struct(
+            F.lit(OF_SESSION).alias("kind"), F.col("carried"),
+            F.col("next_hostname_norm").alias("next"), F.col("last_date").alias("date"),
+        ).alias(SIDE),
     )
-    touched = tail.select(*SESSION).union(removed.select(*SESSION)).distinct()
-    last_row = F.max(
-        F.struct("session_event_no", "event_name", "event_timestamp_micros", "hostname_norm",
-                 "next_hostname_norm", "event_date")
+    of_user = users.select(
+        *USER, F.lit(FIRST).alias("ga_session_id"), F.lit(FIRST).alias("event_timestamp_micros"),
+        F.lit("").alias("event_name"), none.cast("string").alias("hostname_norm"),
+        none.cast("string").alias("clarity_play_url"),
+        F.struct(
+            F.lit(OF_USER).alias("kind"), F.col("user_carry").alias("carried"),
+            none.cast("string").alias("next"), none.cast("date").alias("date"),
+        ).alias(SIDE),
     )
-    carried_session = cut_lineage(
-        semi_null_safe(earlier, touched, SESSION)
-        .groupBy(*SESSION)
-        .agg(last_row.alias("session_carry"))
+    return of_session.unionByName(of_user)
+
+
+def sequence_with_side_rows(rows: DataFrame) -> DataFrame:
+    """Numbers and neighbours in the plain windows, going on from the side rows."""
+    rows = M.with_session_key(rows)
+
+    def weight(kind: int) -> Column:
+        carried = F.when(F.col(SIDE)["kind"] == kind, F.col(SIDE)["carried"]).otherwise(0)
+        return F.when(is_row(), 1).otherwise(carried)
+
+    def number(window, kind: int) -> Column:
+        return F.sum(weight(kind)).over(window.rowsBetween(W.unboundedPreceding, W.currentRow))
+
+    user = W.partitionBy(*USER).orderBy(*M.USER_ORDER.order)
+    spec = M.SESSION_ORDER
+    session = W.partitionBy(*SESSION).orderBy(*spec.order)
+    columns = {"session_event_no": number(session, OF_SESSION)}
+    columns |= {out: F.lag(source).over(session) for out, source in spec.lags.items()}
+    columns |= {out: F.lead(source).over(session) for out, source in spec.leads.items()}
+    numbered = rows.withColumn("user_event_no", number(user, OF_USER)).withColumns(columns)
+    return numbered.drop(M.SESSION_KEY)
+
+
+def sequence_with_joins(
+    rows: DataFrame, users: DataFrame, sessions: DataFrame, hot: HotGroups
+) -> tuple[DataFrame, DataFrame]:
+    """The same for hot users by segments, the carried state by joins: (rows, changed ends)."""
+    last = sessions.where("carried IS NOT NULL").select(
+        *SESSION, F.struct(*[c for c in sessions.columns if c not in SESSION]).alias("session_carry")
     )
+    numbered = M.sequence_by_segment(rows, hot.segments())
+    hot_sessions = hot_groups(rows, SESSION)
+    joined = left_join(numbered, users, USER, nulls_match=True, hot=hot)
+    joined = left_join(joined, last, SESSION, nulls_match=True, hot=hot_sessions)
+    state = F.col("session_carry")
+    opens = (F.col("session_event_no") == 1) & state.isNotNull()
 
-    hot, hot_sessions = hot_groups(tail, USER), hot_groups(tail, SESSION)
-    if hot is None:
-        numbered = sequence_by_window(tail.repartition(*USER))
-    else:
-        ordinary, large = hot.split(tail)
-        numbered = sequence_by_window(ordinary.repartition(*USER)).unionByName(
-            sequence_by_segment(large, hot.segments())
-        )
-    joined = left_join(numbered, carried_user, USER, nulls_match=True, hot=hot)
-    joined = left_join(joined, carried_session, SESSION, nulls_match=True, hot=hot_sessions)
-    carry = F.col("session_carry")
-    opens = (F.col("session_event_no") == 1) & carry.isNotNull()
-
-    def or_carried(column: str, carried: str):
-        return F.when(opens, carry[carried]).otherwise(F.col(column))
-
-    linked = joined.withColumns(
-        {
-            "prev_event_name": or_carried("prev_event_name", "event_name"),
-            "_prev_micros": or_carried("_prev_micros", "event_timestamp_micros"),
-            "prev_hostname_norm": or_carried("prev_hostname_norm", "hostname_norm"),
-            "session_event_no": F.col("session_event_no")
-            + F.coalesce(carry["session_event_no"], F.lit(0)),
-            "user_event_no": F.col("user_event_no") + F.coalesce(F.col("user_carry"), F.lit(0)),
-        }
+    def or_carried(column: str, carried: str) -> Column:
+        return F.when(opens, state[carried]).otherwise(F.col(column))
+
+    linked = cut_lineage(
+        joined.withColumns(
+            {
+                "prev_event_name": or_carried("prev_event_name", "event_name"),
+                "_prev_micros": or_carried("_prev_micros", "event_timestamp_micros"),
+                "prev_hostname_norm": or_carried("prev_hostname_norm", "hostname_norm"),
+                "_opens": opens,
+                "session_event_no": F.col("session_event_no") + F.coalesce(state["carried"], F.lit(0)),
+                "user_event_no": F.col("user_event_no") + F.coalesce(F.col("user_carry"), F.lit(0)),
+            }
+        ).drop("user_carry", "session_carry")
+    )
+    firsts = prefixed(
+        linked.where("_opens").select(*SESSION, F.col("hostname_norm").alias("new_next")), SESSION
+    )
+    flat = last.select(*SESSION, "session_carry.*")
+    ends = flat.join(firsts, null_safe(flat, firsts, SESSION), "left").select(
+        *ROW_KEY, F.col("last_date").alias("event_date"),
+        F.col("next_hostname_norm").alias("old_next"), "new_next",
     )
-    linked = cut_lineage(gap_and_hop(linked).drop("user_carry"))
+    return linked.drop("_opens"), ends
 
-    first_rows = (
-        linked.where(
-            F.col("session_carry").isNotNull()
-            & (F.col("session_event_no") == F.col("session_carry")["session_event_no"] + 1)
-        ).select(*SESSION, F.col("hostname_norm").alias("new_next"))
+
+def update_events(
+    store: TableStore,
+    tables: DataFrame,
+    attributes: DataFrame,
+    plan: ColumnPlan,
+    slots: list[str],
+    start: date,
+    end: date,
+    hot=DETECT,
+) -> None:
+    """Event-level rows of ``[start, end]`` made anew from the event-table rows of these days.
+
+    Rows after ``end`` of users that the range touches are numbered anew; those of other users
+    are copied if their day is written again. ``hot`` may hold the hot users of the range.
+    """
+    mend_events(store, tables)
+    carry.total_users(store, start)
+    wanted = M.micro_schema(plan, slots)
+    target = wide_schema(
+        store.columns(EVENTS_TABLE), wanted, S.MICRO_USER_HEAD, S.USER_DATE_COLUMNS | S.BATCH_ID
     )
-    side = prefixed(first_rows, SESSION)
-    ends = carried_session.join(side, null_safe(carried_session, side, SESSION), "left").select(
-        *SESSION,
-        F.col("session_carry.event_timestamp_micros").alias("event_timestamp_micros"),
-        F.col("session_carry.event_name").alias("event_name"),
-        F.col("session_carry.event_date").alias("event_date"),
-        F.col("session_carry.next_hostname_norm").alias("old_next"),
-        "new_next",
+    store.evolve(EVENTS_TABLE, target, USER_CLUSTER)
+    history = store.read(EVENTS_TABLE)
+    in_range = F.col("event_date").between(F.lit(start), F.lit(end))
+    source = tables.where(in_range)
+
+    sums = store.read(carry.SESSIONS)
+    sessions = source.select(*SESSION).union(sums.where(in_range).select(*SESSION)).distinct()
+    sessions = cut_lineage(sessions)
+    n_sessions = sessions.count()
+    users = sessions.select(*USER).distinct()
+    later, later_days = None, [day for day in store.days(EVENTS_TABLE) if day > end]
+    if later_days:
+        users = cut_lineage(users)
+        after = store.read(carry.USERS).where(F.col("event_date") > F.lit(end))
+        later_days = distinct_days(semi_null_safe(after, users, USER, n_sessions))
+    if later_days:
+        later = semi_null_safe(on_days(history, later_days), users, USER, n_sessions)
+        later = later.drop(*SEQUENCE_COLUMNS)
+        more = semi_null_safe(on_days(sums, later_days), users, USER, n_sessions).select(*SESSION)
+        sessions = cut_lineage(sessions.union(more).distinct())
+        n_sessions = sessions.count()
+        hot = hot_groups(source.select(*USER).union(later.select(*USER)), USER)
+    hot = known_or_detected(hot, source, USER)
+
+    session_state = carry.session_carry(store, sessions, start, end, n_sessions)
+    user_state = carry.user_carry(store, users, start, n_sessions)
+    unnumbered = {c: t for c, t in target.items() if c not in SEQUENCE_COLUMNS}
+    if hot is None:
+        side, replay = side_rows(user_state, session_state), None
+    else:
+        user_state = cut_lineage(user_state)
+        cold_users, hot_users = hot.split(user_state)
+        cold_sessions, hot_sessions = hot.split(session_state)
+        side = side_rows(cold_users, cold_sessions)
+        urls = hot_sessions.select(*SESSION, F.col("replay_url").alias("session_replay_url"))
+        urls = urls.unionByName(M.replay_urls(hot.split(source)[1]))
+        replay = urls.groupBy(*SESSION).agg(F.max("session_replay_url").alias("session_replay_url"))
+    ordinary, large = M.micro_rows(source, plan, hot, replay, side)
+    ordinary = M.with_event_id(M.fill_slots(ordinary, attributes, slots, hot=None))
+    ordinary = V.conform(ordinary, unnumbered | {SIDE: SIDE_DDL})
+    cold_later, hot_later = (later, None) if hot is None or later is None else hot.split(later)
+    if cold_later is not None:
+        ordinary = ordinary.unionByName(cold_later, allowMissingColumns=True).repartition(*USER)
+    numbered = cut_lineage(M.gap_and_hop(sequence_with_side_rows(ordinary)))
+    state = F.col(SIDE)
+    ends = numbered.where((state["kind"] == OF_SESSION) & state["carried"].isNotNull()).select(
+        *ROW_KEY, state["date"].alias("event_date"), state["next"].alias("old_next"),
+        F.col("next_hostname_norm").alias("new_next"),
     )
+    rows = numbered.where(is_row()).drop(SIDE)
+    if large is not None:
+        large = M.with_event_id(M.fill_slots(large, hot.narrow(attributes), slots, hot=None))
+        large = V.conform(large, unnumbered)
+        if hot_later is not None:
+            large = large.unionByName(hot_later, allowMissingColumns=True)
+        linked, hot_ends = sequence_with_joins(cut_lineage(large), hot_users, hot_sessions, hot)
+        rows = rows.unionByName(M.gap_and_hop(linked), allowMissingColumns=True)
+        ends = ends.unionByName(hot_ends)
+
     changed = cut_lineage(ends.where(~F.col("old_next").eqNullSafe(F.col("new_next"))))
     boundary_days = distinct_days(changed)
-    rows = linked.drop("session_carry")
-    days = sorted({*boundary_days, *distinct_days(linked)})
-    later_days = [day for day in days if day > end]
     if later_days:
-        side = prefixed(touched_users, USER)
-        others = after.where(F.col("event_date").isin(later_days))
-        others = others.join(side, null_safe(others, side, USER), "left_anti")
+        others = anti_null_safe(on_days(history, later_days), users, USER, n_sessions)
         rows = rows.unionByName(others, allowMissingColumns=True)
     if boundary_days:
-        kept = earlier.where(F.col("event_date").isin(boundary_days))
+        kept = on_days(history, boundary_days)
         side = prefixed(changed.select(*ROW_KEY, "new_next", F.lit(True).alias("_hit")), ROW_KEY)
+        side = broadcast_if_small(side, changed.count())
         updated = kept.join(side, null_safe(kept, side, ROW_KEY), "left").withColumn(
             "next_hostname_norm",
             F.when(F.col("_hit"), F.col("new_next")).otherwise(F.col("next_hostname_norm")),
         )
         rows = rows.unionByName(updated.select(*quoted(kept.columns)), allowMissingColumns=True)
-    return DayChange(rows, days)
+    days = sorted({*boundary_days, *later_days, *days_between(start, end)})
+    store.note(carry.PENDING_EVENTS, [day.isoformat() for day in days])
+    store.overwrite_days(EVENTS_TABLE, rows, days, USER_CLUSTER, spread=True)
+    carry.put_events(store, on_days(store.read(EVENTS_TABLE), days), on_days(tables, days), days)
+
+
+# -- item level ------------------------------------------------------------------------------
 
 
 def in_local_days(at: Column, start: date, end: date) -> Column:
@@ -157,26 +326,94 @@ def in_local_days(at: Column, start: date, end: date) -> Column:
     return at.isNotNull() & (at >= opens) & (at < closes)
 
 
-def renumber_items(history: DataFrame, fresh: DataFrame, start: date, end: date) -> DayChange:
-    """Item rows whose local day lies in the range replaced by ``fresh`` (not numbered yet).
+def build_items(store: TableStore, rows: DataFrame, wanted: dict[str, str], hot=DETECT) -> None:
+    """The item-level table and its carry table from exploded rows."""
+    store.note(carry.PENDING_ITEMS, [])
+    numbered = V.conform(N.number_items(rows, hot), wanted)
+    store.replace(ITEMS_TABLE, numbered, ["event_date"], ITEM_CLUSTER, spread=True)
+    carry.put_items(store, store.read(ITEMS_TABLE), None)
+
+
+def mend_items(store: TableStore) -> None:
+    pending = store.noted(carry.PENDING_ITEMS)
+    if pending is None and store.exists(carry.ITEMS):
+        return
+    rows = store.read(ITEMS_TABLE)
+    if not pending or not store.exists(carry.ITEMS):
+        carry.put_items(store, rows, None)
+    else:
+        days = [date.fromisoformat(day) for day in pending]
+        carry.put_items(store, on_days(rows, days), days)
 
-    Items are partitioned by the source's day, which may differ from the local day. Groups
-    with new or removed rows are numbered anew as a whole; other rows of a rewritten day
-    are copied.
+
+def number_items_after(rows: DataFrame, before: DataFrame, hot: HotGroups | None) -> DataFrame:
+    """Item numbers that go on from the carried counts (group, carried).
+
+    The counts of ordinary groups are side rows of the same exchange, those of hot groups a join.
     """
-    at = F.col("event_timestamp")
-    removed = history.where(in_local_days(at, start, end))
-    kept = history.where(~F.coalesce(in_local_days(at, start, end), F.lit(False)))
-    fresh = cut_lineage(fresh)
+    rows = rows.withColumn("_row", F.xxhash64(*quoted(rows.columns)))
+    number, order = ITEM_ORDER.number, ITEM_ORDER.order
+    ordinary, large = (rows, None) if hot is None else hot.split(rows)
+    cold, warm = (before, None) if hot is None else hot.split(before)
+    side = cold.withColumn("event_timestamp_micros", F.lit(FIRST))
+    window = W.partitionBy(*ITEM_GROUP).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    both = ordinary.unionByName(side, allowMissingColumns=True)
+    out = both.withColumn(number, F.sum(F.coalesce("carried", F.lit(1))).over(window))
+    out = out.where("carried IS NULL").drop("carried", "_row")
+    if large is None:
+        return out
+    counted = segmented_with_copies(
+        large, ITEM_GROUP, order, number, hot.segments(), hot_row_limit(rows.sparkSession)
+    ).drop("_row")
+    joined = left_join(counted, warm, ITEM_GROUP, nulls_match=True)
+    joined = joined.withColumn(number, F.col(number) + F.coalesce("carried", F.lit(0)))
+    return out.unionByName(joined.drop("carried"))
+
+
+def update_items(
+    store: TableStore, rows: DataFrame, wanted: dict[str, str], start: date, end: date, hot=DETECT
+) -> None:
+    """Item rows whose local day lies in the range replaced by ``rows`` (not numbered yet).
+
+    Items are partitioned by the source's day, which may differ from the local day. Later rows
+    of touched groups are numbered anew; other rows of a rewritten day are copied.
+    """
+    mend_items(store)
+    target = wide_schema(
+        store.columns(ITEMS_TABLE), wanted, S.MICRO_ITEMS_HEAD, S.MICRO_ITEMS_TAIL
+    )
+    store.evolve(ITEMS_TABLE, target, ITEM_CLUSTER)
+    unnumbered = {c: t for c, t in target.items() if c != ITEM_ORDER.number}
+    fresh = cut_lineage(V.conform(rows, unnumbered))
+    sums, local = store.read(carry.ITEMS), F.col("local_date")
+    removed = sums.where(local.between(F.lit(start), F.lit(end)))
     groups = cut_lineage(
         fresh.select(*ITEM_GROUP).union(removed.select(*ITEM_GROUP)).distinct()
     )
-    touched = semi_null_safe(kept, groups, ITEM_GROUP)
-    days = distinct_days(fresh, removed, touched)
-    side = prefixed(groups, ITEM_GROUP)
-    untouched = kept.where(F.col("event_date").isin(days)).join(
-        side, null_safe(kept, side, ITEM_GROUP), "left_anti"
-    )
-    again = fresh.unionByName(touched.drop("item_event_no"), allowMissingColumns=True)
-    rows = number_items(again).unionByName(untouched, allowMissingColumns=True)
-    return DayChange(rows, days)
+    n_groups = groups.count()
+    near = carry.near("ga_session_id", groups)
+    before = semi_null_safe(
+        sums.where(near & (local < F.lit(start))), groups, ITEM_GROUP, n_groups
+    ).groupBy(*ITEM_GROUP).agg(F.sum("items").alias("carried"))
+    after = sums.where(near & (local > F.lit(end)))
+    later_days = distinct_days(semi_null_safe(after, groups, ITEM_GROUP, n_groups))
+    days = sorted({*distinct_days(fresh, removed), *later_days})
+    if not days:
+        return
+    history, at = on_days(store.read(ITEMS_TABLE), days), F.col("event_timestamp")
+    inside = F.coalesce(in_local_days(at, start, end), F.lit(False))
+    kept = history.where(~inside)
+    again = fresh
+    if later_days:
+        is_later = F.coalesce(F.to_date(at) > F.lit(end), F.lit(False))
+        later = kept.where(is_later)
+        touched = semi_null_safe(later, groups, ITEM_GROUP, n_groups).drop(ITEM_ORDER.number)
+        again = fresh.unionByName(touched, allowMissingColumns=True)
+        others = anti_null_safe(later, groups, ITEM_GROUP, n_groups)
+        kept = kept.where(~is_later).unionByName(others)
+        hot = hot_groups(again, USER)
+    hot = known_or_detected(hot, again, USER)
+    numbered = number_items_after(again, before, hot).unionByName(kept, allowMissingColumns=True)
+    store.note(carry.PENDING_ITEMS, [day.isoformat() for day in days])
+    store.overwrite_days(ITEMS_TABLE, numbered, days, ITEM_CLUSTER, spread=True)
+    carry.put_items(store, on_days(store.read(ITEMS_TABLE), days), days)

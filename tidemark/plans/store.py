@@ -85,6 +85,26 @@ class TableStore:
         meta = self.meta(table)
         return meta["columns"] if meta else None
 
+    def days(self, table: str) -> list[date]:
+        """Days of a table that is partitioned by day alone; one listing."""
+        version = self._current(table)
+        names = self._names(table, version) if version else []
+        found = [name.partition("=")[2] for name in names if "=" in name]
+        return sorted(date.fromisoformat(day) for day in found if day[:1].isdigit())
+
+    # -- notes ---------------------------------------------------------------------------
+
+    def note(self, name: str, value: list | None) -> None:
+        """A small note that outlives the run; None removes it."""
+        if value is None:
+            self._delete("_notes", f"{name}.json")
+        else:
+            self._write_text(json.dumps(value), "_notes", f"{name}.json")
+
+    def noted(self, name: str) -> list | None:
+        given = self._exists("_notes", f"{name}.json")
+        return json.loads(self._read_text("_notes", f"{name}.json")) if given else None
+
     def _publish(self, table: str, version: str, columns: dict, partitions: list[str]) -> None:
         text = json.dumps({"columns": columns, "partitions": partitions})
         self._write_text(text, table, version, COLUMNS_FILE)
