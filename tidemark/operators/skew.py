@@ -36,11 +36,15 @@ def broadcast_byte_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("tidemark.broadcastBytes", str(DEFAULT_BROADCAST_BYTES)))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
 def work_folder(spark: SparkSession) -> str:
     """Where intermediates go: the folder of the run in this thread, else spark.checkpoint.dir,
     else the warehouse. All executors share each of them."""
-    folder = getattr(_here, "folder", None) or spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    return getattr(_here, "folder", None) or shared_folder(spark)
 
 
 @contextlib.contextmanager

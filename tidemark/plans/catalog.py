@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+from collections.abc import Iterator
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +21,17 @@ from tidemark.operators import items as N
 from tidemark.operators import micro as M
 from tidemark.operators import registry as R
 from tidemark.operators import upsert as U
-from tidemark.operators.skew import DETECT, cut_lineage, hot_groups
+from tidemark.operators.skew import (
+    DETECT,
+    cut_lineage,
+    hot_groups,
+    shared_folder,
+    work_folder,
+    working_in,
+)
 from tidemark.plans import control as G
+from tidemark.plans import incremental as D
+from tidemark.plans.store import TableStore
 from tidemark.sources import adapter as A
 from tidemark.sources import shards
 from tidemark.sources.shards import empty
@@ -857,6 +871,60 @@ def micro_user(spark, sf):
     )
 
 
+# -- incremental days ----------------------------------------------------------------------
+
+
+@contextlib.contextmanager
+def scratch_store(spark: SparkSession) -> Iterator[TableStore]:
+    """A table store in the work folder; it goes when its query's result has been written."""
+    folder = f"{work_folder(spark)}/tidemark-store-{uuid.uuid4().hex}"
+    with working_in(spark, folder):
+        yield TableStore(spark, f"{folder}/tables")
+
+
+def settled(found: DataFrame) -> DataFrame:
+    """Rows written beside the scratch store, which goes before the caller reads them."""
+    spark = found.sparkSession
+    path = f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
+    found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def marked_days(frame: DataFrame, column: str) -> list:
+    """The tenth, the 20th and the last day of a frame."""
+    first, last = frame.agg(F.min(column), F.max(column)).first()
+    return [first + timedelta(days=9), first + timedelta(days=19), last]
+
+
+@query(with_ev(IDENTITY, PAGED, ASSEMBLED) + """
+SELECT CAST(CAST(ts + INTERVAL 9 HOUR AS DATE) AS VARCHAR) AS event_date, u AS user_pseudo_id,
+  s AS ga_session_id, micros AS event_timestamp_micros, name AS event_name, pv AS page_view_id,
+  row_number() OVER w AS session_event_no,
+  row_number() OVER (PARTITION BY u ORDER BY micros, name, s) AS user_event_no,
+  lag(name) OVER w AS prev_event_name,
+  CAST(round((micros - lag(micros) OVER w) / 1000000.0) AS BIGINT) AS seconds_from_prev_event,
+  host AS hostname_norm, lag(host) OVER w AS prev_hostname_norm, lead(host) OVER w AS next_hostname_norm,
+  lag(host) OVER w IS NOT NULL AND lag(host) OVER w <> host AS is_cross_domain_hop
+FROM assembled WINDOW w AS (PARTITION BY u, s ORDER BY micros, name)
+""")
+def incremental_users(spark, sf):
+    """The event-level table of 20 days but the tenth, then the later days, then the tenth."""
+    rows, plan, hot = tables(spark, sf)
+    frame, slots = attributes(spark, sf)
+    with scratch_store(spark) as store:
+        rows, frame = cut_lineage(rows), cut_lineage(frame)
+        gap, until, last = marked_days(rows, "event_date")
+        day = F.col("event_date")
+        D.build_events(store, rows.where((day <= F.lit(until)) & (day != F.lit(gap))), frame, plan, slots)
+        D.update_events(store, rows, frame, plan, slots, until + timedelta(days=1), last, hot)
+        D.update_events(store, rows, frame, plan, slots, gap, gap)
+        found = store.read(D.EVENTS_TABLE).select(
+            text("event_date"), "user_pseudo_id", "ga_session_id", "event_timestamp_micros",
+            "event_name", "page_view_id", "hostname_norm", *D.SEQUENCE_COLUMNS,
+        )
+        return settled(found)
+
+
 # -- items ---------------------------------------------------------------------------------
 
 ITEMS_SQL = """
@@ -968,6 +1036,34 @@ def item_params(spark, sf):
     )
 
 
+@query("WITH " + ITEMS_SQL + """
+SELECT u AS user_pseudo_id, l_orderkey AS ga_session_id, item_id, micros AS event_timestamp_micros,
+  name AS event_name, item_index, price, quantity, row_number() OVER (
+    PARTITION BY u, l_orderkey, item_id ORDER BY micros, name, item_index) AS item_event_no
+FROM item_rows
+""")
+def incremental_items(spark, sf):
+    """The item-level table of the first days but one quarter, then the later days, then that quarter."""
+    rows, columns, hot = item_frame(spark, sf, with_identity=False)
+    wanted = N.items_schema(columns)
+    with scratch_store(spark) as store:
+        rows = cut_lineage(rows.withColumn("local", F.to_date("event_timestamp")))
+        first, last = rows.agg(F.min("local"), F.max("local")).first()
+        cuts = [first + timedelta(days=(last - first).days * part // 10) for part in (3, 4, 7)]
+        local, day = F.col("local"), timedelta(days=1)
+        gap = local.between(F.lit(cuts[0]), F.lit(cuts[1]))
+        plain = rows.where((local <= F.lit(cuts[2])) & ~gap)
+        D.build_items(store, plain.drop("local"), wanted, hot)
+        late = rows.where(local > F.lit(cuts[2])).drop("local")
+        D.update_items(store, late, wanted, cuts[2] + day, last, hot)
+        D.update_items(store, rows.where(gap).drop("local"), wanted, cuts[0], cuts[1])
+        found = store.read(D.ITEMS_TABLE).select(
+            *E.SESSION, "item_id", "event_timestamp_micros", "event_name", "item_index", "price",
+            "quantity", "item_event_no",
+        )
+        return settled(found)
+
+
 @query("WITH " + ITEMS_SQL + "SELECT DISTINCT name AS event_name FROM item_rows")
 def item_events(spark, sf):
     return N.item_events(A.order_events(spark, sf))
