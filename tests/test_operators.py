@@ -22,6 +22,7 @@ from tidemark.operators import ordered as O
 from tidemark.operators import registry as R
 from tidemark.operators import upsert as U
 from tidemark.plans import control as G
+from tidemark.plans import state as ST
 from tidemark.plans.store import TableStore
 from tidemark.sources import shards
 
@@ -392,3 +393,86 @@ def test_store_versions_and_days(spark, tmp_path):
     assert values(store.read("t"), "x", "y") == [(11.0, None)]
     store.clear("t")
     assert not store.exists("t") and store.read("t", {"x": "int"}).count() == 0
+
+
+def test_widened_days_keep_their_files(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+
+    def put(rows, kind):
+        frame = spark.createDataFrame(rows, f"x {kind}, n string, d string").select(
+            "x", "n", F.col("d").cast("date").alias("event_date"))
+        return frame
+
+    store.replace("t", put([(1, "a", "2026-05-01"), (2, "b", "2026-05-02"), (3, "c", "2026-05-03")], "bigint"),
+                  ["n", "event_date"])
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+    day = {"n": "string", "event_date": "date"}
+    store.evolve("t", {"x": "double"} | day)
+    third, second = ids.parse_day("20260503"), ids.parse_day("20260502")
+    store.overwrite_days("t", put([(3.5, "z", "2026-05-03")], "double"), [third])
+    store.evolve("t", {"x": "string", "y": "double"} | day)
+    assert {f: f.stat().st_mtime_ns for f in files if f.exists()} == {
+        f: t for f, t in files.items() if "2026-05-03" not in str(f)}
+    got = sorted(values(store.read("t"), "x", "y", "n"))
+    assert got == [("1.0", None, "a"), ("2.0", None, "b"), ("3.5", None, "z")]
+    pruned = store.read("t").where(F.col("event_date") == F.lit(second))
+    assert values(pruned, "x") == [("2.0",)]
+    # a replaced day moves to the newest types, a day without rows goes
+    store.overwrite_days("t", pruned.withColumn("x", F.lit("text")), [second, third])
+    assert sorted(values(store.read("t"), "x", "n")) == [("1.0", "a"), ("text", "b")]
+    assert store.meta("t")["older"][1]["days"] == []
+    store.replace("t", store.read("t"), ["n", "event_date"])
+    store.replace("t", store.read("t"), ["n", "event_date"])
+    assert sorted(values(store.read("t"), "x")) == [("1.0",), ("text",)]
+    assert len(list((tmp_path / "t" / "t").glob("v*"))) == 2
+
+
+def spoil(folder):
+    """Make every file below a folder unreadable without a change of its folder's time."""
+    for file in folder.rglob("*.parquet"):
+        size = file.stat().st_size
+        with open(file, "r+b") as stream:
+            stream.write(b"?" * size)
+
+
+def test_second_day_scans_its_own_shards_only(spark, tmp_path):
+    events = [X.event(X.DAY1 + i * 86_400_000_000, "page_view", f"u{i % 2}", shard=f"2026050{i + 1}",
+                      user_id=f"m{i}") for i in range(4)]
+    X.write_sharded(X.events_frame(spark, events), tmp_path / "events")
+    path, store = str(tmp_path / "events"), TableStore(spark, str(tmp_path / "out"))
+    read = shards.read_events(spark, path)
+    found = ST.identity_days(store, read, path, "20260503", "20260503")
+    assert sorted(values(I.identity_of(found, TZ, now()), "user_pseudo_id", "user_id")) == [("u0", "m2"), ("u1", "m1")]
+    for i in (1, 2, 3):
+        spoil(tmp_path / "events" / f"shard=2026050{i}")
+    found = ST.identity_days(store, read, path, "20260504", "20260504")
+    assert sorted(values(I.identity_of(found, TZ, now()), "user_pseudo_id", "user_id")) == [("u0", "m2"), ("u1", "m3")]
+    found = ST.identity_days(store, read, path, "20260504", "20260504", days=1)
+    assert sorted(values(found, "user_id")) == [("m2",), ("m3",)]
+    # a shard that is delivered again is summed up again, one that is gone counts no more
+    again = X.events_frame(spark, [X.event(X.DAY1 + 86_400_000_000, "page_view", "u9", shard="20260502", user_id="new")])
+    again.drop("shard").coalesce(1).write.mode("overwrite").parquet(f"{path}/shard=20260502")
+    found = ST.identity_days(store, shards.read_events(spark, path), path, "20260504", "20260504")
+    assert sorted(values(found, "user_id")) == [("m0",), ("m2",), ("m3",), ("new",)]
+
+
+def test_property_state_equals_the_whole_log(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "out"))
+    kind = ", ".join(f"{c} {t}" for c, t in S.USER_PROPERTY_LOG.items())
+
+    def settings(rows):
+        named = [{"user_pseudo_id": u, "property_key": k, "property_value_string": s, "property_value_int": n}
+                 for u, k, s, n in rows]
+        return spark.createDataFrame([tuple(r.get(c) for c in S.USER_PROPERTY_LOG) for r in named], kind)
+
+    runs = [[("a", "p", None, 1), ("b", "p", None, None), (None, "q", None, None)], [],
+            [("a", "p", "x", None), ("c", "p", None, 2), ("a", "q", None, 5), ("a", "q", None, 6)]]
+    for rows in runs[:2]:
+        ST.append_settings(store, settings(rows))
+    store.note(ST.PENDING_SETTINGS, [])  # as an interrupted run leaves it
+    ST.append_settings(store, settings([]))
+    got = ST.append_settings(store, settings(runs[2])).collect()
+    want = I.property_summary(store.read("log_user_properties")).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert {(r.property_key, r.resolved_type, r.unique_users, r.total_records) for r in got} == {
+        ("p", "STRING", 3, 4), ("q", "INT64", 1, 3)}

@@ -24,28 +24,38 @@ def filled(text: Column) -> Column:
     return text.isNotNull() & (text != "")
 
 
-def identity_map(
-    events: DataFrame, start: str, end: str, tz: str, now: Column, days: int = S.LOOKBACK_DAYS
-) -> DataFrame:
-    """Newest non-empty user id per pseudonymous id in the look-back range.
+def identity_days(events: DataFrame) -> DataFrame:
+    """Newest non-empty user id per pseudonymous id and shard: what a shard adds to the map."""
+    newest_id = F.max(F.struct("event_timestamp", "user_id"))
+    known = events.where(filled(F.col("user_id")))
+    return known.groupBy("shard", "user_pseudo_id").agg(newest_id.alias("latest")).select(
+        "user_pseudo_id", "latest.event_timestamp", "latest.user_id",
+        shard_date(F.col("shard")).alias("event_date"),
+    )
+
+
+def identity_of(days: DataFrame, tz: str, now: Column) -> DataFrame:
+    """The identity map from the newest ids of its shards.
 
     ``first_touch_date`` is the local date of that newest event. Ids of the same
     microsecond are told apart by their text.
     """
-    known = look_back(events, start, end, days).where(filled(F.col("user_id")))
     newest_id = F.max(F.struct("event_timestamp", "user_id"))
-    return (
-        known.groupBy("user_pseudo_id")
-        .agg(newest_id.alias("latest"))
-        .select(
-            "user_pseudo_id",
-            F.col("latest.user_id").alias("user_id"),
-            local_date(F.col("latest.event_timestamp"), tz).alias("first_touch_date"),
-            now.alias("created_at"),
-        )
+    return days.groupBy("user_pseudo_id").agg(newest_id.alias("latest")).select(
+        "user_pseudo_id",
+        F.col("latest.user_id").alias("user_id"),
+        local_date(F.col("latest.event_timestamp"), tz).alias("first_touch_date"),
+        now.alias("created_at"),
     )
 
 
+def identity_map(
+    events: DataFrame, start: str, end: str, tz: str, now: Column, days: int = S.LOOKBACK_DAYS
+) -> DataFrame:
+    """Newest non-empty user id per pseudonymous id in the look-back range."""
+    return identity_of(identity_days(look_back(events, start, end, days)), tz, now)
+
+
 def slot_registry(
     users: DataFrame, start: str, end: str, tz: str, now: Column, days: int = S.LOOKBACK_DAYS
 ) -> DataFrame:
@@ -265,20 +275,51 @@ def user_property_log(
     )
 
 
-def property_summary(log: DataFrame) -> DataFrame:
-    """Per property: resolved type, users, records, first and last setting."""
-    has = {c: F.count_if(F.col(c).isNotNull()) > 0 for c in (
-        "property_value_string", "property_value_float", "property_value_int")}
-    resolved = (
-        F.when(has["property_value_string"], S.STRING)
-        .when(has["property_value_float"], S.FLOAT64)
-        .when(has["property_value_int"], S.INT64)
-        .otherwise(S.STRING)
-    )
+def property_sums(log: DataFrame) -> DataFrame:
+    """Per property the sums that add up over parts of the log, without users."""
     return log.groupBy("property_key").agg(
-        resolved.alias("resolved_type"),
-        F.count_distinct("user_pseudo_id").alias("unique_users"),
+        F.count("property_value_string").alias("texts"),
+        F.count("property_value_float").alias("floats"),
+        F.count("property_value_int").alias("integers"),
         F.count("*").alias("total_records"),
         F.min("set_timestamp").alias("first_seen"),
         F.max("set_timestamp").alias("last_seen"),
     )
+
+
+def property_users(log: DataFrame) -> DataFrame:
+    """Distinct (property, user) of a part of the log."""
+    return log.where("user_pseudo_id IS NOT NULL").select("property_key", "user_pseudo_id").distinct()
+
+
+def merged_properties(old: DataFrame, sums: DataFrame, new_users: DataFrame) -> DataFrame:
+    """State of all properties: older state, sums of new settings, (property, user) not seen before."""
+    fresh = new_users.groupBy("property_key").agg(F.count("*").alias("unique_users"))
+    both = old.unionByName(sums, allowMissingColumns=True).unionByName(fresh, allowMissingColumns=True)
+    added = ["texts", "floats", "integers", "total_records", "unique_users"]
+    return both.groupBy("property_key").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in added],
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+    )
+
+
+def summary_of(state: DataFrame) -> DataFrame:
+    """Per property: resolved type, users, records, first and last setting."""
+    resolved = (
+        F.when(F.col("texts") > 0, S.STRING)
+        .when(F.col("floats") > 0, S.FLOAT64)
+        .when(F.col("integers") > 0, S.INT64)
+        .otherwise(S.STRING)
+    )
+    return state.select(
+        "property_key", resolved.alias("resolved_type"), "unique_users", "total_records",
+        "first_seen", "last_seen",
+    )
+
+
+def property_summary(log: DataFrame) -> DataFrame:
+    """The summary of a whole log."""
+    sums = property_sums(log)
+    nothing = sums.limit(0).withColumn("unique_users", F.lit(0).cast("bigint"))
+    return summary_of(merged_properties(nothing, sums, property_users(log)))

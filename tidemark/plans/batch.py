@@ -19,7 +19,7 @@ from tidemark.operators import identity as I
 from tidemark.operators import items as N
 from tidemark.operators import registry as R
 from tidemark.operators.skew import cut_lineage, hot_groups, working_in
-from tidemark.plans import carry, control
+from tidemark.plans import carry, control, state
 from tidemark.plans.control import schema_drift
 from tidemark.plans.incremental import (
     EVENTS_TABLE,
@@ -45,6 +45,7 @@ RESET_TABLES = [
     "mst_event_params", "mst_duplicate_params_log", "audit_schema_log",
     "log_integrated_columns", "log_audience_membership", "log_user_properties",
     "mst_user_properties", "mst_item_params", "micro_items_table", EVENT_TABLES, carry.ITEMS,
+    *state.STATE_TABLES,
 ]
 
 
@@ -149,9 +150,8 @@ def phase_1(run: Run, events: DataFrame, users: DataFrame | None) -> str:
     """Identity map, slots, user attributes, audiences, user properties."""
     cfg, store, spark = run.cfg, run.store, run.spark
     span = (cfg.start, cfg.end)
-    store.replace(
-        "dim_user_map_180d", I.identity_map(events, *span, cfg.tz, run.now), cluster=E.USER
-    )
+    days = state.identity_days(store, events, cfg.events_path, *span)
+    store.replace("dim_user_map_180d", I.identity_of(days, cfg.tz, run.now), cluster=E.USER)
     identity = store.read("dim_user_map_180d")
     snapshot = shards.empty(spark, S.USERS) if users is None else users
     store.replace(
@@ -177,8 +177,7 @@ def phase_1(run: Run, events: DataFrame, users: DataFrame | None) -> str:
     logged = store.read("log_user_properties", S.USER_PROPERTY_LOG)
     hot = hot_groups(shards.in_shards(events, *span), E.USER, F.size("user_properties"))
     settings = I.user_property_log(events, identity, logged, *span, cfg.tz, run.now, hot=hot)
-    store.append("log_user_properties", settings, S.USER_PROPERTY_LOG, ["set_date"])
-    store.replace("mst_user_properties", I.property_summary(store.read("log_user_properties")))
+    store.replace("mst_user_properties", state.append_settings(store, settings))
     return f"SUCCESS ({warning})" if warning else "SUCCESS"
 
 

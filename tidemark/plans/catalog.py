@@ -31,6 +31,7 @@ from tidemark.operators.skew import (
 )
 from tidemark.plans import control as G
 from tidemark.plans import incremental as D
+from tidemark.plans import state
 from tidemark.plans.store import TableStore
 from tidemark.sources import adapter as A
 from tidemark.sources import shards
@@ -547,6 +548,24 @@ def identity_map(spark, sf):
     return identity(rich(spark, sf)).select("user_pseudo_id", "user_id", text("first_touch_date"))
 
 
+@query(with_ev() + """
+SELECT u AS user_pseudo_id, max('m' || user_id) AS user_id,
+  CAST(CAST(max(ts) + INTERVAL 9 HOUR AS DATE) AS VARCHAR) AS first_touch_date
+FROM ev WHERE kind = 'signup' AND shard BETWEEN '20240113' AND '20240119' GROUP BY u
+""")
+def identity_look_back(spark, sf):
+    """A look-back of seven days over the sums of shards; the second day scans its own shards only."""
+    events = rich(spark, sf).select("shard", "event_timestamp", "user_pseudo_id", "user_id")
+    with scratch_store(spark) as store:
+        path = f"{store.root}/source"
+        events.repartition("shard").write.partitionBy("shard").parquet(path)
+        stored = shards.read_sharded(spark, path, dict(events.dtypes))
+        state.identity_days(store, stored, path, "20240115", "20240115", days=6)
+        days = state.identity_days(store, stored, path, "20240119", "20240119", days=6)
+        known = I.identity_of(days, TZ, epoch())
+        return settled(known.select("user_pseudo_id", "user_id", text("first_touch_date")))
+
+
 SNAPSHOTS = """
 WITH cust AS (
   SELECT c.*, n_name, 1700000000000000 + c_custkey * 1000000 AS base
@@ -701,6 +720,22 @@ def property_summary(spark, sf):
     )
 
 
+@query(SQL["property_summary"])
+def property_state(spark, sf):
+    """The property summary after two runs, of which the second adds its own settings only."""
+    events = rich(spark, sf)
+    known = identity(events)
+    hot = hot_groups(events, E.USER, F.size("user_properties"))
+    with scratch_store(spark) as store:
+        for start, end in (("20240101", "20240110"), whole(events)):
+            log = store.read(state.PROPERTY_LOG, S.USER_PROPERTY_LOG)
+            fresh = I.user_property_log(events, known, log, start, end, TZ, epoch(), hot)
+            summary = state.append_settings(store, fresh)
+        return settled(summary.withColumns(
+            {"first_seen": micros("first_seen"), "last_seen": micros("last_seen")}
+        ))
+
+
 # -- event tables --------------------------------------------------------------------------
 
 
@@ -1043,11 +1078,17 @@ SELECT u AS user_pseudo_id, l_orderkey AS ga_session_id, item_id, micros AS even
 FROM item_rows
 """)
 def incremental_items(spark, sf):
-    """The item-level table of the first days but one quarter, then the later days, then that quarter."""
+    """The item-level table of the first days but a tenth, then the later days, then that tenth.
+
+    The source's day is the first of its quarter here, so that seven years make 28 folders, each
+    with days that stay and days that change.
+    """
     rows, columns, hot = item_frame(spark, sf, with_identity=False)
     wanted = N.items_schema(columns)
     with scratch_store(spark) as store:
-        rows = cut_lineage(rows.withColumn("local", F.to_date("event_timestamp")))
+        quarter = F.trunc("event_date", "quarter")
+        rows = rows.withColumns({"local": F.to_date("event_timestamp"), "event_date": quarter})
+        rows = cut_lineage(rows)
         first, last = rows.agg(F.min("local"), F.max("local")).first()
         cuts = [first + timedelta(days=(last - first).days * part // 10) for part in (3, 4, 7)]
         local, day = F.col("local"), timedelta(days=1)

@@ -4,10 +4,15 @@
 the version visible, so a failed replacement leaves the older version in place. A date
 range is replaced inside the current version by dynamic partition overwrite, which commits
 only after all rows were read and written; days left without rows are then removed.
+
+A table by days whose column types widen keeps its files. The version gets one more folder, in
+which days are written from then on; the days of an older folder are listed with the types they
+were written in and cast when they are read, until they are replaced.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 from datetime import date, timedelta
 
@@ -16,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as S
 from tidemark.operators.evolve import conform
-from tidemark.operators.skew import quoted
+from tidemark.operators.skew import quote, quoted
 from tidemark.sources.shards import empty
 
 COLUMNS_FILE = "_columns.json"
@@ -79,7 +84,10 @@ class TableStore:
 
     def meta(self, table: str) -> dict | None:
         version = self._current(table)
-        return json.loads(self._read_text(table, version, COLUMNS_FILE)) if version else None
+        if version is None:
+            return None
+        found = json.loads(self._read_text(table, version, COLUMNS_FILE))
+        return {"folder": version, "older": []} | found
 
     def columns(self, table: str) -> dict[str, str] | None:
         meta = self.meta(table)
@@ -87,27 +95,45 @@ class TableStore:
 
     def days(self, table: str) -> list[date]:
         """Days of a table that is partitioned by day alone; one listing."""
-        version = self._current(table)
-        names = self._names(table, version) if version else []
-        found = [name.partition("=")[2] for name in names if "=" in name]
-        return sorted(date.fromisoformat(day) for day in found if day[:1].isdigit())
+        meta = self.meta(table)
+        if meta is None:
+            return []
+        names = self._names(table, meta["folder"])
+        found = {name.partition("=")[2] for name in names if "=" in name}
+        found |= {day for part in meta["older"] for day in part["days"]}
+        return sorted(self._dates(day for day in found if day[:1].isdigit()))
 
     # -- notes ---------------------------------------------------------------------------
 
-    def note(self, name: str, value: list | None) -> None:
+    def note(self, name: str, value: list | dict | None) -> None:
         """A small note that outlives the run; None removes it."""
         if value is None:
             self._delete("_notes", f"{name}.json")
         else:
             self._write_text(json.dumps(value), "_notes", f"{name}.json")
 
-    def noted(self, name: str) -> list | None:
+    def noted(self, name: str) -> list | dict | None:
         given = self._exists("_notes", f"{name}.json")
         return json.loads(self._read_text("_notes", f"{name}.json")) if given else None
 
-    def _publish(self, table: str, version: str, columns: dict, partitions: list[str]) -> None:
-        text = json.dumps({"columns": columns, "partitions": partitions})
-        self._write_text(text, table, version, COLUMNS_FILE)
+    def _publish(
+        self,
+        table: str,
+        version: str,
+        columns: dict,
+        partitions: list[str],
+        folder: str | None = None,
+        older: list[dict] = (),
+    ) -> None:
+        """``folder`` is where days are written; ``older`` lists folder, columns and days of those
+        written in other types, oldest first."""
+        given = {"columns": columns, "partitions": partitions, "folder": folder or version}
+        self._write_text(json.dumps(given | {"older": list(older)}), table, version, COLUMNS_FILE)
+
+    def _drop_version(self, table: str, version: int) -> None:
+        for name in self._names(table):
+            if name == f"v{version}" or name.startswith(f"v{version}g"):
+                self._delete(table, name)
 
     # -- reads ---------------------------------------------------------------------------
 
@@ -118,10 +144,35 @@ class TableStore:
             if default is None:
                 raise ValueError(f"no table {table} under {self.root}")
             return empty(self.spark, default)
-        columns = self.columns(table)
-        frame = self.spark.read.schema(S.ddl(columns)).parquet(f"{self.root}/{table}/{version}")
+        meta = self.meta(table)
+        older = meta["older"]
+        frames = []
+        if not older or self._exists(table, meta["folder"]):
+            frames.append(self._scan(table, meta["folder"], meta["columns"]))
+        if older:
+            day = F.col(quote(meta["partitions"][-1]))
+            moved = [day for part in older for day in self._dates(part["days"])]
+            frames = [f.where(F.coalesce(~day.isin(moved), F.lit(True))) for f in frames if moved] or frames
+        later = [part["columns"] for part in older[1:]] + [meta["columns"]]
+        for number, part in enumerate(older):
+            if part["days"]:
+                frame = self._scan(table, part["folder"], part["columns"])
+                frame = frame.where(day.isin(self._dates(part["days"])))
+                for columns in later[number:]:  # one widening after the other, as values changed
+                    frame = conform(frame, columns)
+                frames.append(frame)
+        if not frames:
+            return empty(self.spark, meta["columns"])
+        return functools.reduce(DataFrame.unionByName, frames)
+
+    def _scan(self, table: str, folder: str, columns: dict[str, str]) -> DataFrame:
+        frame = self.spark.read.schema(S.ddl(columns)).parquet(f"{self.root}/{table}/{folder}")
         return frame.select(*quoted(columns))
 
+    @staticmethod
+    def _dates(days: list[str]) -> list[date]:
+        return [date.fromisoformat(day) for day in days]
+
     # -- writes --------------------------------------------------------------------------
 
     def replace(
@@ -145,10 +196,10 @@ class TableStore:
         )
         self._publish(table, version, columns, list(partitions))
         for old in versions[:-1]:
-            self._delete(table, f"v{old}")
+            self._drop_version(table, old)
 
     def _writer(self, rows: DataFrame, partitions, cluster, spread):
-        if partitions and spread:
+        if spread:
             rows = rows.hint("rebalance", *[F.col(c) for c in partitions])
         if cluster:
             rows = rows.sortWithinPartitions(*partitions, *cluster)
@@ -158,33 +209,62 @@ class TableStore:
     def append(
         self, table: str, rows: DataFrame, columns: dict[str, str], partitions: list[str] = ()
     ) -> None:
+        """More rows; AQE sizes the files, so a small run leaves a small number of them."""
         rows = conform(rows, columns)
         meta = self.meta(table)
         if meta is None:
-            self.replace(table, rows, partitions)
-        else:
-            self._writer(rows, meta["partitions"], (), False).mode("append").parquet(
-                f"{self.root}/{table}/{self._current(table)}"
-            )
+            self.replace(table, rows, partitions, spread=True)
+            return
+        if meta["older"]:  # rows of listed days would not be seen
+            raise ValueError(f"{table} has days in older types and takes whole days only")
+        self._writer(rows, meta["partitions"], (), True).mode("append").parquet(
+            f"{self.root}/{table}/{meta['folder']}"
+        )
 
     def clear(self, table: str) -> None:
         """State reset: the table is gone for readers."""
         for version in self._versions(table):
-            self._delete(table, f"v{version}")
+            self._drop_version(table, version)
 
     def evolve(self, table: str, columns: dict[str, str], cluster: list[str] = ()) -> None:
-        """Give the table these columns: new ones cost nothing, changed types a rewrite."""
+        """Give the table these columns; the files of a table by days stay as they are.
+
+        New columns cost nothing. Changed types open a new folder for the days written from now
+        on. Other tables, and days that are no dates, are rewritten.
+        """
         meta = self.meta(table)
         if meta is None or meta["columns"] == columns:
             return
-        changed = [c for c, t in meta["columns"].items() if columns.get(c, t) != t]
-        lost = [c for c in meta["columns"] if c not in columns]
-        if changed or lost:
-            self.replace(
-                table, conform(self.read(table), columns), meta["partitions"], cluster, spread=True
-            )
-        else:
-            self._publish(table, self._current(table), columns, meta["partitions"])
+        version, old = self._current(table), meta["columns"]
+        changed = [c for c, t in old.items() if columns.get(c, t) != t]
+        lost = [c for c in old if c not in columns]
+        if not changed and not lost:
+            self._publish(table, version, columns, meta["partitions"], meta["folder"], meta["older"])
+            return
+        days = self._day_names(table, meta["folder"], meta["partitions"])
+        if lost or days is None:
+            rows = conform(self.read(table), columns)
+            self.replace(table, rows, meta["partitions"], cluster, spread=True)
+            return
+        moved = {day for part in meta["older"] for day in part["days"]}
+        part = {"folder": meta["folder"], "columns": old, "days": sorted(set(days) - moved)}
+        older = [*meta["older"], part]
+        folder = f"{version}g{len(older)}"
+        self._publish(table, version, columns, meta["partitions"], folder, older)
+
+    def _day_names(self, table: str, folder: str, partitions: list[str]) -> list[str] | None:
+        """Days in a folder of a table whose last partition column is a day, else None."""
+        if not partitions:
+            return None
+        outer = [()]
+        for _ in partitions[:-1]:
+            outer = [(*f, n) for f in outer for n in self._names(table, folder, *f) if "=" in n]
+        days = {n.partition("=")[2] for f in outer for n in self._names(table, folder, *f) if "=" in n}
+        try:
+            self._dates(days)
+        except ValueError:
+            return None
+        return sorted(days)
 
     def overwrite_days(
         self,
@@ -198,17 +278,26 @@ class TableStore:
 
         ``rows`` hold every row these days shall have. ``rows`` may read this table.
         """
-        meta, version = self.meta(table), self._current(table)
-        partitions = meta["partitions"]
-        before = self._files_by_folder(table, version, partitions, days)
+        meta = self.meta(table)
+        partitions, place = meta["partitions"], meta["folder"]
+        before = self._files_by_folder(table, place, partitions, days)
         rows = conform(rows, meta["columns"])
         self._writer(rows, partitions, cluster, spread).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
-        ).parquet(f"{self.root}/{table}/{version}")
-        after = self._files_by_folder(table, version, partitions, days)
+        ).parquet(f"{self.root}/{table}/{place}")
+        after = self._files_by_folder(table, place, partitions, days)
         for folder, files in before.items():
             if after.get(folder) == files:
-                self._delete(table, version, *folder)
+                self._delete(table, place, *folder)
+        gone = {day.isoformat() for day in days}
+        if any(gone & set(part["days"]) for part in meta["older"]):
+            older = [part | {"days": sorted(set(part["days"]) - gone)} for part in meta["older"]]
+            version = self._current(table)
+            self._publish(table, version, meta["columns"], partitions, place, older)
+            for part in meta["older"]:  # nothing lists these days there any more
+                moved = [day for day in days if day.isoformat() in part["days"]]
+                for folder in self._files_by_folder(table, part["folder"], partitions, moved):
+                    self._delete(table, part["folder"], *folder)
 
     def _files_by_folder(
         self, table: str, version: str, partitions: list[str], days: list[date]

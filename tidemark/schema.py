@@ -335,6 +335,10 @@ PROPERTY_SUMMARY = _columns(
     "property_key string, resolved_type string, unique_users bigint, total_records bigint, "
     "first_seen timestamp, last_seen timestamp"
 )
+PROPERTY_STATE = _columns(
+    "property_key string, texts bigint, floats bigint, integers bigint, total_records bigint, "
+    "first_seen timestamp, last_seen timestamp, unique_users bigint"
+)
 RUN_LOG = _columns(
     "batch_id string, executed_at timestamp, start_date string, end_date string, "
     "phase_0_status string, phase_1_status string, phase_2_status string, "

@@ -41,6 +41,20 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
     return read_sharded(spark, path, S.USERS)
 
 
+def marks(spark: SparkSession, path: str, start: str, end: str) -> dict[str, str]:
+    """Size, number of files and time of each shard folder in the range, to tell changed shards."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for folder in fs.listStatus(root):
+        shard = folder.getPath().getName().removeprefix("shard=")
+        if len(shard) == 8 and shard.isdigit() and start <= shard <= end:
+            summary = fs.getContentSummary(folder.getPath())
+            parts = summary.getLength(), summary.getFileCount(), folder.getModificationTime()
+            found[shard] = "/".join(map(str, parts))
+    return found
+
+
 def bytes_of(spark: SparkSession, path: str, start: str, end: str) -> int:
     """Bytes of the shard folders in the range, from the file system's own summary."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
