@@ -22,6 +22,7 @@ from tidemark.operators import ordered as O
 from tidemark.operators import registry as R
 from tidemark.operators import upsert as U
 from tidemark.plans import control as G
+from tidemark.plans import incremental as D
 from tidemark.plans import state as ST
 from tidemark.plans.store import TableStore
 from tidemark.sources import shards
@@ -476,3 +477,24 @@ def test_property_state_equals_the_whole_log(spark, tmp_path):
     assert sorted(map(str, got)) == sorted(map(str, want))
     assert {(r.property_key, r.resolved_type, r.unique_users, r.total_records) for r in got} == {
         ("p", "STRING", 3, 4), ("q", "INT64", 1, 3)}
+
+
+def test_range_plan_shuffles_new_rows_once(spark):
+    """Replay addresses and carried numbers come as side rows, so no join moves the rows again."""
+    rows = [X.event(X.DAY1, "page_view", params=[("n", X.value(integer=1))])]
+    tables, plan = flatten(spark, rows)
+    narrow = spark.createDataFrame(tables.collect(), tables.schema)
+    attributes = shards.empty(spark, S.USER_ATTRIBUTES_HEAD | S.USER_ATTRIBUTES_TAIL)
+    users = spark.createDataFrame([("a", 7)], "user_pseudo_id string, user_carry bigint")
+    sessions = spark.createDataFrame(
+        [("a", 1, 3, "url", None, X.DAY1 - 60_000_000, "search", "h", None)],
+        "user_pseudo_id string, ga_session_id bigint, carried bigint, replay_url string, last_date date, "
+        "event_timestamp_micros bigint, event_name string, hostname_norm string, next_hostname_norm string")
+    unnumbered = {c: t for c, t in M.micro_schema(plan, []).items() if c not in D.SEQUENCE_COLUMNS}
+    fresh, _ = D.fresh_rows(narrow, D.side_rows(users, sessions), attributes, plan, [], unnumbered, None)
+    built = M.gap_and_hop(D.sequence_with_side_rows(fresh))
+    text = built._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") <= 2, text  # the rows, and the attributes
+    (row,) = built.where(M.is_row()).collect()
+    assert (row.session_event_no, row.user_event_no, row.prev_event_name, row.seconds_from_prev_event,
+            row.clarity_play_url, row.is_key_event) == (4, 8, "search", 60, "url", 0)

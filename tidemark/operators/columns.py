@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as S
 from tidemark.functions.lattice import widest_of
-from tidemark.functions.params import extract_param, extracted_type
+from tidemark.functions.params import extract_param, extracted_type, param_value
 from tidemark.operators.evolve import visible_params
 from tidemark.operators.registry import is_event_specific
 from tidemark.operators.skew import quote
@@ -68,6 +68,16 @@ class RawColumn:
         ]
         return F.coalesce(*values) if len(values) > 1 else values[0]
 
+    def lost(self, params: Column, event_name: Column) -> Column:
+        """Whether the event brings a value that this column's type does not hold."""
+        given = F.lit(False)
+        for param in sorted({param for param, _, _ in self.sources}):
+            value = param_value(params, param)
+            some = F.coalesce(*[value[f].cast("string") for f in ("string_value", "int_value", "double_value")])
+            events = sorted({event for p, event, _ in self.sources if p == param})
+            given = given | (event_name.isin(events) & some.isNotNull())
+        return given & self.expression(params, event_name).isNull()
+
     def type_for(self, event: str) -> str | None:
         types = [extracted_type(p, t) for p, e, t in self.sources if e == event]
         return widest_of(types) if types else None

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as S
 from tidemark.functions import ids
+from tidemark.functions.lattice import wider
 from tidemark.functions.params import param_value, session_id
 from tidemark.operators.columns import ColumnPlan
 from tidemark.operators.ordered import segmented_running_count, windowed_running_count
@@ -154,3 +155,28 @@ def event_table(tables: DataFrame, plan: ColumnPlan, name: str) -> DataFrame:
         *[F.col(quote(c)).try_cast(S.SPARK_TYPE[t]).alias(c) for c, t in own if t],
         "batch_id",
     )
+
+
+def lossy_events(seen: DataFrame, registry: DataFrame) -> list[str]:
+    """Events of which a parameter was seen in a wider type than its registered one: few names."""
+    registered = registry.select("event_name", "param_name", F.col("data_type").alias("registered"))
+    both = seen.join(registered, ["event_name", "param_name"])
+    wider_seen = wider(F.col("data_type"), F.col("registered")) != F.col("registered")
+    rows = both.where(wider_seen).select("event_name").distinct().collect()
+    return sorted(row[0] for row in rows if row[0] is not None)
+
+
+def lost_values(events: DataFrame, plan: ColumnPlan) -> DataFrame:
+    """(event_name, param_name, data_type, lost): values that their column's type does not hold."""
+    columns = [c for c in plan.raw if c.data_type != S.STRING]  # text holds every value
+    params, event = F.col("event_params"), F.col("event_name")
+    misses = [
+        F.struct(F.lit(c.name).alias("param_name"), F.lit(c.data_type).alias("data_type"),
+                 c.lost(params, event).alias("lost"))
+        for c in columns
+    ]
+    missed = F.explode(F.filter(F.array(*misses), lambda m: m["lost"])).alias("m")
+    if not misses:
+        missed = F.explode(F.array().cast("array<struct<param_name: string, data_type: string>>")).alias("m")
+    found = events.select("event_name", missed)
+    return found.groupBy("event_name", "m.param_name", "m.data_type").agg(F.count("*").alias("lost"))

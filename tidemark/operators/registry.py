@@ -25,24 +25,34 @@ def declared_type(param: Column, declared: dict[str, str] = S.DECLARED_TYPES) ->
     return out
 
 
-def observe_params(events: DataFrame, declared: dict[str, str] = S.DECLARED_TYPES) -> DataFrame:
-    """Distinct (event, parameter, observed type), the dictionary's type taking precedence.
+def seen_types(events: DataFrame) -> DataFrame:
+    """Distinct (event, parameter, type of the value as it is).
 
-    The distinct runs before the dictionary, so a parameter seen with two types gives two
-    rows even when the dictionary then gives both the same type. Only keys and values of
-    the parameter arrays are read, and distinct combines in the map tasks.
+    Only keys and values of the parameter arrays are read, and distinct combines in the map tasks.
     """
     # The outer form spares a second look at each array; the key filter drops its empty rows.
     exploded = events.select("event_name", F.explode_outer("event_params").alias("p"))
-    observed = exploded.select(
+    seen = exploded.select(
         "event_name",
         F.col("p.key").alias("param_name"),
         observed_type(F.col("p.value")).alias("data_type"),
-    ).where(~F.col("param_name").isin(S.EXCLUDED_PARAMS))
-    return observed.distinct().withColumn(
-        "data_type",
-        F.coalesce(declared_type(F.col("param_name"), declared), F.col("data_type")),
     )
+    return seen.where(~F.col("param_name").isin(S.EXCLUDED_PARAMS)).distinct()
+
+
+def declare(seen: DataFrame, declared: dict[str, str] = S.DECLARED_TYPES) -> DataFrame:
+    """Seen types, the dictionary's type taking precedence.
+
+    A parameter seen with two types keeps its two rows even when the dictionary then gives both
+    the same type.
+    """
+    given = declared_type(F.col("param_name"), declared)
+    return seen.withColumn("data_type", F.coalesce(given, F.col("data_type")))
+
+
+def observe_params(events: DataFrame, declared: dict[str, str] = S.DECLARED_TYPES) -> DataFrame:
+    """Distinct (event, parameter, observed or declared type)."""
+    return declare(seen_types(events), declared)
 
 
 def unify_types(raw: DataFrame, keys: list[str]) -> DataFrame:

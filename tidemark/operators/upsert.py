@@ -1,15 +1,15 @@
-"""Keyed table changes as joins: upsert, append-if-new, update-from, range replace.
+"""Keyed table changes as joins: upsert, append-if-new, update-from.
 
 Parquet tables have no MERGE, UPDATE or DELETE; each function returns the new content.
 """
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import broadcast_if_small, null_safe, prefixed, quoted
+
 
 def upsert_by_key(
     old: DataFrame,
@@ -57,22 +57,26 @@ def insert_if_absent(rows: DataFrame, constant: DataFrame, keys: list[str]) -> D
 
 
 def update_from(
-    target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], only: Column | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    columns: list[str],
+    only: Column | None = None,
+    source_rows: int | None = None,
 ) -> DataFrame:
-    """Take ``columns`` from the matching source row (keys unique there), else keep them."""
+    """Take ``columns`` from the matching source row (keys unique there, NULL matches NULL).
+
+    A source of ``source_rows`` rows is broadcast if that is within the limits.
+    """
     renamed = source.select(
         *keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns]
     )
+    side = prefixed(renamed, keys)
+    if source_rows is not None:
+        side = broadcast_if_small(side, source_rows)
     hit = F.col("_hit").isNotNull()
     if only is not None:
         hit = hit & only
     updated = {c: F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}
-    return target.join(renamed, keys, "left").withColumns(updated).select(*target.columns)
-
-
-def replace_range(
-    old: DataFrame, new: DataFrame, column: str, start: date, end: date
-) -> DataFrame:
-    """Old rows outside the inclusive range, plus the new rows; NULL dates are kept."""
-    outside = ~F.coalesce(F.col(column).between(F.lit(start), F.lit(end)), F.lit(False))
-    return old.where(outside).unionByName(new, allowMissingColumns=True)
+    joined = target.join(side, null_safe(target, side, keys), "left")
+    return joined.withColumns(updated).select(*quoted(target.columns))

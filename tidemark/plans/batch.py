@@ -79,6 +79,7 @@ class Run:
     hot_users: object = None
     slots: list = field(default_factory=list)
     plan: C.ColumnPlan | None = None
+    seen: DataFrame | None = None
 
     @property
     def now(self):
@@ -97,7 +98,8 @@ def phase_0(run: Run, events: DataFrame) -> str:
         shards.widened(events, cfg.start, cfg.end).select(*E.USER), E.USER
     )
     in_range = shards.in_shards(events, cfg.start, cfg.end)
-    raw = cut_lineage(R.observe_params(in_range))
+    run.seen = cut_lineage(R.seen_types(in_range))
+    raw = R.declare(run.seen)
     R.require_params(raw, cfg.start)
     if cfg.reset:  # only a run that has found its parameters gives up the old state
         for table in RESET_TABLES:
@@ -227,7 +229,28 @@ def phase_2(run: Run, events: DataFrame) -> str:
             ["user_pseudo_id"],
             spread=True,
         )
-    return "SUCCESS"
+    return partial_status(run, events)
+
+
+def partial_status(run: Run, events: DataFrame) -> str:
+    """SUCCESS, or the events that lost values, which the log of failed values counts.
+
+    Only events of which phase 0 saw a wider type than the registered one are read again.
+    """
+    cfg, store = run.cfg, run.store
+    suspects = E.lossy_events(run.seen, store.read("mst_event_params"))
+    if not suspects:
+        return "SUCCESS"
+    read = events.where(F.col("event_name").isin(suspects))
+    read = E.events_in_window(read, cfg.start, cfg.end, cfg.tz, cfg.exclusive_end)
+    lost = cut_lineage(E.lost_values(read, run.plan))
+    by_event = lost.groupBy("event_name").agg(F.sum("lost").alias("n")).orderBy("event_name").collect()
+    if not by_event:
+        return "SUCCESS"
+    rows = lost.withColumns({"batch_id": F.lit(run.batch_id), "executed_at": run.now})
+    store.append("log_failed_values", rows, S.FAILED_VALUES)
+    failed = ", ".join(f"{row['event_name']}({row['n']})" for row in by_event)
+    return f"PARTIAL: failed={failed}"[:ERROR_CHARS]
 
 
 def phase_3a(run: Run) -> str:
@@ -364,7 +387,8 @@ def _run(run: Run) -> DataFrame:
     attempt(run, "phase_1", run.status["phase_0"] == "SUCCESS", lambda: phase_1(run, events, users))
     ready = run.status["phase_1"].startswith("SUCCESS")
     attempt(run, "phase_2", ready, lambda: phase_2(run, events))
-    attempt(run, "phase_3a", run.status["phase_2"] == "SUCCESS", lambda: phase_3a(run))
+    written = run.status["phase_2"].startswith(("SUCCESS", "PARTIAL"))
+    attempt(run, "phase_3a", written, lambda: phase_3a(run))
     attempt(
         run, "phase_3b", run.status["phase_3a"].startswith("SUCCESS"), lambda: phase_3b(run, events)
     )

@@ -32,7 +32,7 @@ from tidemark.operators.skew import (
 from tidemark.plans import control as G
 from tidemark.plans import incremental as D
 from tidemark.plans import state
-from tidemark.plans.store import TableStore
+from tidemark.plans.store import TableStore, days_between
 from tidemark.sources import adapter as A
 from tidemark.sources import shards
 from tidemark.sources.shards import empty
@@ -906,6 +906,20 @@ def micro_user(spark, sf):
     )
 
 
+@query(with_ev(RAW_RICH) + """
+SELECT name AS event_name, 'rank' AS param_name, 'INT64' AS data_type, count(*) AS lost
+FROM ev WHERE kind NOT IN ('view', 'click', 'purchase') GROUP BY name
+""")
+def lost_values(spark, sf):
+    """Values lost where a parameter of mixed types is registered as an integer."""
+    events = rich(spark, sf)
+    narrow = F.when(F.col("param_name") == "rank", S.INT64).otherwise(F.col("data_type"))
+    registry = cut_lineage(registered(spark, sf).withColumn("data_type", narrow))
+    suspects = E.lossy_events(R.seen_types(events), registry)
+    read = events.where(F.col("event_name").isin(suspects))
+    return E.lost_values(read, C.column_plan(registry))
+
+
 # -- incremental days ----------------------------------------------------------------------
 
 
@@ -1144,13 +1158,14 @@ WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-06' AND DATE '2024-01-12'
 def range_replace(spark, sf):
     rows = A.table(spark, sf, "events").select("event_id", F.to_date("ts").alias("event_date"))
     first, last = ids.parse_day("20240105"), ids.parse_day("20240112")
-    new = rows.where(
-        F.col("event_date").between(F.lit(ids.parse_day("20240106")), F.lit(last))
-    ).withColumn("version", F.lit("new"))
-    old = rows.withColumn("version", F.lit("old"))
-    return U.replace_range(old, new, "event_date", first, last).withColumn(
-        "event_date", F.col("event_date").cast("string")
-    )
+    inside = F.col("event_date").between(F.lit(ids.parse_day("20240106")), F.lit(last))
+    with scratch_store(spark) as store:
+        old = rows.select("event_id", F.lit("old").alias("version"), "event_date")
+        store.replace("versions", old, ["event_date"])
+        new = rows.where(inside).withColumn("version", F.lit("new"))
+        store.overwrite_days("versions", new, days_between(first, last), spread=True)
+        found = store.read("versions")
+        return settled(found.withColumn("event_date", F.col("event_date").cast("string")))
 
 
 @query("""

@@ -40,6 +40,7 @@ from tidemark.operators.skew import (
     prefixed,
     quoted,
 )
+from tidemark.operators.upsert import update_from
 from tidemark.plans import carry
 from tidemark.plans.carry import semi_null_safe
 from tidemark.plans.store import TableStore, days_between
@@ -214,6 +215,29 @@ def sequence_with_joins(
     return linked.drop("_opens"), ends
 
 
+def fresh_rows(
+    source: DataFrame,
+    side: DataFrame,
+    attributes: DataFrame,
+    plan: ColumnPlan,
+    slots: list[str],
+    unnumbered: dict[str, str],
+    hot: HotGroups | None,
+    replay: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """New rows but for their numbers: (ordinary users' with the side rows, hot users').
+
+    The ordinary rows stay partitioned by user from here to the last window.
+    """
+    ordinary, large = M.micro_rows(source, plan, hot, replay, side)
+    ordinary = M.with_event_id(M.fill_slots(ordinary, attributes, slots, hot=None))
+    ordinary = V.conform(ordinary, unnumbered | {SIDE: SIDE_DDL})
+    if large is not None:
+        large = M.with_event_id(M.fill_slots(large, hot.narrow(attributes), slots, hot=None))
+        large = V.conform(large, unnumbered)
+    return ordinary, large
+
+
 def update_events(
     store: TableStore,
     tables: DataFrame,
@@ -272,9 +296,7 @@ def update_events(
         urls = hot_sessions.select(*SESSION, F.col("replay_url").alias("session_replay_url"))
         urls = urls.unionByName(M.replay_urls(hot.split(source)[1]))
         replay = urls.groupBy(*SESSION).agg(F.max("session_replay_url").alias("session_replay_url"))
-    ordinary, large = M.micro_rows(source, plan, hot, replay, side)
-    ordinary = M.with_event_id(M.fill_slots(ordinary, attributes, slots, hot=None))
-    ordinary = V.conform(ordinary, unnumbered | {SIDE: SIDE_DDL})
+    ordinary, large = fresh_rows(source, side, attributes, plan, slots, unnumbered, hot, replay)
     cold_later, hot_later = (later, None) if hot is None or later is None else hot.split(later)
     if cold_later is not None:
         ordinary = ordinary.unionByName(cold_later, allowMissingColumns=True).repartition(*USER)
@@ -286,8 +308,6 @@ def update_events(
     )
     rows = numbered.where(is_row()).drop(SIDE)
     if large is not None:
-        large = M.with_event_id(M.fill_slots(large, hot.narrow(attributes), slots, hot=None))
-        large = V.conform(large, unnumbered)
         if hot_later is not None:
             large = large.unionByName(hot_later, allowMissingColumns=True)
         linked, hot_ends = sequence_with_joins(cut_lineage(large), hot_users, hot_sessions, hot)
@@ -300,14 +320,12 @@ def update_events(
         others = anti_null_safe(on_days(history, later_days), users, USER, n_sessions)
         rows = rows.unionByName(others, allowMissingColumns=True)
     if boundary_days:
-        kept = on_days(history, boundary_days)
-        side = prefixed(changed.select(*ROW_KEY, "new_next", F.lit(True).alias("_hit")), ROW_KEY)
-        side = broadcast_if_small(side, changed.count())
-        updated = kept.join(side, null_safe(kept, side, ROW_KEY), "left").withColumn(
-            "next_hostname_norm",
-            F.when(F.col("_hit"), F.col("new_next")).otherwise(F.col("next_hostname_norm")),
+        new_next = changed.select(*ROW_KEY, F.col("new_next").alias("next_hostname_norm"))
+        updated = update_from(
+            on_days(history, boundary_days), new_next, ROW_KEY, ["next_hostname_norm"],
+            source_rows=changed.count(),
         )
-        rows = rows.unionByName(updated.select(*quoted(kept.columns)), allowMissingColumns=True)
+        rows = rows.unionByName(updated, allowMissingColumns=True)
     days = sorted({*boundary_days, *later_days, *days_between(start, end)})
     store.note(carry.PENDING_EVENTS, [day.isoformat() for day in days])
     store.overwrite_days(EVENTS_TABLE, rows, days, USER_CLUSTER, spread=True)

@@ -335,6 +335,10 @@ PROPERTY_SUMMARY = _columns(
     "property_key string, resolved_type string, unique_users bigint, total_records bigint, "
     "first_seen timestamp, last_seen timestamp"
 )
+FAILED_VALUES = _columns(
+    "batch_id string, executed_at timestamp, event_name string, param_name string, "
+    "data_type string, lost bigint"
+)
 PROPERTY_STATE = _columns(
     "property_key string, texts bigint, floats bigint, integers bigint, total_records bigint, "
     "first_seen timestamp, last_seen timestamp, unique_users bigint"
