@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.work import columns, ddl, map_arrow
+from tidemark.llm.work import aside, columns, ddl, map_arrow
 
 WORDS_OF_WINDOW = 10
 MAX_WINDOWS = 1_000_000
@@ -175,11 +175,13 @@ def _add(rows: DataFrame, shared) -> DataFrame:
     return map_arrow(rows, work, ddl(rows))
 
 
+@aside
 def remove_documents(docs: DataFrame, items: DataFrame, size: int = WORDS_OF_WINDOW) -> DataFrame:
     """Documents without any hit, as they were."""
     return contamination(docs, items, size).where(F.size("__hit_words__") == 0).select(columns(docs.columns))
 
 
+@aside
 def remove_spans(docs: DataFrame, items: DataFrame, size: int = WORDS_OF_WINDOW) -> DataFrame:
     """All documents; the bytes from the first to the last word of each hit run are cut out."""
     names = docs.columns

@@ -8,7 +8,8 @@ different texts (a collision) is grouped again by the text itself, and its rows
 Defined cases: null counts as the empty text; of equal texts the row with the smallest id stays
 (``keep="smallest"``) or the one with the largest; null ids come last in either case and stay
 only if the group has no other id; rows that repeat both text and id are one document listed
-repeatedly and share its result; other columns pass through :func:`deduplicate` unchanged.
+repeatedly and share its result in :func:`groups`; :func:`deduplicate` keeps one of them; other
+columns pass through it unchanged.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.work import cut
+from tidemark.llm.work import aside, cut, told_apart, without
 
 
 def groups(docs: DataFrame, keep: str = "smallest", id_column: str = "doc_id",
@@ -53,7 +54,15 @@ def groups(docs: DataFrame, keep: str = "smallest", id_column: str = "doc_id",
     )
 
 
+@aside
 def deduplicate(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The rows of docs that stay, with all their columns (ids must name single rows)."""
-    drop = groups(docs, keep).where("not kept").select(F.col("doc_id").alias("__gone__")).distinct()
-    return docs.join(drop, F.col("doc_id").eqNullSafe(F.col("__gone__")), "left_anti")
+    """The rows of docs that stay, with all their columns: one of each text.
+
+    Where ids repeat or are null, rows are told apart by a number; of equal texts the row with the
+    smallest (largest) id stays, of rows equal in both the first (last) one."""
+    docs, row = told_apart(docs)
+    if row != "doc_id":
+        ids = docs.select(F.struct(F.col("doc_id").isNull() == (keep == "smallest"), "doc_id", row).alias("id"), "text")
+        found = groups(ids, keep, "id")
+        return without(docs, found.where("not kept").select(f"id.{row}"), row)
+    return without(docs, groups(docs, keep).where("not kept").select("doc_id"), row)

@@ -37,7 +37,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.work import connected, cut, drop, map_arrow, map_batches, whole_groups
+from tidemark.llm.work import (
+    aside,
+    connected,
+    cut,
+    drop,
+    map_arrow,
+    map_batches,
+    told_apart,
+    whole_groups,
+    without,
+)
 
 SHINGLE = 5
 #: Similarity of linked documents as a fraction of whole numbers.
@@ -356,7 +366,11 @@ def components(docs: DataFrame, size: int = SHINGLE, trees: int = TREES,
     )
 
 
+@aside
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, one of each component (ids must name single rows)."""
-    gone = components(docs).where("not kept").select(F.col("doc_id").alias("__gone__"))
-    return docs.join(gone, F.col("doc_id") == F.col("__gone__"), "left_anti")
+    """The rows of docs that stay, one of each component: that with the smallest id.
+
+    Where ids repeat or are null, each row is a document of its own and the first one stays."""
+    docs, row = told_apart(docs)
+    found = components(docs.select(F.col(row).alias("doc_id"), "text"))
+    return without(docs, found.where("not kept").select("doc_id"), row)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.work import columns, cut, ddl, drop, map_arrow, map_batches, whole_groups
+from tidemark.llm.work import aside, columns, cut, ddl, drop, map_arrow, map_batches, whole_groups
 
 #: An anchor with more variants is dealt out by single windows.
 MOST_VARIANTS = 10_000
@@ -223,6 +223,7 @@ def marks(
     return marked.groupBy("__id__").agg(F.collect_list(F.struct("at", "mask")).alias("__marks__"))
 
 
+@aside
 def strip(
     docs: DataFrame, length: int, gram: int, compare: Compare, most_variants: int = MOST_VARIANTS
 ) -> DataFrame:

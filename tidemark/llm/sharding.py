@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.work import with_rank
+from tidemark.llm.work import aside, quote, with_rank
 
 #: Jumps that are unrolled; more are needed once in 10**20 rows and then done one by one.
 JUMPS = 64
@@ -52,11 +52,12 @@ def jump_hash(key: Column, shards: int) -> Column:
     return F.when(few["j"] >= n, few["b"]).otherwise(_jumps(key, n, F.lit(shards + 1))["b"]).cast("int")
 
 
+@aside
 def shard(docs: DataFrame, shards: int, key: str = "doc_id") -> DataFrame:
     """docs with ``shard``, and ``slot``, the place of the row in its shard (from 0, no gaps)."""
     placed = docs.withColumn("shard", jump_hash(F.col(key), shards))
     others = [c for c in docs.columns if c not in (key, "shard", "slot")]
-    return with_rank(placed, "shard", [f"`{c}`" for c in (key, *others)], "slot")
+    return with_rank(placed, "shard", [quote(c) for c in (key, *others)], "slot")
 
 
 def report(docs: DataFrame, shards: int) -> DataFrame:

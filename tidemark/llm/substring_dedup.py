@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import repeats
 from tidemark.llm import words as W
-from tidemark.llm.work import ddl, map_arrow
+from tidemark.llm.work import aside, ddl, map_arrow
 
 LENGTH = 20
 GRAM = 6
@@ -120,6 +120,7 @@ def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, **options) -
     return repeats.digest(deduplicate(docs.select("doc_id", "text"), length, gram, **options))
 
 
+@aside
 def remove_reference(docs: DataFrame, reference: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs without the spans of ``length`` words or more that occur in a reference (text) of at
     most REFERENCE_WORDS words; a larger one raises, and belongs into ``docs`` of deduplicate."""

@@ -44,7 +44,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.work import columns, cut, ddl, drop, map_arrow, map_batches
+from tidemark.llm.work import (
+    aside,
+    columns,
+    cut,
+    ddl,
+    drop,
+    map_arrow,
+    map_batches,
+    told_apart,
+    without,
+)
 
 #: Words whose counts a task holds before it sends them on.
 WORDS_AT_ONCE = 1 << 20
@@ -401,7 +411,10 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+@aside
 def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic (ids must name single rows)."""
-    gone = report(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("__gone__"))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone__")), "left_anti")
+    """The rows that are not predicted toxic, each judged by its own text."""
+    docs, row = told_apart(docs)
+    narrow = docs.select("doc_id", "text", *([row] if row != "doc_id" else []))
+    toxic = score(narrow, labels).where(F.col("score") >= CUTOFF)
+    return without(docs, toxic.select(row), row)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -69,11 +70,45 @@ def drop(rows: DataFrame) -> None:
 
 def columns(names: list[str]) -> list[Column]:
     """Columns by name, whatever signs the names hold."""
-    return [F.col(f"`{name}`") for name in names]
+    return [F.col(quote(name)) for name in names]
+
+
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def ddl(rows: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    """The columns as DDL, with field names inside of types quoted where they need it."""
+    fields = rows._jdf.schema()
+    return ", ".join(f"{quote(name)} {fields.apply(name).dataType().sql()}" for name in rows.columns)
+
+
+def aside(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Columns of the first argument that begin with an underscore, like the operator's own working
+    columns, have other names while it runs."""
+
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        names = {c: f"kept {n}" for n, c in enumerate(docs.columns) if c.startswith("_")}
+        found = operator(docs.withColumnsRenamed(names), *args, **options)
+        return found.withColumnsRenamed({new: old for old, new in names.items()})
+
+    return run
+
+
+def told_apart(docs: DataFrame) -> tuple[DataFrame, str]:
+    """(docs, a column that names single rows): ``doc_id`` where it is unique and never null, else
+    a number that is written with the rows."""
+    twice = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if twice.where("n > 1 OR doc_id IS NULL").isEmpty():
+        return docs, "doc_id"
+    return cut(docs.withColumn("_row", F.monotonically_increasing_id()), "rows"), "_row"
+
+
+def without(docs: DataFrame, gone: DataFrame, row: str) -> DataFrame:
+    """docs without the rows that ``gone`` (one column) names by their column ``row``."""
+    side = gone.toDF("_gone").distinct()
+    return docs.join(side, docs[row] == side["_gone"], "left_anti").drop("_row")
 
 
 def workers_import(spark: SparkSession) -> None:
