@@ -129,13 +129,13 @@ def map_batches(
     """``mapInArrow`` whose workers find this library (see :func:`workers_import`)."""
     workers_import(rows.sparkSession)
     names = rows.columns
-    if not any("." in name for name in names):
+    if not any(sign in name for name in names for sign in ".`"):
         return rows.mapInArrow(run, schema)
 
     def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return run(b.rename_columns(names) for b in batches)
 
-    plain = rows.toDF(*(f"c{i}" for i in range(len(names))))  # mapInArrow takes no dots
+    plain = rows.toDF(*(f"c{i}" for i in range(len(names))))  # mapInArrow takes no dots and ticks
     return plain.mapInArrow(renamed, schema)
 
 
