@@ -1,6 +1,7 @@
 """Decontamination, secrets, toxicity, sharding."""
 
 import random
+import string
 import zlib
 from collections import Counter
 
@@ -77,6 +78,25 @@ def test_secrets(spark, docs, rows):
         assert {text[int(a) : int(b)] for _, a, b in random_spans} == ({key} if key in text else set())
 
 
+def test_secrets_of_a_text_with_very_many_findings(spark):
+    """Every level of pieces is used, and the time follows the length."""
+    rng = random.Random(9)
+    letters = string.ascii_letters + string.digits
+    draw = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    makers = [lambda: draw(20), lambda: f"password={draw(12)}", lambda: f"é{rng.getrandbits(128):032x}"]
+    texts = [" ".join(makers[i % 3]() for i in range(n)) for n in (15, 16, 17, 257, 5000, 70_000)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kinds = ["assign", "access", "hex"]
+    for r in secret_scan.report(frame).collect():
+        text = texts[r.doc_id]
+        base = brute.secrets(text)
+        spans = [s.split(":") for s in r.spans.split(",")]
+        want = [(kinds[k], a, b) for a, k, b in base]
+        assert [(k, int(a), int(b)) for k, a, b in spans if k != "random"] == want
+        random_ones = [text[int(a) : int(b)] for k, a, b in spans if k == "random"]
+        assert set(random_ones) <= set(text.split(" ")[::3]) and len(random_ones) > len(text.split(" ")) / 5
+
+
 def test_toxicity_learns_expressions_it_was_shown(spark):
     rng = random.Random(2)
     plain = ["".join(rng.choice("aeioulnrst") for _ in range(5)) for _ in range(300)]

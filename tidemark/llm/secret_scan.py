@@ -19,6 +19,7 @@ so equal ids or rows do no harm; other columns do not matter.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,10 +43,89 @@ IDENTIFIER = r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z_]{8,}|[0-9]{8,})(?![A-Za-z0-9+/_-]
 #: Log-likelihood ratio from which a token is random: e**10 to one.
 THRESHOLD = 10.0
 PRIOR = 20
+#: Matches of a text in a piece, a piece of that, and so on: lists that grow stay short in a text
+#: of any length.
+PIECES = [1 << 16, 1 << 12, 1 << 8, 1 << 4]
 _CODES = len(ALPHABET) + 1
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value evaluated once and not at each use inside of inner functions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _pieces(items: Column, size: int) -> Column:
+    starts = F.sequence(F.lit(0), F.greatest(F.size(items) - 1, F.lit(0)), F.lit(size))
+    return F.transform(starts, lambda at: F.slice(items, at + 1, size))
+
+
+def _state(kind: str) -> Column:
+    return F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
+
+
+def _folded(matches: Column) -> Column:
+    """(at, spans) of a few matches: their length with the gaps before them, and where they are."""
+
+    def step(state: Column, x: Column) -> Column:
+        start = (state["at"] + F.length(x["_gap"])).cast("int")
+        end = (start + F.length(x["_all"])).cast("int")
+        span = F.struct(start.alias("start"), end.alias("end"), x["_value"].alias("value"))
+        more = F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+        return F.when(x["_all"].isNull(), state).otherwise(more)
+
+    return F.aggregate(matches, _state(_SPANS), step)
+
+
+def _joined(pieces: Column) -> Column:
+    """(at, spans) of consecutive pieces that each have their own."""
+
+    def step(state: Column, piece: Column) -> Column:
+        moved = F.transform(piece["spans"], lambda s: F.struct(
+            (s["start"] + state["at"]).cast("int").alias("start"),
+            (s["end"] + state["at"]).cast("int").alias("end"), s["value"].alias("value"),
+        ))
+        return F.struct(
+            (state["at"] + piece["at"]).cast("int").alias("at"),
+            F.concat(state["spans"], F.array(moved)).alias("spans"),
+        )
+
+    return F.aggregate(pieces, _state(f"array<{_SPANS}>"), step, lambda s: F.struct(
+        s["at"].alias("at"), F.flatten(s["spans"]).alias("spans")
+    ))
+
+
+def _placed(matches: Column, sizes: list[int]) -> Column:
+    if not sizes:
+        return _folded(matches)
+    return _joined(F.transform(_pieces(matches, sizes[0]), lambda piece: _placed(piece, sizes[1:])))
+
+
+def _apart(tokens: Column, spans: Column, sizes: list[int]) -> Column:
+    """Tokens that touch no span; a piece of the tokens meets the spans of its own stretch only."""
+
+    def touching(piece: Column) -> Column:
+        first, last = F.get(piece, F.lit(0))["start"], F.element_at(piece, -1)["end"]
+        near = F.filter(spans, lambda s: (s["start"] < last) & (first < s["end"]))
+        return _bound(near, lambda near: _apart(piece, near, sizes[1:]))
+
+    if not sizes:
+        return F.filter(tokens, lambda t: ~F.exists(
+            spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])
+        ))
+    return F.flatten(F.transform(_pieces(tokens, sizes[0]), touching))
+
+
+def _free(tokens: Column, spans: Column) -> Column:
+    def either(both: Column) -> Column:
+        few = (F.size(both["tokens"]) <= PIECES[-1]) | (F.size(both["spans"]) == 0)
+        return F.when(few, _apart(both["tokens"], both["spans"], [])).otherwise(
+            _apart(both["tokens"], both["spans"], PIECES)
+        )
+
+    return _bound(F.struct(tokens.alias("tokens"), spans.alias("spans")), either)
+
+
 def _find(rows: DataFrame, name: str, pattern: str, group: int, least: int) -> DataFrame:
     """rows with ``name``: spans of the leftmost non-overlapping matches of ``text`` whose value
     has ``least`` characters, placed by the lengths of the texts between the matches."""
@@ -57,15 +137,10 @@ def _find(rows: DataFrame, name: str, pattern: str, group: int, least: int) -> D
         "_value": F.when(here, F.regexp_extract_all("text", F.lit(pattern), F.lit(group))).otherwise(none),
     })
 
-    def step(state: Column, x: Column) -> Column:
-        start = (state["at"] + F.length(x["_gap"])).cast("int")
-        end = (start + F.length(x["_all"])).cast("int")
-        span = F.struct(start.alias("start"), end.alias("end"), x["_value"].alias("value"))
-        more = F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
-        return F.when(x["_all"].isNull(), state).otherwise(more)
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
-    spans = F.aggregate(F.arrays_zip("_gap", "_all", "_value"), start, step, lambda s: s["spans"])
+    found = F.arrays_zip("_gap", "_all", "_value")
+    spans = _bound(found, lambda found: F.when(
+        F.size(found) <= PIECES[-1], _folded(found)["spans"]
+    ).otherwise(_placed(found, PIECES)["spans"]))
     kept = F.filter(spans, lambda s: F.length(s["value"]) >= least)
     return rows.withColumn(name, kept).drop("_gap", "_all", "_value")
 
@@ -135,10 +210,7 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         )
 
     base = F.concat("assign", "access", "hex")
-    free = F.filter("token", lambda t: ~F.exists(
-        "_base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])
-    ))
-    rows = found.withColumn("_base", base).withColumn("_free", free).withColumn(
+    rows = found.withColumn("_base", base).withColumn("_free", _free(F.col("token"), F.col("_base"))).withColumn(
         "random", F.filter("_free", lambda t: score(t["value"]) > threshold)
     )
     numbered = [_numbered(kind, k) for k, kind in enumerate(KINDS)]
