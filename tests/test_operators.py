@@ -405,7 +405,7 @@ def test_widened_days_keep_their_files(spark, tmp_path):
         return frame
 
     store.replace("t", put([(1, "a", "2026-05-01"), (2, "b", "2026-05-02"), (3, "c", "2026-05-03")], "bigint"),
-                  ["n", "event_date"])
+                  ["event_date", "n"])
     files = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
     day = {"n": "string", "event_date": "date"}
     store.evolve("t", {"x": "double"} | day)
@@ -421,13 +421,41 @@ def test_widened_days_keep_their_files(spark, tmp_path):
     # a replaced day moves to the newest types, a day without rows goes
     store.overwrite_days("t", pruned.withColumn("x", F.lit("text")), [second, third])
     assert sorted(values(store.read("t"), "x", "n")) == [("1.0", "a"), ("text", "b")]
-    assert store.meta("t")["older"][1]["days"] == []
-    store.replace("t", store.read("t"), ["n", "event_date"])
-    store.replace("t", store.read("t"), ["n", "event_date"])
+    assert store.meta("t")["days"] == {"2026-05-02": 2, "2026-05-03": 2}
+    assert not list((tmp_path / "t" / "t").rglob("__write__=1"))
+    store.replace("t", store.read("t"), ["event_date", "n"])
+    store.replace("t", store.read("t"), ["event_date", "n"])
     assert sorted(values(store.read("t"), "x")) == [("1.0",), ("text",)]
     assert len(list((tmp_path / "t" / "t").glob("v*"))) == 2
 
 
+def test_days_are_replaced_at_once_and_without_listings(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "t"))
+    rows = spark.sql(
+        "SELECT id AS x, CONCAT('n', id % 40) AS n, DATE_ADD(DATE'2026-05-01', CAST(id % 5 AS INT)) AS event_date "
+        "FROM RANGE(400)"
+    )
+    store.replace("t", rows, ["event_date", "n"])
+    second = ids.parse_day("20260502")
+    listed = []
+    names = TableStore._names
+    monkeypatch.setattr(TableStore, "_names", lambda self, *parts: listed.append(parts) or names(self, *parts))
+    kept = store.read("t").where(F.col("event_date") == F.lit(second)).where("x < 100")
+    fails = kept.withColumn("x", F.when(F.col("x") < 90, F.col("x")).otherwise(F.raise_error(F.lit("lost"))))
+    with pytest.raises(Exception):
+        store.overwrite_days("t", fails, [second])
+    assert store.read("t").count() == 400  # what the failed write left is not read
+    reader = store.read("t")
+    monkeypatch.setattr(TableStore, "_delete", lambda self, *parts: None)  # a run that ends before it tidies up
+    store.overwrite_days("t", kept, [second])
+    assert reader.count() == 400  # an open reader sees the table as it was
+    assert store.read("t").count() == 340 and len(store.days("t")) == 5
+    assert not any("n=" in "/".join(parts) for parts in listed)  # no folder below a day is listed
+    assert len({parts for parts in listed if "event_date" in str(parts)}) == 0
+    plan = store.read("t").where(F.col("event_date") == F.lit(second))._jdf.queryExecution().executedPlan().toString()
+    assert "__write__" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
 def spoil(folder):
     """Make every file below a folder unreadable without a change of its folder's time."""
     for file in folder.rglob("*.parquet"):

@@ -217,7 +217,7 @@ def phase_2(run: Run, events: DataFrame) -> str:
     tail = ["batch_id", "event_name", "event_date"]
     wanted = {c: t for c, t in wanted.items() if c not in tail} | {c: wanted[c] for c in tail}
     rows = V.conform(rows, wanted)
-    partitions = ["event_name", "event_date"]
+    partitions = ["event_date", "event_name"]
     if stored is None:
         store.replace(EVENT_TABLES, rows, partitions, ["user_pseudo_id"], spread=True)
     else:

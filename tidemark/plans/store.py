@@ -1,13 +1,18 @@
 """Output tables as parquet directories on any Hadoop-compatible shared storage.
 
-``<root>/<table>/v<N>/`` holds one version; its ``_columns.json`` is written last and makes
-the version visible, so a failed replacement leaves the older version in place. A date
-range is replaced inside the current version by dynamic partition overwrite, which commits
-only after all rows were read and written; days left without rows are then removed.
+``<root>/<table>/v<N>/`` holds one version; its manifest (``_manifest-<M>.json``, the highest
+counts) is written last and makes the version visible, so a failed replacement leaves the older
+version in place.
+
+A table by days has its day as the first partition column, below the number of the write that
+brought it. Replacing days writes them under a new number, and then a new manifest says which
+write each replaced day is read from; all other days are those of write 0. So a reader sees all
+of a replacement or nothing, an interrupted one is never seen, and no folder is listed to find
+what to remove: it is the older write's folder of that day.
 
 A table by days whose column types widen keeps its files. The version gets one more folder, in
-which days are written from then on; the days of an older folder are listed with the types they
-were written in and cast when they are read, until they are replaced.
+which days are written from then on; the manifest lists the older folders with the types that
+they were written in, and their days are cast when they are read, until they are replaced.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ import functools
 import json
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schema as S
@@ -24,7 +29,8 @@ from tidemark.operators.evolve import conform
 from tidemark.operators.skew import quote, quoted
 from tidemark.sources.shards import empty
 
-COLUMNS_FILE = "_columns.json"
+MANIFEST = "_manifest-"
+WRITE = "__write__"
 
 
 class TableStore:
@@ -73,35 +79,50 @@ class TableStore:
             int(name[1:]) for name in self._names(table) if name[:1] == "v" and name[1:].isdigit()
         )
 
-    def _current(self, table: str) -> str | None:
+    def _manifests(self, table: str, version: str) -> list[int]:
+        names = (n.removeprefix(MANIFEST).partition(".") for n in self._names(table, version) if n.startswith(MANIFEST))
+        return sorted(int(number) for number, _, kind in names if kind == "json")
+
+    def _current(self, table: str) -> tuple[str, int] | None:
         for version in reversed(self._versions(table)):
-            if self._exists(table, f"v{version}", COLUMNS_FILE):
-                return f"v{version}"
+            found = self._manifests(table, f"v{version}")
+            if found:
+                return f"v{version}", found[-1]
         return None
 
     def exists(self, table: str) -> bool:
         return self._current(table) is not None
 
     def meta(self, table: str) -> dict | None:
-        version = self._current(table)
-        if version is None:
+        """``columns`` and ``partitions``; ``folder`` that takes new days; ``older`` folders with their
+        columns and the first write number that is not theirs; ``days``: the write of each replaced
+        day; ``next``: the number of the next write."""
+        current = self._current(table)
+        if current is None:
             return None
-        found = json.loads(self._read_text(table, version, COLUMNS_FILE))
-        return {"folder": version, "older": []} | found
+        version, number = current
+        return json.loads(self._read_text(table, version, f"{MANIFEST}{number}.json"))
 
     def columns(self, table: str) -> dict[str, str] | None:
         meta = self.meta(table)
         return meta["columns"] if meta else None
 
+    @staticmethod
+    def _by_days(columns: dict[str, str], partitions: list[str]) -> bool:
+        return bool(partitions) and columns[partitions[0]] == "date"
+
+    @staticmethod
+    def _folder_of(meta: dict, number: int) -> str:
+        return next((part["folder"] for part in meta["older"] if number < part["before"]), meta["folder"])
+
     def days(self, table: str) -> list[date]:
-        """Days of a table that is partitioned by day alone; one listing."""
+        """Days of a table by days, replaced ones even if they have no rows; one listing."""
         meta = self.meta(table)
         if meta is None:
             return []
-        names = self._names(table, meta["folder"])
-        found = {name.partition("=")[2] for name in names if "=" in name}
-        found |= {day for part in meta["older"] for day in part["days"]}
-        return sorted(self._dates(day for day in found if day[:1].isdigit()))
+        names = self._names(table, *self._folder_of_write(meta, 0))
+        found = {name.partition("=")[2] for name in names if "=" in name} | set(meta["days"])
+        return sorted(date.fromisoformat(day) for day in found if day[:1].isdigit())
 
     # -- notes ---------------------------------------------------------------------------
 
@@ -116,19 +137,17 @@ class TableStore:
         given = self._exists("_notes", f"{name}.json")
         return json.loads(self._read_text("_notes", f"{name}.json")) if given else None
 
-    def _publish(
-        self,
-        table: str,
-        version: str,
-        columns: dict,
-        partitions: list[str],
-        folder: str | None = None,
-        older: list[dict] = (),
-    ) -> None:
-        """``folder`` is where days are written; ``older`` lists folder, columns and days of those
-        written in other types, oldest first."""
-        given = {"columns": columns, "partitions": partitions, "folder": folder or version}
-        self._write_text(json.dumps(given | {"older": list(older)}), table, version, COLUMNS_FILE)
+    def _publish(self, table: str, version: str, meta: dict) -> None:
+        """A new manifest under the next number: complete before it has its name, then visible at
+        once. The one before it stays for readers that have just opened it."""
+        known = self._manifests(table, version)
+        name = f"{MANIFEST}{(known[-1] if known else 0) + 1}.json"
+        self._write_text(json.dumps(meta), table, version, f"{name}.part")
+        source, target = self._path(table, version, f"{name}.part"), self._path(table, version, name)
+        if not self._fs(target).rename(source, target):
+            raise OSError(f"cannot publish {target}")
+        for number in known[:-1]:
+            self._delete(table, version, f"{MANIFEST}{number}.json")
 
     def _drop_version(self, table: str, version: int) -> None:
         for name in self._names(table):
@@ -139,30 +158,24 @@ class TableStore:
 
     def read(self, table: str, default: dict[str, str] | None = None) -> DataFrame:
         """The table in its stored column order; an empty typed frame if it is missing."""
-        version = self._current(table)
-        if version is None:
+        meta = self.meta(table)
+        if meta is None:
             if default is None:
                 raise ValueError(f"no table {table} under {self.root}")
             return empty(self.spark, default)
-        meta = self.meta(table)
-        older = meta["older"]
-        frames = []
-        if not older or self._exists(table, meta["folder"]):
-            frames.append(self._scan(table, meta["folder"], meta["columns"]))
-        if older:
-            day = F.col(quote(meta["partitions"][-1]))
-            moved = [day for part in older for day in self._dates(part["days"])]
-            frames = [f.where(F.coalesce(~day.isin(moved), F.lit(True))) for f in frames if moved] or frames
-        later = [part["columns"] for part in older[1:]] + [meta["columns"]]
-        for number, part in enumerate(older):
-            if part["days"]:
-                frame = self._scan(table, part["folder"], part["columns"])
-                frame = frame.where(day.isin(self._dates(part["days"])))
-                for columns in later[number:]:  # one widening after the other, as values changed
-                    frame = conform(frame, columns)
+        if not self._by_days(meta["columns"], meta["partitions"]):
+            return self._scan(table, meta["folder"], meta["columns"])
+        day, frames = F.col(quote(meta["partitions"][0])), []
+        used = {self._folder_of(meta, number) for number in {0, *meta["days"].values()}}
+        parts = [*meta["older"], {"folder": meta["folder"], "columns": meta["columns"]}]
+        for number, part in enumerate(parts):
+            if part["folder"] in used:
+                columns = part["columns"] | {WRITE: "int"}
+                frame = self._scan(table, part["folder"], columns)
+                frame = frame.where(F.col(WRITE) == self._write_of(meta["days"], day)).drop(WRITE)
+                for later in parts[number + 1 :]:  # one widening after the other, as values changed
+                    frame = conform(frame, later["columns"])
                 frames.append(frame)
-        if not frames:
-            return empty(self.spark, meta["columns"])
         return functools.reduce(DataFrame.unionByName, frames)
 
     def _scan(self, table: str, folder: str, columns: dict[str, str]) -> DataFrame:
@@ -170,8 +183,14 @@ class TableStore:
         return frame.select(*quoted(columns))
 
     @staticmethod
-    def _dates(days: list[str]) -> list[date]:
-        return [date.fromisoformat(day) for day in days]
+    def _write_of(writes: dict[str, int], day: Column) -> Column:
+        """Number of the write that a day is read from, a lookup by its place in a list of days."""
+        if not writes:
+            return F.lit(0)
+        first, last = (date.fromisoformat(end(writes)) for end in (min, max))
+        numbers = [str(writes.get(d.isoformat(), 0)) for d in days_between(first, last)]
+        listed = F.split(F.lit(",".join(numbers)), ",").cast("array<int>")
+        return F.coalesce(F.get(listed, F.date_diff(day, F.lit(first))), F.lit(0))
 
     # -- writes --------------------------------------------------------------------------
 
@@ -191,10 +210,12 @@ class TableStore:
         versions = self._versions(table)
         version = f"v{(versions[-1] if versions else 0) + 1}"
         columns = dict(rows.dtypes)
+        place = f"{version}/{WRITE}=0" if self._by_days(columns, partitions) else version
         self._writer(rows, partitions, cluster, spread).mode("overwrite").parquet(
-            f"{self.root}/{table}/{version}"
+            f"{self.root}/{table}/{place}"
         )
-        self._publish(table, version, columns, list(partitions))
+        meta = {"columns": columns, "partitions": list(partitions), "folder": version}
+        self._publish(table, version, meta | {"older": [], "days": {}, "next": 1})
         for old in versions[:-1]:
             self._drop_version(table, old)
 
@@ -215,10 +236,12 @@ class TableStore:
         if meta is None:
             self.replace(table, rows, partitions, spread=True)
             return
-        if meta["older"]:  # rows of listed days would not be seen
-            raise ValueError(f"{table} has days in older types and takes whole days only")
+        if meta["older"] or meta["days"]:  # rows of replaced days would not be seen
+            raise ValueError(f"{table} has replaced days or older types and takes whole days only")
+        by_days = self._by_days(meta["columns"], meta["partitions"])
+        place = f"{meta['folder']}/{WRITE}=0" if by_days else meta["folder"]
         self._writer(rows, meta["partitions"], (), True).mode("append").parquet(
-            f"{self.root}/{table}/{meta['folder']}"
+            f"{self.root}/{table}/{place}"
         )
 
     def clear(self, table: str) -> None:
@@ -230,41 +253,25 @@ class TableStore:
         """Give the table these columns; the files of a table by days stay as they are.
 
         New columns cost nothing. Changed types open a new folder for the days written from now
-        on. Other tables, and days that are no dates, are rewritten.
+        on. Tables that are not by days are rewritten.
         """
         meta = self.meta(table)
         if meta is None or meta["columns"] == columns:
             return
-        version, old = self._current(table), meta["columns"]
+        version, old = self._current(table)[0], meta["columns"]
         changed = [c for c, t in old.items() if columns.get(c, t) != t]
         lost = [c for c in old if c not in columns]
         if not changed and not lost:
-            self._publish(table, version, columns, meta["partitions"], meta["folder"], meta["older"])
+            self._publish(table, version, meta | {"columns": columns})
             return
-        days = self._day_names(table, meta["folder"], meta["partitions"])
-        if lost or days is None:
+        if lost or not self._by_days(old, meta["partitions"]):
             rows = conform(self.read(table), columns)
             self.replace(table, rows, meta["partitions"], cluster, spread=True)
             return
-        moved = {day for part in meta["older"] for day in part["days"]}
-        part = {"folder": meta["folder"], "columns": old, "days": sorted(set(days) - moved)}
+        part = {"folder": meta["folder"], "columns": old, "before": meta["next"]}
         older = [*meta["older"], part]
-        folder = f"{version}g{len(older)}"
-        self._publish(table, version, columns, meta["partitions"], folder, older)
-
-    def _day_names(self, table: str, folder: str, partitions: list[str]) -> list[str] | None:
-        """Days in a folder of a table whose last partition column is a day, else None."""
-        if not partitions:
-            return None
-        outer = [()]
-        for _ in partitions[:-1]:
-            outer = [(*f, n) for f in outer for n in self._names(table, folder, *f) if "=" in n]
-        days = {n.partition("=")[2] for f in outer for n in self._names(table, folder, *f) if "=" in n}
-        try:
-            self._dates(days)
-        except ValueError:
-            return None
-        return sorted(days)
+        moved = {"columns": columns, "older": older, "folder": f"{version}g{len(older)}"}
+        self._publish(table, version, meta | moved)
 
     def overwrite_days(
         self,
@@ -274,46 +281,27 @@ class TableStore:
         cluster: list[str] = (),
         spread: bool = False,
     ) -> None:
-        """Replace whole days (the last partition column): rows in, all else of them out.
+        """Replace whole days (the first partition column): rows in, all else of them out.
 
-        ``rows`` hold every row these days shall have. ``rows`` may read this table.
+        ``rows`` hold every row these days shall have and no others. ``rows`` may read this table.
         """
         meta = self.meta(table)
-        partitions, place = meta["partitions"], meta["folder"]
-        before = self._files_by_folder(table, place, partitions, days)
-        rows = conform(rows, meta["columns"])
-        self._writer(rows, partitions, cluster, spread).mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).parquet(f"{self.root}/{table}/{place}")
-        after = self._files_by_folder(table, place, partitions, days)
-        for folder, files in before.items():
-            if after.get(folder) == files:
-                self._delete(table, place, *folder)
-        gone = {day.isoformat() for day in days}
-        if any(gone & set(part["days"]) for part in meta["older"]):
-            older = [part | {"days": sorted(set(part["days"]) - gone)} for part in meta["older"]]
-            version = self._current(table)
-            self._publish(table, version, meta["columns"], partitions, place, older)
-            for part in meta["older"]:  # nothing lists these days there any more
-                moved = [day for day in days if day.isoformat() in part["days"]]
-                for folder in self._files_by_folder(table, part["folder"], partitions, moved):
-                    self._delete(table, part["folder"], *folder)
-
-    def _files_by_folder(
-        self, table: str, version: str, partitions: list[str], days: list[date]
-    ) -> dict[tuple, list[str]]:
-        """File names of these days' partition folders (file names differ by write job)."""
-        outer = [()]
-        for column in partitions[:-1]:
-            outer = [
-                (*folder, name)
-                for folder in outer
-                for name in self._names(table, version, *folder)
-                if name.startswith(f"{column}=")
-            ]
-        folders = [(*folder, f"{partitions[-1]}={day}") for folder in outer for day in days]
-        found = {folder: sorted(self._names(table, version, *folder)) for folder in folders}
-        return {folder: files for folder, files in found.items() if files}
+        partitions, number = meta["partitions"], meta["next"]
+        if not self._by_days(meta["columns"], partitions):
+            raise ValueError(f"{table} is not partitioned by day first")
+        self._writer(conform(rows, meta["columns"]), partitions, cluster, spread).mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).parquet(f"{self.root}/{table}/{meta['folder']}/{WRITE}={number}")
+        given = {day.isoformat() for day in days}
+        writes = meta["days"] | dict.fromkeys(given, number)
+        self._publish(table, self._current(table)[0], meta | {"days": writes, "next": number + 1})
+        for day in sorted(given):  # nothing reads these any more
+            self._delete(table, *self._folder_of_write(meta, meta["days"].get(day, 0)), f"{partitions[0]}={day}")
+        for old in {meta["days"].get(day, 0) for day in given} - {0, *writes.values()}:
+            self._delete(table, *self._folder_of_write(meta, old))
+
+    def _folder_of_write(self, meta: dict, number: int) -> tuple[str, str]:
+        return self._folder_of(meta, number), f"{WRITE}={number}"
 
 
 def days_between(start: date, end: date) -> list[date]:
