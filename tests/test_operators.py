@@ -138,6 +138,20 @@ def test_column_plan_collisions_and_case(spark):
     assert [c.name for c in plan.final] == ["Tone", "search_term"]
 
 
+def test_plan_and_classes_share_one_rule(spark):
+    number = X.value(integer=1)
+    rows = [X.event(1, "page_view", params=[("Tone", number), ("batch_n", number), ("percent_x", number)]),
+            X.event(1, "lead", params=[("tone", X.value(text="x")), ("gclid", number), ("clarity_x", number)]),
+            X.event(1, "session_start", params=[("clarity_x", number)])]
+    got = {(r.event_name, r.param_name): (r.ptype, r.unified_type) for r in C.param_class(registry_of(spark, rows)).collect()}
+    assert got == {
+        ("page_view", "Tone"): ("common", S.STRING), ("lead", "tone"): ("unique", S.STRING),
+        ("page_view", "percent_x"): ("common", S.FLOAT64), ("session_start", "clarity_x"): ("replay", S.INT64),
+        ("search", "search_term"): ("common", S.STRING),
+    } | {k: v for k, v in got.items() if v[0] == "none"}
+    assert {k[1] for k, v in got.items() if v == ("none", None)} <= {"batch_n", "gclid", "clarity_x"}
+
+
 def test_mixed_int_and_float_over_events_is_text(spark):
     rows = [X.event(1, "page_view", params=[("n", X.value(integer=1))]),
             X.event(1, "click", params=[("n", X.value(number=1.5))])]
@@ -181,6 +195,14 @@ def test_scroll_fold_and_duplicates(spark):
     got = values(micro(spark, rows).orderBy("event_timestamp_micros"), "event_name", "page_view_id",
                  "max_scroll_percent", "session_event_no")
     assert got == [("page_view", "a_1_2", 1, 1), ("page_view", "a_1_3", None, 2), ("click", "a_1_3", None, 3)]
+    spark.conf.set(M.RAW_SCROLL, "true")
+    try:
+        raw = values(micro(spark, rows).orderBy("event_timestamp_micros"), "max_scroll_percent")
+        hot = M.scroll_depth(flatten(spark, [*rows, scroll(3, 29)])[0]).collect()
+    finally:
+        spark.conf.unset(M.RAW_SCROLL)
+    assert [r[0] if isinstance(r, tuple) else r for r in raw] == [90, None, None]
+    assert [r.page_scroll for r in hot] == [90]
 
 
 def test_key_sessions_and_flags(spark):

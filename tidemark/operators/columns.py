@@ -16,39 +16,40 @@ from pyspark.sql import functions as F
 from tidemark import schema as S
 from tidemark.functions.lattice import widest_of
 from tidemark.functions.params import extract_param, extracted_type, param_value
-from tidemark.operators.evolve import visible_params
 from tidemark.operators.registry import is_event_specific
 from tidemark.operators.skew import quote
 
 
 def param_class(registry: DataFrame) -> DataFrame:
-    """Visible parameters as ``unique`` (own column per event) or ``common``.
+    """The registry with the class of each parameter and the type of its column.
 
-    ``event_count`` is the number of events that carry the parameter.
+    ``ptype`` is ``unique`` (own column per event), ``common``, ``replay`` (a column of the event
+    tables only) or ``none``. ``unified_type`` covers all event tables: more than one type gives
+    STRING, and names that differ only in case share a column. ``event_count`` is the number of
+    events that carry the parameter.
     """
-    events = F.size(F.collect_set("event_name").over(W.partitionBy("param_name")))
+    param, event = F.col("param_name"), F.col("event_name")
     specific = is_event_specific(*map(F.col, ["param_name", "param_category", "event_category"]))
-    return visible_params(registry).select(
+    replay = param.like("clarity_%")
+    hidden = param.like("batch_%") | (param == S.HIDDEN_PARAM) | (replay & (event != "session_start"))
+    ptype = (
+        F.when(hidden, "none").when(replay, "replay").when(specific, "unique").otherwise("common")
+    )
+    extracted = F.when(param.like("%percent%"), S.FLOAT64).otherwise(F.col("data_type"))
+    seen = F.when(F.col("ptype") != "none", extracted)
+    types = F.collect_set(seen).over(W.partitionBy(F.lower("param_name")))
+    events = F.size(F.collect_set("event_name").over(W.partitionBy("param_name")))
+    return registry.withColumn("ptype", ptype).select(
         "param_name",
         "micro_column_name",
         "event_name",
         "data_type",
-        F.when(specific, "unique").otherwise("common").alias("ptype"),
+        "ptype",
+        F.when(F.size(types) > 1, S.STRING).otherwise(seen).alias("unified_type"),
         events.cast("bigint").alias("event_count"),
     )
 
 
-def unified_types(registry: DataFrame) -> DataFrame:
-    """Column type per parameter over all event tables: more than one type gives STRING."""
-    percent = F.col("param_name").like("%percent%")
-    extracted = F.when(percent, S.FLOAT64).otherwise(F.col("data_type"))
-    return registry.groupBy("param_name").agg(
-        F.when(F.count_distinct(extracted) > 1, S.STRING)
-        .otherwise(F.max(extracted))
-        .alias("unified_type")
-    )
-
-
 @dataclass
 class RawColumn:
     """One parameter column of the event tables."""
@@ -120,23 +121,16 @@ EVENT_TABLE_FIXED = [
 ]
 
 
-def collect_registry(registry: DataFrame) -> list[dict]:
-    """Registered parameters by name and event.
+def collect_classes(registry: DataFrame) -> list[dict]:
+    """Registered parameters with their classes, by name and event.
 
     The cluster reduces the registry to one row per rule of a column, with the events that
     share it as a list; that list of columns is all that reaches the driver.
     """
-    rule = [
-        "param_name",
-        "data_type",
-        "micro_column_name",
-        F.col("param_name").like("batch_%").alias("is_batch"),
-        F.col("param_name").like("clarity_%").alias("is_replay"),
-        is_event_specific(
-            F.col("param_name"), F.col("param_category"), F.col("event_category")
-        ).alias("is_unique"),
-    ]
-    rules = registry.groupBy(*rule).agg(F.sort_array(F.collect_set("event_name")).alias("events"))
+    rule = ["param_name", "data_type", "micro_column_name", "ptype", "unified_type"]
+    rules = param_class(registry).groupBy(*rule).agg(
+        F.sort_array(F.collect_set("event_name")).alias("events")
+    )
     rows = [r.asDict() | {"event_name": e} for r in rules.collect() for e in r["events"]]
     return sorted(rows, key=lambda r: (r["param_name"], r["event_name"]))
 
@@ -148,30 +142,23 @@ def column_plan(registry: DataFrame, slots: list[str] = ()) -> ColumnPlan:
     slot, gets no column and is reported as a collision. Names that differ only in case
     share one column, because column names are not case-sensitive.
     """
-    rows = collect_registry(registry)
+    rows = collect_classes(registry)
     taken_raw = {c.lower() for c in EVENT_TABLE_FIXED}
     taken_final = {c.lower() for c in [*S.MICRO_USER_FIXED, *slots]}
-    collisions, raw_sources, raw_names = [], defaultdict(list), {}
+    collisions, raw = [], {}
     for row in rows:
-        param, event = row["param_name"], row["event_name"]
-        if row["is_batch"] or param == S.HIDDEN_PARAM:
-            continue
-        if row["is_replay"] and event != "session_start":
+        param = row["param_name"]
+        if row["ptype"] == "none":
             continue
         if param.lower() in taken_raw:
             collisions.append(param)
             continue
-        raw_names.setdefault(param.lower(), param)
-        raw_sources[param.lower()].append((param, event, row["data_type"]))
-    raw = {}
-    for key, sources in raw_sources.items():
-        types = {extracted_type(p, t) for p, _, t in sources}
-        unified = S.STRING if len(types) > 1 else types.pop()
-        raw[key] = RawColumn(raw_names[key], unified, sources)
+        column = raw.setdefault(param.lower(), RawColumn(param, row["unified_type"], []))
+        column.sources.append((param, row["event_name"], row["data_type"]))
     final: dict[str, FinalColumn] = {}
     for row in rows:
         param, event, name = row["param_name"], row["event_name"], row["micro_column_name"]
-        if row["is_replay"] or param.lower() not in raw:
+        if row["ptype"] not in ("unique", "common") or param.lower() not in raw:
             continue
         if name.lower() in taken_final:
             collisions.append(name)
@@ -179,7 +166,7 @@ def column_plan(registry: DataFrame, slots: list[str] = ()) -> ColumnPlan:
         source = raw[param.lower()]
         column = final.setdefault(name.lower(), FinalColumn(name, source.data_type))
         column.data_type = widest_of([column.data_type, source.data_type])
-        if row["is_unique"]:
+        if row["ptype"] == "unique":
             column.unique.append((event, source.name))
         elif source.name not in column.common:
             column.common.append(source.name)

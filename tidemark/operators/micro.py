@@ -27,6 +27,7 @@ from tidemark.operators.skew import (
     quoted,
 )
 
+RAW_SCROLL = "tidemark.rawScrollPercent"
 SESSION_ORDER = Ordering(
     group=SESSION,
     order=["event_timestamp_micros", "event_name"],
@@ -70,6 +71,14 @@ def replay_urls(events: DataFrame) -> DataFrame:
     return starts.groupBy(*SESSION).agg(F.max("clarity_play_url").alias("session_replay_url"))
 
 
+def scroll_number(events: DataFrame) -> Column:
+    """Scroll value as a whole number: of the share, or with ``tidemark.rawScrollPercent`` of the
+    percentage as it was sent."""
+    share = F.col("percent_scrolled")
+    raw = events.sparkSession.conf.get(RAW_SCROLL, "false").lower() == "true"
+    return to_integer(share * 100 if raw else share)
+
+
 def scroll_depth(events: DataFrame) -> DataFrame:
     """Largest scroll value per page view.
 
@@ -77,7 +86,7 @@ def scroll_depth(events: DataFrame) -> DataFrame:
     """
     scrolls = events.where((F.col("event_name") == "scroll") & F.col("page_view_id").isNotNull())
     return scrolls.groupBy("page_view_id").agg(
-        F.max(to_integer(F.col("percent_scrolled"))).alias("page_scroll")
+        F.max(scroll_number(events)).alias("page_scroll")
     )
 
 
@@ -118,7 +127,7 @@ def facts_by_window(rows: DataFrame) -> DataFrame:
     event = F.col("event_name")
     depth = F.when(
         (event == "scroll") & F.col("page_view_id").isNotNull(),
-        to_integer(F.col("percent_scrolled")),
+        scroll_number(rows),
     )
     hit = ids.is_key_event_name(event) & known
     starts = (event == "session_start") & known

@@ -17,6 +17,7 @@ from tidemark.operators import events as E
 from tidemark.operators import evolve as V
 from tidemark.operators import identity as I
 from tidemark.operators import items as N
+from tidemark.operators import micro as M
 from tidemark.operators import registry as R
 from tidemark.operators.skew import cut_lineage, hot_groups, working_in
 from tidemark.plans import carry, control, state
@@ -62,6 +63,7 @@ class BatchConfig:
     client_id: str = ""
     exclusive_end: bool = False
     include_unregistered: bool = True
+    raw_scroll_percent: bool = False  # max_scroll_percent as sent, 90 for 90; a table keeps to one
 
 
 @dataclass
@@ -358,6 +360,8 @@ def run_batch(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
     for key, value in spark.conf.getAll.items():
         if key.startswith("tidemark.") or own.conf.isModifiable(key):
             own.conf.set(key, value)
+    if cfg.raw_scroll_percent:
+        own.conf.set(M.RAW_SCROLL, "true")
     run = Run(own, cfg, TableStore(own, cfg.target))
     with working_in(own, f"{cfg.target.rstrip('/')}/_work/{run.batch_id}"):
         return _run(run)

@@ -32,6 +32,7 @@ from tidemark.operators.skew import (
 from tidemark.plans import control as G
 from tidemark.plans import incremental as D
 from tidemark.plans import state
+from tidemark.plans.batch import BatchConfig, current_metrics, run_batch, snapshot_run
 from tidemark.plans.store import TableStore, days_between
 from tidemark.sources import adapter as A
 from tidemark.sources import shards
@@ -454,14 +455,7 @@ SELECT param_name, micro_column_name, event_name,
 FROM registry JOIN typed2 USING (param_name) WHERE param_name NOT LIKE 'clarity%'
 """)
 def param_class(spark, sf):
-    registry = registered(spark, sf)
-    return (
-        C.param_class(registry)
-        .join(C.unified_types(registry), "param_name")
-        .select(
-            "param_name", "micro_column_name", "event_name", "ptype", "unified_type", "event_count"
-        )
-    )
+    return C.param_class(registered(spark, sf)).where("ptype IN ('unique', 'common')").drop("data_type")
 
 
 # -- schema evolution ----------------------------------------------------------------------
@@ -1265,6 +1259,50 @@ def run_log_recovery(spark, sf):
     return G.recoverable_days(only_large, counts, "20240110")
 
 
+@query(with_ev(RAW_RICH, REGISTRY, PAGED, ASSEMBLED) + """
+, local AS (SELECT *, CAST(ts + INTERVAL 9 HOUR AS DATE) AS day FROM assembled),
+ends AS (
+  SELECT min(CAST(ts AS DATE)) AS first, max(CAST(ts AS DATE)) AS last FROM ev
+),
+metrics AS (
+  SELECT (SELECT count(*) FROM registry) AS mst_event_params_cnt,
+    (SELECT count(*) FROM local, ends WHERE day < last) AS before,
+    (SELECT count(*) FROM local, ends WHERE day <= last) AS after
+)
+SELECT strftime(CASE nr WHEN 1 THEN first WHEN 2 THEN last ELSE last + INTERVAL 3 DAY END, '%Y%m%d')
+    AS start_date, nr > 1 AS is_incremental,
+  CASE nr WHEN 3 THEN 'SKIPPED' ELSE 'SUCCESS' END AS status,
+  CASE nr WHEN 1 THEN before WHEN 2 THEN after ELSE 0 END AS total_rows, mst_event_params_cnt,
+  CASE nr WHEN 1 THEN 'mst_event_params_cnt,mst_item_params_cnt,micro_user_columns_cnt,micro_items_columns_cnt'
+    ELSE '' END AS post_change_fields
+FROM metrics, ends, (VALUES (1), (2), (3)) AS runs(nr)
+""")
+def logged_runs(spark, sf):
+    """What three runs leave in the run log and in the snapshot log: all days but the last, the last
+    day on top, and a day without source."""
+    events = rich(spark, sf).drop("source_id")
+    with scratch_store(spark) as store:
+        path = f"{store.root}/../source"
+        events.repartition("shard").write.partitionBy("shard").parquet(path)
+        first, last = events.agg(F.min("shard"), F.max("shard")).first()
+        spans = [(first, ids.shift_day(last, -1)), (last, last)]
+        spans.append((ids.shift_day(last, 3),) * 2)
+        for number, (start, end) in enumerate(spans):
+            cfg = BatchConfig(
+                start, end, path, store.root, incremental=number > 0, exclusive_end=True
+            )
+            before = current_metrics(store)
+            run_batch(spark, cfg)
+            snapshot_run(store, cfg, "manual", before)
+        log, changes = store.read("log_batch_execution"), store.read("log_daily_batch_schema_snapshot")
+        found = log.join(changes, "start_date").select(
+            "start_date", log["is_incremental"],
+            F.regexp_extract("phase_0_status", r"^[A-Z]+", 0).alias("status"), "total_rows",
+            "mst_event_params_cnt", "post_change_fields",
+        )
+        return settled(found)
+
+
 @query("""
 WITH daily AS (
   SELECT strftime(ts, '%Y%m%d') AS day, count(DISTINCT user_id) AS a, count(DISTINCT event_type) AS b,
