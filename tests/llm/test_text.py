@@ -34,6 +34,29 @@ def test_decontamination(docs, rows, items, most):
     assert got == want
 
 
+def test_decontamination_holds_one_block(docs, rows, items, spark, monkeypatch):
+    """Blocks are bounded in bytes, too, and each is gone before the next one is collected."""
+    given, frame = items
+    monkeypatch.setattr(decontamination, "MAX_BYTES", 400)
+    made, gone, make = [], [], spark.sparkContext.broadcast
+
+    def watched(block):
+        assert len(made) == len(gone)
+        shared = make(block)
+        made.append(sum(map(len, block.numbers)))
+        destroy = shared.destroy
+        shared.destroy = lambda: (gone.append(1), destroy())
+        return shared
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", watched)
+    found = decontamination.report(docs, frame).collect()
+    assert len(made) > 5 and len(gone) == len(made) - 1
+    want = brute.contamination(rows, given)
+    assert {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in found} == {
+        d: (n, hit, len(named)) for d, (n, hit, named) in want.items()
+    }
+
+
 def test_decontamination_removes(docs, rows, items, clashing, spark, passage):
     given, frame = items
     want = brute.contamination(rows, given)
