@@ -147,9 +147,7 @@ def nodes(vertices: DataFrame, trees: int = TREES, node_rows: int = NODE_ROWS) -
     leaves = None
     for s in range(STEPS):
         counts = rows.groupBy(f"n{s}").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
-        counts = cut(counts, "counts")  # a plain table, so that Spark can split the join of a hot node
         met = cut(rows.join(counts, f"n{s}"), "nodes")
-        drop(counts)
         leaf = met.where(F.col("_rows") <= node_rows).select(F.col(f"n{s}").alias("node"), "rid")
         leaves = leaf if leaves is None else leaves.union(leaf)
         rows = met.where(F.col("_rows") > node_rows)
