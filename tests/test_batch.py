@@ -370,6 +370,16 @@ def test_hot_after_explode_only(spark):
         spark.conf.unset("tidemark.hotRows")
 
 
+def test_raw_scroll_percent(spark, tmp_path):
+    rows = [X.event(X.DAY1, "page_view"),
+            X.event(X.DAY1 + 1_000_000, "scroll", params=[("percent_scrolled", X.value(integer=90))])]
+    X.write_sharded(X.events_frame(spark, rows), tmp_path / "events")
+    cfg = config(tmp_path, "20260501", "20260501", users_path=None, raw_scroll_percent=True)
+    assert all_good(run_batch(spark, cfg).first())
+    found = TableStore(spark, cfg.target).read("micro_user_table").collect()
+    assert [r.max_scroll_percent for r in found] == [90]
+
+
 def test_missing_source_is_skipped(spark, tmp_path):
     row = run_batch(spark, config(tmp_path, "20260501", "20260501")).first()
     assert row["phase_0_status"].startswith("SKIPPED") and row["update_mode"].startswith("ABORTED")
