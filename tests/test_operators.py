@@ -548,3 +548,15 @@ def test_range_plan_shuffles_new_rows_once(spark):
     (row,) = built.where(M.is_row()).collect()
     assert (row.session_event_no, row.user_event_no, row.prev_event_name, row.seconds_from_prev_event,
             row.clarity_play_url, row.is_key_event) == (4, 8, "search", 60, "url", 0)
+
+
+def plan_text(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_snapshots_are_sorted_as_plain_columns(spark):
+    users = shards.empty(spark, S.USERS).unionByName(spark.createDataFrame([], S.ddl(S.USERS)))
+    known = spark.createDataFrame([], S.ddl(S.IDENTITY_MAP))
+    frame = I.user_attributes(users, known, [I.Slot("s1", "tier")], *DAY, TZ, now())
+    above, below = plan_text(frame).split("Window [", 1)
+    assert "lambda" in below and "lambda" not in above and "user_properties" not in above

@@ -132,18 +132,27 @@ def user_attributes(
     now: Column,
     days: int = S.LOOKBACK_DAYS,
 ) -> DataFrame:
-    """Newest snapshot per user with resolved user id and one column per slot."""
-    recent = look_back(users, start, end, days)
-    active = F.col("user_info.last_active_timestamp_micros")
+    """Newest snapshot per user with resolved user id and one column per slot.
+
+    Snapshots are sorted by user in the map tasks, as the plain columns that the result needs.
+    """
+    slim = look_back(users, start, end, days).select(
+        "shard", "pseudo_user_id", "user_id",
+        F.col("user_info.last_active_timestamp_micros").alias("_active"),
+        F.col("user_info.user_first_touch_timestamp_micros").alias("_first"),
+        "geo.country", "geo.region", "geo.city", F.col("device.category").alias("device_category"),
+        "device.mobile_brand_name", "device.operating_system",
+        *[slot_value(F.col("user_properties"), s.key).alias(f"_slot{n}") for n, s in enumerate(slots)],
+    )
+    active, first = F.col("_active"), F.col("_first")
     latest = newest(
-        recent,
+        slim,
         ["pseudo_user_id"],
         [F.col("shard").desc(), active.desc(), F.col("user_id").desc()],
     )
     known = identity.select(
         F.col("user_pseudo_id").alias("pseudo_user_id"), F.col("user_id").alias("mapped_id")
     )
-    first = F.col("user_info.user_first_touch_timestamp_micros")
     return latest.join(known, "pseudo_user_id", "left").select(
         F.col("pseudo_user_id").alias("user_pseudo_id"),
         F.coalesce("mapped_id", "user_id").alias("user_id"),
@@ -151,13 +160,13 @@ def user_attributes(
         local_date(active, tz).alias("last_active_date"),
         F.timestamp_micros(first).alias("first_touch_timestamp"),
         local_date(first, tz).alias("first_touch_date"),
-        "geo.country",
-        "geo.region",
-        "geo.city",
-        F.col("device.category").alias("device_category"),
-        "device.mobile_brand_name",
-        "device.operating_system",
-        *[slot_value(F.col("user_properties"), s.key).alias(s.column) for s in slots],
+        "country",
+        "region",
+        "city",
+        "device_category",
+        "mobile_brand_name",
+        "operating_system",
+        *[F.col(f"_slot{n}").alias(s.column) for n, s in enumerate(slots)],
         now.alias("updated_at"),
         shard_date(F.col("shard")).alias("source_table_date"),
     )
