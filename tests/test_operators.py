@@ -560,3 +560,24 @@ def test_snapshots_are_sorted_as_plain_columns(spark):
     frame = I.user_attributes(users, known, [I.Slot("s1", "tier")], *DAY, TZ, now())
     above, below = plan_text(frame).split("Window [", 1)
     assert "lambda" in below and "lambda" not in above and "user_properties" not in above
+
+
+def test_event_fields_of_items_are_taken_below_the_explode(spark):
+    events = X.events_frame(spark, [X.event(X.DAY1, "purchase", items=[X.item("i1"), X.item("i2")])])
+    rows = N.explode_items(
+        events, shards.empty(spark, S.IDENTITY_MAP), [], *DAY, TZ, "b", now(), hot=None
+    )
+    above, below = plan_text(rows.drop("event_id")).split("Generate posexplode", 1)
+    assert "AS ga_session_id" in below and "AS ga_session_id" not in above
+    assert sorted(values(rows, "item_index", "item_id")) == [(0, "i1"), (1, "i2")]
+
+
+def test_item_types_of_empty_and_null_arrays(spark):
+    kind = "array<struct<item_params: array<struct<key: string, value: struct<string_value: string, "
+    kind += "int_value: bigint, float_value: double, double_value: double>>>>>"
+    pair = ("p", (None, 1, None, None))
+    rows = [(None,), ([],), ([(None,), ([],), ([pair, (None, None), None],), None],)]
+    events = spark.createDataFrame(rows, f"items {kind}")
+    seen = R.observe_item_params(events)
+    assert sorted(values(seen, "param_name", "data_type"), key=str) == [("p", S.INT64), (None, S.STRING)]
+    assert "size(" not in plan_text(seen)

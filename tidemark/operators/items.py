@@ -99,9 +99,12 @@ def explode_items(
         F.col("traffic_source.source").alias("traffic_source"),
         F.col("traffic_source.medium").alias("traffic_medium"),
         F.col("traffic_source.name").alias("traffic_campaign"),
-        F.posexplode("items").alias("item_index", "item"),
     ]
-    exploded = widened(events, start, end).where(inside & (F.size("items") > 0)).select(*taken)
+    # What an event has is taken once, below the explode: beside it, Spark would do so for each item.
+    held = widened(events, start, end).where(inside & (F.size("items") > 0)).select(*taken, "items")
+    exploded = held.select(
+        *[c for c in held.columns if c != "items"], F.posexplode("items").alias("item_index", "item")
+    )
     flat = exploded.select(
         *[c for c in exploded.columns if c not in ("item_index", "item")],
         F.col("item_index").cast("bigint").alias("item_index"),

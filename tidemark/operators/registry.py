@@ -190,9 +190,10 @@ def type_audit(raw: DataFrame) -> DataFrame:
 
 def observe_item_params(events: DataFrame) -> DataFrame:
     """Distinct (item parameter, observed type) over all items of all events."""
-    items = events.select(F.explode("items.item_params").alias("params"))
-    exploded = items.select(F.explode("params").alias("p"))
-    return exploded.select(
+    # The outer form spares a second look at each array; what is empty has no position.
+    items = events.select(F.explode_outer("items.item_params").alias("params"))
+    exploded = items.select(F.posexplode_outer("params").alias("at", "p"))
+    return exploded.where("at IS NOT NULL").select(
         F.col("p.key").alias("param_name"),
         observed_item_type(F.col("p.value")).alias("data_type"),
     ).distinct()
