@@ -1,6 +1,8 @@
 """Operators on hand rows: the corner cases of the data model."""
 
 import random
+import time
+from datetime import date
 
 import pytest
 from hypothesis import given
@@ -21,6 +23,7 @@ from tidemark.operators import micro as M
 from tidemark.operators import ordered as O
 from tidemark.operators import registry as R
 from tidemark.operators import upsert as U
+from tidemark.operators.skew import cut_lineage, left_join, working_in
 from tidemark.plans import control as G
 from tidemark.plans import incremental as D
 from tidemark.plans import state as ST
@@ -581,3 +584,45 @@ def test_item_types_of_empty_and_null_arrays(spark):
     seen = R.observe_item_params(events)
     assert sorted(values(seen, "param_name", "data_type"), key=str) == [("p", S.INT64), (None, S.STRING)]
     assert "size(" not in plan_text(seen)
+
+
+def test_an_empty_table_costs_no_shuffle(spark):
+    rows = spark.range(5).select(F.col("id").cast("string").alias("user_pseudo_id"))
+    known = shards.empty(spark, S.IDENTITY_MAP)
+    assert [(f.name, f.dataType.simpleString()) for f in known.schema] == [*S.IDENTITY_MAP.items()]
+    joined = left_join(rows, known.select("user_pseudo_id", "user_id"), ["user_pseudo_id"], hot=None)
+    assert "Join" not in plan_text(joined)
+    assert sorted(values(joined, "user_pseudo_id", "user_id")) == [(str(n), None) for n in range(5)]
+
+
+def test_shuffle_files_go_with_their_write(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = manager.getAllFiles()
+        names = {files.apply(n).getName() for n in range(files.size())}
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffles()
+    cut = cut_lineage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(100):
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before
+    assert cut.count() == 7
+
+
+def test_an_item_update_leaves_no_intermediates(spark, tmp_path):
+    item = X.item("i1", price=1.0)
+    events = X.events_frame(spark, [X.event(X.DAY1, "purchase", items=[item])])
+    store = TableStore(spark, f"file://{tmp_path}/tables")
+    rows = N.explode_items(events, shards.empty(spark, S.IDENTITY_MAP), [], *DAY, TZ, "b", now())
+    wanted = N.items_schema([])
+    with working_in(spark, f"file://{tmp_path}/work"):
+        D.build_items(store, rows, wanted, None)
+        built = set(tmp_path.glob("work/*"))
+        D.update_items(store, rows, wanted, *[date(2026, 5, 1)] * 2, None)
+        left = {path.name for path in set(tmp_path.glob("work/*")) - built if any(path.iterdir())}
+        assert left == set()
+    assert values(store.read(D.ITEMS_TABLE), "item_id", "item_event_no") == [("i1", 1)]

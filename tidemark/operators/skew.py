@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_BROADCAST_ROWS = 200_000
 DEFAULT_BROADCAST_BYTES = 256 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _here = threading.local()
 
 
@@ -59,15 +60,30 @@ def working_in(spark: SparkSession, folder: str) -> Iterator[None]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def files_go_after_query(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query inside are removed when it ends, not when the driver collects garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def cut_lineage(rows: DataFrame) -> DataFrame:
     """Write rows to the work folder and read them back.
 
     Later steps see the same rows even if an executor is lost, and read only the columns
-    they need.
+    they need. Hashes as hex text take half the room under zstd.
     """
     spark = rows.sparkSession
     path = f"{work_folder(spark)}/tidemark-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    with files_go_after_query(spark):
+        rows.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 

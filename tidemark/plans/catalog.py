@@ -24,6 +24,7 @@ from tidemark.operators import upsert as U
 from tidemark.operators.skew import (
     DETECT,
     cut_lineage,
+    files_go_after_query,
     hot_groups,
     shared_folder,
     work_folder,
@@ -929,7 +930,8 @@ def settled(found: DataFrame) -> DataFrame:
     """Rows written beside the scratch store, which goes before the caller reads them."""
     spark = found.sparkSession
     path = f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
-    found.write.parquet(path)
+    with files_go_after_query(spark):
+        found.write.parquet(path)
     return spark.read.schema(found.schema).parquet(path)
 
 

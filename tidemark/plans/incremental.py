@@ -11,6 +11,7 @@ later days of touched users (or item groups) in a backfill.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,8 @@ from tidemark.operators.skew import (
     null_safe,
     prefixed,
     quoted,
+    work_folder,
+    working_in,
 )
 from tidemark.operators.upsert import update_from
 from tidemark.plans import carry
@@ -394,8 +397,17 @@ def update_items(
     """Item rows whose local day lies in the range replaced by ``rows`` (not numbered yet).
 
     Items are partitioned by the source's day, which may differ from the local day. Later rows
-    of touched groups are numbered anew; other rows of a rewritten day are copied.
+    of touched groups are numbered anew; other rows of a rewritten day are copied. Intermediates
+    go when the days are written.
     """
+    spark = rows.sparkSession
+    with working_in(spark, f"{work_folder(spark)}/items-{uuid.uuid4().hex}"):
+        _update_items(store, rows, wanted, start, end, hot)
+
+
+def _update_items(
+    store: TableStore, rows: DataFrame, wanted: dict[str, str], start: date, end: date, hot
+) -> None:
     mend_items(store)
     target = wide_schema(
         store.columns(ITEMS_TABLE), wanted, S.MICRO_ITEMS_HEAD, S.MICRO_ITEMS_TAIL

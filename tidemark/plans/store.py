@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as S
 from tidemark.operators.evolve import conform
-from tidemark.operators.skew import quote, quoted
+from tidemark.operators.skew import files_go_after_query, quote, quoted
 from tidemark.sources.shards import empty
 
 MANIFEST = "_manifest-"
@@ -211,9 +211,10 @@ class TableStore:
         version = f"v{(versions[-1] if versions else 0) + 1}"
         columns = dict(rows.dtypes)
         place = f"{version}/{WRITE}=0" if self._by_days(columns, partitions) else version
-        self._writer(rows, partitions, cluster, spread).mode("overwrite").parquet(
-            f"{self.root}/{table}/{place}"
-        )
+        with files_go_after_query(self.spark):
+            self._writer(rows, partitions, cluster, spread).mode("overwrite").parquet(
+                f"{self.root}/{table}/{place}"
+            )
         meta = {"columns": columns, "partitions": list(partitions), "folder": version}
         self._publish(table, version, meta | {"older": [], "days": {}, "next": 1})
         for old in versions[:-1]:
@@ -224,7 +225,7 @@ class TableStore:
             rows = rows.hint("rebalance", *[F.col(c) for c in partitions])
         if cluster:
             rows = rows.sortWithinPartitions(*partitions, *cluster)
-        writer = rows.write
+        writer = rows.write.option("compression", "zstd")
         return writer.partitionBy(*partitions) if partitions else writer
 
     def append(
@@ -240,9 +241,10 @@ class TableStore:
             raise ValueError(f"{table} has replaced days or older types and takes whole days only")
         by_days = self._by_days(meta["columns"], meta["partitions"])
         place = f"{meta['folder']}/{WRITE}=0" if by_days else meta["folder"]
-        self._writer(rows, meta["partitions"], (), True).mode("append").parquet(
-            f"{self.root}/{table}/{place}"
-        )
+        with files_go_after_query(self.spark):
+            self._writer(rows, meta["partitions"], (), True).mode("append").parquet(
+                f"{self.root}/{table}/{place}"
+            )
 
     def clear(self, table: str) -> None:
         """State reset: the table is gone for readers."""
@@ -289,9 +291,10 @@ class TableStore:
         partitions, number = meta["partitions"], meta["next"]
         if not self._by_days(meta["columns"], partitions):
             raise ValueError(f"{table} is not partitioned by day first")
-        self._writer(conform(rows, meta["columns"]), partitions, cluster, spread).mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(f"{self.root}/{table}/{meta['folder']}/{WRITE}={number}")
+        with files_go_after_query(self.spark):
+            self._writer(conform(rows, meta["columns"]), partitions, cluster, spread).mode("overwrite").option(
+                "partitionOverwriteMode", "static"
+            ).parquet(f"{self.root}/{table}/{meta['folder']}/{WRITE}={number}")
         given = {day.isoformat() for day in days}
         writes = meta["days"] | dict.fromkeys(given, number)
         self._publish(table, self._current(table)[0], meta | {"days": writes, "next": number + 1})
