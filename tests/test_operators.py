@@ -626,3 +626,15 @@ def test_an_item_update_leaves_no_intermediates(spark, tmp_path):
         left = {path.name for path in set(tmp_path.glob("work/*")) - built if any(path.iterdir())}
         assert left == set()
     assert values(store.read(D.ITEMS_TABLE), "item_id", "item_event_no") == [("i1", 1)]
+
+
+def test_items_of_known_users_are_dealt_by_session(spark):
+    rows = [("a", n % 3, f"i{n % 2}", n, "purchase", 0) for n in range(12)]
+    rows += [(None, None, None, n, "purchase", 0) for n in range(3)]
+    names = ["user_pseudo_id", "ga_session_id", "item_id", "event_timestamp_micros", "event_name", "item_index"]
+    frame = spark.createDataFrame(rows, "%s string, %s bigint, %s string, %s bigint, %s string, %s bigint" % tuple(names))
+    dealt, found = N.number_items(frame, None), N.number_items(frame)
+    assert sorted(map(str, values(dealt, *dealt.columns))) == sorted(map(str, values(found, *dealt.columns)))
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(user_pseudo_id" in plan
+    assert "item_id" not in plan.split("hashpartitioning(")[1].split(")")[0]

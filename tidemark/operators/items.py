@@ -11,6 +11,7 @@ from tidemark import schema as S
 from tidemark.functions import ids
 from tidemark.functions.lattice import widest_of
 from tidemark.functions.params import extract_item_param, param_value, session_id
+from tidemark.operators.events import SESSION
 from tidemark.operators.ordered import Ordering, segmented_with_copies, windowed
 from tidemark.operators.skew import DETECT, hot_row_limit, known_or_detected, left_join, quoted
 from tidemark.sources.shards import widened
@@ -138,15 +139,19 @@ def items_schema(columns: list[ItemColumn]) -> dict[str, str]:
 def number_items(rows: DataFrame, hot=DETECT) -> DataFrame:
     """Running number per (session, item) by time, event and item index.
 
-    Exact copies of a row may be numbered in any order. ``hot`` may hold hot users.
+    Exact copies of a row may be numbered in any order. ``hot`` may hold hot users; then the others'
+    rows are dealt by session, so the items of an event, alike in most columns, stay together in
+    the shuffle files and compress well.
     """
+    by_user = hot is not DETECT
     whole = F.xxhash64(*quoted(rows.columns))
     rows = rows.withColumn("_row", whole)
     spec = ITEM_ORDER
     hot = known_or_detected(hot, rows, spec.group)
     if hot is None:
-        return windowed(rows, spec).drop("_row")
+        return windowed(rows.repartition(*SESSION) if by_user else rows, spec).drop("_row")
     ordinary, large = hot.split(rows)
+    ordinary = ordinary.repartition(*SESSION) if by_user else ordinary
     numbered = segmented_with_copies(
         large, spec.group, spec.order, spec.number, hot.segments(), hot_row_limit(rows.sparkSession)
     )
