@@ -260,3 +260,29 @@ def test_words_of_chunks(monkeypatch, rows):
                     assert hashes.setdefault(got[-1][j - a], h[j]) == h[j]
         assert got == [pattern.findall(brute.fold(t)) for t in texts]
         assert len(set(map(int, hashes.values()))) == len(hashes)
+
+
+def test_toxicity_hashes_a_text_once_a_scan(spark, docs, monkeypatch):
+    """And searches only words and pairs that may have a ratio."""
+    calls, sought = [], []
+    plain, found = words.Words.hashes, toxicity._found
+    monkeypatch.setattr(words.Words, "hashes", lambda run: calls.append(1) or plain(run))
+    monkeypatch.setattr(toxicity, "_found", lambda keys, some: sought.append(len(some)) or found(keys, some))
+    run = next(words.split(pa.array([" ".join(f"w{i}" for i in range(3, 5000))]), "alnum", fold=True))
+    counted = toxicity.counts(spark.createDataFrame([(1, "w1 w1 w2"), (2, "w3 w3 w4")], "doc_id long, text string"),
+                              np.arange(1, 3), np.arange(2))
+    model = toxicity.Model(counted)
+    assert model.words.size
+    features = model.features(run)
+    assert len(calls) == 1 and sum(sought) < 500
+    assert features[0].any() and features.shape == (1, len(toxicity.DISCOUNTS), toxicity.FEATURES)
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1 << 17])
+def test_word_hashes_do_not_depend_on_pieces(monkeypatch, piece):
+    texts = [None, "", "a", "é É x", "ab " * 40, "z" * 90, "b c"]
+    run = next(words.split(pa.array(texts), "alnum", fold=True))
+    alone = [next(words.split(pa.array([run.data[a:b].tobytes().decode()]), "alnum")).hashes()[0]
+             for a, b in zip(run.starts, run.ends, strict=True)]
+    monkeypatch.setattr(words, "PIECE_BYTES", piece)
+    assert run.hashes().tolist() == alone

@@ -70,7 +70,7 @@ FEATURES = 8
 PAIR_DISCOUNTS = tuple(max(1.5, d) for d in DISCOUNTS)
 #: The corpus's distinct pairs are counted in so many scans, each of a share by hash, so that
 #: the shuffle of one fits the disk.
-PASSES = 4
+PASSES = 3
 _COUNTS = ("ordinary", "toxic", "documents")
 
 
@@ -81,21 +81,45 @@ def _row_numbers(run: W.Words) -> np.ndarray:
 def count(run: W.Words, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct words of a run of documents, and three counts of each: in documents of either
     label (0, 1; -1 for none), and the documents that hold it."""
-    word, at = np.unique(run.hashes(), return_inverse=True)
+    coded = pa.array(run.hashes()).dictionary_encode()
+    word, at = coded.dictionary.to_numpy(), coded.indices.to_numpy().astype(np.int64)
     row = _row_numbers(run)
     sums = np.zeros((3, len(word)), np.int64)
+    given = label[row]
     for c in (0, 1):
-        sums[c] = np.bincount(at[label[row] == c], minlength=len(word))
-    once = np.unique(row * len(word) + at)
+        sums[c] = np.bincount(at[given == c], minlength=len(word))
+    once = np.sort(row * len(word) + at)
+    once = once[np.diff(once, prepend=-1) > 0]
     sums[2] = np.bincount(once % max(1, len(word)), minlength=len(word))
-    return word, sums
+    order = np.argsort(word)
+    return word[order], sums[:, order]
 
 
-def _pairs(run: W.Words) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(run: W.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the words that follow another word of their document, and the hashes of the pairs."""
-    at = np.arange(int(run.offsets[-1]))
-    at = at[at > np.repeat(run.offsets[:-1], np.diff(run.offsets))]
-    return at, W.window_hashes(run.hashes(), 2)[at - 1]
+    follows = np.ones(len(hashes), bool)
+    follows[run.offsets[:-1][np.diff(run.offsets) > 0]] = False
+    at = np.flatnonzero(follows)
+    return at, W.window_hashes(hashes, 2)[at - 1]
+
+
+def _with_pair(rows: DataFrame) -> DataFrame:
+    """The hash of each pair in place of its two words."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        both = np.stack([batch.column(c).to_numpy() for c in ("left", "word")], axis=1)
+        pair = W.window_hashes(both.ravel().view(np.uint64), 2)[::2].view(np.int64)
+        return batch.drop_columns(["left", "word"]).add_column(0, "pair", pa.array(pair))
+
+    return map_arrow(rows, work, f"pair long, {ddl(rows.drop('left', 'word'))}")
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and a place of each."""
+    order = np.argsort(values)
+    ordered = values[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(order) else order
+    return ordered[first], order[first]
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -114,11 +138,28 @@ def _found(keys: np.ndarray, sought: np.ndarray) -> np.ndarray:
     return np.where(keys[np.minimum(at, len(keys) - 1)] == sought, at, len(keys))
 
 
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Which leading bits some key has: most values that are no keys are told without a search."""
+    bits = min(26, max(10, (8 * len(keys)).bit_length()))
+    marks = np.zeros(1 << bits, bool)
+    marks[keys.view(np.uint64) >> W.U64(64 - bits)] = True
+    return marks
+
+
+def _hits(keys: np.ndarray, marks: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the hashes that are keys, and the places of their keys."""
+    at = np.flatnonzero(marks[hashes >> W.U64(65 - len(marks).bit_length())])
+    place = _found(keys, hashes[at].view(np.int64))
+    found = place < len(keys)
+    return at[found], place[found]
+
+
 class Model:
     """Log-likelihood ratios of the words and pairs that have one, for each discount."""
 
     def __init__(self, table: DataFrame):
         """Of a table of :func:`counts`."""
+        self.marks = None  # made by the tasks
         total = table.agg(
             *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS)
         ).first()
@@ -173,8 +214,9 @@ class Model:
                           .cast("float").alias(f"r{k}"))
         rows = (
             pairs.where((F.col("ordinary") > float(least[0])) | (F.col("toxic") > float(least[1])))
-            .join(history, "left").join(contexts, "word").select("pair", *ratios).toArrow()
-        )  # of the bounded sample
+            .join(history, "left").join(contexts, "word").select("left", "word", *ratios)
+        )
+        rows = _with_pair(rows).toArrow()  # of the bounded sample
         pair = rows.column("pair").to_numpy()
         order = np.argsort(pair)
         self.pairs = pair[order]
@@ -185,12 +227,17 @@ class Model:
     def features(self, run: W.Words) -> np.ndarray:
         """(document, discount, feature)."""
         row, length = _row_numbers(run), np.maximum(1, np.diff(run.offsets))
-        second, pair = _pairs(run)
+        hashes = run.hashes()
+        second, pair = _pairs(run, hashes)
+        if self.marks is None:
+            self.marks = _starts(self.words), _starts(self.pairs)
         out = np.zeros((len(run), len(DISCOUNTS), FEATURES))
-        for first, rows, place, ratios in (
-            (0, row, _found(self.words, run.hashes().view(np.int64)), self.ratios),
-            (4, row[second], _found(self.pairs, pair.view(np.int64)), self.pair_ratios),
+        for first, rows, sought, keys, marks, ratios in (
+            (0, row, hashes, self.words, self.marks[0], self.ratios),
+            (4, row[second], pair, self.pairs, self.marks[1], self.pair_ratios),
         ):
+            at, place = _hits(keys, marks, sought)  # all others add nothing
+            rows = rows[at]
             for k, ratio in enumerate(ratios):
                 found = ratio[place]
                 total = np.bincount(rows, found, len(run))
@@ -262,24 +309,28 @@ def counts(docs: DataFrame, ids: np.ndarray, toxic: np.ndarray) -> DataFrame:
 
 
 def pair_counts(docs: DataFrame, ids: np.ndarray, toxic: np.ndarray) -> DataFrame:
-    """(pair, left, word, ordinary, toxic) of every word pair of labelled documents, written once."""
+    """(left, word, ordinary, toxic) of every word pair of labelled documents, written once."""
     shared = docs.sparkSession.sparkContext.broadcast((ids, toxic))
-    names = ["pair", "left", "word", *_COUNTS[:2]]
+    names = ["left", "word", *_COUNTS[:2]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             given = _labels_of(batch, *shared.value)
             batch, given = batch.filter(pa.array(given >= 0)), given[given >= 0]
             for words in W.split(batch.column("text"), "alnum", fold=True):
-                word, (second, pair) = words.hashes().view(np.int64), _pairs(words)
-                pair, first, at = np.unique(pair, return_index=True, return_inverse=True)
+                word = words.hashes()
+                second, pair = _pairs(words, word)
+                coded = pa.array(pair).dictionary_encode()
+                at, n = coded.indices.to_numpy(), len(coded.dictionary)
                 label = given[words.first_row + _row_numbers(words)[second]]
-                sums = [np.bincount(at[label == c], minlength=len(pair)) for c in (0, 1)]
-                second = second[first]
-                yield from _sent(names, [pair.view(np.int64), word[second - 1], word[second], *sums])
+                sums = [np.bincount(at[label == c], minlength=n) for c in (0, 1)]
+                first = np.zeros(n, np.int64)
+                first[at] = second  # a place of each pair
+                word = word.view(np.int64)
+                yield from _sent(names, [word[first - 1], word[first], *sums])
 
     found = map_batches(docs.select("doc_id", "text"), run, ", ".join(f"{c} long" for c in names))
-    return cut(found.groupBy(*names[:3]).agg(*(F.sum(c).alias(c) for c in names[3:])), "pairs")
+    return cut(found.groupBy(*names[:2]).agg(*(F.sum(c).alias(c) for c in names[2:])), "pairs")
 
 
 def left_contexts(docs: DataFrame) -> DataFrame:
@@ -292,10 +343,11 @@ def left_contexts(docs: DataFrame) -> DataFrame:
             held = 0
             for batch in batches:
                 for words in W.split(batch.column("text"), "alnum", fold=True):
-                    second, pair = _pairs(words)
-                    own = pair % W.U64(PASSES) == share
-                    pair, first = np.unique(pair[own], return_index=True)
-                    parts.append((pair, words.hashes()[second[own][first]]))
+                    word = words.hashes()
+                    second, pair = _pairs(words, word)
+                    own = np.flatnonzero(pair % W.U64(PASSES) == share)
+                    pair, first = _distinct(pair[own])
+                    parts.append((pair, word[second[own[first]]]))
                     held += len(pair)
                     if held > WORDS_AT_ONCE:
                         parts = [distinct(parts)]
@@ -310,7 +362,7 @@ def left_contexts(docs: DataFrame) -> DataFrame:
         return cut(found.groupBy("word").agg(F.count(F.lit(1)).alias("contexts")), "contexts")
 
     def distinct(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        pair, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
+        pair, first = _distinct(np.concatenate([p[0] for p in parts]))
         order = np.argsort(word := np.concatenate([p[1] for p in parts])[first])
         return pair[order], word[order]  # equal words side by side shuffle in fewer bytes
 
@@ -370,7 +422,8 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     learned = Model(table)
     drop(table)
     if len(learned.words):  # else a class has no sample
-        pairs, contexts = pair_counts(docs, ids[~aside], toxic[~aside]), left_contexts(docs)
+        contexts = left_contexts(docs)  # first, so that its shuffles do not meet the pairs on disk
+        pairs = pair_counts(docs, ids[~aside], toxic[~aside])
         learned.add_pairs(pairs, contexts)
         drop(pairs)
         drop(contexts)

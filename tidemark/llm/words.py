@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from tidemark.llm.work import CHUNK_BYTES
 
 U64 = np.uint64
+#: Bytes whose words are hashed at once.
+PIECE_BYTES = 1 << 17
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20240117)).integers(
@@ -69,11 +71,16 @@ class Words:
         lengths = self.ends - self.starts
         if not len(lengths):
             return np.zeros(0, U64)
-        first = np.cumsum(lengths) - lengths
-        at = np.repeat(self.starts - first, lengths) + np.arange(lengths.sum())
-        place = at - np.repeat(self.starts, lengths)
-        values = _BYTE_VALUES[self.data[at]] * powers(int(lengths.max()))[place]
-        return mix(np.add.reduceat(values, first) + lengths.astype(U64))
+        values = np.empty(len(lengths), U64)
+        pieces = np.searchsorted(self.starts, np.arange(0, len(self.data), PIECE_BYTES))
+        cuts = np.unique(np.append(pieces, len(lengths)))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # one running sum each, small enough for a cache
+            low, high = int(self.starts[a]), int(self.ends[b - 1])
+            sums = np.zeros(high - low + 1, U64)
+            np.cumsum(_BYTE_VALUES[self.data[low:high]] * powers(high - low), out=sums[1:])
+            starts, ends = self.starts[a:b] - low, self.ends[a:b] - low
+            values[a:b] = (sums[ends] - sums[starts]) * powers(high - low, -1)[starts]
+        return mix(values + lengths.astype(U64))
 
     def room(self) -> np.ndarray:
         """For each word, the number of words from it to the end of its document."""
@@ -86,6 +93,8 @@ def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
     n = len(h)
     if n < size:
         return np.zeros(0, U64)
+    if size == 2:
+        return mix(h[:-1] + h[1:] * powers(2)[1])
     sums = np.concatenate([np.zeros(1, U64), np.cumsum(h * powers(n), dtype=U64)])
     return mix((sums[size:] - sums[:-size]) * powers(n - size + 1, -1))
 
