@@ -553,6 +553,52 @@ def test_range_plan_shuffles_new_rows_once(spark):
             row.clarity_play_url, row.is_key_event) == (4, 8, "search", 60, "url", 0)
 
 
+@pytest.mark.parametrize("limit", [{}, {"tidemark.broadcastRows": "0"}, {"tidemark.hotRows": "12"}])
+def test_backfill_copies_other_days_as_they_lie(spark, tmp_path, monkeypatch, limit):
+    """Days outside the range are copied with narrow changes: no exchange of their wide rows."""
+    rows = []
+    for day in range(4):
+        for i in range(5):
+            for user in ("a", "b", None) if (day, i) != (2, 0) else ("a",):
+                # a session over all days, one without a number, and one of each day
+                session = [1, None, 10 + day, 1, 10 + day][i] if user != "b" else 1
+                at = X.DAY1 + day * 86_400_000_000 + i * 60_000_000
+                rows.append(X.event(at, "page_view" if i % 2 else "search", user, session,
+                                    f"2026050{day + 1}", host=f"h{(day + i) % 2}.test"))
+    rows.append(X.event(X.DAY1 + 3_600_000_000, "search", "c", 7))  # not touched by the range
+    plan, nobody = C.column_plan(registry_of(spark, rows)), shards.empty(spark, S.IDENTITY_MAP)
+    base = E.base_events(X.events_frame(spark, rows), nobody, "20260501", "20260504", TZ)
+    tables = E.flatten_events(base, plan, TZ, "b")
+    tables = spark.createDataFrame(tables.collect(), tables.schema)
+    attributes = shards.empty(spark, S.USER_ATTRIBUTES_HEAD | S.USER_ATTRIBUTES_TAIL)
+    days = sorted(row[0] for row in tables.select("event_date").distinct().collect())
+    gap = days[1]
+    store, whole = (TableStore(spark, str(tmp_path / name)) for name in ("part", "whole"))
+    D.build_events(whole, tables, attributes, plan, [])
+    D.build_events(store, tables.where(F.col("event_date") != F.lit(gap)), attributes, plan, [])
+    written, writer = [], TableStore._writer
+
+    def record(self, frame, partitions, cluster, spread):
+        if "session_event_no" in frame.columns and "micro_user_table" in str(frame.inputFiles()):
+            written.append((spread, frame._jdf.queryExecution().executedPlan().toString()))
+        return writer(self, frame, partitions, cluster, spread)
+
+    monkeypatch.setattr(TableStore, "_writer", record)
+    for key, value in limit.items():
+        spark.conf.set(key, value)
+    try:
+        D.update_events(store, tables, attributes, plan, [], gap, gap)
+    finally:
+        for key in limit:
+            spark.conf.unset(key)
+    for table in ("micro_user_table", "carry_user_days", "carry_session_days"):
+        got, want = (sorted(map(str, s.read(table).collect())) for s in (store, whole))
+        assert got == want, table
+    assert len(written) == 1
+    if "tidemark.broadcastRows" not in limit:
+        assert not written[0][0] and "Exchange hashpartitioning" not in written[0][1]
+
+
 def plan_text(frame):
     return frame._jdf.queryExecution().optimizedPlan().toString()
 

@@ -179,14 +179,21 @@ def sequence_by_segment(rows: DataFrame, segments: int) -> DataFrame:
     return segmented(by_user, SESSION_ORDER, segments).drop(SESSION_KEY)
 
 
+def gap_seconds(before: Column) -> Column:
+    """Whole seconds since the moment of the session's previous event."""
+    return to_integer((F.col("event_timestamp_micros") - before) / 1_000_000)
+
+
+def is_hop(host_before: Column) -> Column:
+    return F.coalesce(host_before != F.col("hostname_norm"), F.lit(False))
+
+
 def gap_and_hop(rows: DataFrame) -> DataFrame:
     """Seconds since the session's previous event, and whether the host changed."""
-    gap = to_integer((F.col("event_timestamp_micros") - F.col("_prev_micros")) / 1_000_000)
-    changed = F.col("prev_hostname_norm") != F.col("hostname_norm")
     return rows.withColumns(
         {
-            "seconds_from_prev_event": gap,
-            "is_cross_domain_hop": F.coalesce(changed, F.lit(False)),
+            "seconds_from_prev_event": gap_seconds(F.col("_prev_micros")),
+            "is_cross_domain_hop": is_hop(F.col("prev_hostname_norm")),
         }
     ).drop("_prev_micros")
 

@@ -92,12 +92,16 @@ def row_bytes(rows: DataFrame) -> int:
     return int(rows._jdf.schema().defaultSize())
 
 
-def broadcast_if_small(side: DataFrame, row_bound: int) -> DataFrame:
-    """Broadcast hint, given a proven upper bound of the row count and the rows' width."""
+def is_small(side: DataFrame, row_bound: int) -> bool:
+    """Whether a side of at most this many rows is within the limits of a broadcast."""
     spark = side.sparkSession
     small = row_bound <= broadcast_row_limit(spark)
-    small = small and row_bound * row_bytes(side) <= broadcast_byte_limit(spark)
-    return F.broadcast(side) if small else side
+    return small and row_bound * row_bytes(side) <= broadcast_byte_limit(spark)
+
+
+def broadcast_if_small(side: DataFrame, row_bound: int) -> DataFrame:
+    """Broadcast hint, given a proven upper bound of the row count and the rows' width."""
+    return F.broadcast(side) if is_small(side, row_bound) else side
 
 
 def quoted(names: list[str]) -> list[Column]:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.events import SESSION, USER
 from tidemark.operators.items import ITEM_GROUP
 from tidemark.operators.skew import broadcast_if_small, cut_lineage, null_safe, prefixed
+from tidemark.operators.upsert import update_from
 from tidemark.plans.store import TableStore
 
 USERS, USER_TOTALS = "carry_user_days", "carry_user_totals"
@@ -34,6 +35,7 @@ SESSIONS, ITEMS = "carry_session_days", "carry_item_days"
 EVENT_CARRY = [USERS, USER_TOTALS, SESSIONS]
 PENDING_EVENTS, PENDING_ITEMS = "pending_event_days", "pending_item_days"
 TOTAL_AFTER_DAYS = 28
+ROW_KEY = [*SESSION, "event_timestamp_micros", "event_name"]
 LAST_ROW = ["event_timestamp_micros", "event_name", "hostname_norm", "next_hostname_norm"]
 
 
@@ -83,14 +85,32 @@ def _put(store: TableStore, table: str, sums: DataFrame, days: list[date] | None
         store.overwrite_days(table, sums, days, cluster, spread=True)
 
 
-def put_events(store: TableStore, rows: DataFrame, tables: DataFrame, days: list[date] | None) -> None:
-    """Write the sums of wide event rows; ``rows`` and ``tables`` hold these days."""
+def put_events(
+    store: TableStore,
+    rows: DataFrame,
+    tables: DataFrame,
+    days: list[date] | None,
+    turned: DataFrame | None = None,
+    turned_days: list[date] = (),
+) -> None:
+    """Write the sums of wide event rows; ``rows`` and ``tables`` hold these days.
+
+    ``turned`` are last rows of sessions on other days (``turned_days``) that got a new next host;
+    nothing else of these days' sums changes.
+    """
     totals = store.read(USER_TOTALS).first() if store.exists(USER_TOTALS) else None
     if days is None or (totals and totals["until"] >= min(days)):
         store.clear(USER_TOTALS)
     sums = user_days(rows).select(*USER, "events", "event_date")
     _put(store, USERS, sums, days, USER)
-    _put(store, SESSIONS, session_days(rows, tables), days, ["ga_session_id"])
+    sessions = session_days(rows, tables)
+    if turned_days:
+        old = store.read(SESSIONS).where(F.col("event_date").isin(turned_days))
+        sessions = sessions.unionByName(
+            update_from(old, turned, ROW_KEY, ["next_hostname_norm"], source_rows=turned.count())
+        )
+        days = [*days, *turned_days]
+    _put(store, SESSIONS, sessions, days, ["ga_session_id"])
     store.note(PENDING_EVENTS, None)
 
 

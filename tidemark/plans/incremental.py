@@ -7,10 +7,16 @@ session, which travels through the one exchange of the new rows, stands before t
 window with the carried count as its weight, and is taken out at the end. Of the wide tables only
 days that are written again are read: the range, days whose last row of a session changes, and
 later days of touched users (or item groups) in a backfill.
+
+Event rows outside the range go through no window: a backfill moves the numbers of a user's and of
+a session's later rows by one amount, and only the first later row of a session gets another
+previous event. Both amounts and these rows are narrow tables, made from the range as it was
+written, and the other days are copied with them; a table version shows all of it at once.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
 from datetime import date, datetime, timedelta
 
@@ -35,6 +41,7 @@ from tidemark.operators.skew import (
     cut_lineage,
     hot_groups,
     hot_row_limit,
+    is_small,
     known_or_detected,
     left_join,
     null_safe,
@@ -45,7 +52,7 @@ from tidemark.operators.skew import (
 )
 from tidemark.operators.upsert import update_from
 from tidemark.plans import carry
-from tidemark.plans.carry import semi_null_safe
+from tidemark.plans.carry import ROW_KEY, semi_null_safe
 from tidemark.plans.store import TableStore, days_between
 
 EVENTS_TABLE, ITEMS_TABLE = "micro_user_table", "micro_items_table"
@@ -55,9 +62,8 @@ SEQUENCE_COLUMNS = [
     "session_event_no", "user_event_no", "prev_event_name", "seconds_from_prev_event",
     "prev_hostname_norm", "next_hostname_norm", "is_cross_domain_hop",
 ]
-ROW_KEY = [*SESSION, "event_timestamp_micros", "event_name"]
-SIDE_DDL = "struct<kind: int, carried: bigint, next: string, date: date>"
-OF_SESSION, OF_USER = 1, 2
+SIDE_DDL = "struct<kind: int, carried: bigint>"
+OF_SESSION, OF_USER, OF_NEXT = 1, 2, 3
 #: Smallest bigint: before all moments, and the session of side rows that belong to a user only.
 FIRST = -(2**63)
 
@@ -126,13 +132,17 @@ def mend_events(store: TableStore, tables: DataFrame) -> None:
         carry.put_events(store, on_days(rows, days), on_days(tables, days), days)
 
 
+def _side(kind: int, carried: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), carried.cast("bigint").alias("carried")).alias(SIDE)
+
+
 def side_rows(users: DataFrame, sessions: DataFrame) -> DataFrame:
     """Carried state as rows that stand before the new ones of their session or user.
 
     A session that only brings a replay address is made a scroll row: it reaches the session
     facts and is left out with the scrolls before rows are numbered.
     """
-    none = F.lit(None)
+    no_text = F.lit(None).cast("string")
     known = F.col("carried").isNotNull()
     of_session = sessions.select(
         *SESSION,
@@ -140,23 +150,21 @@ def side_rows(users: DataFrame, sessions: DataFrame) -> DataFrame:
         F.when(known, F.col("event_name")).otherwise(F.lit("scroll")).alias("event_name"),
         "hostname_norm",
         F.col("replay_url").alias("clarity_play_url"),
-        F.struct(
-            F.lit(OF_SESSION).alias("kind"), F.col("carried"),
-            F.col("next_hostname_norm").alias("next"), F.col("last_date").alias("date"),
-        ).alias(SIDE),
+        _side(OF_SESSION, F.col("carried")),
     )
     of_user = users.select(
         *USER, F.lit(FIRST).alias("ga_session_id"), F.lit(FIRST).alias("event_timestamp_micros"),
-        F.lit("").alias("event_name"), none.cast("string").alias("hostname_norm"),
-        none.cast("string").alias("clarity_play_url"),
-        F.struct(
-            F.lit(OF_USER).alias("kind"), F.col("user_carry").alias("carried"),
-            none.cast("string").alias("next"), none.cast("date").alias("date"),
-        ).alias(SIDE),
+        F.lit("").alias("event_name"), no_text.alias("hostname_norm"),
+        no_text.alias("clarity_play_url"), _side(OF_USER, F.col("user_carry")),
     )
     return of_session.unionByName(of_user)
 
 
+def next_rows(firsts: DataFrame) -> DataFrame:
+    """The first later row of each session as a row that stands after the new ones."""
+    return firsts.select(*ROW_KEY, "hostname_norm", _side(OF_NEXT, F.lit(None)))
+
+
 def sequence_with_side_rows(rows: DataFrame) -> DataFrame:
     """Numbers and neighbours in the plain windows, going on from the side rows."""
     rows = M.with_session_key(rows)
@@ -180,8 +188,8 @@ def sequence_with_side_rows(rows: DataFrame) -> DataFrame:
 
 def sequence_with_joins(
     rows: DataFrame, users: DataFrame, sessions: DataFrame, hot: HotGroups
-) -> tuple[DataFrame, DataFrame]:
-    """The same for hot users by segments, the carried state by joins: (rows, changed ends)."""
+) -> DataFrame:
+    """The same for hot users by segments, the carried state by joins."""
     last = sessions.where("carried IS NOT NULL").select(
         *SESSION, F.struct(*[c for c in sessions.columns if c not in SESSION]).alias("session_carry")
     )
@@ -195,27 +203,15 @@ def sequence_with_joins(
     def or_carried(column: str, carried: str) -> Column:
         return F.when(opens, state[carried]).otherwise(F.col(column))
 
-    linked = cut_lineage(
-        joined.withColumns(
-            {
-                "prev_event_name": or_carried("prev_event_name", "event_name"),
-                "_prev_micros": or_carried("_prev_micros", "event_timestamp_micros"),
-                "prev_hostname_norm": or_carried("prev_hostname_norm", "hostname_norm"),
-                "_opens": opens,
-                "session_event_no": F.col("session_event_no") + F.coalesce(state["carried"], F.lit(0)),
-                "user_event_no": F.col("user_event_no") + F.coalesce(F.col("user_carry"), F.lit(0)),
-            }
-        ).drop("user_carry", "session_carry")
-    )
-    firsts = prefixed(
-        linked.where("_opens").select(*SESSION, F.col("hostname_norm").alias("new_next")), SESSION
-    )
-    flat = last.select(*SESSION, "session_carry.*")
-    ends = flat.join(firsts, null_safe(flat, firsts, SESSION), "left").select(
-        *ROW_KEY, F.col("last_date").alias("event_date"),
-        F.col("next_hostname_norm").alias("old_next"), "new_next",
-    )
-    return linked.drop("_opens"), ends
+    return joined.withColumns(
+        {
+            "prev_event_name": or_carried("prev_event_name", "event_name"),
+            "_prev_micros": or_carried("_prev_micros", "event_timestamp_micros"),
+            "prev_hostname_norm": or_carried("prev_hostname_norm", "hostname_norm"),
+            "session_event_no": F.col("session_event_no") + F.coalesce(state["carried"], F.lit(0)),
+            "user_event_no": F.col("user_event_no") + F.coalesce(F.col("user_carry"), F.lit(0)),
+        }
+    ).drop("user_carry", "session_carry")
 
 
 def fresh_rows(
@@ -241,6 +237,103 @@ def fresh_rows(
     return ordinary, large
 
 
+def first_later_rows(later: DataFrame, sessions: DataFrame, bound: int) -> DataFrame:
+    """The first row of each of these sessions among later days, with its present number."""
+    first = F.min(F.struct("session_event_no", *ROW_KEY[2:], "hostname_norm")).alias("first")
+    found = semi_null_safe(later, sessions, SESSION, bound).groupBy(*SESSION).agg(first)
+    return cut_lineage(found.select(*SESSION, "first.*"))
+
+
+def around_range(
+    sessions: DataFrame, state: DataFrame, fresh: DataFrame, firsts: DataFrame | None
+) -> DataFrame:
+    """For each touched session its last row ``before`` the range, the number of its rows in the
+    range as written, ``n``, their ``first`` and ``last`` one, and its first row ``after`` it."""
+    at = ["session_event_no", *ROW_KEY[2:], "hostname_norm"]
+    inside = fresh.groupBy(*SESSION).agg(
+        F.count("*").alias("n"), F.min(F.struct(*at)).alias("first"), F.max(F.struct(*at)).alias("last")
+    )
+    before = state.where("carried IS NOT NULL").select(
+        *SESSION, F.struct(*[c for c in state.columns if c not in SESSION]).alias("before")
+    )
+    out = left_join(sessions, before, SESSION, nulls_match=True, hot=None)
+    out = left_join(out, inside, SESSION, nulls_match=True, hot=None)
+    if firsts is not None:
+        after = firsts.select(*SESSION, F.struct(*at).alias("after"))
+        out = left_join(out, after, SESSION, nulls_match=True, hot=None)
+    return cut_lineage(out)
+
+
+def changed_ends(around: DataFrame) -> DataFrame:
+    """Last rows before the range whose next host is another one now."""
+    before, first = F.col("before"), F.col("first")
+    after = F.col("after")["hostname_norm"] if "after" in around.columns else F.lit(None)
+    new_next = F.when(first.isNotNull(), first["hostname_norm"]).otherwise(after)
+    return around.where(before.isNotNull() & ~before["next_hostname_norm"].eqNullSafe(new_next)).select(
+        *SESSION, *[before[c].alias(c) for c in ROW_KEY[2:]],
+        before["last_date"].alias("event_date"), new_next.alias("next_hostname_norm"),
+    )
+
+
+def session_moves(around: DataFrame) -> DataFrame:
+    """(session, number of its first later row, by how much the later numbers move, and the event
+    that is before that row now)."""
+    before, last, after = F.col("before"), F.col("last"), F.col("after")
+    number = F.coalesce(before["carried"], F.lit(0)) + F.coalesce("n", F.lit(0)) + 1
+
+    def previous(column: str) -> Column:
+        return F.when(last.isNotNull(), last[column]).otherwise(before[column])
+
+    return around.where(after.isNotNull()).select(
+        *SESSION,
+        F.struct(
+            after["session_event_no"].alias("opens"), (number - after["session_event_no"]).alias("moved"),
+            *[previous(c).alias(c) for c in (*ROW_KEY[2:], "hostname_norm")],
+        ).alias("session_move"),
+    )
+
+
+def user_moves(fresh: DataFrame, old: DataFrame) -> DataFrame:
+    """(user, user_move): rows of the user in the range now, less those that it had."""
+    counts = fresh.select(*USER, F.lit(1).cast("bigint").alias("n")).unionByName(
+        old.select(*USER, (-F.col("events")).alias("n"))
+    )
+    return counts.groupBy(*USER).agg(F.sum("n").alias("user_move")).where("user_move <> 0")
+
+
+def join_moves(rows: DataFrame, moves: DataFrame, keys: list[str], number: int) -> DataFrame:
+    """Rows with the moves of their user or session; only a large side moves the rows."""
+    if not is_small(moves, number):
+        return left_join(rows, moves, keys, nulls_match=True)
+    return left_join(rows, F.broadcast(moves), keys, nulls_match=True, hot=None)
+
+
+def moved_rows(
+    rows: DataFrame, users: DataFrame, n_users: int, sessions: DataFrame, n_sessions: int
+) -> DataFrame:
+    """Later rows with their new numbers, and the new previous event of each session's first one."""
+    joined = join_moves(rows, users, USER, n_users)
+    joined = join_moves(joined, sessions, SESSION, n_sessions)
+    move = F.col("session_move")
+    opens = F.coalesce(F.col("session_event_no") == move["opens"], F.lit(False))
+
+    def opening(column: str, value: Column) -> Column:
+        return F.when(opens, value).otherwise(F.col(column))
+
+    return joined.withColumns(
+        {
+            "prev_event_name": opening("prev_event_name", move["event_name"]),
+            "seconds_from_prev_event": opening(
+                "seconds_from_prev_event", M.gap_seconds(move["event_timestamp_micros"])
+            ),
+            "prev_hostname_norm": opening("prev_hostname_norm", move["hostname_norm"]),
+            "is_cross_domain_hop": opening("is_cross_domain_hop", M.is_hop(move["hostname_norm"])),
+            "session_event_no": F.col("session_event_no") + F.coalesce(move["moved"], F.lit(0)),
+            "user_event_no": F.col("user_event_no") + F.coalesce("user_move", F.lit(0)),
+        }
+    ).select(*quoted(rows.columns))
+
+
 def update_events(
     store: TableStore,
     tables: DataFrame,
@@ -272,18 +365,13 @@ def update_events(
     sessions = cut_lineage(sessions)
     n_sessions = sessions.count()
     users = sessions.select(*USER).distinct()
-    later, later_days = None, [day for day in store.days(EVENTS_TABLE) if day > end]
+    firsts, later_days = None, [day for day in store.days(EVENTS_TABLE) if day > end]
     if later_days:
         users = cut_lineage(users)
         after = store.read(carry.USERS).where(F.col("event_date") > F.lit(end))
         later_days = distinct_days(semi_null_safe(after, users, USER, n_sessions))
     if later_days:
-        later = semi_null_safe(on_days(history, later_days), users, USER, n_sessions)
-        later = later.drop(*SEQUENCE_COLUMNS)
-        more = semi_null_safe(on_days(sums, later_days), users, USER, n_sessions).select(*SESSION)
-        sessions = cut_lineage(sessions.union(more).distinct())
-        n_sessions = sessions.count()
-        hot = hot_groups(source.select(*USER).union(later.select(*USER)), USER)
+        firsts = first_later_rows(on_days(history, later_days), sessions, n_sessions)
     hot = known_or_detected(hot, source, USER)
 
     session_state = carry.session_carry(store, sessions, start, end, n_sessions)
@@ -291,48 +379,59 @@ def update_events(
     unnumbered = {c: t for c, t in target.items() if c not in SEQUENCE_COLUMNS}
     if hot is None:
         side, replay = side_rows(user_state, session_state), None
+        side = side if firsts is None else side.unionByName(next_rows(firsts), allowMissingColumns=True)
     else:
         user_state = cut_lineage(user_state)
         cold_users, hot_users = hot.split(user_state)
         cold_sessions, hot_sessions = hot.split(session_state)
-        side = side_rows(cold_users, cold_sessions)
+        side, hot_firsts = side_rows(cold_users, cold_sessions), None
+        if firsts is not None:
+            cold_firsts, hot_firsts = hot.split(firsts)
+            side = side.unionByName(next_rows(cold_firsts), allowMissingColumns=True)
         urls = hot_sessions.select(*SESSION, F.col("replay_url").alias("session_replay_url"))
         urls = urls.unionByName(M.replay_urls(hot.split(source)[1]))
         replay = urls.groupBy(*SESSION).agg(F.max("session_replay_url").alias("session_replay_url"))
     ordinary, large = fresh_rows(source, side, attributes, plan, slots, unnumbered, hot, replay)
-    cold_later, hot_later = (later, None) if hot is None or later is None else hot.split(later)
-    if cold_later is not None:
-        ordinary = ordinary.unionByName(cold_later, allowMissingColumns=True).repartition(*USER)
-    numbered = cut_lineage(M.gap_and_hop(sequence_with_side_rows(ordinary)))
-    state = F.col(SIDE)
-    ends = numbered.where((state["kind"] == OF_SESSION) & state["carried"].isNotNull()).select(
-        *ROW_KEY, state["date"].alias("event_date"), state["next"].alias("old_next"),
-        F.col("next_hostname_norm").alias("new_next"),
-    )
-    rows = numbered.where(is_row()).drop(SIDE)
+    rows = M.gap_and_hop(sequence_with_side_rows(ordinary)).where(is_row()).drop(SIDE)
     if large is not None:
-        if hot_later is not None:
-            large = large.unionByName(hot_later, allowMissingColumns=True)
-        linked, hot_ends = sequence_with_joins(cut_lineage(large), hot_users, hot_sessions, hot)
-        rows = rows.unionByName(M.gap_and_hop(linked), allowMissingColumns=True)
-        ends = ends.unionByName(hot_ends)
-
-    changed = cut_lineage(ends.where(~F.col("old_next").eqNullSafe(F.col("new_next"))))
-    boundary_days = distinct_days(changed)
-    if later_days:
-        others = anti_null_safe(on_days(history, later_days), users, USER, n_sessions)
-        rows = rows.unionByName(others, allowMissingColumns=True)
+        large = large.withColumn(SIDE, F.lit(None).cast(SIDE_DDL))
+        if hot_firsts is not None:
+            large = large.unionByName(next_rows(hot_firsts), allowMissingColumns=True)
+        linked = sequence_with_joins(cut_lineage(large), hot_users, hot_sessions, hot)
+        linked = M.gap_and_hop(linked).where(is_row()).drop(SIDE)
+        rows = rows.unionByName(linked, allowMissingColumns=True)
+
+    number = store.stage_days(EVENTS_TABLE, rows, USER_CLUSTER, spread=True)
+    fresh = store.staged(EVENTS_TABLE, number)
+    around = around_range(sessions, session_state, fresh, firsts)
+    changed = cut_lineage(changed_ends(around))
+    n_changed = changed.count()
+    boundary_days, days = distinct_days(changed), days_between(start, end)
+    staged, new_next = {number: days}, changed.drop("event_date")
+    others, small = [], is_small(new_next, n_changed)
     if boundary_days:
-        new_next = changed.select(*ROW_KEY, F.col("new_next").alias("next_hostname_norm"))
-        updated = update_from(
-            on_days(history, boundary_days), new_next, ROW_KEY, ["next_hostname_norm"],
-            source_rows=changed.count(),
+        others.append(
+            update_from(
+                on_days(history, boundary_days), new_next, ROW_KEY, ["next_hostname_norm"],
+                source_rows=n_changed,
+            )
         )
-        rows = rows.unionByName(updated, allowMissingColumns=True)
-    days = sorted({*boundary_days, *later_days, *days_between(start, end)})
-    store.note(carry.PENDING_EVENTS, [day.isoformat() for day in days])
-    store.overwrite_days(EVENTS_TABLE, rows, days, USER_CLUSTER, spread=True)
-    carry.put_events(store, on_days(store.read(EVENTS_TABLE), days), on_days(tables, days), days)
+    if later_days:
+        by_user = cut_lineage(user_moves(fresh, store.read(carry.USERS).where(in_range)))
+        by_session = cut_lineage(session_moves(around))
+        sizes = by_user.count(), by_session.count()
+        others.append(moved_rows(on_days(history, later_days), by_user, sizes[0], by_session, sizes[1]))
+        small = small and is_small(by_user, sizes[0]) and is_small(by_session, sizes[1])
+    if others:  # copied file by file, but spread by day again where a join has moved the rows
+        copies = functools.reduce(DataFrame.unionByName, others)
+        copied = store.stage_days(EVENTS_TABLE, copies, USER_CLUSTER, spread=not small, after=number)
+        staged[copied] = [*boundary_days, *later_days]
+    pending = sorted({day for written in staged.values() for day in written})
+    store.note(carry.PENDING_EVENTS, [day.isoformat() for day in pending])
+    store.publish_days(EVENTS_TABLE, staged)
+    carry.put_events(
+        store, on_days(store.read(EVENTS_TABLE), days), on_days(tables, days), days, new_next, boundary_days
+    )
 
 
 # -- item level ------------------------------------------------------------------------------

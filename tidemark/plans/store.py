@@ -287,17 +287,46 @@ class TableStore:
 
         ``rows`` hold every row these days shall have and no others. ``rows`` may read this table.
         """
+        number = self.stage_days(table, rows, cluster, spread)
+        self.publish_days(table, {number: days})
+
+    def stage_days(
+        self,
+        table: str,
+        rows: DataFrame,
+        cluster: list[str] = (),
+        spread: bool = False,
+        after: int | None = None,
+    ) -> int:
+        """Write rows of whole days that no reader sees yet: the number of their write.
+
+        ``after`` is the number of a write that is staged before it and published with it.
+        """
         meta = self.meta(table)
-        partitions, number = meta["partitions"], meta["next"]
+        partitions = meta["partitions"]
         if not self._by_days(meta["columns"], partitions):
             raise ValueError(f"{table} is not partitioned by day first")
+        number = meta["next"] if after is None else after + 1
         with files_go_after_query(self.spark):
             self._writer(conform(rows, meta["columns"]), partitions, cluster, spread).mode("overwrite").option(
                 "partitionOverwriteMode", "static"
             ).parquet(f"{self.root}/{table}/{meta['folder']}/{WRITE}={number}")
-        given = {day.isoformat() for day in days}
-        writes = meta["days"] | dict.fromkeys(given, number)
-        self._publish(table, self._current(table)[0], meta | {"days": writes, "next": number + 1})
+        return number
+
+    def staged(self, table: str, number: int) -> DataFrame:
+        """The rows of a write that is not published."""
+        meta = self.meta(table)
+        return self._scan(table, f"{meta['folder']}/{WRITE}={number}", meta["columns"])
+
+    def publish_days(self, table: str, staged: dict[int, list[date]]) -> None:
+        """Read these days from the staged writes from now on, all of them at once."""
+        meta = self.meta(table)
+        partitions = meta["partitions"]
+        writes = dict(meta["days"])
+        for number, days in staged.items():
+            writes |= dict.fromkeys((day.isoformat() for day in days), number)
+        given = {day.isoformat() for days in staged.values() for day in days}
+        self._publish(table, self._current(table)[0], meta | {"days": writes, "next": max(staged) + 1})
         for day in sorted(given):  # nothing reads these any more
             self._delete(table, *self._folder_of_write(meta, meta["days"].get(day, 0)), f"{partitions[0]}={day}")
         for old in {meta["days"].get(day, 0) for day in given} - {0, *writes.values()}:
