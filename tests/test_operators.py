@@ -24,6 +24,7 @@ from tidemark.operators import ordered as O
 from tidemark.operators import registry as R
 from tidemark.operators import upsert as U
 from tidemark.operators.skew import cut_lineage, left_join, working_in
+from tidemark.plans import catalog
 from tidemark.plans import control as G
 from tidemark.plans import incremental as D
 from tidemark.plans import state as ST
@@ -684,3 +685,34 @@ def test_items_of_known_users_are_dealt_by_session(spark):
     plan = dealt._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "hashpartitioning(user_pseudo_id" in plan
     assert "item_id" not in plan.split("hashpartitioning(")[1].split(")")[0]
+
+
+def write_lineitem(spark, folder, lines=40):
+    """A lineitem table with sessions over many days, also without a user or an order."""
+    spark.sql(f"""
+        SELECT IF(id % 7 = 6, NULL, id % 5) AS l_orderkey, id % 4 AS l_partkey,
+          IF(id % 11 = 10, NULL, id % 3) AS l_suppkey, CAST(id % 3 AS INT) AS l_linenumber,
+          CAST(id AS DOUBLE) AS l_quantity, CAST(id * 1.5 AS DOUBLE) AS l_extendedprice, 0.5D AS l_discount,
+          0.25D AS l_tax, IF(id % 2 = 0, 'A', 'N') AS l_returnflag, 'O' AS l_linestatus,
+          DATE'2026-01-01' + MAKE_DT_INTERVAL(CAST(id * 9 AS INT)) AS l_shipdate
+        FROM RANGE({lines})""").write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("limit", ["20", "1000000"])
+def test_items_are_moved_without_what_their_rows_tell(spark, tmp_path, limit):
+    """The hashed event id and its like are made after the exchange, with the same result."""
+    folder = write_lineitem(spark, tmp_path)
+    spark.conf.set("tidemark.hotRows", limit)
+    try:
+        rows, columns, hot = catalog.item_frame(spark, folder, with_identity=False)
+        assert (hot is None) == (limit != "20")
+        want = V.conform(N.number_items(rows, hot), N.items_schema(columns))
+        got = catalog.micro_items(spark, folder)
+        same = [c for c in got.columns if c != "event_date"]
+        assert sorted(map(str, values(got, *same))) == sorted(map(str, values(want, *same)))
+        if hot is None:
+            below = plan_text(got).split("RepartitionByExpression")[1]
+            assert "sha2" not in below and "item_subtotal" not in below
+    finally:
+        spark.conf.unset("tidemark.hotRows")

@@ -22,6 +22,10 @@ ITEM_ORDER = Ordering(
     order=["event_timestamp_micros", "event_name", "item_index", "_row"],
     number="item_event_no",
 )
+#: Columns that others of the same row tell, see :func:`with_made_columns`.
+MADE_COLUMNS = [
+    "item_subtotal", "is_identified_user", "is_key_event", "pseudonymous_session_id", "event_id",
+]
 
 
 @dataclass(frozen=True)
@@ -95,7 +99,6 @@ def explode_items(
         *[F.col(f"geo.{c}").alias(c) for c in ("continent", "sub_continent", "country", "region", "city")],
         F.col("privacy_info.analytics_storage").alias("analytics_storage"),
         F.col("platform"),
-        ids.event_key_flag(F.col("event_name")).alias("is_key_event"),
         param_value(F.col("event_params"), "page_location")["string_value"].alias("page_location"),
         F.col("traffic_source.source").alias("traffic_source"),
         F.col("traffic_source.medium").alias("traffic_medium"),
@@ -110,25 +113,35 @@ def explode_items(
         *[c for c in exploded.columns if c not in ("item_index", "item")],
         F.col("item_index").cast("bigint").alias("item_index"),
         *[F.col(f"item.{f}").alias(f) for f in S.ITEM_FIELDS],
-        (F.col("item.price") * F.coalesce("item.quantity", F.lit(1))).alias("item_subtotal"),
         *item_param_columns(columns),
     )
     joined = left_join(
         flat, identity.select("user_pseudo_id", "user_id"), ["user_pseudo_id"], hot=hot
     )
-    user, session = F.col("user_pseudo_id"), F.col("ga_session_id")
     rows = joined.withColumns(
         {
+            "created_at": ids.local_timestamp(F.unix_micros(now), tz),
+            "batch_id": F.lit(batch_id),
+        }
+    )
+    return with_made_columns(rows)
+
+
+def with_made_columns(rows: DataFrame) -> DataFrame:
+    """Rows with their ``MADE_COLUMNS``. Where many rows are moved, these are dropped before and made
+    after: a hash like an event's id takes more room in a shuffle than all that it is made from."""
+    user, session = F.col("user_pseudo_id"), F.col("ga_session_id")
+    return rows.withColumns(
+        {
+            "item_subtotal": F.col("price") * F.coalesce("quantity", F.lit(1)),
             "is_identified_user": F.col("user_id").isNotNull(),
+            "is_key_event": ids.event_key_flag(F.col("event_name")),
             "pseudonymous_session_id": ids.pseudonymous_session_id(user, session),
             "event_id": ids.event_id(
                 user, F.col("event_timestamp_micros"), F.col("event_name"), session
             ),
-            "created_at": ids.local_timestamp(F.unix_micros(now), tz),
-            "batch_id": F.lit(batch_id),
         }
     )
-    return rows
 
 
 def items_schema(columns: list[ItemColumn]) -> dict[str, str]:

@@ -1133,7 +1133,8 @@ FROM item_rows
 """)
 def micro_items(spark, sf):
     rows, columns, hot = item_frame(spark, sf, with_identity=False)
-    built = V.conform(N.number_items(rows, hot), N.items_schema(columns))
+    numbered = N.number_items(rows.drop(*N.MADE_COLUMNS), hot)
+    built = V.conform(N.with_made_columns(numbered), N.items_schema(columns))
     return built.select(
         text("event_date"), "event_timestamp_micros", "event_name", "user_pseudo_id",
         "ga_session_id", "pseudonymous_session_id", "item_index", "item_id", "price", "quantity",
