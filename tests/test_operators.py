@@ -716,3 +716,42 @@ def test_items_are_moved_without_what_their_rows_tell(spark, tmp_path, limit):
             assert "sha2" not in below and "item_subtotal" not in below
     finally:
         spark.conf.unset("tidemark.hotRows")
+
+
+@pytest.mark.parametrize("limit", [
+    {}, {"tidemark.partRows": "9"}, {"tidemark.broadcastRows": "0"}, {"tidemark.partRows": "9", "tidemark.hotRows": "15"}])
+def test_item_updates_go_in_parts_and_copy_other_rows_as_they_lie(spark, tmp_path, monkeypatch, limit):
+    """New rows are shuffled part by part; rows outside the range are copied with moved numbers."""
+    folder = write_lineitem(spark, tmp_path, 60)
+    rows, columns, _ = catalog.item_frame(spark, folder, with_identity=False)
+    wanted, local = N.items_schema(columns), F.to_date("event_timestamp")
+    rows = rows.withColumn("event_date", F.trunc("event_date", "month"))  # days that stay beside days that change
+    first, end = date(2026, 4, 10), date(2026, 9, 20)
+    inside = local.between(F.lit(first), F.lit(end))
+    store, whole = (TableStore(spark, str(tmp_path / name)) for name in ("part", "whole"))
+    D.build_items(whole, rows, wanted, None)
+    written, write = [], TableStore._write_parts
+
+    def record(self, parts, partitions, cluster, *place):
+        if place[0] == D.ITEMS_TABLE:
+            written.append([(p.spread, p.rows._jdf.queryExecution().executedPlan().toString()) for p in parts])
+        return write(self, parts, partitions, cluster, *place)
+
+    monkeypatch.setattr(TableStore, "_write_parts", record)
+    for key, value in limit.items():
+        spark.conf.set(key, value)
+    try:
+        wrong = rows.where(inside & (F.col("item_index") == 0)).limit(7)  # the range holds other rows first
+        D.build_items(store, rows.where(~inside).unionByName(wrong), wanted)
+        D.update_items(store, rows.where(inside), wanted, first, end)
+    finally:
+        for key in limit:
+            spark.conf.unset(key)
+    for table in (D.ITEMS_TABLE, "carry_item_days"):
+        got, want = (sorted(map(str, s.read(table).collect())) for s in (store, whole))
+        assert got == want, table
+    built, (*fresh, copies) = written
+    assert (len(built) > 1) == (len(fresh) > 1) == ("tidemark.partRows" in limit)
+    assert all(spread and "sha2" not in plan for spread, plan in [*built, *fresh])
+    if "tidemark.broadcastRows" not in limit:
+        assert not copies[0] and "Exchange hashpartitioning" not in copies[1]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schema as S
@@ -13,7 +13,14 @@ from tidemark.functions.lattice import widest_of
 from tidemark.functions.params import extract_item_param, param_value, session_id
 from tidemark.operators.events import SESSION
 from tidemark.operators.ordered import Ordering, segmented_with_copies, windowed
-from tidemark.operators.skew import DETECT, hot_row_limit, known_or_detected, left_join, quoted
+from tidemark.operators.skew import (
+    DETECT,
+    hot_row_limit,
+    known_or_detected,
+    left_join,
+    part_row_limit,
+    quoted,
+)
 from tidemark.sources.shards import widened
 
 ITEM_GROUP = ["user_pseudo_id", "ga_session_id", "item_id"]
@@ -26,6 +33,8 @@ ITEM_ORDER = Ordering(
 MADE_COLUMNS = [
     "item_subtotal", "is_identified_user", "is_key_event", "pseudonymous_session_id", "event_id",
 ]
+#: Each part reads all rows again, so their number is bounded.
+MOST_PARTS = 8
 
 
 @dataclass(frozen=True)
@@ -105,7 +114,8 @@ def explode_items(
         F.col("traffic_source.name").alias("traffic_campaign"),
     ]
     # What an event has is taken once, below the explode: beside it, Spark would do so for each item.
-    held = widened(events, start, end).where(inside & (F.size("items") > 0)).select(*taken, "items")
+    # Spark leaves out events without items itself, after what callers ask of the time.
+    held = widened(events, start, end).where(inside).select(*taken, "items")
     exploded = held.select(
         *[c for c in held.columns if c != "items"], F.posexplode("items").alias("item_index", "item")
     )
@@ -149,6 +159,14 @@ def items_schema(columns: list[ItemColumn]) -> dict[str, str]:
     return S.MICRO_ITEMS_HEAD | dynamic | S.MICRO_ITEMS_TAIL
 
 
+def session_parts(spark: SparkSession, number: int) -> list[Column]:
+    """Conditions that deal ``number`` item rows into parts of whole sessions, of
+    ``tidemark.partRows`` rows where ``MOST_PARTS`` allow that."""
+    parts = min(MOST_PARTS, -(-number // part_row_limit(spark)))
+    part = F.pmod(F.xxhash64(*SESSION), F.lit(parts))
+    return [part == n for n in range(parts)] if parts > 1 else [F.lit(True)]
+
+
 def number_items(rows: DataFrame, hot=DETECT) -> DataFrame:
     """Running number per (session, item) by time, event and item index.
 

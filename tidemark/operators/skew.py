@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_BROADCAST_ROWS = 200_000
 DEFAULT_BROADCAST_BYTES = 256 << 20
+DEFAULT_PART_ROWS = 4_000_000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _here = threading.local()
 
@@ -33,6 +34,11 @@ def broadcast_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("tidemark.broadcastRows", str(DEFAULT_BROADCAST_ROWS)))
 
 
+def part_row_limit(spark: SparkSession) -> int:
+    """Rows above which a wide write goes in parts, to bound its shuffle files."""
+    return int(spark.conf.get("tidemark.partRows", str(DEFAULT_PART_ROWS)))
+
+
 def broadcast_byte_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("tidemark.broadcastBytes", str(DEFAULT_BROADCAST_BYTES)))
 

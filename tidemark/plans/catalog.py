@@ -1098,7 +1098,6 @@ def incremental_items(spark, sf):
     with scratch_store(spark) as store:
         quarter = F.trunc("event_date", "quarter")
         rows = rows.withColumns({"local": F.to_date("event_timestamp"), "event_date": quarter})
-        rows = cut_lineage(rows)
         first, last = rows.agg(F.min("local"), F.max("local")).first()
         cuts = [first + timedelta(days=(last - first).days * part // 10) for part in (3, 4, 7)]
         local, day = F.col("local"), timedelta(days=1)

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import uuid
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -53,7 +54,7 @@ from tidemark.operators.skew import (
 from tidemark.operators.upsert import update_from
 from tidemark.plans import carry
 from tidemark.plans.carry import ROW_KEY, semi_null_safe
-from tidemark.plans.store import TableStore, days_between
+from tidemark.plans.store import Part, TableStore, days_between
 
 EVENTS_TABLE, ITEMS_TABLE = "micro_user_table", "micro_items_table"
 USER_CLUSTER = ["user_pseudo_id", "user_id"]
@@ -100,11 +101,6 @@ def on_days(rows: DataFrame, days: list[date]) -> DataFrame:
     return rows.where(F.col("event_date").isin(days)) if days else rows.where(F.lit(False))
 
 
-def anti_null_safe(rows: DataFrame, keys_of: DataFrame, keys: list[str], bound: int) -> DataFrame:
-    side = broadcast_if_small(prefixed(keys_of.select(*keys), keys), bound)
-    return rows.join(side, null_safe(rows, side, keys), "left_anti")
-
-
 # -- event level -----------------------------------------------------------------------------
 
 
@@ -446,11 +442,27 @@ def in_local_days(at: Column, start: date, end: date) -> Column:
     return at.isNotNull() & (at >= opens) & (at < closes)
 
 
+def finished_items(columns: dict[str, str]) -> Callable[[DataFrame], DataFrame]:
+    """What a store does with numbered item rows after it has spread them."""
+    return lambda rows: V.conform(N.with_made_columns(rows), columns)
+
+
 def build_items(store: TableStore, rows: DataFrame, wanted: dict[str, str], hot=DETECT) -> None:
-    """The item-level table and its carry table from exploded rows."""
+    """The item-level table and its carry table from exploded rows.
+
+    Many rows are written in parts of whole sessions, so that the shuffle files of one part are the
+    most there are at a time.
+    """
+    spark = rows.sparkSession
     store.note(carry.PENDING_ITEMS, [])
-    numbered = V.conform(N.number_items(rows, hot), wanted)
-    store.replace(ITEMS_TABLE, numbered, ["event_date"], ITEM_CLUSTER, spread=True)
+    with working_in(spark, f"{work_folder(spark)}/items-{uuid.uuid4().hex}"):
+        rows = cut_lineage(rows.drop(*N.MADE_COLUMNS))
+        hot, finish = known_or_detected(hot, rows, USER), finished_items(wanted)
+        parts = [
+            Part(N.number_items(rows.where(part), hot), True, finish)
+            for part in N.session_parts(spark, rows.count())
+        ]
+        store.replace_in_parts(ITEMS_TABLE, parts, wanted, ["event_date"], ITEM_CLUSTER)
     carry.put_items(store, store.read(ITEMS_TABLE), None)
 
 
@@ -469,7 +481,8 @@ def mend_items(store: TableStore) -> None:
 def number_items_after(rows: DataFrame, before: DataFrame, hot: HotGroups | None) -> DataFrame:
     """Item numbers that go on from the carried counts (group, carried).
 
-    The counts of ordinary groups are side rows of the same exchange, those of hot groups a join.
+    The counts of ordinary users' groups are side rows of the same exchange, dealt by session like
+    :func:`tidemark.operators.items.number_items`; those of hot users' are a join.
     """
     rows = rows.withColumn("_row", F.xxhash64(*quoted(rows.columns)))
     number, order = ITEM_ORDER.number, ITEM_ORDER.order
@@ -477,7 +490,7 @@ def number_items_after(rows: DataFrame, before: DataFrame, hot: HotGroups | None
     cold, warm = (before, None) if hot is None else hot.split(before)
     side = cold.withColumn("event_timestamp_micros", F.lit(FIRST))
     window = W.partitionBy(*ITEM_GROUP).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    both = ordinary.unionByName(side, allowMissingColumns=True)
+    both = ordinary.unionByName(side, allowMissingColumns=True).repartition(*SESSION)
     out = both.withColumn(number, F.sum(F.coalesce("carried", F.lit(1))).over(window))
     out = out.where("carried IS NULL").drop("carried", "_row")
     if large is None:
@@ -490,14 +503,35 @@ def number_items_after(rows: DataFrame, before: DataFrame, hot: HotGroups | None
     return out.unionByName(joined.drop("carried"))
 
 
+def item_moves(fresh: DataFrame, removed: DataFrame, after: DataFrame) -> DataFrame:
+    """(group, moved): by how much the later numbers of a group move, where it has later rows and
+    the range holds another number of its rows now."""
+    counts = fresh.select(*ITEM_GROUP, F.lit(1).cast("bigint").alias("n")).unionByName(
+        removed.select(*ITEM_GROUP, (-F.col("items")).alias("n"))
+    )
+    later = after.select(*ITEM_GROUP, F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("later"))
+    found = counts.unionByName(later, allowMissingColumns=True).groupBy(*ITEM_GROUP)
+    summed = found.agg(F.sum("n").alias("moved"), F.max("later").alias("later"))
+    return summed.where("later AND moved <> 0").drop("later")
+
+
+def moved_items(rows: DataFrame, moves: DataFrame, n_moves: int, end: date) -> DataFrame:
+    """Rows of which the later ones have their new numbers."""
+    is_later = F.coalesce(F.to_date("event_timestamp") > F.lit(end), F.lit(False))
+    moved = F.when(is_later, F.coalesce("moved", F.lit(0))).otherwise(0)
+    joined = join_moves(rows, moves, ITEM_GROUP, n_moves)
+    return joined.withColumn(ITEM_ORDER.number, F.col(ITEM_ORDER.number) + moved).drop("moved")
+
+
 def update_items(
     store: TableStore, rows: DataFrame, wanted: dict[str, str], start: date, end: date, hot=DETECT
 ) -> None:
     """Item rows whose local day lies in the range replaced by ``rows`` (not numbered yet).
 
-    Items are partitioned by the source's day, which may differ from the local day. Later rows
-    of touched groups are numbered anew; other rows of a rewritten day are copied. Intermediates
-    go when the days are written.
+    Items are partitioned by the source's day, which may differ from the local day. The numbers of
+    a group's later rows move by one amount, so all kept rows of a rewritten day are copied, with it
+    added; days without such rows stay. New rows are numbered and written in parts of whole
+    sessions. Intermediates go when the days are written.
     """
     spark = rows.sparkSession
     with working_in(spark, f"{work_folder(spark)}/items-{uuid.uuid4().hex}"):
@@ -512,8 +546,8 @@ def _update_items(
         store.columns(ITEMS_TABLE), wanted, S.MICRO_ITEMS_HEAD, S.MICRO_ITEMS_TAIL
     )
     store.evolve(ITEMS_TABLE, target, ITEM_CLUSTER)
-    unnumbered = {c: t for c, t in target.items() if c != ITEM_ORDER.number}
-    fresh = cut_lineage(V.conform(rows, unnumbered))
+    taken = {c: t for c, t in target.items() if c not in (ITEM_ORDER.number, *N.MADE_COLUMNS)}
+    fresh = cut_lineage(V.conform(rows, taken))
     sums, local = store.read(carry.ITEMS), F.col("local_date")
     removed = sums.where(local.between(F.lit(start), F.lit(end)))
     groups = cut_lineage(
@@ -525,24 +559,27 @@ def _update_items(
         sums.where(near & (local < F.lit(start))), groups, ITEM_GROUP, n_groups
     ).groupBy(*ITEM_GROUP).agg(F.sum("items").alias("carried"))
     after = sums.where(near & (local > F.lit(end)))
-    later_days = distinct_days(semi_null_safe(after, groups, ITEM_GROUP, n_groups))
-    days = sorted({*distinct_days(fresh, removed), *later_days})
+    moves = cut_lineage(item_moves(fresh, removed, semi_null_safe(after, groups, ITEM_GROUP, n_groups)))
+    n_moves = moves.count()
+    later_days = distinct_days(semi_null_safe(after, moves, ITEM_GROUP, n_moves)) if n_moves else []
+    own_days = distinct_days(fresh, removed)
+    days = sorted({*own_days, *later_days})
     if not days:
         return
+    finish = finished_items(target)
+    hot = known_or_detected(hot, fresh, USER)
+    before = cut_lineage(before)
+    parts = [
+        Part(number_items_after(fresh.where(part), before.where(part), hot), True, finish)
+        for part in N.session_parts(store.spark, fresh.count())
+    ]
     history, at = on_days(store.read(ITEMS_TABLE), days), F.col("event_timestamp")
-    inside = F.coalesce(in_local_days(at, start, end), F.lit(False))
-    kept = history.where(~inside)
-    again = fresh
-    if later_days:
-        is_later = F.coalesce(F.to_date(at) > F.lit(end), F.lit(False))
-        later = kept.where(is_later)
-        touched = semi_null_safe(later, groups, ITEM_GROUP, n_groups).drop(ITEM_ORDER.number)
-        again = fresh.unionByName(touched, allowMissingColumns=True)
-        others = anti_null_safe(later, groups, ITEM_GROUP, n_groups)
-        kept = kept.where(~is_later).unionByName(others)
-        hot = hot_groups(again, USER)
-    hot = known_or_detected(hot, again, USER)
-    numbered = number_items_after(again, before, hot).unionByName(kept, allowMissingColumns=True)
-    store.note(carry.PENDING_ITEMS, [day.isoformat() for day in days])
-    store.overwrite_days(ITEMS_TABLE, numbered, days, ITEM_CLUSTER, spread=True)
-    carry.put_items(store, on_days(store.read(ITEMS_TABLE), days), days)
+    kept = history.where(~F.coalesce(in_local_days(at, start, end), F.lit(False)))
+    if n_moves:
+        kept = moved_items(kept, moves, n_moves, end)
+    # Kept rows are copied file by file, but spread by day again where a join has moved them.
+    copies = Part(V.conform(kept, target), spread=bool(n_moves) and not is_small(moves, n_moves))
+    staged = store.stage_parts(ITEMS_TABLE, [*parts, copies], ITEM_CLUSTER)
+    store.note(carry.PENDING_ITEMS, [day.isoformat() for day in own_days])
+    store.publish_days(ITEMS_TABLE, {staged: days})
+    carry.put_items(store, on_days(store.read(ITEMS_TABLE), own_days), own_days)

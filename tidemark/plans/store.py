@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import functools
 import json
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +35,15 @@ MANIFEST = "_manifest-"
 WRITE = "__write__"
 
 
+@dataclass
+class Part:
+    """Rows to be written; ``finish`` makes the table's columns of them after they have been spread."""
+
+    rows: DataFrame
+    spread: bool = False
+    finish: Callable[[DataFrame], DataFrame] | None = None
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -207,19 +218,32 @@ class TableStore:
         ``spread`` rebalances by the partition columns: AQE then sizes the files, splitting
         a partition with many rows and joining small pieces.
         """
+        self.replace_in_parts(table, [Part(rows, spread)], dict(rows.dtypes), partitions, cluster)
+
+    def replace_in_parts(
+        self, table: str, parts: list[Part], columns: dict[str, str], partitions: list[str] = (), cluster: list[str] = ()
+    ) -> None:
+        """New version with the rows of all parts, written one after the other: the shuffle files of
+        one go before the next is begun. The version is visible when all of them are written."""
         versions = self._versions(table)
         version = f"v{(versions[-1] if versions else 0) + 1}"
-        columns = dict(rows.dtypes)
         place = f"{version}/{WRITE}=0" if self._by_days(columns, partitions) else version
-        with files_go_after_query(self.spark):
-            self._writer(rows, partitions, cluster, spread).mode("overwrite").parquet(
-                f"{self.root}/{table}/{place}"
-            )
+        self._write_parts(parts, partitions, cluster, table, place)
         meta = {"columns": columns, "partitions": list(partitions), "folder": version}
         self._publish(table, version, meta | {"older": [], "days": {}, "next": 1})
         for old in versions[:-1]:
             self._drop_version(table, old)
 
+    def _write_parts(self, parts: list[Part], partitions, cluster, *place: str) -> None:
+        for number, part in enumerate(parts):
+            rows, spread = part.rows, part.spread
+            if part.finish is not None:
+                rows = part.finish(rows.hint("rebalance", *[F.col(c) for c in partitions]) if spread else rows)
+                spread = False
+            writer = self._writer(rows, partitions, cluster, spread).mode("append" if number else "overwrite")
+            with files_go_after_query(self.spark):
+                writer.option("partitionOverwriteMode", "static").parquet("/".join([self.root, *place]))
+
     def _writer(self, rows: DataFrame, partitions, cluster, spread):
         if spread:
             rows = rows.hint("rebalance", *[F.col(c) for c in partitions])
@@ -302,15 +326,19 @@ class TableStore:
 
         ``after`` is the number of a write that is staged before it and published with it.
         """
+        columns = self.meta(table)["columns"]
+        return self.stage_parts(table, [Part(conform(rows, columns), spread)], cluster, after)
+
+    def stage_parts(
+        self, table: str, parts: list[Part], cluster: list[str] = (), after: int | None = None
+    ) -> int:
+        """The same with rows in parts, written one after the other under one number."""
         meta = self.meta(table)
         partitions = meta["partitions"]
         if not self._by_days(meta["columns"], partitions):
             raise ValueError(f"{table} is not partitioned by day first")
         number = meta["next"] if after is None else after + 1
-        with files_go_after_query(self.spark):
-            self._writer(conform(rows, meta["columns"]), partitions, cluster, spread).mode("overwrite").option(
-                "partitionOverwriteMode", "static"
-            ).parquet(f"{self.root}/{table}/{meta['folder']}/{WRITE}={number}")
+        self._write_parts(parts, partitions, cluster, table, meta["folder"], f"{WRITE}={number}")
         return number
 
     def staged(self, table: str, number: int) -> DataFrame:
